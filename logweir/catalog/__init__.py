@@ -1 +1,6 @@
+"""The registered queries; importing the modules fills the registry."""
 
+from logweir.catalog import groups, logs  # noqa: F401
+from logweir.catalog.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

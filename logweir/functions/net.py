@@ -9,15 +9,16 @@ from pyspark.sql import functions as F
 
 from logweir.plans.errors import PlanError
 
-_DOTTED = r"^(0|[1-9]\d{0,2})(\.(0|[1-9]\d{0,2})){3}$"
+_OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
+IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
 
 
 def ipv4_number(column: Column) -> Column:
     """An IPv4 text as a long; NULL for anything that is not four octets."""
-    octets = F.split(F.when(column.rlike(_DOTTED), column), r"\.")
-    parts = [octets.getItem(i).cast("bigint") for i in range(4)]
-    valid = F.greatest(*parts) <= 255
-    return F.when(valid, ((parts[0] * 256 + parts[1]) * 256 + parts[2]) * 256 + parts[3])
+    number = F.aggregate(
+        F.split(column, r"\."), F.lit(0).cast("bigint"), lambda total, octet: total * 256 + octet.cast("bigint")
+    )
+    return F.when(column.rlike(IPV4), number)
 
 
 def in_network(column: Column, network: str) -> Column:

@@ -17,11 +17,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.functions.net import IPV4
 from logweir.functions.text import let, replace_each
 from logweir.plans import fixed_values as fv
 
 _BLOCK = 64
-_IPV4_ONLY = r"^(0|[1-9]\d{0,2})(\.(0|[1-9]\d{0,2})){3}$"
 # Hex digits become letters outside a-f: a token is never read as an address, a
 # number or a run of hex.
 _HEX, _LETTERS = "0123456789abcdef", "ghjkmnpqrstvwxyz"
@@ -106,7 +106,7 @@ class Tokenizer:
         if kind == "ip":
             return F.when(_is_address(value), self.token("ip", value)).otherwise(self.placeholder(value))
         if kind == "mac":
-            shaped = value.rlike(r"^[0-9a-fA-F]{2}([:-][0-9a-fA-F]{2}){5}$")
+            shaped = value.rlike(_MAC_ONLY)
             return F.when(shaped, self.token("mac", value)).otherwise(self.placeholder(value))
         if kind == "email":
             # These columns hold plain names as well.
@@ -122,7 +122,7 @@ class Tokenizer:
         if kind == "ip":
             return F.when(_is_address(value), F.lit("ip"))
         if kind == "mac":
-            return F.when(value.rlike(r"^[0-9a-fA-F]{2}([:-][0-9a-fA-F]{2}){5}$"), F.lit("mac"))
+            return F.when(value.rlike(_MAC_ONLY), F.lit("mac"))
         if kind == "email":
             return F.when(value.contains("@"), F.lit("email")).otherwise(F.lit("username"))
         return F.lit(kind)
@@ -189,13 +189,14 @@ class Tokenizer:
         return F.when(url.isNotNull(), let(url_parts(F.trim(url)), rebuilt))
 
 
+_MAC_ONLY = r"^[0-9a-fA-F]{2}([:-][0-9a-fA-F]{2}){5}$"
+_IPV6_LIKE = r"^[0-9a-fA-F:]*:[0-9a-fA-F:]*:[0-9a-fA-F:.]*$"
+
+
 def _is_address(value: Column) -> Column:
-    """IPv4 with octets up to 255, or the colons of an IPv6 address."""
-    text = F.trim(value)
-    octets = F.transform(F.split(text, r"\."), lambda o: F.coalesce(o.try_cast("int"), F.lit(256)))
-    four = text.rlike(_IPV4_ONLY) & F.forall(octets, lambda o: o <= 255)
-    six = text.rlike(r"^[0-9a-fA-F:]*:[0-9a-fA-F:]*:[0-9a-fA-F:.]*$") & ~text.rlike(r"^([0-9a-fA-F]{2}:){5}[0-9a-fA-F]{2}$")
-    return F.coalesce(four | six, F.lit(False))
+    """IPv4 with octets up to 255, or the colons of an IPv6 address that is no MAC."""
+    six = value.rlike(_IPV6_LIKE) & ~value.rlike(_MAC_ONLY)
+    return F.coalesce(value.rlike(IPV4) | six, F.lit(False))
 
 
 def is_kept(kind: str, value: Column, keep: Column) -> Column:
