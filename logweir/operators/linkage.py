@@ -60,12 +60,14 @@ def entity_ids(df: DataFrame, keys: Sequence[str]) -> Column:
     return F.coalesce(*found, none) if found else none
 
 
-def attached_alerts(attachments: DataFrame, snapshot: T.StructType) -> DataFrame:
+def attached_alerts(attachments: DataFrame, snapshot: T.StructType | str) -> DataFrame:
     """``(incid, alertid, alert)`` from the alert attachments of incidents.
 
     ``data`` holds the alert as JSON; text that is no object gives an empty
     snapshot, whose id is the attachment's source.
     """
+    if isinstance(snapshot, str):
+        snapshot = T.StructType.fromDDL(snapshot)
     parsed = F.from_json("data", snapshot)
     empty = F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in snapshot.fields))
     found = F.coalesce(parsed, empty)
