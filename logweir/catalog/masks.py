@@ -323,21 +323,20 @@ def _(t):
 
 @query(
     "l11_unmask_filter",
-    "SELECT sessionid, srcip FROM traffic WHERE srcip = '10.0.7.1' AND contains(lower(\"user\"), 'user12')",
+    "SELECT sessionid, srcip FROM traffic WHERE srcip IN ('10.0.7.1', '10.1.9.1') AND NOT contains(lower(\"user\"), 'user12')",
     "traffic",
 )
 def _(t):
     k = _tokens(t)
     rows = t.traffic.select("sessionid", "srcip", "user")
     words = masking.dictionary(rows, k)
-    example = k.attach(t.spark.range(1)).select(
-        k.token("ip", F.lit("10.0.7.1")).alias("ip"), k.token("username", F.lit("user12")).alias("user")
-    )
-    said = example.first()
-    asked = [Condition("source_ip", "eq", said["ip"]), Condition("user", "contains", said["user"])]
+    made = (k.token("ip", F.lit("10.0.7.1")), k.token("ip", F.lit("10.1.9.1")), k.token("username", F.lit("user12")))
+    first, second, user = k.attach(t.spark.range(1)).select(*made).first()
+    asked = [Condition("source_ip", "in", [first, second]), Condition("user", "not_contains", f"%{user}%")]
     vocab = vocabulary("traffic")
     meant = masking.unmask_conditions(asked, words, vocab)
-    return compile_conditions(meant, vocab, rows).filter(rows).select("sessionid", "srcip")
+    plain = [Condition(c.field, c.op, c.value.strip("%") if isinstance(c.value, str) else c.value) for c in meant]
+    return compile_conditions(plain, vocab, rows).filter(rows).select("sessionid", "srcip")
 
 
 # --- redaction and checks ----------------------------------------------------

@@ -13,19 +13,11 @@ _OCTET = r"(25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 IPV4 = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
 
 
-def ipv4_number(column: Column) -> Column:
-    """An IPv4 text as a long; NULL for anything that is not four octets."""
-    number = F.aggregate(
-        F.split(column, r"\."), F.lit(0).cast("bigint"), lambda total, octet: total * 256 + octet.cast("bigint")
-    )
-    return F.when(column.rlike(IPV4), number)
-
-
 def in_network(column: Column, network: str) -> Column:
     """Address equality, or membership of an IPv4 network.  IPv6 matches exactly.
 
-    The octets a prefix fixes in full become a text prefix, which the scan can use
-    on its statistics; the arithmetic decides the rest.
+    Octets a prefix fixes in full are a text prefix, which the scan can use on its
+    statistics; only the octet it cuts through is read as a number.
     """
     text = network.strip()
     try:
@@ -34,15 +26,16 @@ def in_network(column: Column, network: str) -> Column:
         raise PlanError(f"'{network}' is not an address or network") from None
     if "/" not in text:
         return column == text
+    first = str(parsed.network_address)
+    if parsed.prefixlen == parsed.max_prefixlen:
+        return column == first
     if parsed.version == 6:
-        if parsed.prefixlen == 128:
-            return column == str(parsed.network_address)
         raise PlanError("IPv6 networks are matched only as single addresses")
-    first = int(parsed.network_address)
-    test = ipv4_number(column).between(first, first + parsed.num_addresses - 1)
-    whole = parsed.prefixlen // 8
-    if whole == 0:
-        return test
-    stem = ".".join(str(parsed.network_address).split(".")[:whole])
-    prefix = column.startswith(stem + ".") if whole < 4 else column == stem
-    return prefix & test
+    whole, rest = divmod(parsed.prefixlen, 8)
+    octets = first.split(".")
+    test = column.rlike(IPV4)
+    if rest:
+        low = int(octets[whole])
+        cut = F.substring_index(F.substring_index(column, ".", whole + 1), ".", -1)
+        test = cut.try_cast("int").between(low, low + 2 ** (8 - rest) - 1) & test
+    return column.startswith(".".join(octets[:whole]) + ".") & test if whole else test

@@ -199,13 +199,18 @@ def _is_address(value: Column) -> Column:
     return F.coalesce(value.rlike(IPV4) | six, F.lit(False))
 
 
+def kept(values: Column) -> Column:
+    """A keep set as ``element`` and ``mask`` take it: as spelled, and folded."""
+    return F.struct(values.alias("exact"), F.transform(values, lambda v: F.lower(v)).alias("folded"))
+
+
 def is_kept(kind: str, value: Column, keep: Column) -> Column:
     """Whether a record leaves this value readable; only user names mind their case."""
-    exact = F.array_contains(keep, value)
     if kind == "username":
-        return F.coalesce(exact, F.lit(False))
-    folded = F.transform(keep, lambda k: F.lower(k))
-    return F.coalesce(exact | F.array_contains(folded, F.lower(value)), F.lit(False))
+        found = F.array_contains(keep["exact"], value)
+    else:
+        found = F.array_contains(keep["folded"], F.lower(value))
+    return F.coalesce(found, F.lit(False))
 
 
 def url_parts(text: Column) -> Column:

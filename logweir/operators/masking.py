@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.functions.text import let, matches, quoted, replace_each
-from logweir.functions.tokens import PREFIXES, Tokenizer, is_kept, url_parts
+from logweir.functions.tokens import PREFIXES, Tokenizer, is_kept, kept, url_parts
 from logweir.plans import fixed_values as fv
 from logweir.plans.conditions import Condition
 from logweir.plans.vocabulary import Vocabulary
@@ -35,9 +35,9 @@ def column_types(df: DataFrame, mask_devices: bool = False, extra: Mapping[str,
     return {c: known[c.lower()] for c in df.columns if c.lower() in known}
 
 
-def kept_values(df: DataFrame) -> Column:
+def kept_values(df: DataFrame) -> Column | None:
     """The device names and serials a record shows, which stay readable everywhere
-    in it."""
+    in it; None where the table has no such column."""
     parts = []
     for f in df.schema.fields:
         column = F.col(f"`{f.name}`")
@@ -49,9 +49,7 @@ def kept_values(df: DataFrame) -> Column:
             values = column.cast("array<string>") if listed else F.split(column.cast("string"), ",")
             trimmed = F.transform(values, lambda p: F.trim(p))
             parts.append(F.coalesce(trimmed, F.array().cast("array<string>")))
-    if not parts:
-        return F.array().cast("array<string>")
-    return F.filter(F.concat(*parts), lambda v: v != "")
+    return kept(F.filter(F.concat(*parts), lambda v: v != "")) if parts else None
 
 
 def prefixed(tokens: Tokenizer, value: Column, keep: Column | None = None, types: Mapping[str, str] = COLUMN_TYPES) -> Column:
@@ -79,7 +77,7 @@ def targets(tokens: Tokenizer, items: Column, keep: Column | None = None) -> Col
             value = F.when(F.lower(item["name"]).isin(names), tokens.mask(kind, item["value"], keep)).otherwise(value)
         stays = F.trim(item["value"]).isin(fv.UNMASKED_VALUES)
         if keep is not None:
-            stays = stays | F.coalesce(F.array_contains(keep, item["value"]), F.lit(False))
+            stays = stays | F.coalesce(F.array_contains(keep["exact"], item["value"]), F.lit(False))
         return item.withField("value", F.when(stays, item["value"]).otherwise(value))
 
     return F.transform(items, one)
@@ -164,9 +162,10 @@ def mask_table(
     flat = {c: t for c, t in types.items() if isinstance(df.schema[c].dataType, T.StringType)}
     sources = {c: t for c, t in flat.items() if t != "text"}
     prose = [c for c, t in flat.items() if t == "text"]
-    staged, keep = tokens.attach(df), None
-    if not mask_devices:
-        staged, keep = staged.withColumn("_keep", kept_values(df)), F.col("_keep")
+    staged = tokens.attach(df)
+    keep = None if mask_devices else kept_values(df)
+    if keep is not None:
+        staged, keep = staged.withColumn("_keep", keep), F.col("_keep")
     known = substitute and bool(sources) and bool(prose)
     if known:
         staged = staged.withColumn("_pairs", _record_pairs(tokens, sources, keep))
@@ -222,7 +221,7 @@ def substitute_known(tokens: Tokenizer, text: Column, pairs: Column, keep: Colum
     """
     usable = F.filter(pairs, lambda p: F.length(p["raw"]) >= fv.MIN_SUBSTITUTION_LENGTH)
     if keep is not None:
-        usable = F.filter(usable, lambda p: ~F.array_contains(keep, p["raw"]))
+        usable = F.filter(usable, lambda p: ~F.array_contains(keep["exact"], p["raw"]))
 
     def pattern(known: Column) -> Column:
         sized = F.transform(known, lambda p: F.struct(F.length(p["raw"]).alias("n"), p["raw"].alias("raw")))
@@ -377,23 +376,30 @@ def unmask_conditions(conditions: Sequence[Condition], words: DataFrame, vocab:
     ]
 
 
+# The types whose values a pattern finds in text; the others are told by their words.
+PATTERNS = {"ip": fv.IPV4_PATTERN, "mac": fv.MAC_PATTERN, "email": fv.EMAIL_PATTERN}
+_WORD = r"[^\s,;()\[\]{}<>\"'=|/.:!?](?:[^\s,;()\[\]{}<>\"'=|/]*[^\s,;()\[\]{}<>\"'=|/.:!?])?"
+
+
 def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """``(column, type, raw)`` of raw identifiers that a masked table still shows.
 
-    Whole values and the identifier-like words of texts are joined by equality with
-    the dictionary; an empty result is a pass.
+    Whole values, and inside texts the addresses, MACs and e-mails, are joined by
+    equality with the dictionary.  Texts are taken apart word by word only where the
+    table has columns of names, which no pattern finds.  An empty result is a pass.
     """
     strings = [f.name for f in masked.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
-    per_column = []
+    types = column_types(masked)
+    named = bool(set(types.values()) - {"text", *PATTERNS}) or any(c in URL_COLUMNS for c in masked.columns)
+    empty = F.array().cast("array<struct<column:string,seen:string>>")
+    listed = []
     for name in strings:
         text = F.lower(F.col(f"`{name}`"))
-        parts = matches(text, r"[^\s,;()\[\]{}<>\"'=|/]+")
-        bare = F.transform(parts, lambda w: F.regexp_replace(w, r"^[.:!?]+|[.:!?]+$", ""))
-        words_of = F.array_union(F.array_union(parts, bare), F.array(text))
-        per_column.append(F.transform(words_of, _seen_in(name)))
-    empty = F.array().cast("array<struct<column:string,seen:string>>")
-    listed = F.concat(*(F.coalesce(c, empty) for c in per_column))
-    seen = masked.select(F.inline(F.array_distinct(listed))).distinct()
+        parts = [F.array(text), *(matches(text, p) for p in PATTERNS.values())]
+        if named:
+            parts.append(matches(text, _WORD))
+        listed.append(F.coalesce(F.transform(F.concat(*parts), _seen_in(name)), empty))
+    seen = masked.select(F.inline(F.concat(*listed))).distinct()
     raws = words.select("type", "raw", F.lower("raw").alias("seen"))
     return seen.join(raws, "seen").select("column", "type", "raw").distinct()
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.query import StreamingQuery
 
+Sink = Callable[[DataFrame, int], None]
+
 
 def read_stream(
     spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", files_per_batch: int | None = None
@@ -48,10 +50,9 @@ def write_once(
     return writer.format("memory").queryName(table).start()
 
 
-def upsert_counts(counts: DataFrame, checkpoint: str, sink) -> StreamingQuery:
-    """Changed windows to ``sink(batch, batch_id)``, which must be idempotent per batch."""
+def _each_batch(counts: DataFrame, checkpoint: str, mode: str, sink: Sink) -> StreamingQuery:
     return (
-        counts.writeStream.outputMode("update")
+        counts.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(sink)
@@ -59,6 +60,16 @@ def upsert_counts(counts: DataFrame, checkpoint: str, sink) -> StreamingQuery:
     )
 
 
+def upsert_counts(counts: DataFrame, checkpoint: str, sink: Sink) -> StreamingQuery:
+    """Changed windows to ``sink(batch, batch_id)``, which must be idempotent per batch."""
+    return _each_batch(counts, checkpoint, "update", sink)
+
+
+def replace_counts(counts: DataFrame, checkpoint: str, sink: Sink) -> StreamingQuery:
+    """All windows to ``sink``, which replaces what it holds."""
+    return _each_batch(counts, checkpoint, "complete", sink)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that came after their window had closed."""
     return sum(
