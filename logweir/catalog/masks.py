@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logweir.catalog.registry import query
 from logweir.functions import text
-from logweir.functions.tokens import _HEX, _LETTERS, PREFIXES, TOKEN_LENGTH, Tokenizer, _pads, key_id
+from logweir.functions.tokens import _HEX, _LETTERS, PREFIXES, TOKEN_LENGTH, Tokenizer, key_id, subkey
 from logweir.operators import masking
 from logweir.operators.breakdown import buckets
 from logweir.plans import fixed_values as fv
@@ -25,8 +25,7 @@ def _blob(data: bytes) -> str:
 
 
 def _digest(kind: str, value: str, key: bytes = KEY) -> str:
-    inner, outer = (_blob(p) for p in _pads(key))
-    return f"sha256({outer} || unhex(sha256({inner} || encode(concat('{kind}:', {value})))))"
+    return f"sha256({_blob(subkey(key))} || encode(concat('{kind}:', {value})))"
 
 
 def _token(kind: str, value: str, key: bytes = KEY) -> str:
@@ -180,8 +179,7 @@ def _(t):
     )
     rows = k.attach(t.alert).select(
         "alertid",
-        "_key_inner",
-        "_key_outer",
+        "_key",
         F.concat(F.lit("epip:"), "epip").alias("g1"),
         F.concat(F.lit("policyid:"), F.col("epid").cast("string")).alias("g2"),
         blob.alias("blob"),
@@ -267,8 +265,7 @@ def _(t):
     even = F.col("page_id") % 2 == 0
     rows = k.attach(t.raw("pages")).select(
         "page_id",
-        "_key_inner",
-        "_key_outer",
+        "_key",
         F.when(even, host).otherwise(F.lit("sig")).alias("seen"),
         F.when(even, F.replace(host, F.lit("."), F.lit("[dot]"))).otherwise(F.lit("")).alias("escaped"),
     )

@@ -5,8 +5,8 @@ projection: no join, no shuffle, and equal values still join and group.  Only
 going back needs the dictionary of ``operators.masking``.
 
 The key never becomes a literal of the plan.  It is a one-row frame that ``attach``
-reads by scalar subquery into two columns, so that neither ``explain`` nor the UI
-shows it.
+reads by scalar subquery into a column, so that neither ``explain`` nor the UI shows
+it.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from logweir.functions.net import IPV4
 from logweir.functions.text import let, replace_each
 from logweir.plans import fixed_values as fv
 
-_BLOCK = 64
 # Hex digits become letters outside a-f: a token is never read as an address, a
 # number or a run of hex.
 _HEX, _LETTERS = "0123456789abcdef", "ghjkmnpqrstvwxyz"
@@ -37,9 +36,9 @@ PREFIXES = {
 }
 
 
-def _pads(key: bytes) -> tuple[bytes, bytes]:
-    block = (hashlib.sha256(key).digest() if len(key) > _BLOCK else key).ljust(_BLOCK, b"\0")
-    return bytes(b ^ 0x36 for b in block), bytes(b ^ 0x5C for b in block)
+def subkey(key: bytes) -> bytes:
+    """32 bytes for hashing, whatever the length of the key."""
+    return hashlib.sha256(b"token key" + key).digest()
 
 
 def key_id(key: bytes) -> str:
@@ -58,29 +57,18 @@ class Tokenizer:
     def of(cls, spark: SparkSession, key: bytes) -> Tokenizer:
         if not key:
             raise ValueError("masking needs a key")
-        inner, outer = _pads(key)
-        frame = spark.createDataFrame([(bytearray(inner), bytearray(outer))], "i binary, o binary")
+        frame = spark.createDataFrame([(bytearray(subkey(key)),)], "key binary")
         return cls(frame, key_id(key))
 
-    @property
-    def inner(self) -> Column:
-        return F.col("_key_inner")
-
-    @property
-    def outer(self) -> Column:
-        return F.col("_key_outer")
-
     def attach(self, df: DataFrame) -> DataFrame:
         """``df`` with the key beside each row; select it away again."""
-        return df.withColumns(
-            {"_key_inner": self.keys.select("i").scalar(), "_key_outer": self.keys.select("o").scalar()}
-        )
+        return df.withColumn("_key", self.keys.scalar())
 
     def digest(self, kind: str, value: Column) -> Column:
-        """HMAC-SHA256 of type and value, in hex."""
+        """SHA-256 of key, type and value, in hex.  Only part of it is ever shown, so a
+        token cannot be extended to another value's."""
         message = F.concat(F.lit(kind + ":"), value).cast("binary")
-        first = F.unhex(F.sha2(F.concat(self.inner, message), 256))
-        return F.sha2(F.concat(self.outer, first), 256)
+        return F.sha2(F.concat(F.col("_key"), message), 256)
 
     def normal(self, kind: str, value: Column) -> Column:
         """One spelling per identity: only user names keep their case."""

@@ -76,11 +76,13 @@ def buckets(df: DataFrame, dims: Sequence[str], keys: Sequence[str] = ()) -> Dat
 
 def top_buckets(counted: DataFrame, top_n: int = 10, keys: Sequence[str] = ()) -> DataFrame:
     """The largest buckets per dimension, ties by value; 0 keeps them all."""
-    shown = counted.where(F.col("value").isNotNull())
+    real = F.col("value").isNotNull()
     if top_n <= 0:
-        return shown
-    order = [F.col("hits").desc(), F.col("value")]
-    return first_per_group(shown, [*keys, "dimension"], order, top_n).drop("position")
+        return counted.where(real)
+    # The excluded rows sort last and go afterwards: a filter before the ranking would
+    # sink below the counting, and residuals could not share its shuffle.
+    order = [F.col("value").isNull(), F.col("hits").desc(), F.col("value")]
+    return first_per_group(counted, [*keys, "dimension"], order, top_n).where(real).drop("position")
 
 
 def residuals(counted: DataFrame, top_n: int = 10, keys: Sequence[str] = ()) -> DataFrame:

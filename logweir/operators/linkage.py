@@ -79,50 +79,54 @@ def attached_alerts(attachments: DataFrame, snapshot: T.StructType | str) -> Dat
     )
 
 
-def linked_pairs(incidents: DataFrame, alerts: DataFrame) -> DataFrame:
-    """``(incid, alertid, basis)`` by linkage keys: ids the incident declares, or
-    incidents the alert names.  One basis per pair, declared ids first.
+def candidate_pairs(incidents: DataFrame, alerts: DataFrame, attachments: DataFrame | None = None) -> DataFrame:
+    """``(incid, alertid, rank)``: every link between an incident and an alert, by its
+    strongest basis.  0 is an attachment, 1 an id the incident declares, 2 an incident
+    the alert names.
 
-    Two equi-joins on exploded ids rather than one join on an OR.
+    Each kind of link is an equality on exploded ids, never an OR.
     """
-    declared_key = link_key(incidents, fv.INCIDENT_ALERT_KEYS)
-    named_key = link_key(alerts, fv.ALERT_INCIDENT_KEYS)
-    found: list[DataFrame] = []
+    parts: list[DataFrame] = []
+    if attachments is not None:
+        attached = attachments.where(F.col("attachtype") == "alertevent")
+        parts.append(attached.select("incid", F.col("attachsrcid").alias("alertid"), F.lit(0).alias("rank")))
+    declared_key, named_key = (link_key(df, keys) for df, keys in _linkage(incidents, alerts))
     if declared_key:
         declared = incidents.select("incid", F.explode(id_set(incidents, [declared_key])).alias("alertid"))
         known = alerts.select(F.col("alertid").cast("string").alias("alertid"))
-        found.append(
-            declared.join(known, "alertid", "left_semi").select(
-                "incid", "alertid", F.lit(0).alias("rank")
-            )
-        )
+        parts.append(declared.join(known, "alertid", "left_semi").select("incid", "alertid", F.lit(1).alias("rank")))
     if named_key:
-        named = alerts.select("alertid", F.explode(id_set(alerts, [named_key])).alias("incid"))
-        known = incidents.select(F.col("incid").cast("string").alias("incid"))
-        found.append(
-            named.join(known, "incid", "left_semi").select(
-                "incid", F.col("alertid").cast("string").alias("alertid"), F.lit(1).alias("rank")
-            )
+        named = alerts.select(
+            F.explode(id_set(alerts, [named_key])).alias("incid"), F.col("alertid").cast("string").alias("alertid")
         )
-    if not found:
-        empty = "incid string, alertid string, basis string"
-        return incidents.sparkSession.createDataFrame([], empty)
-    merged = found[0] if len(found) == 1 else found[0].unionByName(found[1])
-    basis = F.when(F.col("rank") == 0, f"incident.{declared_key}").otherwise(f"alert.{named_key}")
-    return merged.groupBy("incid", "alertid").agg(F.min("rank").alias("rank")).select("incid", "alertid", basis.alias("basis"))
+        parts.append(named.withColumn("rank", F.lit(2)))
+    if not parts:
+        return incidents.sparkSession.createDataFrame([], "incid string, alertid string, rank int")
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part)
+    strongest = merged.groupBy("incid", "alertid").agg(F.min("rank").alias("rank"))
+    return strongest.join(incidents.select(F.col("incid").cast("string").alias("incid")), "incid", "left_semi")
+
+
+def _linkage(incidents: DataFrame, alerts: DataFrame) -> tuple:
+    return (incidents, fv.INCIDENT_ALERT_KEYS), (alerts, fv.ALERT_INCIDENT_KEYS)
 
 
-def correlate(incidents: DataFrame, alerts: DataFrame, attachments: DataFrame) -> DataFrame:
+def correlate(incidents: DataFrame, alerts: DataFrame, attachments: DataFrame | None = None) -> DataFrame:
     """``(incid, alertid, basis)``: attachments decide, linkage keys only where an
     incident has none."""
-    attached = (
-        attachments.where(F.col("attachtype") == "alertevent")
-        .select("incid", F.col("attachsrcid").alias("alertid"))
-        .distinct()
-        .join(incidents.select("incid"), "incid", "left_semi")
+    pairs = candidate_pairs(incidents, alerts, attachments)
+    declared_key, named_key = (link_key(df, keys) for df, keys in _linkage(incidents, alerts))
+    strongest = pairs.groupBy("incid").agg(F.min("rank").alias("_best"))
+    # Without an attachment every linkage pair stays; with one, only attachments do.
+    chosen = pairs.join(strongest, "incid").where((F.col("rank") == 0) | (F.col("_best") > 0))
+    basis = (
+        F.when(F.col("rank") == 0, ATTACHED)
+        .when(F.col("rank") == 1, f"incident.{declared_key}")
+        .otherwise(f"alert.{named_key}")
     )
-    bare = incidents.join(attached.select("incid").distinct(), "incid", "left_anti")
-    return attached.withColumn("basis", F.lit(ATTACHED)).unionByName(linked_pairs(bare, alerts))
+    return chosen.select("incid", "alertid", basis.alias("basis"))
 
 
 def incident_records(incidents: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -248,10 +252,12 @@ def sweep(indicators: DataFrame, logs: Mapping[str, DataFrame]) -> DataFrame:
     Logs are counted per value of their pivot columns first; indicators then join
     with distinct values only.
     """
-    counted = value_counts(logs, fv.INDICATOR_FIELDS)
-    seen = counted.where(F.col("kind") != "Hash").unionByName(
-        _checksum_pieces(counted.where(F.col("kind") == "Hash"))
-    )
+    exact = {k: c for k, c in fv.INDICATOR_FIELDS.items() if k != "Hash"}
+    seen = value_counts(logs, exact)
+    hashed = {n: df for n, df in logs.items() if fv.INDICATOR_FIELDS["Hash"] in df.columns}
+    if hashed:
+        checksums = value_counts(hashed, {"Hash": fv.INDICATOR_FIELDS["Hash"]})
+        seen = seen.unionByName(_checksum_pieces(checksums))
     wanted = indicators.select("value", "type").distinct()
     matched = (F.col("type") == F.col("kind")) & (F.lower("value") == F.col("seen"))
     return wanted.join(seen, matched).select("value", "type", "logtype", "hits")

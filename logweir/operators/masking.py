@@ -20,6 +20,8 @@ COLUMN_TYPES: dict[str, str] = {
 }
 URL_COLUMNS = {"url": "url_full", "referralurl": "url_full", "link": "url_full", "http_url": "url_host"}
 PREFIXED_COLUMNS = ("groupby1", "groupby2")
+# The types whose values a pattern finds in text; the others are told by their words.
+PATTERNS = {"ip": fv.IPV4_PATTERN, "mac": fv.MAC_PATTERN, "email": fv.EMAIL_PATTERN}
 
 
 def column_types(df: DataFrame, mask_devices: bool = False, extra: Mapping[str, str] | None = None) -> dict[str, str]:
@@ -252,61 +254,79 @@ def dictionary(
 ) -> DataFrame:
     """``(type, raw, token)`` of every identifier ``mask_table`` replaces in a table.
 
-    The distinct values are the only thing shuffled.  This table is the secret:
-    write it to a place of its own.
+    Column values are made distinct first; taking lists apart, typing and hashing then
+    run once per distinct value.  This table is the secret: write it to a place of its
+    own.
     """
     types = dict(column_types(df, mask_devices) if types is None else types)
-    keep = None if mask_devices else kept_values(df)
-    found = []
+    keep, staged = None if mask_devices else kept_values(df), df
+    if keep is not None:
+        staged, keep = df.withColumn("_keep", keep), F.col("_keep")
+    values: list[Column] = []
+    found: list[Column] = []
     for name in df.columns:
         column = F.col(f"`{name}`").cast("string")
         if name in URL_COLUMNS:
-            found += _url_entries(column, URL_COLUMNS[name] == "url_full", tokens, keep)
+            values += _url_values(column, URL_COLUMNS[name] == "url_full", keep)
         elif types.get(name) == "text":
-            found += [
-                _entries(matches(column, fv.IPV4_PATTERN), "ip", tokens),
-                _entries(matches(column, fv.MAC_PATTERN), "mac", tokens),
-                _entries(matches(column, fv.EMAIL_PATTERN), "email", tokens),
-            ]
+            found += [F.transform(matches(column, p), _found_as(kind)) for kind, p in PATTERNS.items()]
         elif name in types:
-            found.append(_entries(F.split(column, ","), types[name], tokens, keep))
-    empty = F.array().cast("array<struct<type:string,raw:string>>")
-    listed = F.concat(*(F.coalesce(f, empty) for f in found))
-    pairs = df.select(F.inline(F.array_distinct(listed))).where(F.col("type").isNotNull()).distinct()
-    token = F.lit(None).cast("string")
+            listed = isinstance(df.schema[name].dataType, T.ArrayType)
+            column = F.array_join(F.col(f"`{name}`"), ",") if listed else column
+            values.append(_value(types[name], column, keep))
+    pairs = F.array(*values) if values else F.array().cast(_VALUES)
+    if found:
+        pairs = F.concat(pairs, *(F.coalesce(f, F.array().cast(_VALUES)) for f in found))
+    distinct = staged.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
+    element = F.explode(
+        F.when(F.col("kind") == "url", F.array("value")).otherwise(F.split("value", ","))
+    ).alias("value")
+    elements = distinct.select("kind", "keep", element).where(
+        ~F.trim("value").isin(fv.UNMASKED_VALUES)
+        & ~F.coalesce(F.array_contains("keep.exact", F.col("value")), F.lit(False))
+        & ~F.coalesce((F.col("kind") != "username") & F.array_contains("keep.folded", F.lower("value")), F.lit(False))
+    )
+    made, token = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for kind in sorted({*types.values(), *PATTERNS, "ip_or_host", "url"} - {"text"}):
+        made = F.when(F.col("kind") == kind, tokens.kind_of(kind, F.col("value"))).otherwise(made)
+    raw = F.when(made.isin("username", "url"), F.col("value")).otherwise(F.lower("value"))
+    words = elements.select(made.alias("type"), raw.alias("raw")).where(F.col("type").isNotNull()).distinct()
     for kind in PREFIXES:
         token = F.when(F.col("type") == kind, tokens.token(kind, F.col("raw"))).otherwise(token)
-    return tokens.attach(pairs).select("type", "raw", token.alias("token"))
+    return tokens.attach(words).select("type", "raw", token.alias("token"))
 
 
-def _entries(values: Column, kind: str, tokens: Tokenizer, keep: Column | None = None) -> Column:
-    def masked(value: Column) -> Column:
-        stays = F.trim(value).isin(fv.UNMASKED_VALUES)
-        return ~stays if keep is None else ~(stays | is_kept(kind, value, keep))
+_KEEP = "struct<exact:array<string>,folded:array<string>>"
+_VALUES = f"array<struct<kind:string,value:string,keep:{_KEEP}>>"
 
-    def entry(value: Column) -> Column:
-        made = tokens.kind_of(kind, value)
-        raw = F.when(made.isin("username", "url"), value).otherwise(F.lower(value))
-        return F.struct(made.alias("type"), raw.alias("raw"))
 
-    return F.transform(F.filter(values, masked), entry)
+def _value(kind: str, value: Column, keep: Column | None) -> Column:
+    """A candidate of one record.  Only a list carries its record's keep set along."""
+    if keep is None:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("value"), F.lit(None).cast(_KEEP).alias("keep"))
+    listed = value.contains(",") & F.lit(kind != "url")
+    return F.struct(
+        F.lit(kind).alias("kind"),
+        F.when(~is_kept(kind, value, keep), value).alias("value"),
+        F.when(listed, keep).alias("keep"),
+    )
+
+
+def _found_as(kind: str) -> Callable[[Column], Column]:
+    return lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("value"), F.lit(None).cast(_KEEP).alias("keep"))
 
 
-def _url_entries(url: Column, full: bool, tokens: Tokenizer, keep: Column | None) -> list[Column]:
+def _url_values(url: Column, full: bool, keep: Column | None) -> list[Column]:
     text = F.trim(url)
     parts = url_parts(text)
     clean = ~parts["authority"].contains("@")
     hosted = clean & (parts["authority"] != "")
     host = F.lower(F.regexp_replace(parts["authority"], r":\d*$", ""))
-    none = F.array().cast("array<string>")
-    entries = [_entries(F.when(hosted, F.array(host)).otherwise(none), "ip_or_host", tokens, keep)]
+    values = [_value("ip_or_host", F.when(hosted, host), keep)]
     if full:
-        sealed = F.when(hosted, parts["tail"]).when(clean, text)
-        given = (F.coalesce(sealed, F.lit("")) != "") & ~text.isin(fv.UNMASKED_VALUES)
-        entries.append(_entries(F.when(given, F.array(sealed)).otherwise(none), "url", tokens))
-    else:
-        entries.append(_entries(F.when(clean & ~hosted, matches(text, fv.IPV4_PATTERN)).otherwise(none), "ip", tokens))
-    return entries
+        sealed = F.when(hosted, parts["tail"]).when(clean & ~text.isin(fv.UNMASKED_VALUES), text)
+        values.append(_value("url", F.when(sealed != "", sealed), None))
+    return values
 
 
 def collisions(words: DataFrame) -> DataFrame:
@@ -376,8 +396,6 @@ def unmask_conditions(conditions: Sequence[Condition], words: DataFrame, vocab:
     ]
 
 
-# The types whose values a pattern finds in text; the others are told by their words.
-PATTERNS = {"ip": fv.IPV4_PATTERN, "mac": fv.MAC_PATTERN, "email": fv.EMAIL_PATTERN}
 _WORD = r"[^\s,;()\[\]{}<>\"'=|/.:!?](?:[^\s,;()\[\]{}<>\"'=|/]*[^\s,;()\[\]{}<>\"'=|/.:!?])?"
 
 

@@ -103,7 +103,7 @@ def choose_anchor(candidates: Sequence[tuple[str, datetime | None]], now: dateti
 
 
 def newest_log_time(df: DataFrame, column: str = "itime") -> DataFrame:
-    """One row: the newest event time.  Parquet footers answer most of it."""
+    """One row: the newest event time.  Only the time column is read."""
     return df.agg(F.max(column).alias("newest"))
 
 
