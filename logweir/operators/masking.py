@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from functools import partial
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -191,7 +190,7 @@ def mask_table(
         if name in flat:
             return tokens.mask(flat[name], column, keep)
         if name in types and listed:
-            return F.transform(column, partial(tokens.mask, types[name], keep=keep))
+            return F.transform(column, lambda v: tokens.mask(types[name], v, keep))
         return column
 
     # Inside a lambda Spark prefers a sibling alias over an input column of the same
@@ -350,7 +349,7 @@ def unmask_text(df: DataFrame, words: DataFrame, column: str, kid: str) -> DataF
     """
     either = "|".join(PREFIXES.values())
     pattern = rf"(?:/url|{either})-{kid}-[ghjkmnpqrstvwxyz]{{24}}"
-    values = df.select(F.col(column).alias("_value")).where(F.col(column).rlike(pattern)).distinct()
+    values = df.select(F.col(column).alias("_value")).where(F.col("_value").rlike(pattern)).distinct()
     found = values.select("_value", F.explode(F.array_distinct(matches(F.col("_value"), pattern))).alias("_found"))
     lookup = words.select(F.col("token").alias("_token"), "raw")
     known = found.join(lookup, F.regexp_replace("_found", "^/", "") == F.col("_token"))

@@ -25,7 +25,7 @@ def percentile_ranks(values: DataFrame, column: str, pieces: int = 256) -> DataF
     scored = values.where(F.col(column).isNotNull())
     counted = scored.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     shares = [i / pieces for i in range(1, pieces)]
-    cuts = sorted(set(counted.approxQuantile(column, shares, 1.0 / (2 * pieces))))
+    cuts = sorted(set(counted.approxQuantile(column, shares, 1.0 / (2 * pieces)))) if shares else []
     piece = F.lit(0)
     if cuts:
         marks = F.array(*(F.lit(float(c)) for c in cuts))

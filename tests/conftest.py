@@ -14,8 +14,8 @@ TESTDATA = Path("/root/testdata")
 def spark():
     session = build_session(
         "tests",
-        master="local[4]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g"},
+        master="local[8]",
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "4g", "spark.sql.maxMetadataStringLength": "2000"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

@@ -94,7 +94,7 @@ def test_warnings_only_for_exact_ops(rows):
     assert len(warned) == 1 and quiet == ()
 
 
-@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(needle=st.text("aHtP/%_.0", max_size=4))
 def test_contains_and_its_complement_make_the_whole(rows, needle):
     assert len(matched(rows, "service", "contains", needle)) + len(matched(rows, "service", "not_contains", needle)) == 5
