@@ -79,54 +79,52 @@ def attached_alerts(attachments: DataFrame, snapshot: T.StructType | str) -> Dat
     )
 
 
-def candidate_pairs(incidents: DataFrame, alerts: DataFrame, attachments: DataFrame | None = None) -> DataFrame:
-    """``(incid, alertid, rank)``: every link between an incident and an alert, by its
-    strongest basis.  0 is an attachment, 1 an id the incident declares, 2 an incident
-    the alert names.
+def linked_pairs(incidents: DataFrame, alerts: DataFrame) -> DataFrame:
+    """``(incid, alertid, basis)`` by linkage keys: ids the incident declares, or
+    incidents the alert names.  One basis per pair, declared ids first.
 
     Each kind of link is an equality on exploded ids, never an OR.
     """
+    declared_key = link_key(incidents, fv.INCIDENT_ALERT_KEYS)
+    named_key = link_key(alerts, fv.ALERT_INCIDENT_KEYS)
     parts: list[DataFrame] = []
-    if attachments is not None:
-        attached = attachments.where(F.col("attachtype") == "alertevent")
-        parts.append(attached.select("incid", F.col("attachsrcid").alias("alertid"), F.lit(0).alias("rank")))
-    declared_key, named_key = (link_key(df, keys) for df, keys in _linkage(incidents, alerts))
     if declared_key:
         declared = incidents.select("incid", F.explode(id_set(incidents, [declared_key])).alias("alertid"))
         known = alerts.select(F.col("alertid").cast("string").alias("alertid"))
-        parts.append(declared.join(known, "alertid", "left_semi").select("incid", "alertid", F.lit(1).alias("rank")))
+        parts.append(declared.join(known, "alertid", "left_semi").select("incid", "alertid", F.lit(0).alias("rank")))
     if named_key:
         named = alerts.select(
             F.explode(id_set(alerts, [named_key])).alias("incid"), F.col("alertid").cast("string").alias("alertid")
         )
-        parts.append(named.withColumn("rank", F.lit(2)))
+        known = incidents.select(F.col("incid").cast("string").alias("incid"))
+        parts.append(named.join(known, "incid", "left_semi").select("incid", "alertid", F.lit(1).alias("rank")))
     if not parts:
-        return incidents.sparkSession.createDataFrame([], "incid string, alertid string, rank int")
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
+        return incidents.sparkSession.createDataFrame([], "incid string, alertid string, basis string")
+    merged = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    basis = F.when(F.col("rank") == 0, f"incident.{declared_key}").otherwise(f"alert.{named_key}")
     strongest = merged.groupBy("incid", "alertid").agg(F.min("rank").alias("rank"))
-    return strongest.join(incidents.select(F.col("incid").cast("string").alias("incid")), "incid", "left_semi")
-
-
-def _linkage(incidents: DataFrame, alerts: DataFrame) -> tuple:
-    return (incidents, fv.INCIDENT_ALERT_KEYS), (alerts, fv.ALERT_INCIDENT_KEYS)
+    return strongest.select("incid", "alertid", basis.alias("basis"))
 
 
 def correlate(incidents: DataFrame, alerts: DataFrame, attachments: DataFrame | None = None) -> DataFrame:
     """``(incid, alertid, basis)``: attachments decide, linkage keys only where an
-    incident has none."""
-    pairs = candidate_pairs(incidents, alerts, attachments)
-    declared_key, named_key = (link_key(df, keys) for df, keys in _linkage(incidents, alerts))
-    strongest = pairs.groupBy("incid").agg(F.min("rank").alias("_best"))
-    # Without an attachment every linkage pair stays; with one, only attachments do.
-    chosen = pairs.join(strongest, "incid").where((F.col("rank") == 0) | (F.col("_best") > 0))
-    basis = (
-        F.when(F.col("rank") == 0, ATTACHED)
-        .when(F.col("rank") == 1, f"incident.{declared_key}")
-        .otherwise(f"alert.{named_key}")
+    incident has none.
+
+    Attached pairs never meet a join on the incident, so an incident with a third of
+    all attachments is no hot key; only linkage pairs are held against the incidents
+    that have attachments.
+    """
+    if attachments is None:
+        return linked_pairs(incidents, alerts)
+    attached = (
+        attachments.where(F.col("attachtype") == "alertevent")
+        .select("incid", F.col("attachsrcid").alias("alertid"))
+        .distinct()
+        .join(incidents.select("incid"), "incid", "left_semi")
     )
-    return chosen.select("incid", "alertid", basis.alias("basis"))
+    settled = attached.select("incid").distinct()
+    linked = linked_pairs(incidents, alerts).join(settled, "incid", "left_anti")
+    return attached.withColumn("basis", F.lit(ATTACHED)).unionByName(linked)
 
 
 def incident_records(incidents: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -50,16 +50,12 @@ def read_logs(
 def write_logs(df: DataFrame, path: str, time_column: str = "itime", mode: str = "append") -> None:
     """Write logs by ``logtype`` and ``date``.
 
-    Rows are spread by log type, day and a few random shares, so that a day holding
-    a third of all rows is still written by many tasks.
+    Rows of a day are brought together for large files; adaptive execution splits a
+    day that holds a third of all rows over many tasks and merges small ones.
     """
     dated = df.withColumn("date", F.to_date(F.col(time_column)))
-    (
-        dated.repartition("logtype", "date", (F.rand(7) * 32).cast("int"))
-        .write.mode(mode)
-        .partitionBy("logtype", "date")
-        .parquet(path)
-    )
+    together = dated.hint("rebalance", F.col("logtype"), F.col("date"))
+    together.write.mode(mode).partitionBy("logtype", "date").parquet(path)
 
 
 def union_logs(tables: Mapping[str, DataFrame], columns: Sequence[str] | None = None) -> DataFrame:
