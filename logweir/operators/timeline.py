@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logweir.functions.coercion import event_order, first_truthy
 
@@ -34,18 +35,40 @@ def events(
     The time is the first of ``times`` that says anything; without one a row cannot
     be placed and is left out.
     """
-    ref = F.coalesce(first_truthy(*_present(df, reference)) if _present(df, reference) else F.lit(None), F.lit("?"))
-    told = first_truthy(*_present(df, text)) if _present(df, text) else F.lit(None).cast("string")
-    described = F.concat(F.lit(f"{source} "), ref, F.lit(": "), F.coalesce(told, F.lit(fallback)))
+    ref = F.coalesce(_first(df, reference), F.lit("?"))
+    described = F.concat(F.lit(f"{source} "), ref, F.lit(": "), F.coalesce(_first(df, text), F.lit(fallback)))
+    moment, keys = _when(df, times)
     return df.select(
         F.col(case).cast("string").alias("case_id"),
-        first_truthy(*_present(df, times)).alias("timestamp"),
+        moment.alias("timestamp"),
         F.lit(source).alias("source"),
         ref.alias("reference"),
         described.alias("description"),
+        *keys,
     ).where(F.col("timestamp").isNotNull())
 
 
+def _first(df: DataFrame, names: Sequence[str]) -> Column:
+    present = _present(df, names)
+    return first_truthy(*present) if present else F.lit(None).cast("string")
+
+
+def _when(df: DataFrame, names: Sequence[str]) -> tuple[Column, list[Column]]:
+    """The event's time as text, and its sort keys.
+
+    Stored timestamps give their epoch as they are; only other spellings are parsed.
+    """
+    present = _present(df, names)
+    kinds = {type(df.schema[n].dataType) for n in names if n in df.columns}
+    if not kinds or kinds - {T.TimestampType, T.TimestampNTZType}:
+        moment = _first(df, names)
+        return moment, event_order(moment)
+    moment = F.coalesce(*present)
+    epoch = F.unix_timestamp(moment.cast("timestamp")).cast("double")
+    keys = (F.lit(0), F.coalesce(epoch, F.lit(0.0)), F.lit(""))
+    return moment.cast("string"), [k.alias(n) for k, n in zip(keys, ORDER, strict=True)]
+
+
 def incident_events(df: DataFrame, case: str = "incid", chain: bool = False) -> DataFrame:
     times = ["timestamp", "createtime", "alerttime" if chain else "lastupdate"]
     return events(df, case, "incident", ["incid"], times, ["name", "description"], "created")
@@ -64,11 +87,11 @@ def log_events(df: DataFrame, case: str) -> DataFrame:
 
 
 def unite(*streams: DataFrame) -> DataFrame:
-    """Event streams as one, with their sort keys."""
+    """Event streams as one."""
     merged = streams[0]
     for stream in streams[1:]:
         merged = merged.unionByName(stream, allowMissingColumns=True)
-    return merged.select("*", *event_order(F.col("timestamp")))
+    return merged
 
 
 def ordered(stream: DataFrame) -> DataFrame:
