@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 from logweir.functions.text import let, matches, quoted, replace_each
 from logweir.functions.tokens import PREFIXES, Tokenizer, is_kept, kept, url_parts
 from logweir.plans import fixed_values as fv
-from logweir.plans.conditions import Condition
+from logweir.plans.conditions import Condition, any_of
 from logweir.plans.vocabulary import Vocabulary
 
 COLUMN_TYPES: dict[str, str] = {
@@ -19,37 +20,94 @@ COLUMN_TYPES: dict[str, str] = {
 }
 URL_COLUMNS = {"url": "url_full", "referralurl": "url_full", "link": "url_full", "http_url": "url_host"}
 PREFIXED_COLUMNS = ("groupby1", "groupby2")
+JSON_COLUMNS = ("grpby",)
 # The types whose values a pattern finds in text; the others are told by their words.
 PATTERNS = {"ip": fv.IPV4_PATTERN, "mac": fv.MAC_PATTERN, "email": fv.EMAIL_PATTERN}
 
 
-def column_types(df: DataFrame, mask_devices: bool = False, extra: Mapping[str, str] | None = None) -> dict[str, str]:
-    """The columns of this table that carry identifiers, and of which type.
+@dataclass(frozen=True)
+class Leaf:
+    """A text field anywhere in a record: its name, and its text or texts."""
 
-    A column may name its own type in its metadata under ``pii``.
-    """
+    name: str
+    column: Column
+    listed: bool
+
+    def texts(self) -> Column:
+        """All texts of the field, an empty array where there is none."""
+        texts = self.column if self.listed else F.array(self.column)
+        return F.coalesce(F.array_compact(texts), F.array().cast("array<string>"))
+
+
+def leaves(df: DataFrame) -> list[Leaf]:
+    """The text fields of a table, also inside structs and lists of structs."""
+    found: list[Leaf] = []
+    for f in df.schema.fields:
+        found += _leaves(f.name, F.col(f"`{f.name}`"), f.dataType)
+    return found
+
+
+def _leaves(name: str, column: Column, dtype: T.DataType) -> list[Leaf]:
+    if isinstance(dtype, T.StringType):
+        return [Leaf(name, column, False)]
+    if isinstance(dtype, T.StructType):
+        return [leaf for f in dtype.fields for leaf in _leaves(f.name, column[f.name], f.dataType)]
+    return _listed(name, column, dtype.elementType) if isinstance(dtype, T.ArrayType) else []
+
+
+def _listed(name: str, column: Column, inner: T.DataType) -> list[Leaf]:
+    if isinstance(inner, T.StringType):
+        return [Leaf(name, column, True)]
+    if isinstance(inner, T.ArrayType):
+        return _listed(name, F.flatten(column), inner.elementType)
+    if isinstance(inner, T.StructType):
+        return [
+            leaf
+            for f in inner.fields
+            for leaf in _listed(f.name, _picked(column, f.name), f.dataType)
+        ]
+    return []
+
+
+def _picked(column: Column, name: str) -> Column:
+    return F.transform(column, lambda item: item[name])
+
+
+def type_table(df: DataFrame, mask_devices: bool = False, extra: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Field name -> semantic type.  A column may name its own type in its metadata
+    under ``pii``."""
     known = dict(COLUMN_TYPES)
     if mask_devices:
         known |= {c: "hostname" for c in fv.DEVICE_COLUMNS}
-    known |= {f.name: f.metadata["pii"] for f in df.schema.fields if "pii" in f.metadata}
-    known |= dict(extra or {})
-    return {c: known[c.lower()] for c in df.columns if c.lower() in known}
+        if _is_device(df.columns):
+            known["name"] = "hostname"
+    known |= {f.name.lower(): f.metadata["pii"] for f in df.schema.fields if "pii" in f.metadata}
+    return known | dict(extra or {})
+
+
+def column_types(df: DataFrame, mask_devices: bool = False, extra: Mapping[str, str] | None = None) -> dict[str, str]:
+    """The fields of this table that carry identifiers, and of which type."""
+    known = type_table(df, mask_devices, extra)
+    return {leaf.name: known[leaf.name.lower()] for leaf in leaves(df) if leaf.name.lower() in known}
+
+
+def _is_device(columns: Sequence[str]) -> bool:
+    return "name" in columns and any(c.lower() in fv.DEVICE_SHAPE_COLUMNS for c in columns)
 
 
 def kept_values(df: DataFrame) -> Column | None:
     """The device names and serials a record shows, which stay readable everywhere
-    in it; None where the table has no such column."""
+    in it; None where the table has no such field."""
     parts = []
-    for f in df.schema.fields:
-        column = F.col(f"`{f.name}`")
-        if f.name.lower() == "devvds":
-            devices = F.transform(F.split(column, ","), lambda p: F.trim(F.regexp_replace(p, r"\[[^\[\]]*\]$", "")))
-            parts.append(F.coalesce(devices, F.array().cast("array<string>")))
-        elif f.name.lower() in fv.DEVICE_COLUMNS:
-            listed = isinstance(f.dataType, T.ArrayType)
-            values = column.cast("array<string>") if listed else F.split(column.cast("string"), ",")
-            trimmed = F.transform(values, lambda p: F.trim(p))
-            parts.append(F.coalesce(trimmed, F.array().cast("array<string>")))
+    names = [*fv.DEVICE_COLUMNS, *(["name"] if _is_device(df.columns) else [])]
+    for leaf in leaves(df):
+        if leaf.name.lower() == "devvds":
+            cut = F.flatten(F.transform(leaf.texts(), lambda v: F.split(v, ",")))
+            parts.append(F.transform(cut, lambda p: F.trim(F.regexp_replace(p, r"\[[^\[\]]*\]$", ""))))
+        elif leaf.name.lower() in names:
+            # A list is already split; one text may hold several names.
+            cut = leaf.texts() if leaf.listed else F.split(F.coalesce(leaf.column, F.lit("")), ",")
+            parts.append(F.transform(cut, lambda p: F.trim(p)))
     return kept(F.filter(F.concat(*parts), lambda v: v != "")) if parts else None
 
 
@@ -154,58 +212,119 @@ def mask_table(
     extra: Mapping[str, str] | None = None,
     substitute: bool = True,
 ) -> DataFrame:
-    """Every identifier column masked, and prose rewritten with the same tokens.
+    """Every identifier masked, at any depth, and prose rewritten with the same tokens.
 
-    One projection.  With ``substitute``, values masked in a record's own columns
-    are replaced where its text mentions them.
+    One projection.  With ``substitute``, values masked in a record's own fields are
+    replaced where its text mentions them.
     """
-    types = column_types(df, mask_devices, extra)
-    flat = {c: t for c, t in types.items() if isinstance(df.schema[c].dataType, T.StringType)}
-    sources = {c: t for c, t in flat.items() if t != "text"}
-    prose = [c for c, t in flat.items() if t == "text"]
+    known = type_table(df, mask_devices, extra)
     staged = tokens.attach(df)
     keep = None if mask_devices else kept_values(df)
     if keep is not None:
         staged, keep = staged.withColumn("_keep", keep), F.col("_keep")
-    known = substitute and bool(sources) and bool(prose)
-    if known:
-        staged = staged.withColumn("_pairs", _record_pairs(tokens, sources, keep))
-
-    def masked(name: str) -> Column:
-        column = F.col(f"`{name}`")
-        if name in URL_COLUMNS:
-            return getattr(tokens, URL_COLUMNS[name])(column, keep)
-        if name in PREFIXED_COLUMNS:
-            return prefixed(tokens, column, keep)
-        if name == "devvds" and mask_devices:
-            return device_domains(tokens, column)
-        listed = isinstance(df.schema[name].dataType, T.ArrayType)
-        if name == "target" and listed:
-            return targets(tokens, column, keep)
-        if name in prose:
-            scrubbed = tokens.scrub(column)
-            if not known:
-                return scrubbed
-            return let(scrubbed, lambda t: substitute_known(tokens, t, F.col("_pairs"), keep))
-        if name in flat:
-            return tokens.mask(flat[name], column, keep)
-        if name in types and listed:
-            return F.transform(column, lambda v: tokens.mask(types[name], v, keep))
-        return column
-
+    sources = [x for x in leaves(df) if known.get(x.name.lower(), "text") != "text"]
+    prose = any(known.get(x.name.lower()) == "text" for x in leaves(df))
+    pairs = None
+    if substitute and sources and prose:
+        staged = staged.withColumn("_pairs", _record_pairs(tokens, sources, known, keep))
+        pairs = F.col("_pairs")
+    record = _Masker(tokens, known, keep, pairs, mask_devices)
+    columns = {f.name: F.col(f"`{f.name}`") for f in df.schema.fields}
+    masked = record.fields(columns, {f.name: f.dataType for f in df.schema.fields})
     # Inside a lambda Spark prefers a sibling alias over an input column of the same
     # name, so the masked columns get their names only afterwards.
-    out = staged.select(*(masked(c).alias(f"_masked_{i}") for i, c in enumerate(df.columns)))
+    out = staged.select(*(masked[c].alias(f"_masked_{i}") for i, c in enumerate(df.columns)))
     return out.toDF(*df.columns)
 
 
-def _record_pairs(tokens: Tokenizer, sources: Mapping[str, str], keep: Column | None) -> Column:
-    """``array<struct<raw, token>>`` of the values a record masks in its columns."""
+@dataclass(frozen=True)
+class _Masker:
+    """How the fields of one record are masked."""
+
+    tokens: Tokenizer
+    types: Mapping[str, str]
+    keep: Column | None
+    pairs: Column | None
+    mask_devices: bool
+
+    def fields(self, columns: Mapping[str, Column], kinds: Mapping[str, T.DataType]) -> dict[str, Column]:
+        """The fields of one struct; those that a sibling types come first."""
+        paired = self._paired(columns)
+        return {
+            name: paired[name] if name in paired else self.value(name, columns[name], kinds[name]) for name in columns
+        }
+
+    def _paired(self, columns: Mapping[str, Column]) -> dict[str, Column]:
+        k, out = self.tokens, {}
+        if {"threat", "obf_url"} <= set(columns):
+            out["threat"], out["obf_url"] = threat_pair(k, columns["threat"], columns["obf_url"])
+        if {"value", "type"} <= set(columns):
+            out["value"] = indicator_value(k, columns["value"], columns["type"], self.keep)
+        if {"value", "dimension"} <= set(columns):
+            out["value"] = bucket_values(k, columns["dimension"], columns["value"], self.types)
+        if "incident_reporter" in columns:
+            # An id on automatic incidents; a user only where a sibling says so.
+            said, siblings = columns["incident_reporter"], [columns[n] for n in ("reporter", "lastuser") if n in columns]
+            user = any_of(F.coalesce(said == s, F.lit(False)) for s in siblings)
+            out["incident_reporter"] = F.when(user, k.mask("username", said, self.keep)).otherwise(said)
+        return out
+
+    def value(self, name: str, column: Column, dtype: T.DataType) -> Column:
+        folded = name.lower()
+        if isinstance(dtype, T.StringType):
+            return self._text(folded, column)
+        if isinstance(dtype, T.StructType):
+            inner = self.fields({f.name: column[f.name] for f in dtype.fields}, {f.name: f.dataType for f in dtype.fields})
+            return F.when(column.isNotNull(), F.struct(*(c.alias(n) for n, c in inner.items())))
+        if isinstance(dtype, T.ArrayType):
+            inner = dtype.elementType
+            if folded == "target" and isinstance(inner, T.StructType):
+                return targets(self.tokens, column, self.keep)
+            if folded == "filter_applied" and isinstance(inner, T.ArrayType):
+                return F.transform(column, self._condition)
+            if isinstance(inner, (T.StringType, T.StructType, T.ArrayType)):
+                return F.transform(column, lambda item: self.value(name, item, inner))
+        return column
+
+    def _text(self, name: str, column: Column) -> Column:
+        k, kind = self.tokens, self.types.get(name)
+        if name in URL_COLUMNS:
+            return getattr(k, URL_COLUMNS[name])(column, self.keep)
+        if name in PREFIXED_COLUMNS:
+            return prefixed(k, column, self.keep)
+        if name in JSON_COLUMNS:
+            return json_fields(k, column, list(self.types), self.types)
+        if name == "devvds" and self.mask_devices:
+            return device_domains(k, column)
+        if kind == "text":
+            return self._prose(column)
+        return column if kind is None else k.mask(kind, column, self.keep)
+
+    def _prose(self, column: Column) -> Column:
+        scrubbed = self.tokens.scrub(column)
+        if self.pairs is None:
+            return scrubbed
+        return let(scrubbed, lambda t: substitute_known(self.tokens, t, self.pairs, self.keep))
+
+    def _condition(self, entry: Column) -> Column:
+        """An echoed ``[field, op, value]``: the value by its field's type, else as text."""
+        said = F.get(entry, F.lit(2))
+        shown = self._prose(said)
+        for kind in sorted(set(self.types.values()) - {"text"}):
+            names = [n for n, t in self.types.items() if t == kind]
+            typed = F.lower(F.get(entry, F.lit(0))).isin(names)
+            shown = F.when(typed, self.tokens.mask(kind, said, self.keep)).otherwise(shown)
+        whole = F.concat(F.slice(entry, 1, 2), F.array(shown))
+        return F.when(F.size(entry) == 3, whole).otherwise(F.transform(entry, self._prose))
+
+
+def _record_pairs(tokens: Tokenizer, sources: Sequence[Leaf], types: Mapping[str, str], keep: Column | None) -> Column:
+    """``array<struct<raw, token>>`` of the values a record masks in its fields."""
     pairs = []
-    for name, kind in sources.items():
-        parts = F.split(F.coalesce(F.col(f"`{name}`"), F.lit("")), ",")
-        pairs.append(F.transform(parts, _pair_of(tokens, kind, keep)))
-    return F.filter(F.concat(*pairs), lambda p: p["raw"] != p["token"])
+    for leaf in sources:
+        parts = F.flatten(F.transform(leaf.texts(), lambda v: F.split(v, ",")))
+        pairs.append(F.transform(parts, _pair_of(tokens, types[leaf.name.lower()], keep)))
+    return F.array_distinct(F.filter(F.concat(*pairs), lambda p: p["raw"] != p["token"]))
 
 
 def _pair_of(tokens: Tokenizer, kind: str, keep: Column | None) -> Callable[[Column], Column]:
@@ -263,16 +382,17 @@ def dictionary(
         staged, keep = df.withColumn("_keep", keep), F.col("_keep")
     values: list[Column] = []
     found: list[Column] = []
-    for name in df.columns:
-        column = F.col(f"`{name}`").cast("string")
-        if name in URL_COLUMNS:
-            values += _url_values(column, URL_COLUMNS[name] == "url_full", keep)
-        elif types.get(name) == "text":
-            found += [F.transform(matches(column, p), _found_as(kind)) for kind, p in PATTERNS.items()]
-        elif name in types:
-            listed = isinstance(df.schema[name].dataType, T.ArrayType)
-            column = F.array_join(F.col(f"`{name}`"), ",") if listed else column
-            values.append(_value(types[name], column, keep))
+    for leaf in leaves(df):
+        kind = types.get(leaf.name)
+        if leaf.name in URL_COLUMNS and not leaf.listed:
+            values += _url_values(leaf.column, URL_COLUMNS[leaf.name] == "url_full", keep)
+        elif kind == "text":
+            texts = leaf.texts()
+            found += [F.flatten(F.transform(texts, _matched(p, k))) for k, p in PATTERNS.items()]
+        elif kind is not None and leaf.listed:
+            found.append(F.transform(leaf.column, _value_of(kind, keep)))
+        elif kind is not None:
+            values.append(_value(kind, leaf.column, keep))
     pairs = F.array(*values) if values else F.array().cast(_VALUES)
     if found:
         pairs = F.concat(pairs, *(F.coalesce(f, F.array().cast(_VALUES)) for f in found))
@@ -311,6 +431,14 @@ def _value(kind: str, value: Column, keep: Column | None) -> Column:
     )
 
 
+def _value_of(kind: str, keep: Column | None) -> Callable[[Column], Column]:
+    return lambda v: _value(kind, v, keep)
+
+
+def _matched(pattern: str, kind: str) -> Callable[[Column], Column]:
+    return lambda text: F.transform(matches(text, pattern), _found_as(kind))
+
+
 def _found_as(kind: str) -> Callable[[Column], Column]:
     return lambda m: F.struct(F.lit(kind).alias("kind"), m.alias("value"), F.lit(None).cast(_KEEP).alias("keep"))
 
@@ -405,17 +533,20 @@ def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> Data
     equality with the dictionary.  Texts are taken apart word by word only where the
     table has columns of names, which no pattern finds.  An empty result is a pass.
     """
-    strings = [f.name for f in masked.schema.fields if isinstance(f.dataType, T.StringType) and f.name not in skip]
+    shown = [leaf for leaf in leaves(masked) if leaf.name not in skip]
     types = column_types(masked)
-    named = bool(set(types.values()) - {"text", *PATTERNS}) or any(c in URL_COLUMNS for c in masked.columns)
+    named = bool(set(types.values()) - {"text", *PATTERNS}) or any(x.name in URL_COLUMNS for x in shown)
     empty = F.array().cast("array<struct<column:string,seen:string>>")
     listed = []
-    for name in strings:
-        text = F.lower(F.col(f"`{name}`"))
-        parts = [F.array(text), *(matches(text, p) for p in PATTERNS.values())]
-        if named:
-            parts.append(matches(text, _WORD))
-        listed.append(F.coalesce(F.transform(F.concat(*parts), _seen_in(name)), empty))
+    patterns = [*PATTERNS.values(), *([_WORD] if named else [])]
+
+    def seen_in_text(text: Column) -> Column:
+        return F.concat(F.array(text), *(matches(text, p) for p in patterns))
+
+    for leaf in shown:
+        folded = F.transform(leaf.texts(), lambda v: F.lower(v))
+        pieces = F.flatten(F.transform(folded, lambda v: seen_in_text(v)))
+        listed.append(F.coalesce(F.transform(pieces, _seen_in(leaf.name)), empty))
     seen = masked.select(F.inline(F.concat(*listed))).distinct()
     raws = words.select("type", "raw", F.lower("raw").alias("seen"))
     return seen.join(raws, "seen").select("column", "type", "raw").distinct()

@@ -296,6 +296,10 @@ MASKED_COLUMNS = {
 DEVICE_COLUMNS = (
     "devname devid sn serialno csf sndetected snclosest detectkey devs dev_name"
 ).split()
+# A record with one of these beside ``name`` is a device, and ``name`` is its name.
+DEVICE_SHAPE_COLUMNS = (
+    "sn serialno os_ver os_type platform_str conn_status dev_status ha_mode mr patch"
+).split()
 TARGET_TYPES = {
     "ip": "ip",
     "domain": "domain",

@@ -254,3 +254,49 @@ def test_sensitive_columns_at_any_depth(spark):
     assert (row["api_key"], row["adm_passwd"], row["note"]) == (fv.REDACTED,) * 3
     assert tuple(row["deep"]["a"][0]) == (fv.REDACTED, "o")
     assert row["deep"]["m"] == {"Session-Id": fv.REDACTED, "fine": "v"}
+
+
+def test_nested_records(spark, k):
+    schema = (
+        "reporter string, incident_reporter string, grpby string, groupby1 string, "
+        "event_details struct<src_ip:string,host_name:string,devname:string,msg:string>, "
+        "user array<struct<euid:int,euname:string>>, filter_applied array<array<string>>"
+    )
+    row = (
+        "ann1", "ann1", '{"dstendpoint":"10.0.0.1","x":"y"}', "srcip:10.0.0.1", ("10.0.0.1", "web1", "fw-1", "ann1 at web1 on fw-1"),
+        [(1, "bobby"), (2, None)], [["srcip", "==", "10.0.0.1"], ["hostname", "==", "fw-1"], ["level", "==", "see 10.0.0.1"]],
+    )
+    df = spark.createDataFrame([row], schema)
+    got = masking.mask_table(df, k).first()
+    ann, bob, web = token("user", "username", "ann1"), token("user", "username", "bobby"), token("host", "hostname", "web1")
+    assert (got["reporter"], got["incident_reporter"]) == (ann, ann)
+    assert got["grpby"] == f'{{"dstendpoint":"{IP1}","x":"y"}}' and got["groupby1"] == f"srcip:{IP1}"
+    assert tuple(got["event_details"]) == (IP1, web, "fw-1", f"{ann} at {web} on fw-1")
+    assert [tuple(u) for u in got["user"]] == [(1, bob), (2, None)]
+    assert got["filter_applied"] == [["srcip", "==", IP1], ["hostname", "==", "fw-1"], ["level", "==", f"see {IP1}"]]
+    words = masking.dictionary(df, k)
+    assert {(r["type"], r["raw"]) for r in words.collect()} >= {("ip", "10.0.0.1"), ("hostname", "web1"), ("username", "bobby"), ("username", "ann1")}
+    leaky = masking.mask_table(df, k).withColumn("event_details", F.struct(F.lit("web1").alias("host_name")))
+    assert values(masking.leaks(leaky, words), "column", "raw") == [("host_name", "web1")]
+
+
+def test_an_alert_id_is_no_reporter(spark, k):
+    got = one(spark, k, "reporter string, incident_reporter string", ("ann1", "alert-7"))
+    assert got["incident_reporter"] == "alert-7"
+
+
+def test_device_records(spark, k):
+    schema, row = "name string, sn string, hostname string", ("edge-1", "FG1", "edge-1")
+    assert tuple(one(spark, k, schema, row)) == row
+    hidden = one(spark, k, schema, row, mask_devices=True)
+    assert hidden["name"] == hidden["hostname"] == token("host", "hostname", "edge-1")
+    plain = one(spark, k, "name string, hostname string", ("edge-1", "edge-1"))
+    assert tuple(plain) == ("edge-1", token("host", "hostname", "edge-1"))
+
+
+def test_pairs_inside_a_table(spark, k):
+    got = one(spark, k, "value string, type string, threat string, obf_url string", ("x.org", "domain", "x.org", "x[dot]org"))
+    dom = token("dom", "domain", "x.org")
+    assert tuple(got) == (dom, "domain", dom, dom)
+    bucket = one(spark, k, "dimension string, value string, hits long", ("srcip", "10.0.0.1", 3))
+    assert tuple(bucket) == ("srcip", IP1, 3)
