@@ -13,6 +13,7 @@ from logweir.functions.text import let, matches, quoted, replace_each
 from logweir.functions.tokens import PREFIXES, Tokenizer, is_kept, kept, url_parts
 from logweir.plans import fixed_values as fv
 from logweir.plans.conditions import Condition, any_of
+from logweir.plans.errors import PlanError
 from logweir.plans.vocabulary import Vocabulary
 
 COLUMN_TYPES: dict[str, str] = {
@@ -534,20 +535,32 @@ def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> Data
     table has columns of names, which no pattern finds.  An empty result is a pass.
     """
     shown = [leaf for leaf in leaves(masked) if leaf.name not in skip]
+    if not shown:
+        raise PlanError("the table has no text to check")
     types = column_types(masked)
     named = bool(set(types.values()) - {"text", *PATTERNS}) or any(x.name in URL_COLUMNS for x in shown)
-    empty = F.array().cast("array<struct<column:string,seen:string>>")
-    listed = []
     patterns = [*PATTERNS.values(), *([_WORD] if named else [])]
 
-    def seen_in_text(text: Column) -> Column:
+    def taken_apart(text: Column) -> Column:
         return F.concat(F.array(text), *(matches(text, p) for p in patterns))
 
-    for leaf in shown:
-        folded = F.transform(leaf.texts(), lambda v: F.lower(v))
-        pieces = F.flatten(F.transform(folded, lambda v: seen_in_text(v)))
-        listed.append(F.coalesce(F.transform(pieces, _seen_in(leaf.name)), empty))
-    seen = masked.select(F.inline(F.concat(*listed))).distinct()
+    # Short columns are made distinct before they are taken apart; texts are not worth
+    # shuffling whole, so only their pieces are.
+    short = [x for x in shown if not x.listed and types.get(x.name, "text") != "text"]
+    parts: list[DataFrame] = []
+    if short:
+        pairs = F.array(*(F.struct(F.lit(x.name).alias("column"), F.lower(x.column).alias("whole")) for x in short))
+        distinct = masked.select(F.inline(pairs)).where(F.col("whole").isNotNull()).distinct()
+        parts.append(distinct.select("column", F.explode(taken_apart(F.col("whole"))).alias("seen")))
+    long = [x for x in shown if x not in short]
+    if long:
+        empty = F.array().cast("array<struct<column:string,seen:string>>")
+        listed = []
+        for leaf in long:
+            pieces = F.flatten(F.transform(leaf.texts(), lambda v: taken_apart(F.lower(v))))
+            listed.append(F.coalesce(F.transform(pieces, _seen_in(leaf.name)), empty))
+        parts.append(masked.select(F.inline(F.concat(*listed))))
+    seen = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).distinct()
     raws = words.select("type", "raw", F.lower("raw").alias("seen"))
     return seen.join(raws, "seen").select("column", "type", "raw").distinct()
 
