@@ -69,10 +69,26 @@ def _(t):
     return E.entities(t.endpoint, "endpoint", ids=[3, 5, 8, 13, 21], fields=["epid", "epname", "epip"]).df
 
 
-@query("a3_field_catalogue")
+@query(
+    "a3_field_catalogue",
+    "SELECT unnest([{'name': 'appcat', 'type': 'string', 'filled_rows': count(appcat)}, {'name': 'app', 'type': 'string', 'filled_rows': count(app)}], "
+    "recursive := true), cast(2 AS BIGINT) AS field_count, cast(20 AS BIGINT) AS total_field_count FROM traffic",
+    "traffic",
+)
+def _(t):
+    return S.field_catalogue(t.traffic, "APP", filled=True)
+
+
+@query(
+    "a3_nested_fields",
+    "WITH n AS (SELECT count(*) FILTER (euid IS NOT NULL OR euname <> '') AS filled_rows FROM endpoint) "
+    "SELECT name, type, filled_rows, cast(4 AS BIGINT) AS field_count, cast(11 AS BIGINT) AS total_field_count FROM n, (VALUES "
+    "('user', 'array<struct<euid:bigint,euname:string,lastseen:string>>'), ('user.euid', 'bigint'), ('user.euname', 'string'), "
+    "('user.lastseen', 'string')) f(name, type)",
+    "endpoint",
+)
 def _(t):
-    nested = nested_endpoints(t.endpoint)
-    return S.field_catalogue(t.traffic, "src").unionByName(S.field_catalogue(nested, "user"))
+    return S.field_catalogue(nested_endpoints(t.endpoint), "user", filled=True)
 
 
 @query(

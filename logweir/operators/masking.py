@@ -163,10 +163,9 @@ def json_fields(tokens: Tokenizer, text: Column, fields: Sequence[str], types: M
 
     def one(key: Column, value: Column) -> Column:
         masked = tokens.scrub(value)
-        for name in fields:
-            kind = types.get(name)
-            if kind:
-                masked = F.when(F.lower(key) == name, tokens.mask(kind, value)).otherwise(masked)
+        for kind in sorted({types[n] for n in fields if n in types} - {"text"}):
+            names = [n for n in fields if types.get(n) == kind]
+            masked = F.when(F.lower(key).isin(names), tokens.mask(kind, value)).otherwise(masked)
         return masked
 
     return F.when(parsed.isNotNull(), F.to_json(F.transform_values(parsed, one))).otherwise(tokens.scrub(text))

@@ -96,11 +96,31 @@ def _flat(fields: Sequence[T.StructField], prefix: str = "") -> list[tuple[str,
     return out
 
 
-def field_catalogue(df: DataFrame, name_filter: str | None = None) -> DataFrame:
-    """The fields of a table, nested ones dotted, with counts before and after the filter."""
+def field_catalogue(df: DataFrame, name_filter: str | None = None, filled: bool = False) -> DataFrame:
+    """The fields of a table, nested ones dotted, with counts before and after the filter.
+
+    A key that logs lack is a NULL column here, so ``filled`` adds in how many rows a
+    field's column has a value.
+    """
     names = _flat(df.schema.fields)
     needle = (name_filter or "").lower()
     kept = [(n, t) for n, t in names if needle in n.lower()]
     rows = [(n, t, len(kept), len(names)) for n, t in kept]
     schema = "name string, type string, field_count long, total_field_count long"
-    return df.sparkSession.createDataFrame(rows, schema)
+    if not filled or not rows:
+        return df.sparkSession.createDataFrame(rows, schema)
+    roots = sorted({n.split(".")[0] for n, _ in kept})
+    counted = df.agg(*(F.count(F.col(f"`{r}`")).alias(f"_{i}") for i, r in enumerate(roots)))
+    told = [
+        F.struct(
+            F.lit(name).alias("name"),
+            F.lit(kind).alias("type"),
+            F.lit(shown).cast("bigint").alias("field_count"),
+            F.lit(total).cast("bigint").alias("total_field_count"),
+            F.col(f"_{roots.index(name.split('.')[0])}").alias("filled_rows"),
+        )
+        for name, kind, shown, total in rows
+    ]
+    return counted.select(F.inline(F.array(*told)))
+
+
