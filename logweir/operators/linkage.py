@@ -227,18 +227,23 @@ def value_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, str]) ->
     return merged.groupBy("logtype", "kind", "seen").agg(F.count(F.lit(1)).alias("hits"))
 
 
-def _checksum_pieces(counted: DataFrame) -> DataFrame:
-    """Every substring of a digest's usual lengths, so that a hash found anywhere
-    inside a checksum joins by equality."""
-    lengths = F.array(*(F.lit(n) for n in (32, 40, 56, 64, 96, 128)))
+def _checksum_pieces(counted: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Every substring of the lengths that wanted hashes have, so that a hash found
+    anywhere inside a checksum joins by equality.
+
+    The lengths are a handful of numbers, read from the indicators by a subquery.
+    """
+    sizes = wanted.where(F.col("type") == "Hash").agg(F.collect_set(F.length("value")).alias("n"))
+    sized = counted.withColumn("_sizes", sizes.scalar())
     pieces = F.transform(
-        F.filter(lengths, lambda n: n <= F.length("seen")),
+        F.filter("_sizes", lambda n: (n > 0) & (n <= F.length("seen"))),
         lambda n: F.transform(
             F.sequence(F.lit(1), F.length("seen") - n + 1), lambda i: F.substring(F.col("seen"), i, n)
         ),
     )
     return (
-        counted.select("logtype", "kind", "hits", F.explode(F.array_distinct(F.flatten(pieces))).alias("seen"))
+        sized.select("logtype", "kind", "hits", F.array_distinct(F.flatten(pieces)).alias("_pieces"))
+        .select("logtype", "kind", "hits", F.explode("_pieces").alias("seen"))
         .groupBy("logtype", "kind", "seen")
         .agg(F.sum("hits").alias("hits"))
     )
@@ -251,12 +256,12 @@ def sweep(indicators: DataFrame, logs: Mapping[str, DataFrame]) -> DataFrame:
     with distinct values only.
     """
     exact = {k: c for k, c in fv.INDICATOR_FIELDS.items() if k != "Hash"}
+    wanted = indicators.select("value", "type").distinct()
     seen = value_counts(logs, exact)
     hashed = {n: df for n, df in logs.items() if fv.INDICATOR_FIELDS["Hash"] in df.columns}
     if hashed:
         checksums = value_counts(hashed, {"Hash": fv.INDICATOR_FIELDS["Hash"]})
-        seen = seen.unionByName(_checksum_pieces(checksums))
-    wanted = indicators.select("value", "type").distinct()
+        seen = seen.unionByName(_checksum_pieces(checksums, wanted))
     matched = (F.col("type") == F.col("kind")) & (F.lower("value") == F.col("seen"))
     return wanted.join(seen, matched).select("value", "type", "logtype", "hits")
 

@@ -107,14 +107,16 @@ def test_users_match_endpoints_by_id_or_name(spark):
 
 def test_sweep_finds_hashes_inside_checksums(spark):
     digest = "d41d8cd98f00b204e9800998ecf8427e"
-    indicators = spark.createDataFrame([("10.0.0.1", "IP"), ("WEB", "Domain"), (digest.upper(), "Hash"), ("x", "asn")], "value string, type string")
+    indicators = spark.createDataFrame([("10.0.0.1", "IP"), ("WEB", "Domain"), (digest.upper(), "Hash"), ("ort", "Hash"), ("x", "asn")], "value string, type string")
     logs = {
         "attack": spark.createDataFrame([("10.0.0.1", "web", f"md5:{digest}:7"), ("10.0.0.1", None, digest), (None, "other", "short")], "srcip string, hostname string, checksum string"),
         "traffic": spark.createDataFrame([("10.0.0.1",)], "srcip string"),
     }
     found = linkage.sweep(indicators, logs)
-    assert values(found, "type", "logtype", "hits") == [("Domain", "attack", 1), ("Hash", "attack", 2), ("IP", "attack", 2), ("IP", "traffic", 1)]
-    assert values(linkage.sweep_totals(found), "type", "total_matches") == [("Domain", 1), ("Hash", 2), ("IP", 3)]
+    assert values(found, "type", "logtype", "hits") == [
+        ("Domain", "attack", 1), ("Hash", "attack", 1), ("Hash", "attack", 2), ("IP", "attack", 2), ("IP", "traffic", 1)
+    ]
+    assert values(linkage.sweep_totals(found), "type", "total_matches") == [("Domain", 1), ("Hash", 1), ("Hash", 2), ("IP", 3)]
 
 
 def test_enrichment_prefers_the_very_value(spark):
