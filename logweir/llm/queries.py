@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import simhash
+from logweir.llm import decontam, simhash
 from logweir.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,3 +24,34 @@ def op10_simhash_pigeonring(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its fingerprint and the smallest doc_id of its near-duplicate component."""
     found = simhash.groups(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its words in benchmark windows and the items it shares them with."""
+    found = decontam.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        decontam.contaminated().alias("contaminated"),
+    )
+
+
+WORDS = r"""regexp_extract_all(translate(coalesce({}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+ORACLES["op6_decontamination"] = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {WORDS.format('text')} AS w FROM documents),
+i AS (SELECT item_id, w, least(len(w), 13) AS m FROM (SELECT item_id, {WORDS.format('text')} AS w FROM benchmark) WHERE len(w) > 0),
+spans AS (SELECT DISTINCT item_id, m, array_to_string(w[s:s + m - 1], ' ') AS span FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS s FROM i)),
+places AS (SELECT r, m, s, array_to_string(w[s:s + m - 1], ' ') AS span
+           FROM (SELECT r, m, w, unnest(range(1, len(w) - m + 2)) AS s FROM d, (SELECT DISTINCT m FROM spans) WHERE len(w) >= m)),
+found AS (SELECT r, p.m, s, item_id FROM places p JOIN spans USING (m, span)),
+hit AS (SELECT r, count(DISTINCT x) AS n_hit FROM (SELECT r, unnest(range(s, s + m)) AS x FROM (SELECT DISTINCT r, s, m FROM found)) GROUP BY r),
+items AS (SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS list FROM (SELECT DISTINCT r, item_id::varchar AS item FROM found WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, coalesce(n_items, 0)::bigint AS n_items,
+       sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+"""
