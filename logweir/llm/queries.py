@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import decontam, simhash
+from logweir.llm import bpe, decontam, simhash
 from logweir.llm.common import table
 
+VOCABULARY = "byte_bpe_50k.tiktoken"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -55,3 +57,17 @@ SELECT doc_id, len(w)::bigint AS n_words, coalesce(n_hit, 0)::bigint AS n_hit, c
        sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
+
+
+@query
+def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of tokens, and digests of its ids and of the bytes they decode to."""
+    import public_tokenizers
+
+    coded = bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
+    return coded.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
