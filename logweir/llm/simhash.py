@@ -45,16 +45,21 @@ def _box(i: int) -> int:
     return ((1 << WIDTHS[i % BOXES]) - 1) << _STARTS[i % BOXES]
 
 
-def _key_masks() -> list[tuple[int, int]]:
-    """(first segment, mask) of each key: the segment, and the next one without one of its bits."""
-    return [
-        (i, _box(i) | (_box(i + 1) & ~(1 << bit)))
-        for i in range(BOXES)
-        for bit in range(_STARTS[(i + 1) % BOXES], _STARTS[(i + 1) % BOXES] + WIDTHS[(i + 1) % BOXES])
-    ]
+def _keys() -> list[tuple[int, int]]:
+    """(mask, mark) of each key: a segment and the next one without one of its bits; the mark tells keys apart.
+
+    The mark stands in bits that the mask leaves free.  Should two keys still agree, their buckets merge, which adds
+    candidates and loses none.
+    """
+    found = []
+    for i in range(BOXES):
+        following = (i + 1) % BOXES
+        for bit in range(_STARTS[following], _STARTS[following] + WIDTHS[following]):
+            found.append((_box(i) | (_box(i + 1) & ~(1 << bit)), len(found) << _STARTS[(i + 2) % BOXES]))
+    return found
 
 
-KEYS = _key_masks()
+KEYS = _keys()
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -89,8 +94,8 @@ def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text")
 
 def _keyed(fps: DataFrame) -> DataFrame:
     """A row for each fingerprint and key."""
-    masked = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(mask))) for _, mask in KEYS])
-    return fps.select("fp", "copies", F.posexplode(masked).alias("j", "key"))
+    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(mask))).bitwiseOR(F.lit(_signed(mark))) for mask, mark in KEYS])
+    return fps.select("fp", F.explode(keys).alias("key"))
 
 
 def _distance(a: Column | str, b: Column | str, mask: int = (1 << 64) - 1) -> Column:
@@ -98,21 +103,26 @@ def _distance(a: Column | str, b: Column | str, mask: int = (1 << 64) - 1) -> Co
     return F.bit_count(a.bitwiseXOR(b).bitwiseAND(F.lit(_signed(mask))))
 
 
-def _near(a: str, b: str, j: str = "j") -> Column:
-    """The chain that starts at key j's segment keeps its budgets, and so does the whole ring.
+def _near(a: str, b: str) -> Column:
+    """Some chain keeps its budgets at every length, and so does the whole ring.
 
     The budget of the whole ring is the Hamming limit; it is checked last.
     """
-    chain = F.lit(False)
+    some = F.lit(False)
     for i in range(BOXES):
-        keys = [k for k, (first, _) in enumerate(KEYS) if first == i]
-        kept = F.col(j).between(keys[0], keys[-1])
-        mask = 0
+        kept, mask = F.lit(True), 0
         for length in range(1, BOXES):
             mask |= _box(i + length - 1)
             kept = kept & (_distance(a, b, mask) <= length * LIMIT // BOXES)
-        chain = chain | kept
-    return chain & (_distance(a, b) <= LIMIT)
+        some = some | kept
+    return some & (_distance(a, b) <= LIMIT)
+
+
+def _tied(members: DataFrame, hubs: DataFrame) -> DataFrame:
+    """The links between each bucket's members and its hub, the member with most copies among ``hubs``."""
+    hub = hubs.groupBy("key").agg(F.max_by("fp", "copies").alias("hub"))
+    near = (_distance("fp", "hub") <= LIMIT) & (F.col("fp") != F.col("hub"))
+    return members.join(hub, "key").where(near).select(F.col("fp").alias("a"), F.col("hub").alias("b"))
 
 
 def links(fps: DataFrame) -> DataFrame:
@@ -121,53 +131,42 @@ def links(fps: DataFrame) -> DataFrame:
     ``copies`` only steers which member becomes a hub; the result does not depend on it.
     """
     keyed = _keyed(fps)
-    buckets = written(
-        keyed.groupBy("j", "key")
-        .agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b"), F.max_by("fp", "copies").alias("hub"))
-        .where("n > 1")
-    )
+    buckets = written(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
     edges = buckets.where((F.col("n") == 2) & _near("a", "b")).select("a", "b")
-    large = buckets.where("n > 2").select("j", "key", "hub")
-    members = written(keyed.join(large, ["j", "key"]))
-    tied = members.where((_distance("fp", "hub") <= LIMIT) & (F.col("fp") != F.col("hub")))
-    found = components(edges.unionByName(tied.select(F.col("fp").alias("a"), F.col("hub").alias("b"))))
+    # Both sides grow with the input, so the join is a merge join at every size.
+    large = keyed.join(buckets.where("n > 2").select("key").hint("merge"), "key")
+    members = written(large.join(fps.select("fp", "copies"), "fp"))
+    found = components(edges.unionByName(_tied(members, members)))
 
     left = None
     while True:
-        placed = members.join(found, members["fp"] == found["node"], "left").select(
-            "j", "key", "fp", "copies", F.coalesce("root", "fp").alias("comp")
-        )
-        opened = written(placed)
-        mixed = opened.groupBy("j", "key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-        opened = written(opened.join(mixed.select("j", "key"), ["j", "key"]))
+        placed = members.join(found, members["fp"] == found["node"], "left")
+        opened = written(placed.select("key", "fp", "copies", F.coalesce("root", "fp").alias("comp")))
+        mixed = opened.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
+        opened = written(opened.join(mixed.select("key"), "key"))
         main = (
-            opened.groupBy("j", "key", "comp")
+            opened.groupBy("key", "comp")
             .agg(F.count("*").alias("of"))
-            .groupBy("j", "key")
+            .groupBy("key")
             .agg(F.max_by("comp", "of").alias("main"), F.sum("of").alias("n"))
         )
-        opened = written(opened.join(main, ["j", "key"]))
+        opened = written(opened.join(main, "key"))
         minor = opened.where("comp <> main")
         rows, pairs = opened.agg(F.count("*"), F.sum(F.when(F.col("comp") != F.col("main"), F.col("n")))).first()
         if not rows:
             return found
         again = pairs > PAIRS_PER_ROW * rows and (left is None or pairs < 0.7 * left)
-        if not again:
-            other = opened.select("j", "key", F.col("fp").alias("b"), F.col("comp").alias("other"))
+        if again:
+            new = _tied(opened, minor)
+        else:
+            other = opened.select("key", F.col("fp").alias("b"), F.col("comp").alias("other"))
             new = (
-                minor.select("j", "key", F.col("fp").alias("a"), "comp")
-                .join(other, ["j", "key"])
+                minor.select("key", F.col("fp").alias("a"), "comp")
+                .join(other, "key")
                 .where((F.col("comp") != F.col("other")) & _near("a", "b"))
                 .select("a", "b")
                 .distinct()
             )
-        else:
-            hubs = minor.groupBy("j", "key").agg(F.max_by("fp", "copies").alias("hub"))
-            new = (
-                opened.join(hubs, ["j", "key"])
-                .where((_distance("fp", "hub") <= LIMIT) & (F.col("fp") != F.col("hub")))
-                .select(F.col("fp").alias("a"), F.col("hub").alias("b"))
-            )
         found = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)))
         if not again:
             return found
