@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import bpe, decontam, simhash
-from logweir.llm.common import table
+from logweir.llm import bpe, decontam, langid, simhash
+from logweir.llm.common import held_out, table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
@@ -71,3 +71,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's language by cross-parsing entropy."""
+    found = langid.identify(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score")
