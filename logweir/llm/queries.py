@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import bpe, decontam, langid, simhash
+from logweir.llm import bpe, decontam, langid, mil, simhash
 from logweir.llm.common import held_out, table
 
+#: From this score on a document counts as toxic.
+TOXIC = 0.7
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +80,18 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language by cross-parsing entropy."""
     found = langid.identify(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op8_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity from its sentences, by weights learned from document labels."""
+    documents = table(spark, sf_dir, "documents")
+    model = mil.train(documents, table(spark, sf_dir, "labels"))
+    found = mil.score(documents, model)
+    return found.select(
+        F.col("id").alias("doc_id"),
+        held_out("id").alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"),
+        F.size("sentences").cast("long").alias("n_sentences"),
+    )
