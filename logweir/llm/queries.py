@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import bpe, decontam, langid, mil, simhash
+from logweir.llm import bpe, decontam, langid, mil, simhash, templates
 from logweir.llm.common import held_out, table
 
 #: From this score on a document counts as toxic.
@@ -95,3 +95,26 @@ def op8_toxicity_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= TOXIC).cast("int").alias("predicted"),
         F.size("sentences").cast("long").alias("n_sentences"),
     )
+
+
+@query
+def op9_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's license phrases, and the labels of the templates that it holds."""
+    found = templates.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("matches", lambda m: m["base"])
+
+    def labels(matches: Column) -> Column:
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(matches, lambda m: m["label"]))), ",")
+
+    covered = F.size(F.array_distinct(F.flatten(F.transform("matches", lambda m: F.sequence(m["start"], m["end"] - 1)))))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda m: m["start"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda m: m["start"])).alias("last_word"),
+        labels(base).alias("base_labels"),
+        labels(F.col("matches")).alias("labels"),
+        # The share of the words that stand in some match.
+        F.when(F.col("n_words") > 0, covered / F.col("n_words")).otherwise(0.0).alias("score"),
+    )
