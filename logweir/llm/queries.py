@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import bpe, decontam, langid, mil, simhash, templates
+from logweir.llm import bpe, decontam, langid, mil, simhash, skipchain, templates
 from logweir.llm.common import held_out, table
 
 #: From this score on a document counts as toxic.
@@ -118,3 +118,21 @@ def op9_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
         # The share of the words that stand in some match.
         F.when(F.col("n_words") > 0, covered / F.col("n_words")).otherwise(0.0).alias("score"),
     )
+
+
+@query
+def op4_pii_skipchain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's personal data: base spans counted and digested, and all spans listed."""
+    documents = table(spark, sf_dir, "documents")
+    found = skipchain.find(documents, skipchain.train(documents))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        F.col("id").alias("doc_id"), *[count(k) for k in skipchain.KINDS], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
+    )
