@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import bpe, decontam, langid, mil, simhash, skipchain, templates
+from logweir.llm import bitslice, bpe, decontam, langid, mil, simhash, skipchain, templates
 from logweir.llm.common import held_out, table
 
 #: From this score on a document counts as toxic.
@@ -136,3 +136,20 @@ def op4_pii_skipchain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), *[count(k) for k in skipchain.KINDS], F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans")
     )
+
+
+@query
+def op1_bitsliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every twentieth embedding by integer inner product."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return bitslice.search(vectors, vectors.where(F.col("vec_id") % 20 == 0), 20)
+
+
+ORACLES["op1_bitsliced_topk"] = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) AS e FROM embeddings
+           WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::double[], c.e::double[])::bigint AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+SELECT query_id, rank::integer AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+"""
