@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import bitslice, bpe, decontam, langid, mil, simhash, skipchain, templates
+from logweir.llm import bitslice, bpe, decontam, langid, lmscore, mil, revisit, simhash, skipchain, templates
 from logweir.llm.common import held_out, table
 
 #: From this score on a document counts as toxic.
@@ -153,3 +153,55 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::double[], c
 SELECT query_id, rank::integer AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
+
+
+@query
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's cross-entropy difference between documents of good quality and all documents."""
+    good = table(spark, sf_dir, "labels").where("quality = 1")
+    return lmscore.score(table(spark, sf_dir, "documents"), good).withColumnRenamed("id", "doc_id")
+
+
+def captures(pages: DataFrame) -> DataFrame:
+    """``pages`` seen as captures of the section each page was reached from, in order of page_id.
+
+    Every third is a not-modified revisit.  A section's validators follow from its name; now and then they change or
+    are missing.
+    """
+    section = F.regexp_extract("url", r"^(https?://[^/]+/[a-z]+)", 1)
+    stamp = F.md5(F.concat(F.regexp_extract("url", r"/([a-z]+)/", 1), (F.floor(F.col("page_id") / 500) % 2).cast("string")))
+    return pages.select(
+        F.col("page_id").alias("id"),
+        section.alias("url"),
+        F.col("page_id").alias("time"),
+        F.when(F.col("page_id") % 3 == 2, 304).otherwise(200).alias("status"),
+        F.when(F.col("page_id") % 4 != 0, F.substring(stamp, 1, 8)).alias("etag"),
+        F.when(F.col("page_id") % 5 != 0, F.substring(stamp, 9, 8)).alias("last_modified"),
+        F.create_map(F.lit("Content-Length"), F.length("html").cast("string"), F.lit("Date"), F.col("page_id").cast("string"), F.lit("ETag"), F.coalesce(F.substring(stamp, 1, 8), F.lit(""))).alias("headers"),
+        F.col("html").alias("body"),
+    )
+
+
+@query
+def op3_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every not-modified capture with the response it stands for, the merged headers and a digest of the body."""
+    found = revisit.resolve(captures(table(spark, sf_dir, "pages")))
+    entries = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit("="), e["value"])))
+    return found.select("id", "canonical", "time", "source_id", "outcome", F.array_join(entries, ";").alias("headers"), F.sha2("body", 256).alias("body_sha256"))
+
+
+ORACLES["op3_revisit_resolution"] = """
+WITH c AS (SELECT page_id AS id, regexp_extract(url, '^(https?://[^/]+/[a-z]+)', 1) AS url, page_id % 3 = 2 AS revisit, html,
+                  md5(regexp_extract(url, '/([a-z]+)/', 1) || (floor(page_id / 500)::bigint % 2)::varchar) AS stamp FROM pages),
+r AS (SELECT *, regexp_replace(lower(regexp_extract(url, '://([^/]*)', 1)), '^www[0-9]*[.]', '') || regexp_extract(url, '://[^/]*(.*)$', 1) AS canonical,
+             CASE WHEN id % 4 <> 0 THEN substr(stamp, 1, 8) END AS etag, CASE WHEN id % 5 <> 0 THEN substr(stamp, 9, 8) END AS modified FROM c),
+m AS (SELECT v.id, v.canonical, v.etag, v.modified, v.stamp, max(f.id) AS source FROM r v LEFT JOIN r f ON v.canonical = f.canonical AND NOT f.revisit AND f.id < v.id
+      WHERE v.revisit GROUP BY ALL),
+o AS (SELECT m.id, m.canonical, m.stamp, f.id AS source_id, f.html,
+             CASE WHEN f.id IS NULL THEN 'unmatched' WHEN coalesce(m.etag = f.etag, true) AND coalesce(m.modified = f.modified, true) THEN 'resolved' ELSE 'mismatch' END AS outcome
+      FROM m LEFT JOIN r f ON f.id = m.source)
+SELECT id, canonical, id AS time, source_id, outcome,
+       CASE WHEN outcome = 'resolved' THEN 'content-length=' || length(html) || ';date=' || id || ';etag=' || substr(stamp, 1, 8) END AS headers,
+       CASE WHEN outcome = 'resolved' THEN sha256(html) END AS body_sha256
+FROM o
+"""
