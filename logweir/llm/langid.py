@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from logweir.llm.common import held_out
 
@@ -23,6 +24,7 @@ from logweir.llm.common import held_out
 SAMPLE_ROWS = 40
 SAMPLE_SYMBOLS = 16_000
 PIECE = 2_048
+UNKNOWN = "und"
 #: Symbols parsed at a time, which bounds memory.
 CHUNK = 2_000_000
 
@@ -183,31 +185,49 @@ def samples(documents: DataFrame, key: str, text: str, label: str) -> dict[str,
     return {k: v for k, v in found.items() if v}
 
 
-def identify(documents: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang", learn_from: DataFrame | None = None) -> DataFrame:
-    """(id, lang_pred, score) of every row of ``documents``.
+def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> Parser:
+    """The automata of the bounded samples of ``documents``; without usable rows there are none."""
+    return Parser(samples(documents, key, text, label))
 
-    The models come from ``learn_from`` (else the documents themselves), see ``samples``; the label, like any other
-    column, is no input of a prediction.  ``lang_pred`` is `und` and the score 0 if the text is null or has no
-    letter, or if there is nothing to learn from.  The score is 1 less the ratio of the least entropy to the next
-    (1 with a single language).  Equal entropies go to the smaller label.  Repeated rows are kept.
+
+def _decided(models: Parser, texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
+    """The language and the score of each text."""
+    names = np.array([*models.languages, UNKNOWN], object)
+    bits = models.entropies(texts)
+    known = ~np.isnan(bits).any(axis=1) & bool(models.languages)
+    best, score = np.full(len(bits), len(models.languages)), np.zeros(len(bits))
+    if known.any():
+        ranked = np.sort(bits[known], axis=1)
+        best[known] = bits[known].argmin(axis=1)
+        score[known] = 1 - ranked[:, 0] / ranked[:, 1] if ranked.shape[1] > 1 else 1.0
+    return pa.array(names[best], pa.string()), pa.array(score)
+
+
+def identify(documents: DataFrame, models: Parser, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(id, lang_pred, score) of every row of ``documents``; only the text is an input.
+
+    ``lang_pred`` is UNKNOWN and the score 0 if the text is null or has no letter, or if no model was learned.  The
+    score is 1 less the ratio of the least entropy to the next (1 with a single language).  Equal entropies go to the
+    smaller label.  Repeated rows are kept; other columns are not read.
     """
-    spark = documents.sparkSession
-    parser = Parser(samples(documents if learn_from is None else learn_from, key, text, label))
-    shared = spark.sparkContext.broadcast(parser)
+    shared = documents.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        models = shared.value
-        names = np.array([*models.languages, "und"], object)
         for batch in batches:
-            bits = models.entropies(batch.column(1).to_pylist())
-            known = ~np.isnan(bits).any(axis=1) & bool(models.languages)
-            best = np.full(len(bits), len(models.languages))
-            score = np.zeros(len(bits))
-            if known.any():
-                ranked = np.sort(bits[known], axis=1)
-                best[known] = bits[known].argmin(axis=1)
-                score[known] = 1 - ranked[:, 0] / ranked[:, 1] if ranked.shape[1] > 1 else 1.0
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[best], pa.string()), pa.array(score)], ["id", "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_decided(shared.value, batch.column(1).to_pylist())], ["id", "lang_pred", "score"])
 
     chosen = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     return chosen.mapInArrow(run, f"id {chosen.schema['id'].dataType.simpleString()}, lang_pred string, score double")
+
+
+def accepted(documents: DataFrame, models: Parser, text: str = "text", label: str = "lang") -> DataFrame:
+    """The rows whose language is known, with all columns; a null ``label`` is filled with the language found."""
+    shared = documents.sparkSession.sparkContext.broadcast(models)
+
+    @F.arrow_udf(StringType())
+    def language(texts: pa.Array) -> pa.Array:
+        return _decided(shared.value, texts.to_pylist())[0]
+
+    names = documents.columns
+    found = documents.withColumn("_language", language(F.col(text).cast("string"))).where(F.col("_language") != UNKNOWN)
+    return found.withColumn(label, F.coalesce(F.col(label), F.col("_language"))).select(*names)

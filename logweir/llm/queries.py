@@ -78,7 +78,8 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language by cross-parsing entropy."""
-    found = langid.identify(table(spark, sf_dir, "documents"))
+    documents = table(spark, sf_dir, "documents")
+    found = langid.identify(documents, langid.learn(documents))
     return found.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "lang_pred", "score")
 
 
