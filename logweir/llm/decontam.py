@@ -45,9 +45,10 @@ def _minima(grams: Column, run: int) -> Column:
 
 
 def _kept(frame: DataFrame, short: list[int]) -> DataFrame:
-    """``frame`` (with words) with grams (array), and kept: the kept hashes of the long spans and of each short length."""
-    frame = frame.withColumn("hashes", _hashes(F.col("words")))
-    kept = [_minima(_grams(F.col("hashes"), GRAM), WINDOW - GRAM + 1)]
+    """``frame`` (with words) and kept: the kept hashes of the long spans and of each short length."""
+    # Each array is a column of its own: inside the next one's lambda it would be made anew for every element.
+    frame = frame.withColumn("hashes", _hashes(F.col("words"))).withColumn("grams", _grams(F.col("hashes"), GRAM))
+    kept = [_minima(F.col("grams"), WINDOW - GRAM + 1)]
     kept += [F.array_distinct(_grams(F.col("hashes"), length)) for length in short]
     return frame.withColumn("kept", F.array_distinct(F.flatten(F.array(*kept))) if short else kept[0])
 
