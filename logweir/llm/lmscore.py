@@ -88,7 +88,8 @@ def score(documents: DataFrame, marked: DataFrame, key: str = "doc_id", text: st
     chosen = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
     names = marked.select(F.col(key).alias("id")).where("id is not null").distinct().withColumn("marked", F.lit(True))
     known = vocabulary(chosen)
-    target, background = counts(chosen.join(names, "id", "left"), known, "text", "marked")
+    # Marked documents grow with all documents, so they meet in a merge join at every size.
+    target, background = counts(chosen.join(names.hint("merge"), "id", "left"), known, "text", "marked")
     tables = spark.sparkContext.broadcast((known, losses(target).ravel(), losses(background).ravel()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
