@@ -28,14 +28,15 @@ def shared_folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(frame: DataFrame) -> DataFrame:
+def written(frame: DataFrame, compression: str = "snappy") -> DataFrame:
     """The rows as a Parquet table in the shared folder: cuts the lineage and survives lost executors.
 
-    A written table also has a known size, so Spark itself decides from it whether to broadcast.
+    A written table also has a known size, so Spark itself decides from it whether to broadcast.  Tables of hashes
+    don't compress; written plain they need no codec, whose direct buffers add to an executor's memory.
     """
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
+    frame.write.option("compression", compression).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 

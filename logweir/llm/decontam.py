@@ -101,10 +101,11 @@ def matches(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     base = written(
         _kept(docs.select("id", row.alias("row"), words_of(F.col("text")).alias("words")), short).select(
             "id", "row", F.size("words").alias("n_words"), "kept"
-        )
+        ),
+        "none",
     )
     items = benchmark.select(words_of(F.col(item_text)).alias("words")).where(F.size("words") > 0)
-    wanted = written(_kept(items, short).select(F.explode("kept").alias("hash")).distinct())
+    wanted = written(_kept(items, short).select(F.explode("kept").alias("hash")).distinct(), "none")
     common = written(base.select("row", F.explode("kept").alias("hash")).distinct().join(wanted, "hash").groupBy("row").agg(F.collect_set("hash").alias("common")))
 
     again = docs.withColumn("row", row).join(common, "row")
