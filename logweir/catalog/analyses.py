@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from logweir.catalog.links import _ENRICHED, _PAIR_VIEWS, _PAIRS, _SWEEP, _SWEPT, _swept
 from logweir.catalog.registry import Tables, query
-from logweir.catalog.scores import _RISK, _risk
+from logweir.catalog.scores import _RISK
 from logweir.catalog.views import nested_endpoints, nested_vulnerabilities
 from logweir.operators import bundles, linkage
 from logweir.plans.conditions import Condition
@@ -23,6 +23,21 @@ def _sections(**queries: str) -> str:
     return " UNION ALL ".join(f"SELECT '{n}' AS section, cast(({sql}) AS BIGINT) AS rows" for n, sql in queries.items())
 
 
+def _items(bundle: bundles.Bundle, **columns: str) -> DataFrame:
+    """The rows of several sections as text, one column of them: what each section's twin lists."""
+    merged = None
+    for name, wanted in columns.items():
+        section = bundle[name.replace("__", ".")]
+        part = section.select(F.lit(name).alias("section"), F.concat_ws("|", *(F.col(c).cast("string") for c in wanted.split())).alias("item"))
+        merged = part if merged is None else merged.unionByName(part)
+    return merged
+
+
+def _listed(**queries: str) -> str:
+    """``name="columns FROM ..."`` as the twin of ``_items``."""
+    return " UNION ALL ".join(f"SELECT '{n}' AS section, concat_ws('|', {sql.split(' FROM ', 1)[0]}) AS item FROM {sql.split(' FROM ', 1)[1]}" for n, sql in queries.items())
+
+
 def _count(source: str, where: str = "true") -> str:
     return f"SELECT count(*) FROM {source} WHERE {where}"
 
@@ -33,11 +48,15 @@ def _critical(t: Tables) -> DataFrame:
 
 @query(
     "n1_incidents",
-    f"{_PAIRS} " + _sections(incidents=_count("incident"), correlated_alerts=_count("pairs", "alertid IN (SELECT alertid FROM alert)")),
+    f"{_PAIRS} " + _listed(
+        incidents="incid, status, n, basis FROM (SELECT i.incid, i.status, count(p.alertid) AS n, max(p.basis) AS basis FROM incident i LEFT JOIN pairs p USING (incid) GROUP BY 1, 2)",
+        correlated_alerts="incid, alertid, basis, severity FROM pairs JOIN alert USING (alertid)",
+    ),
     *_PAIR_VIEWS,
 )
 def _(t):
-    return bundles.incidents(t.incident, t.alert, t.attachment).counts()
+    found = bundles.incidents(t.incident, t.alert, t.attachment)
+    return _items(found, incidents="incid status alert_count correlation_basis", correlated_alerts="incid alertid basis severity")
 
 
 @query(
@@ -52,12 +71,12 @@ def _(t):
 
 @query(
     "n3_log_search",
-    _sections(logs="SELECT 100", total=_count("(SELECT count(*) FROM traffic WHERE service = 'DNS')")),
+    _listed(logs="sessionid, logid, service, srcip FROM traffic WHERE service = 'DNS'", total="count(*) FROM traffic WHERE service = 'DNS'"),
     "traffic",
 )
 def _(t):
     found = bundles.log_search(t.traffic, vocabulary("traffic"), [Condition("service", "eq", "dns")])
-    return found.counts()
+    return _items(found, logs="sessionid logid service srcip", total="total")
 
 
 @query(
@@ -77,83 +96,103 @@ def _(t):
 
 @query(
     "n5_identity_lookup",
-    _sections(users="SELECT least(count(*), 20) FROM enduser WHERE contains(euname, 'user1')", matched_total="SELECT 1"),
+    _listed(users="euid, euname, importance FROM enduser WHERE contains(euname, 'user1')", matched_total="count(*) FROM enduser WHERE contains(euname, 'user1')"),
     "enduser",
 )
 def _(t):
-    return bundles.identity_lookup(t.enduser, "User1", limit=20).counts()
+    return _items(bundles.identity_lookup(t.enduser, "User1"), users="euid euname importance", matched_total="matched_total")
 
 
 @query(
     "n6_alert_rules",
     "SELECT CASE WHEN is_basic THEN 'basic' ELSE 'correlation' END AS handler_class, count(*) AS handler_count, cast(sum(rules) AS BIGINT) AS rule_count "
-    "FROM (SELECT * FROM handler WHERE contains(lower(name), 'bolt') ORDER BY is_basic DESC, name, id LIMIT 90) GROUP BY 1",
+    "FROM handler WHERE contains(lower(name), 'bolt') GROUP BY 1",
     "handler",
 )
 def _(t):
     ruled = t.handler.withColumn("rule", F.when(F.col("rules") > 0, F.sequence(F.lit(1), F.col("rules").cast("int"))))
     basic, other = ruled.where("is_basic"), ruled.where("NOT is_basic")
-    return bundles.alert_rules(basic.select("name", "id", "rule"), other.select("name", "id", "rule"), "BOLT", 90)["counts"]
+    return bundles.alert_rules(basic.select("name", "id", "rule"), other.select("name", "id", "rule"), "BOLT", 5)["counts"]
 
 
 @query(
     "n7_threat_intel",
-    f"{_ENRICHED} " + _sections(
-        indicators=_count("enriched"),
-        sources=_count("enrichment", "lookup IN (SELECT value FROM wanted WHERE kind = 'IP')"),
-        skipped=_count("indicator", "type IN ('Hash', 'asn')"),
-        malicious="SELECT 1",
-        threat_landscape="SELECT least(10, count(DISTINCT attack)) FROM attack",
+    f"{_ENRICHED} " + _listed(
+        indicators="value, type, ordinal, reputation, confidence, stored_value FROM enriched",
+        skipped="ordinal, value, type FROM indicator WHERE type IN ('Hash', 'asn')",
+        malicious="count(*) FROM enriched WHERE lower(reputation) = 'malicious'",
+        threat_landscape="attack, n FROM (SELECT attack, count(*) AS n FROM attack GROUP BY 1 ORDER BY sum(CASE severity WHEN 'critical' THEN 50 "
+        "WHEN 'high' THEN 30 WHEN 'medium' THEN 10 WHEN 'low' THEN 5 ELSE 0 END) DESC, 1 LIMIT 10)",
     ),
     "indicator",
     "enrichment",
     "attack",
 )
 def _(t):
-    return bundles.threat_intel(t.indicator, t.enrichment, t.attack).counts()
+    found = bundles.threat_intel(t.indicator, t.enrichment, t.attack)
+    threats = found["threat_landscape"]
+    found.sections["threat_landscape"] = threats.withColumn("n", F.col("threat_block") + F.col("threat_pass"))
+    return _items(found, indicators="value type ordinal reputation confidence stored_value", skipped="ordinal value type", malicious="malicious", threat_landscape="threat n")
 
 
 @query(
     "n8_identity_profile",
-    _sections(
-        users=_count("enduser"),
-        endpoints="SELECT count(*) FROM (SELECT DISTINCT u.euid, e.epid FROM enduser u JOIN endpoint e ON e.euid = u.euid OR lower(e.euname) = lower(u.euname))",
-        recent_activity="SELECT sum(least(n, 10)) FROM (SELECT count(*) AS n FROM event WHERE action = 'failure' OR subtype = 'vpn' GROUP BY \"user\")",
+    _listed(
+        users="euid, euname FROM enduser",
+        endpoints="euid, epid FROM (SELECT DISTINCT u.euid, e.epid FROM enduser u JOIN endpoint e ON e.euid = u.euid OR lower(e.euname) = lower(u.euname))",
+        recent_activity="u.euid, logid, action, subtype FROM enduser u JOIN event e ON lower(u.euname) = lower(e.user) WHERE e.action = 'failure' OR e.subtype = 'vpn'",
     ),
     "enduser",
     "endpoint",
     "event",
 )
 def _(t):
-    return bundles.identity_profile(t.enduser, nested_endpoints(t.endpoint), t.event, limit=10).counts()
+    found = bundles.identity_profile(t.enduser, nested_endpoints(t.endpoint), t.event)
+    return _items(found, users="euid euname", endpoints="euid epid", recent_activity="euid logid action subtype")
 
 
 @query(
     "n9_app_usage",
-    "SELECT 'top-applications' AS section, least(10, (SELECT count(*) FROM (SELECT DISTINCT appcat FROM traffic))) AS rows UNION ALL "
-    "SELECT 'top-websites', least(10, (SELECT count(DISTINCT catdesc) FROM webfilter)) UNION ALL "
-    "SELECT 'top-cloud-applications', least(10, (SELECT count(DISTINCT app) FROM appctrl)) UNION ALL SELECT 'dlp', 10",
+    "WITH top AS (SELECT 'applications' AS section, appcat AS k, sum(sentbyte + rcvdbyte) AS v FROM traffic GROUP BY 2 UNION ALL "
+    "SELECT 'websites', catdesc, sum(sentbyte + rcvdbyte) FROM webfilter GROUP BY 2 UNION ALL SELECT 'cloud', app, count(*) FROM appctrl GROUP BY 2) "
+    "SELECT section, concat_ws('|', k, cast(v AS BIGINT)) AS item FROM top QUALIFY row_number() OVER (PARTITION BY section ORDER BY v DESC, k NULLS FIRST) <= 5 "
+    "UNION ALL SELECT 'dlp', concat_ws('|', qname, srcip) FROM dns",
     "traffic",
     "webfilter",
     "appctrl",
+    "dns",
 )
 def _(t):
-    return bundles.app_usage(t.traffic, t.webfilter, t.appctrl, dlp=t.dns).counts()
+    found = bundles.app_usage(t.traffic, t.webfilter, t.appctrl, dlp=t.dns, limit=5)
+    names = {"top-applications": "applications", "top-websites": "websites", "top-cloud-applications": "cloud"}
+    found.sections = {names.get(n, n): df for n, df in found.sections.items()}
+    return _items(found, applications="app_group bandwidth", websites="catdesc bandwidth", cloud="app sessions", dlp="qname srcip")
 
 
 @query(
     "n10_network_context",
-    "SELECT tunnel, count(*) AS sessions FROM event WHERE subtype = 'vpn' GROUP BY 1",
+    "WITH t AS (SELECT * FROM traffic WHERE itime >= TIMESTAMP '1996-03-01' AND itime < TIMESTAMP '1996-04-01'), "
+    "top AS (SELECT 'top_sources' AS section, srcip AS k, sum(sentbyte + rcvdbyte) AS v FROM t GROUP BY 2 UNION ALL "
+    "SELECT 'top_destinations', dstip, sum(sentbyte + rcvdbyte) FROM t GROUP BY 2 UNION ALL SELECT 'top_countries', dstcountry, sum(sentbyte + rcvdbyte) FROM t GROUP BY 2) "
+    "SELECT section, concat_ws('|', k, cast(v AS BIGINT)) AS item FROM top QUALIFY row_number() OVER (PARTITION BY section ORDER BY v DESC, k) <= 10 "
+    "UNION ALL SELECT 'site_to_site_ipsec', concat_ws('|', tunnel, count(*)) FROM event WHERE subtype = 'vpn' GROUP BY tunnel",
+    "traffic",
     "event",
 )
 def _(t):
-    found = bundles.network_context(t.traffic, t.event, "24-hour", datetime(2024, 1, 31))
-    return found["site-to-site-ipsec"].select("tunnel", "sessions")
+    found = bundles.network_context(t.traffic, t.event, "1996-03-01|1996-03-31", datetime(2024, 1, 31), vpn_range="2000-01-01|2030-01-01")
+    found.sections = {n.replace("-", "_"): df for n, df in found.sections.items()}
+    return _items(
+        found, top_sources="srcip bandwidth", top_destinations="dstip bandwidth", top_countries="dstcountry bandwidth", site_to_site_ipsec="tunnel sessions"
+    )
 
 
-@query("n11_risk_assessment", f"{_RISK} SELECT risk_band, count(*) AS entities FROM risk GROUP BY 1", "vulnerability", "attack", "event", "endpoint")
+@query("n11_risk_assessment", f"{_RISK} SELECT epid, composite, risk_band FROM risk", "vulnerability", "attack", "event", "endpoint")
 def _(t):
-    return _risk(t).groupBy("risk_band").agg(F.count(F.lit(1)).alias("entities"))
+    threats = t.attack.withColumn("epid", F.col("user_id"))
+    failures = t.event.where(F.col("action") == "failure").withColumn("epid", F.col("user_id"))
+    found = bundles.risk_assessment(t.endpoint.select("epid"), t.vulnerability, threats, failures)
+    return found["risk"].select("epid", "composite", "risk_band")
 
 
 _RELATED = """WITH crit AS (SELECT * FROM alert WHERE severity IN ('critical', 'low')), related AS (
@@ -171,59 +210,97 @@ def _subjects(t: Tables) -> DataFrame:
 
 @query(
     "n12_triage",
-    f"{_RELATED} " + _sections(
-        subject=_count("crit"),
-        related=_count("related", "incid IN (SELECT incid FROM incident)"),
-        triggering_logs="SELECT sum(least(n, 3)) FROM (SELECT count(*) AS n FROM traffic WHERE alertid IN (SELECT alertid FROM crit) GROUP BY alertid)",
-        context_stats=_CONTEXT,
+    f"{_RELATED} " + _listed(
+        subject="alertid, severity, CASE severity WHEN 'critical' THEN 'urgent' ELSE 'low' END FROM crit",
+        related="alertid, incid, category FROM related JOIN incident USING (incid)",
+        triggering_logs="alertid, sessionid FROM traffic WHERE alertid IN (SELECT alertid FROM crit)",
     ),
     *_PAIR_VIEWS,
     "traffic",
 )
 def _(t):
-    return bundles.triage_alerts(_subjects(t), t.alert, t.incident, t.attachment, t.traffic, per_alert=3).counts()
+    found = bundles.triage_alerts(_subjects(t), t.alert, t.incident, t.attachment, t.traffic)
+    return _items(found, subject="alertid severity priority", related="alertid incid category", triggering_logs="alertid sessionid")
 
 
 @query(
     "n12_triage_incidents",
-    f"{_PAIRS} " + _sections(subject=_count("incident"), related=_count("pairs", "alertid IN (SELECT alertid FROM alert)"), context_stats=_CONTEXT),
+    f"{_PAIRS} " + _listed(subject="incid, severity, category FROM incident", related="incid, alertid, basis, severity FROM pairs JOIN alert USING (alertid)"),
     *_PAIR_VIEWS,
 )
 def _(t):
-    return bundles.triage_incidents(t.incident, t.incident, t.alert, t.attachment).counts()
+    found = bundles.triage_incidents(t.incident, t.incident, t.alert, t.attachment)
+    return _items(found, subject="incid severity category", related="incid alertid basis severity")
 
 
-@query(
-    "n13_incident_summary",
-    f"{_PAIRS} " + _sections(
-        incident=_count("incident"),
-        alerts=_count("pairs", "alertid IN (SELECT alertid FROM alert)"),
-        evidence_logs="SELECT sum(least(n, 2)) FROM (SELECT count(*) AS n FROM traffic WHERE alertid IN (SELECT alertid FROM pairs) GROUP BY alertid)",
-        timeline="SELECT (SELECT count(*) FROM incident) + (SELECT count(*) FROM pairs WHERE alertid IN (SELECT alertid FROM alert))",
-        threat_landscape="SELECT least(10, count(DISTINCT attack)) FROM attack",
-    ),
-    *_PAIR_VIEWS,
-    "traffic",
-    "attack",
+_SUMMARY = dict(
+    incident="incid, n, basis FROM (SELECT i.incid, count(p.alertid) AS n, max(p.basis) AS basis FROM incident i LEFT JOIN pairs p USING (incid) GROUP BY 1)",
+    alerts="incid, alertid, basis FROM pairs JOIN alert USING (alertid)",
+    evidence_logs="alertid, sessionid FROM traffic WHERE alertid IN (SELECT alertid FROM pairs)",
+    timeline="incid, 'incident', incid FROM incident UNION ALL SELECT 'timeline', concat_ws('|', incid, 'alert', alertid) FROM pairs WHERE alertid IN (SELECT alertid FROM alert)",
 )
+
+
+@query("n13_incident_summary", f"{_PAIRS} " + _listed(**_SUMMARY), *_PAIR_VIEWS, "traffic")
 def _(t):
-    return bundles.incident_summary(t.incident, t.incident, t.alert, t.attachment, t.traffic, t.attack, per_alert=2).counts()
+    found = bundles.incident_summary(t.incident, t.incident, t.alert, t.attachment, t.traffic)
+    return _items(found, incident="incid alert_count correlation_basis", alerts="incid alertid basis", evidence_logs="alertid sessionid", timeline="case_id source reference")
 
 
 def _estate(t: Tables) -> bundles.Estate:
     endpoints = nested_endpoints(t.endpoint)
     flat = linkage.flat_vulnerabilities(nested_vulnerabilities(t.vulnerability))
     logs = {"traffic": t.traffic, "attack": t.attack, "event": t.event}
-    return bundles.Estate(t.alert, t.incident, t.attachment, endpoints, t.enduser, flat, t.indicator, t.enrichment, logs)
+    # The address each alert is about is its indicator.
+    linked = t.alert.select("alertid", F.col("epip").alias("value"), F.lit("IP").alias("type"), F.col("epid").alias("ordinal"))
+    return bundles.Estate(t.alert, t.incident, t.attachment, endpoints, t.enduser, flat, linked, t.enrichment, logs)
+
+
+# What the alerts of a subject lead to: ``held`` are those alerts, ``cases`` the incidents.
+_LEADS = """best AS (SELECT lookup, reputation FROM enrichment WHERE type = 'IP' QUALIFY row_number() OVER (PARTITION BY lookup ORDER BY value <> lookup, ordinal) = 1),
+  told AS (SELECT DISTINCT h.epip AS value, b.reputation FROM held h LEFT JOIN best b ON b.lookup = h.epip),
+  counted AS (SELECT c.incid, count(p.alertid) AS n FROM cases c LEFT JOIN pairs p USING (incid) GROUP BY 1),
+  proof AS (SELECT alertid, sessionid FROM traffic WHERE alertid IN (SELECT alertid FROM pairs WHERE incid IN (SELECT incid FROM cases)))"""
+_FOUND = dict(
+    threat_intel__indicators="value, reputation FROM told", summary__incident="incid, n FROM counted", summary__evidence_logs="alertid, sessionid FROM proof"
+)
+_FOUND_COLUMNS = dict(threat_intel__indicators="value reputation", summary__incident="incid alert_count", summary__evidence_logs="alertid sessionid")
+_ESTATE_VIEWS = (*_PAIR_VIEWS, "traffic", "enrichment", "endpoint")
 
 
 @query(
     "n14_investigate",
-    "SELECT alertid, concat('alert ', alertid, ': priority urgent; 1 linked endpoints') AS headline FROM alert WHERE severity = 'critical'",
-    "alert",
+    f"""{_PAIRS}, held AS (SELECT * FROM alert WHERE severity = 'critical'), related AS (SELECT DISTINCT attachsrcid AS alertid, incid FROM attachment
+        WHERE attachtype = 'alertevent' AND attachsrcid IN (SELECT alertid FROM held) AND incid IN (SELECT incid FROM incident)),
+      cases AS (SELECT DISTINCT incid FROM related), {_LEADS} """
+    + _listed(
+        headline="alertid, concat('alert ', alertid, ': priority urgent; 1 linked endpoints') FROM held",
+        triage__related="alertid, incid FROM related",
+        assets__endpoints="epid, epname FROM endpoint WHERE epid IN (SELECT epid FROM held)",
+        **_FOUND,
+    ),
+    *_ESTATE_VIEWS,
+)
+def _(t):
+    found = bundles.investigate(_critical(t), _estate(t))
+    return _items(found, headline="alertid headline", triage__related="alertid incid", assets__endpoints="epid epname", **_FOUND_COLUMNS)
+
+
+@query(
+    "n14_investigate_incident",
+    f"""{_PAIRS}, cases AS (SELECT * FROM incident WHERE severity = 'high'),
+      held AS (SELECT * FROM alert WHERE alertid IN (SELECT alertid FROM pairs WHERE incid IN (SELECT incid FROM cases))), {_LEADS} """
+    + _listed(
+        triage__subject="incid, severity FROM cases",
+        triage__related="alertid, incid FROM pairs WHERE alertid IN (SELECT alertid FROM held) AND incid IN (SELECT incid FROM cases)",
+        assets__endpoints="epid, epname FROM endpoint WHERE epid IN (SELECT epid FROM held UNION SELECT epid FROM cases)",
+        **_FOUND,
+    ),
+    *_ESTATE_VIEWS,
 )
 def _(t):
-    return bundles.investigate(_critical(t), _estate(t))["headline"]
+    found = bundles.investigate(t.incident.where(F.col("severity") == "high"), _estate(t), kind="incident")
+    return _items(found, triage__subject="incid severity", triage__related="alertid incid", assets__endpoints="epid epname", **_FOUND_COLUMNS)
 
 
 @query(
@@ -259,20 +336,56 @@ def _(t):
     return found["endpoints"].select("epid", "anomalous")
 
 
+_IN_1996 = "itime >= TIMESTAMP '1996-01-01' AND itime < TIMESTAMP '1997-01-01'"
+# Rows of the window by address and by user, as the impact of an investigation counts them.
+_SEEN = "seen AS (" + " UNION ALL ".join(
+    f"SELECT '{name}' AS logtype, '{field}' AS field, lower({column}) AS v FROM {name} WHERE {_IN_1996}"
+    for name in ("traffic", "attack", "event")
+    for field, column in (("srcip", "srcip"), ("user", '"user"'))
+) + ")"
+_IMPACT = "SELECT entity_type, entity_ref, logtype, count(*) AS hits FROM pivots p JOIN seen s ON s.field = p.field AND s.v = lower(p.value) GROUP BY ALL"
+_OF_HELD = """pivots AS (SELECT 'endpoint' AS entity_type, cast(epid AS VARCHAR) AS entity_ref, 'srcip' AS field, epip AS value FROM endpoint WHERE epid IN (SELECT epid FROM held)
+    UNION ALL SELECT 'enduser', cast(euid AS VARCHAR), 'user', euname FROM enduser WHERE lower(euname) IN (SELECT lower(euname) FROM held)
+    UNION ALL SELECT DISTINCT 'ip', epip, 'srcip', epip FROM held)"""
+_DEEP_VIEWS = ("alert", "traffic", "attack", "event", "endpoint", "enduser")
+_YEAR_TEXT = "1996-01-01|1996-12-31"
+
+
+@query("n16_investigate_deep", f"WITH held AS (SELECT * FROM alert WHERE severity = 'critical'), {_SEEN}, {_OF_HELD} {_IMPACT}", *_DEEP_VIEWS)
+def _(t):
+    return bundles.investigate_deep(_critical(t), _estate(t), _YEAR_TEXT)["impact.counts"]
+
+
 @query(
-    "n16_investigate_deep",
-    """WITH crit AS (SELECT * FROM alert WHERE severity = 'critical'), seen AS (SELECT 'traffic' AS logtype, srcip FROM traffic UNION ALL
-        SELECT 'attack', srcip FROM attack UNION ALL SELECT 'event', srcip FROM event)
-      SELECT 'endpoint' AS entity_type, cast(e.epid AS VARCHAR) AS entity_ref, logtype, count(*) AS hits FROM endpoint e JOIN seen s ON s.srcip = e.epip
-      WHERE e.epid IN (SELECT epid FROM crit) GROUP BY ALL""",
-    "alert",
+    "n16_impact_rows",
+    f"""WITH held AS (SELECT * FROM alert WHERE severity = 'critical'), {_OF_HELD}
+      SELECT entity_type, entity_ref, sessionid FROM pivots p JOIN traffic t ON p.field = 'srcip' AND t.srcip = p.value WHERE {_IN_1996}""",
+    *_DEEP_VIEWS,
+)
+def _(t):
+    return bundles.investigate_deep(_critical(t), _estate(t), _YEAR_TEXT)["impact.traffic"].select("entity_type", "entity_ref", "sessionid")
+
+
+@query(
+    "n16_incident_chain",
+    f"""{_PAIRS}, cases AS (SELECT * FROM incident WHERE severity = 'high'), tied AS (SELECT incid, a.* FROM pairs p JOIN alert a USING (alertid) WHERE incid IN (SELECT incid FROM cases))
+      SELECT incid AS case_id, 'incident' AS source, incid AS reference FROM cases UNION ALL SELECT incid, 'alert', alertid FROM tied
+      UNION ALL SELECT l.incid, 'log', t.logid FROM tied l JOIN traffic t USING (alertid) WHERE {_IN_1996}""",
+    *_PAIR_VIEWS,
     "traffic",
-    "attack",
-    "event",
-    "endpoint",
 )
 def _(t):
-    return bundles.investigate_deep(_critical(t), _estate(t))["impact.counts"]
+    found = bundles.investigate_deep(t.incident.where(F.col("severity") == "high"), _estate(t), _YEAR_TEXT, kind="incident")
+    return found["root_cause.chain"].select("case_id", "source", "reference")
+
+
+@query(
+    "n16_entity",
+    f"WITH {_SEEN}, pivots AS (SELECT 'endpoint' AS entity_type, cast(epid AS VARCHAR) AS entity_ref, 'srcip' AS field, epip AS value FROM endpoint WHERE epid = 7) {_IMPACT}",
+    *_DEEP_VIEWS,
+)
+def _(t):
+    return bundles.investigate_deep("epid:7", _estate(t), _YEAR_TEXT)["impact.counts"]
 
 
 @query(
@@ -281,7 +394,8 @@ def _(t):
         WHERE attachtype = 'alertevent' AND attachsrcid IN (SELECT alertid FROM crit)),
       chain AS (SELECT alertid AS c, epoch(alerttime) AS m, 'alert' AS s, alertid AS r FROM crit UNION ALL
         SELECT x.alertid, epoch(i.createtime), 'incident', i.incid FROM related x JOIN incident i USING (incid) UNION ALL
-        SELECT alertid, epoch(itime), 'log', logid FROM traffic WHERE alertid IN (SELECT alertid FROM crit))
+        SELECT alertid, epoch(itime), 'log', logid FROM traffic WHERE alertid IN (SELECT alertid FROM crit)
+        AND itime >= TIMESTAMP '1996-01-01' AND itime < TIMESTAMP '1997-01-01')
       SELECT c AS case_id, concat('alert ', c, '; root cause: ', count(*), ' events; earliest ', arg_min(s, (m, s, r)), ' ', arg_min(r, (m, s, r))) AS headline
       FROM chain GROUP BY 1""",
     "alert",
@@ -290,4 +404,4 @@ def _(t):
     "traffic",
 )
 def _(t):
-    return bundles.investigate_deep(_critical(t), _estate(t))["headline"]
+    return bundles.investigate_deep(_critical(t), _estate(t), _YEAR_TEXT)["headline"]

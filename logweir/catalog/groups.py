@@ -154,6 +154,17 @@ def _(t):
     return _policies(t, limit=150).summary
 
 
+@query(
+    "f8_policy_asked",
+    "SELECT cast(p.id AS INTEGER) AS policyid, count(t.policyid) AS total_hits, count(t.policyid) AS observed_hits, 'complete' AS analysis_mode "
+    f"FROM (SELECT unnest(range(1, 41)) AS id) p LEFT JOIN (SELECT policyid FROM traffic WHERE {IN_YEAR}) t ON t.policyid = p.id GROUP BY 1",
+    "traffic",
+)
+def _(t):
+    found = breakdown.policy_traffic(t.traffic, TRAFFIC, YEAR, list(range(1, 41)))
+    return found.summary.select("policyid", "total_hits", "observed_hits", "analysis_mode")
+
+
 # --- views -------------------------------------------------------------------
 
 _VOLUME = (

@@ -8,6 +8,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from logweir.catalog.registry import Tables, query
+from logweir.catalog.streams import run_folder
 from logweir.catalog.views import nested_endpoints
 from logweir.functions import coercion, derived
 from logweir.functions import predicates as P
@@ -48,8 +49,9 @@ def _filtered(name: str, predicate: str, *conditions: Condition) -> None:
     "event",
 )
 def _(t):
-    merged = S.union_logs({"attack": t.attack, "dns": t.dns, "event": t.event}, ["itime", "srcip"])
-    return merged.where(F.col("logtype") == S.log_type("anomaly")).select("logtype", "itime", "srcip")
+    folder = run_folder(t)
+    S.write_logs(S.union_logs({"attack": t.attack, "dns": t.dns, "event": t.event}, ["itime", "srcip"]), folder)
+    return S.read_logs(t.spark, folder, "anomaly").select("logtype", "itime", "srcip")
 
 
 @query(
@@ -123,6 +125,14 @@ def _(t):
     return E.report_history(t.report, window, "Urgent").select("tid", "title", "state")
 
 
+@query("a6_report_export", "SELECT tid, title, state FROM report", "report")
+def _(t):
+    rows = t.report.select("tid", "title", "state")
+    folder = run_folder(t)
+    E.export(rows, folder, "csv")
+    return t.spark.read.schema(rows.schema).option("header", True).csv(folder)
+
+
 # --- windows -----------------------------------------------------------------
 
 
@@ -371,6 +381,14 @@ def _(t):
     return project(t.traffic, TRAFFIC, ["source_ip", "dest_ip", "src_ip", "policy_id", "no_such_field"]).df
 
 
+@query("d3_struct_whole", "SELECT srcip, concat_ws('|', app, dstport) AS detail FROM traffic", "traffic")
+def _(t):
+    nested = t.traffic.select("srcip", F.struct(F.col("app"), F.col("dstport").alias("port")).alias("detail"))
+    # Only whole top-level fields are selected; a part of one is refused with a warning.
+    found = project(nested, TRAFFIC, ["srcip", "detail", "detail.app"])
+    return found.df.select("srcip", F.concat_ws("|", "detail.app", "detail.port").alias("detail"))
+
+
 @query(
     "d5_port",
     "SELECT CASE WHEN dstport <> '0' THEN concat(proto, '/', dstport) END AS port, count(*) AS hits FROM traffic GROUP BY 1",

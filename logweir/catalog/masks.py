@@ -37,7 +37,7 @@ def _token(kind: str, value: str, key: bytes = KEY) -> str:
 
 
 def _burned(value: str) -> str:
-    return f"concat('{fv.UNREPRESENTABLE_MARK}', substring({_digest('unrepresentable', value)}, 1, 10))"
+    return f"concat('{fv.UNREPRESENTABLE_MARK}', substring({_digest('unrepresentable', value)}, 1, {TOKEN_LENGTH}))"
 
 
 def _swapped(source: str, pattern: str, swap: str) -> str:

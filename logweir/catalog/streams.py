@@ -8,18 +8,18 @@ import uuid
 from pyspark.sql import DataFrame
 
 from logweir.catalog.registry import Tables, query
-from logweir.session import checkpoint_folder
 from logweir.streaming import counts
 
 
-def _folder(t: Tables) -> str:
+def run_folder(t: Tables) -> str:
     """A folder of this run under the shared checkpoint folder.
 
-    Only a local session, whose executors are this machine, falls back to a
-    temporary one.
+    A session that names none gets one, which holds for all its runs.
     """
-    local = t.spark.sparkContext.master.startswith("local")
-    base = checkpoint_folder(t.spark, tempfile.mkdtemp(prefix="logweir-") if local else None)
+    base = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="logweir-")
+        t.spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/stream-{uuid.uuid4().hex}"
 
 
@@ -34,14 +34,10 @@ def _arriving(t: Tables) -> DataFrame:
     "SELECT date_trunc('hour', ts) AS bucket, event_type, count(*) AS hits FROM events GROUP BY 1, 2",
 )
 def _(t):
-    folder = _folder(t)
+    folder = run_folder(t)
     counted = counts.hourly_counts(_arriving(t), ["event_type"])
-
-    def keep(batch: DataFrame, _batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/out")
-
-    counts.replace_counts(counted, f"{folder}/state", keep).awaitTermination()
-    return t.spark.read.parquet(f"{folder}/out")
+    counts.upsert_files(counted, f"{folder}/state", f"{folder}/out").awaitTermination()
+    return counts.latest_counts(t.spark, f"{folder}/out", ["event_type"])
 
 
 @query(
@@ -50,7 +46,7 @@ def _(t):
     "HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 DAY FROM events)",
 )
 def _(t):
-    folder = _folder(t)
+    folder = run_folder(t)
     counted = counts.hourly_counts(_arriving(t), ["event_type"], late="2 days")
     counts.write_once(counted, f"{folder}/state", "append", path=f"{folder}/out").awaitTermination()
     return t.spark.read.parquet(f"{folder}/out")

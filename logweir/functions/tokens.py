@@ -84,7 +84,7 @@ class Tokenizer:
     def placeholder(self, value: Column) -> Column:
         """An irreversible stand-in for what cannot be masked."""
         return F.concat(
-            F.lit(fv.UNREPRESENTABLE_MARK), F.substring(self.digest("unrepresentable", value), 1, 10)
+            F.lit(fv.UNREPRESENTABLE_MARK), F.substring(self.digest("unrepresentable", value), 1, TOKEN_LENGTH)
         )
 
     def typed(self, kind: str, value: Column) -> Column:

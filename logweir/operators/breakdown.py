@@ -186,7 +186,8 @@ def policy_traffic(
 
     Without ``limit`` every row counts and the result is complete.  With it, each
     slice of each policy contributes its newest ``limit`` rows and the summary
-    says whether that was everything.
+    says whether that was everything.  The summary has a row for every policy asked
+    for: one without any rows had none, and is complete.
     """
     dims, warnings = dimensions(vocab, names, DERIVED)
     if warnings:
@@ -197,6 +198,19 @@ def policy_traffic(
     scanned = rows if whole else bounded_sample(rows, limit, parts, time_column, ["policyid"])
     counted = buckets(scanned, dims, ["policyid"])
     proof = sample_proof(rows, limit or 2**62, parts, time_column, ["policyid"])
+    kind = df.schema["policyid"].dataType
+    asked = F.array(*(F.lit(p).cast(kind) for p in sorted(set(policy_ids))))
+    named = df.sparkSession.range(1).select(F.explode(asked).alias("policyid"))
+    proof = named.join(proof, "policyid", "left").select(
+        "policyid",
+        *(
+            (F.coalesce(F.col(c), F.lit(len(parts) if c == "slices_scanned" else 0)) if c != "is_exact" else F.coalesce(F.col(c), F.lit(True)))
+            .cast(proof.schema[c].dataType)
+            .alias(c)
+            for c in proof.columns
+            if c != "policyid"
+        ),
+    )
     mode = F.when(F.col("is_exact"), "complete").otherwise("bounded_sample")
     return PolicyTraffic(
         top_buckets(counted, top_n, ["policyid"]),

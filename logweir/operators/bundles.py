@@ -39,7 +39,7 @@ class Bundle:
     def add(self, name: str, plan: Callable[[], DataFrame]) -> Bundle:
         try:
             self.sections[name] = plan()
-        except (PlanError, AnalysisException, KeyError) as problem:
+        except (PlanError, AnalysisException) as problem:
             self.gaps[name] = f"{type(problem).__name__}: {problem}"
         return self
 
@@ -85,9 +85,9 @@ def reports(history: DataFrame, window: tw.TimeWindow | None = None, title: str
 
 
 def log_search(
-    logs: DataFrame, vocab: Vocabulary, conditions: Sequence[Condition], limit: int = 100, offset: int = 0
+    logs: DataFrame, vocab: Vocabulary, conditions: Sequence[Condition], limit: int | None = None, offset: int = 0
 ) -> Bundle:
-    """Matching rows as they are, one page, and how many there are."""
+    """Matching rows as they are, one page of them with a limit, and how many there are."""
     compiled = compile_conditions(conditions, vocab, logs)
     matching = compiled.filter(logs)
     page = paging.page(matching, limit, offset)
@@ -101,7 +101,7 @@ def asset_lookup(
     hostname: str | None = None,
     ip: str | None = None,
     epids: DataFrame | None = None,
-    limit: int = 100,
+    limit: int | None = None,
 ) -> Bundle:
     """Endpoints by name, address or id with their vulnerabilities."""
     matched = endpoints.where(P.endpoint_match(hostname, ip))
@@ -115,7 +115,7 @@ def asset_lookup(
     return out.add("orphans", lambda: linkage.orphan_findings(findings)).done("endpoints")
 
 
-def identity_lookup(users: DataFrame, name: str | None = None, euids: DataFrame | None = None, limit: int = 100) -> Bundle:
+def identity_lookup(users: DataFrame, name: str | None = None, euids: DataFrame | None = None, limit: int | None = None) -> Bundle:
     """End users by part of their name or by id."""
     matched = users if name is None else users.where(P.name_search("euname", name))
     if euids is not None:
@@ -124,8 +124,8 @@ def identity_lookup(users: DataFrame, name: str | None = None, euids: DataFrame
     return Bundle().add("users", lambda: first).add("matched_total", lambda: total).done("users")
 
 
-def alert_rules(basic: DataFrame, correlation: DataFrame, name: str | None = None, limit: int = 100) -> Bundle:
-    """The rule catalogue, by part of a name, with counts of what is shown."""
+def alert_rules(basic: DataFrame, correlation: DataFrame, name: str | None = None, limit: int | None = None) -> Bundle:
+    """The rule catalogue, by part of a name, with counts of all that match."""
     catalogue = stats.rule_catalogue(basic, correlation)
     matched = catalogue if name is None else catalogue.where(P.name_search("name", name))
     first, total = paging.first_with_total(matched, [F.col("handler_class"), F.col("name"), F.col("id")], limit)
@@ -133,7 +133,7 @@ def alert_rules(basic: DataFrame, correlation: DataFrame, name: str | None = Non
         Bundle()
         .add("handlers", lambda: first)
         .add("matched_total", lambda: total)
-        .add("counts", lambda: stats.rule_counts(first))
+        .add("counts", lambda: stats.rule_counts(matched))
         .done("handlers")
     )
 
@@ -156,15 +156,16 @@ def threat_intel(indicators: DataFrame, stored: DataFrame, attacks: DataFrame |
 
 
 def identity_profile(
-    users: DataFrame, endpoints: DataFrame, events: DataFrame, names: Sequence[str] | None = None, limit: int = 100
+    users: DataFrame, endpoints: DataFrame, events: DataFrame, names: Sequence[str] | None = None, limit: int | None = None
 ) -> Bundle:
-    """Users by exact name in any case, their endpoints and their recent activity."""
+    """Users by exact name in any case, their endpoints and their activity, with
+    ``limit`` the newest rows of each."""
     chosen = users if names is None else users.where(F.lower("euname").isin([n.lower() for n in names]))
     active = events.where(P.identity_activity()).withColumn("_user", F.lower("user"))
-    recent = paging.first_per_group(
-        active.where(F.col("_user").isNotNull()), ["_user"], paging.newest_first(active), limit
-    )
     keyed = chosen.select("euid", F.lower("euname").alias("_user")).where(F.col("_user") != "")
+    recent = active.join(keyed.select("_user").distinct(), "_user", "left_semi")
+    if limit is not None:
+        recent = paging.first_per_group(recent, ["_user"], paging.newest_first(active), limit)
     return (
         Bundle()
         .add("users", lambda: chosen)
@@ -175,7 +176,12 @@ def identity_profile(
 
 
 def app_usage(
-    traffic: DataFrame, webfilter: DataFrame, appctrl: DataFrame, dlp: DataFrame | None = None, limit: int = 10
+    traffic: DataFrame,
+    webfilter: DataFrame,
+    appctrl: DataFrame,
+    dlp: DataFrame | None = None,
+    limit: int = 10,
+    dlp_limit: int | None = None,
 ) -> Bundle:
     """Top applications, web categories and cloud applications, and data-leak rows."""
     out = Bundle()
@@ -184,7 +190,7 @@ def app_usage(
     if dlp is None:
         out.gap("dlp", "no such log type")
     else:
-        out.add("dlp", lambda: paging.page(dlp, limit).df)
+        out.add("dlp", lambda: paging.page(dlp, dlp_limit).df)
     return out.done()
 
 
@@ -194,10 +200,12 @@ def network_context(
     """Top sources, destinations, countries and tunnels.
 
     Tunnels show only over a long window, so theirs is widened unless it is named.
+    Both windows end at the newest row of either table.
     """
-    window = tw.resolve_window(time_range, traffic, now)
+    anchor = tw.shared_anchor([traffic, events], now)
+    window = tw.anchored_window(time_range, anchor, now)
     rows = window.filter(traffic)
-    vpn = tw.resolve_window(vpn_range or tw.floor_window(time_range), events, now)
+    vpn = tw.anchored_window(vpn_range or tw.floor_window(time_range), anchor, now)
     out = Bundle()
     for name in ("top-sources", "top-destinations", "top-countries"):
         out.add(name, lambda name=name: views.view(rows, name, limit=limit).df)
@@ -222,7 +230,7 @@ def triage_alerts(
     attachments: DataFrame,
     logs: DataFrame | None = None,
     window: tw.TimeWindow | None = None,
-    per_alert: int = 1000,
+    per_alert: int | None = None,
 ) -> Bundle:
     """Alerts with priority, triggering logs, the incidents they belong to and the
     counts around them."""
@@ -281,7 +289,7 @@ def incident_summary(
     attachments: DataFrame,
     logs: DataFrame,
     attacks: DataFrame | None = None,
-    per_alert: int = 20,
+    per_alert: int | None = None,
 ) -> Bundle:
     """Per incident: alerts, their logs, the threat ranking and one timeline."""
     chosen = incidents.join(subjects.select("incid").distinct(), "incid", "left_semi")
@@ -319,43 +327,101 @@ class Estate:
     logs: Mapping[str, DataFrame]
 
 
-def investigate(subjects: DataFrame, estate: Estate, trigger_logs: str = "traffic") -> Bundle:
-    """Alerts from triage to reputation, endpoints and users, with a headline each."""
-    e = estate
-    triage = triage_alerts(subjects, e.alerts, e.incidents, e.attachments, e.logs.get(trigger_logs))
-    out = Bundle().include(triage, "triage")
-    judged = triage["subject"]
-    epids = judged.select(F.explode(linkage.entity_ids(judged, ["epids", "epid"])).alias("epid"))
-    linked = (
-        e.indicators.join(subjects.select("alertid").distinct(), "alertid", "left_semi")
-        if "alertid" in e.indicators.columns
-        else e.indicators
-    )
-    out.include(threat_intel(linked, e.stored), "threat_intel")
-    out.include(asset_lookup(e.endpoints, e.findings, epids=epids), "assets")
-    if {"euid", "euids"} & set(judged.columns):
-        euids = judged.select(F.explode(linkage.entity_ids(judged, ["euids", "euid"])).alias("euid"))
-        out.include(identity_lookup(e.users, euids=euids), "identities")
-    else:
-        out.gap("identities", "the alerts carry no user ids")
-    ids = linkage.entity_ids(judged, ["epids", "epid"])
-    subject = F.concat(F.lit("alert "), F.col("alertid"), F.lit(": priority "), F.col("priority"))
-    told = scoring.headline(subject, (F.when(F.size(ids) > 0, F.size(ids)), "{} linked endpoints"))
-    return out.add("headline", lambda: judged.select("alertid", told.alias("headline"))).done()
+def linked_indicators(indicators: DataFrame, alerts: DataFrame, incidents: DataFrame) -> DataFrame:
+    """The indicators that name one of these alerts or incidents; PlanError if none can."""
+    parts = [
+        indicators.join(owners.select(F.col(key).cast("string").alias(key)).distinct(), key, "left_semi")
+        for key, owners in (("alertid", alerts), ("incid", incidents))
+        if key in indicators.columns
+    ]
+    if not parts:
+        raise PlanError("the indicators name neither alerts nor incidents")
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1]).distinct()
+
+
+def _ids_of(carriers: Sequence[DataFrame], single: str) -> DataFrame | None:
+    """The distinct whole-number ids that rows carry, or None where no column could."""
+    parts = [
+        rows.select(F.explode(linkage.entity_ids(rows, [f"{single}s", single])).alias(single))
+        for rows in carriers
+        if {single, f"{single}s"} & set(rows.columns)
+    ]
+    return _united(parts)
+
+
+def _values_of(carriers: Sequence[DataFrame], column: str) -> DataFrame | None:
+    """The distinct texts in a column of any of the carriers, or None where none has it."""
+    return _united([rows.select(column).where(F.coalesce(column, F.lit("")) != "") for rows in carriers if column in rows.columns])
 
 
-def hunt_indicators(
-    indicators: DataFrame, logs: Mapping[str, DataFrame], stored: DataFrame | None = None, most: int = 6
+def _united(parts: list[DataFrame]) -> DataFrame | None:
+    if not parts:
+        return None
+    return (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).distinct()
+
+
+def investigate(
+    subjects: DataFrame,
+    estate: Estate,
+    trigger_logs: str = "traffic",
+    kind: str = "alert",
+    window: tw.TimeWindow | None = None,
 ) -> Bundle:
-    """Indicators swept over log types, in order, up to ``most`` types; the rest are named."""
-    kept = dict(list(logs.items())[:most])
-    dropped = [n for n in logs if n not in kept]
-    out = Bundle(warnings=[f"'{n}' was not swept: only {most} log types are" for n in dropped])
-    matches = linkage.sweep(indicators, kept)
+    """Alerts or incidents from triage to reputation, endpoints and users, with a
+    headline each.
+
+    ``subjects`` has ``alertid`` or, with ``kind`` incident, ``incid``.  The incidents
+    of an alert, or the incident itself, are summed up with their alerts, logs and
+    timeline.  ``window`` bounds the logs and the counts around the subject, the same
+    for all parts.
+    """
+    e, out = estate, Bundle()
+    logs = {n: df if window is None else window.filter(df) for n, df in e.logs.items()}
+    trigger, attacks = logs.get(trigger_logs), logs.get("attack")
+    if kind == "alert":
+        triage = triage_alerts(subjects, e.alerts, e.incidents, e.attachments, trigger, window)
+        alerts, cases = triage["subject"], triage["related"].select("incid").distinct()
+        subject, key = alerts, "alertid"
+    elif kind == "incident":
+        triage = triage_incidents(subjects, e.incidents, e.alerts, e.attachments, window)
+        alerts, cases = triage["related"], subjects.select("incid").distinct()
+        subject, key = triage["subject"], "incid"
+    else:
+        raise PlanError(f"an investigation starts from an alert or an incident, not from '{kind}'")
+    out.include(triage, "triage")
+    out.include(incident_summary(cases, e.incidents, e.alerts, e.attachments, trigger, attacks) if trigger is not None else Bundle().gap("evidence_logs", "no log table"), "summary")
+    try:
+        linked = linked_indicators(e.indicators, alerts, cases)
+    except PlanError as problem:
+        out.gap("threat_intel", str(problem))
+    else:
+        out.include(threat_intel(linked, e.stored), "threat_intel")
+    carriers = [subject] if kind == "alert" else [subject, alerts]
+    epids, euids = (_ids_of(carriers, c) for c in ("epid", "euid"))
+    if epids is None:
+        out.gap("assets", "the subject carries no endpoint ids")
+    else:
+        out.include(asset_lookup(e.endpoints, e.findings, epids=epids), "assets")
+    if euids is None:
+        out.gap("identities", f"the {kind}s carry no user ids")
+    else:
+        out.include(identity_lookup(e.users, euids=euids), "identities")
+    ids = linkage.entity_ids(subject, ["epids", "epid"])
+    told = scoring.headline(
+        F.concat(F.lit(f"{kind} "), F.col(key), F.lit(": priority "), F.col("priority")),
+        (F.when(F.size(ids) > 0, F.size(ids)), "{} linked endpoints"),
+    )
+    return out.add("headline", lambda: subject.select(key, told.alias("headline"))).done()
+
+
+def hunt_indicators(indicators: DataFrame, logs: Mapping[str, DataFrame], stored: DataFrame | None = None) -> Bundle:
+    """Indicators swept over all log types."""
+    out = Bundle()
+    matches = linkage.sweep(indicators, logs)
     totals = linkage.sweep_totals(matches)
     line = scoring.headline(
         F.concat(F.lit("indicator "), F.col("value")),
-        (F.col("total_matches"), f"sweep: {{}} matches across {len(kept)} searches"),
+        (F.col("total_matches"), f"sweep: {{}} matches across {len(logs)} searches"),
     )
     out.add("matches", lambda: matches).add("totals", lambda: totals)
     out.add("headline", lambda: totals.select("value", line.alias("headline")))
@@ -366,8 +432,8 @@ def hunt_indicators(
     return out.done("matches")
 
 
-def hunt_condition(logs: Mapping[str, DataFrame], condition: Column | None = None, ttp: str | None = None, limit: int = 50) -> Bundle:
-    """A condition or technique swept over log types: newest rows and totals."""
+def hunt_condition(logs: Mapping[str, DataFrame], condition: Column | None = None, ttp: str | None = None, limit: int | None = None) -> Bundle:
+    """A condition or technique swept over log types: rows, with ``limit`` the newest, and totals."""
     out, totals = Bundle(), {}
     for name, df in logs.items():
         pivot = P.indicator_pivot(df, condition=condition, ttp=ttp)
@@ -437,38 +503,94 @@ def entity_of(text: str) -> tuple[str, int | str]:
 
 
 def investigate_deep(
-    subjects: DataFrame, estate: Estate, time_range: str = "7-day", now: datetime | None = None, trigger_logs: str = "traffic", per_entity: int = 20
+    subjects: DataFrame | str,
+    estate: Estate,
+    time_range: str = "7-day",
+    now: datetime | None = None,
+    trigger_logs: str = "traffic",
+    per_entity: int | None = None,
+    kind: str = "alert",
+    widest: str | None = None,
 ) -> Bundle:
     """An investigation, the chain back to the earliest signal, and what the entities
-    it touches did elsewhere."""
-    e = estate
-    base = investigate(subjects, e, trigger_logs)
-    out = Bundle().include(base, "base")
+    it touches did elsewhere.
+
+    ``subjects`` are alerts or incidents, or the text of one entity (see ``entity_of``),
+    which is only followed forward.  One window, that of ``time_range`` on the newest
+    row of all log types, holds for every part; ``widest`` narrows wider presets.
+    """
+    e, out = estate, Bundle()
+    if widest is not None:
+        time_range, narrowed = tw.cap_window(time_range, widest)
+        if narrowed:
+            out.warnings.append(f"the window was narrowed to '{time_range}'")
+    moment = now or datetime.now()
+    window = tw.anchored_window(time_range, tw.shared_anchor(list(e.logs.values()), moment), moment)
+    logs = {n: window.filter(df) for n, df in e.logs.items()}
+    if isinstance(subjects, str):
+        pivots, line = _entity_pivots(subjects, e)
+        return _impact(out, pivots, logs, per_entity).add("headline", lambda: line).done()
+
+    base = investigate(subjects, e, trigger_logs, kind, window)
+    out.include(base, "base")
     judged, related = base["triage.subject"], base["triage.related"]
-    streams = [timeline.alert_events(judged)]
-    streams.append(timeline.incident_events(related.select("alertid", *[c for c in e.incidents.columns if c != "alertid"]), "alertid", chain=True))
-    if "triage.triggering_logs" in base.sections:
-        streams.append(timeline.log_events(base["triage.triggering_logs"], "alertid"))
+    if kind == "alert":
+        streams = [timeline.alert_events(judged)]
+        streams.append(timeline.incident_events(related.select("alertid", *[c for c in e.incidents.columns if c != "alertid"]), "alertid", chain=True))
+        alerts = judged
+        if "triage.triggering_logs" in base.sections:
+            streams.append(timeline.log_events(base["triage.triggering_logs"], "alertid"))
+    else:
+        alerts = related
+        streams = [timeline.incident_events(judged, chain=True), timeline.alert_events(related, "incid")]
+        if "summary.evidence_logs" in base.sections:
+            evidence = related.select("incid", "alertid").join(base["summary.evidence_logs"], "alertid")
+            streams.append(timeline.log_events(evidence, "incid"))
     chain = timeline.unite(*streams)
     first = timeline.earliest(chain)
     out.add("root_cause.chain", lambda: timeline.ordered(chain)).add("root_cause.earliest", lambda: first)
-    capped, narrowed = tw.cap_window(time_range)
-    if narrowed:
-        out.warnings.append(f"the window '{time_range}' was narrowed to '{capped}'")
-    logs = dict(e.logs)
-    if now is not None or "|" in capped:
-        logs = {n: tw.resolve_window(capped, df, now or datetime.now()).filter(df) for n, df in logs.items()}
-    epids = judged.select(F.explode(linkage.entity_ids(judged, ["epids", "epid"])).alias("epid")).distinct()
-    touched = e.endpoints.join(epids, "epid", "left_semi")
-    pivots = linkage.entity_pivots(touched)
-    lateral = linkage.lateral_counts(pivots, logs)
-    out.add("impact.counts", lambda: lateral)
-    for name, df in logs.items():
-        out.add(f"impact.{name}", lambda df=df: linkage.lateral_rows(pivots, df, per_entity))
-    out.add("impact.gaps", lambda: linkage.pivot_gaps(pivots))
+
+    carriers = [judged] if kind == "alert" else [judged, alerts]
+    epids, euids = (_ids_of(carriers, c) for c in ("epid", "euid"))
+    touched = None if epids is None else e.endpoints.join(epids, "epid", "left_semi")
+    users = None if euids is None else e.users.join(euids, "euid", "left_semi")
+    names, ips = (_values_of(carriers, c) for c in ("euname", "epip"))
+    if users is None and names is not None:
+        # Alerts that name their user instead of carrying an id.
+        named = names.select(F.lower("euname").alias("_user")).distinct()
+        users = e.users.withColumn("_user", F.lower("euname")).join(named, "_user", "left_semi")
+    ips = None if ips is None else ips.withColumnRenamed("epip", "ip")
+    if touched is None and users is None and ips is None:
+        out.gap("impact", "the subject names no endpoint, user or address")
+    else:
+        _impact(out, linkage.entity_pivots(touched, users, ips), logs, per_entity)
     line = scoring.headline(
-        F.concat(F.lit("alert "), F.col("case_id")),
+        F.concat(F.lit(f"{kind} "), F.col("case_id")),
         (F.col("event_count"), "root cause: {} events"),
         (F.concat_ws(" ", "source", "reference"), "earliest {}"),
     )
     return out.add("headline", lambda: first.select("case_id", line.alias("headline"))).done()
+
+
+def _entity_pivots(text: str, estate: Estate) -> tuple[DataFrame, DataFrame]:
+    """What one entity is searched by, and its headline."""
+    kind, ref = entity_of(text)
+    if kind == "epid":
+        pivots = linkage.entity_pivots(endpoints=estate.endpoints.where(F.col("epid") == ref))
+    elif kind == "euid":
+        pivots = linkage.entity_pivots(users=estate.users.where(F.col("euid") == ref))
+    else:
+        spark = estate.endpoints.sparkSession
+        pivots = linkage.entity_pivots(ips=spark.createDataFrame([(ref,)], "ip string"))
+    line = F.concat(F.col("entity_type"), F.lit(" "), F.col("entity_ref"), F.lit(": forward only"))
+    return pivots, pivots.select("entity_ref", line.alias("headline"))
+
+
+def _impact(out: Bundle, pivots: DataFrame, logs: Mapping[str, DataFrame], per_entity: int | None) -> Bundle:
+    """What entities did in each log type: counts, rows by address and by user, and gaps."""
+    out.add("impact.counts", lambda: linkage.lateral_counts(pivots, logs))
+    for name, df in logs.items():
+        out.add(f"impact.{name}", lambda df=df: linkage.lateral_rows(pivots, df, per_entity))
+        if "user" in df.columns:
+            out.add(f"impact.{name}.users", lambda df=df: linkage.lateral_rows(pivots, df, per_entity, "user", "user"))
+    return out.add("impact.gaps", lambda: linkage.pivot_gaps(pivots))

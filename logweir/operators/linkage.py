@@ -110,9 +110,9 @@ def correlate(incidents: DataFrame, alerts: DataFrame, attachments: DataFrame |
     """``(incid, alertid, basis)``: attachments decide, linkage keys only where an
     incident has none.
 
-    Attached pairs never meet a join on the incident, so an incident with a third of
-    all attachments is no hot key; only linkage pairs are held against the incidents
-    that have attachments.
+    Joins on the incident are semi and anti joins against distinct incidents, so an
+    incident with a third of all attachments multiplies nothing, and adaptive execution
+    splits its partition.
     """
     if attachments is None:
         return linked_pairs(incidents, alerts)
@@ -132,23 +132,23 @@ def incident_records(incidents: DataFrame, pairs: DataFrame) -> DataFrame:
 
     The alerts stay rows of ``pairs``: an incident may have any number of them.
     """
-    summed = pairs.groupBy("incid").agg(
-        F.count(F.lit(1)).alias("alert_count"), F.max("basis").alias("correlation_basis")
-    )
+    # Counted by basis first: the few rows of an incident then carry the text.
+    by_basis = pairs.groupBy("incid", "basis").agg(F.count(F.lit(1)).alias("n"))
+    summed = by_basis.groupBy("incid").agg(F.sum("n").alias("alert_count"), F.max("basis").alias("correlation_basis"))
     return incidents.join(summed, "incid", "left").withColumn(
         "alert_count", F.coalesce("alert_count", F.lit(0))
     )
 
 
-def alert_logs(alerts: DataFrame, logs: DataFrame, per_alert: int = 20, time_column: str = "itime") -> DataFrame:
-    """The newest ``per_alert`` logs that triggered each alert.
+def alert_logs(alerts: DataFrame, logs: DataFrame, per_alert: int | None = None, time_column: str = "itime") -> DataFrame:
+    """The logs that triggered each alert, with ``per_alert`` the newest ones only.
 
-    Logs are reduced per alert id before the join, so the join never meets a hot key.
+    Logs of other alerts go before any ranking.
     """
-    kept = first_per_group(
-        logs.where(F.col("alertid").isNotNull()), ["alertid"], newest_first(logs, time_column), per_alert
-    )
-    return kept.join(alerts.select("alertid").distinct(), "alertid", "left_semi")
+    own = logs.join(alerts.select("alertid").where(F.col("alertid").isNotNull()).distinct(), "alertid", "left_semi")
+    if per_alert is None:
+        return own
+    return first_per_group(own, ["alertid"], newest_first(logs, time_column), per_alert)
 
 
 def flat_vulnerabilities(records: DataFrame, group: str = "vuln_group", single: str = "vuln") -> DataFrame:
@@ -211,9 +211,14 @@ def user_endpoints(users: DataFrame, endpoints: DataFrame) -> DataFrame:
     return by_id.unionByName(by_name).distinct()
 
 
-def value_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, str]) -> DataFrame:
+def value_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, str], wanted: DataFrame) -> DataFrame:
     """``(logtype, kind, seen, hits)``: rows per value of several columns, in one scan
-    of each table and one shuffle.  Values are folded to lower case."""
+    of each table.  Values are folded to lower case.
+
+    Only values in ``wanted`` (kind, seen) are counted: the others, nearly unique in
+    logs, go before the shuffle, by a broadcast that Spark chooses by size or by its
+    run-time bloom filter.
+    """
     merged: DataFrame | None = None
     for name, df in tables.items():
         present = {k: c for k, c in columns.items() if c in df.columns}
@@ -224,44 +229,57 @@ def value_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, str]) ->
         )
         part = df.select(F.lit(name).alias("logtype"), F.inline(pairs)).where(F.col("seen").isNotNull())
         merged = part if merged is None else merged.unionByName(part)
-    return merged.groupBy("logtype", "kind", "seen").agg(F.count(F.lit(1)).alias("hits"))
+    if merged is None:
+        return wanted.sparkSession.createDataFrame([], "logtype string, kind string, seen string, hits long")
+    own = merged.join(wanted.distinct(), ["kind", "seen"], "left_semi")
+    return own.groupBy("logtype", "kind", "seen").agg(F.count(F.lit(1)).alias("hits"))
 
 
-def _checksum_pieces(counted: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Every substring of the lengths that wanted hashes have, so that a hash found
-    anywhere inside a checksum joins by equality.
+def _checksum_counts(tables: Mapping[str, DataFrame], hashes: DataFrame) -> DataFrame:
+    """Rows per wanted hash (column ``seen``) that stands anywhere inside a checksum.
 
-    The lengths are a handful of numbers, read from the indicators by a subquery.
+    A hexadecimal hash can only stand inside a hexadecimal run, so a checksum gives its
+    runs of the lengths asked for, and substrings only where a run is longer.  Hashes
+    with other characters are looked for at every place.  The lengths are a handful of
+    numbers, read from the indicators by a subquery.
     """
-    sizes = wanted.where(F.col("type") == "Hash").agg(F.collect_set(F.length("value")).alias("n"))
-    sized = counted.withColumn("_sizes", sizes.scalar())
-    pieces = F.transform(
-        F.filter("_sizes", lambda n: (n > 0) & (n <= F.length("seen"))),
-        lambda n: F.transform(
-            F.sequence(F.lit(1), F.length("seen") - n + 1), lambda i: F.substring(F.col("seen"), i, n)
-        ),
-    )
-    return (
-        sized.select("logtype", "kind", "hits", F.array_distinct(F.flatten(pieces)).alias("_pieces"))
-        .select("logtype", "kind", "hits", F.explode("_pieces").alias("seen"))
-        .groupBy("logtype", "kind", "seen")
-        .agg(F.sum("hits").alias("hits"))
+    plain = F.col("seen").rlike("^[0-9a-f]+$")
+    sizes = hashes.agg(
+        F.collect_set(F.when(plain, F.length("seen"))).alias("hex"), F.collect_set(F.when(~plain, F.length("seen"))).alias("other")
     )
 
+    def pieces(text: Column, lengths: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                F.filter(lengths, lambda n: (n > 0) & (n <= F.length(text))),
+                lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n)),
+            )
+        )
+
+    column, merged = fv.INDICATOR_FIELDS["Hash"], None
+    for name, df in tables.items():
+        part = df.select(F.lit(name).alias("logtype"), F.lower(F.col(f"`{column}`")).alias("sum")).where(F.col("sum").isNotNull())
+        merged = part if merged is None else merged.unionByName(part)
+    sized = merged.withColumn("_sizes", sizes.select(F.struct("hex", "other")).scalar())
+    runs = F.split("sum", "[^0-9a-f]+")
+    found = F.concat(F.flatten(F.transform(runs, lambda r: pieces(r, F.col("_sizes.hex")))), pieces(F.col("sum"), F.col("_sizes.other")))
+    seen = sized.select("logtype", F.lit("Hash").alias("kind"), F.explode(F.array_distinct(found)).alias("seen"))
+    own = seen.join(hashes.distinct(), "seen", "left_semi")
+    return own.groupBy("logtype", "kind", "seen").agg(F.count(F.lit(1)).alias("hits"))
+
 
 def sweep(indicators: DataFrame, logs: Mapping[str, DataFrame]) -> DataFrame:
     """``(value, type, logtype, hits)``: rows per indicator and log type.
 
-    Logs are counted per value of their pivot columns first; indicators then join
-    with distinct values only.
+    Logs keep only values that some indicator has before anything is shuffled.
     """
     exact = {k: c for k, c in fv.INDICATOR_FIELDS.items() if k != "Hash"}
     wanted = indicators.select("value", "type").distinct()
-    seen = value_counts(logs, exact)
+    folded = wanted.select(F.col("type").alias("kind"), F.lower("value").alias("seen")).where(F.col("seen").isNotNull())
+    seen = value_counts(logs, exact, folded.where(F.col("kind") != "Hash"))
     hashed = {n: df for n, df in logs.items() if fv.INDICATOR_FIELDS["Hash"] in df.columns}
     if hashed:
-        checksums = value_counts(hashed, {"Hash": fv.INDICATOR_FIELDS["Hash"]})
-        seen = seen.unionByName(_checksum_pieces(checksums, wanted))
+        seen = seen.unionByName(_checksum_counts(hashed, folded.where(F.col("kind") == "Hash").select("seen")))
     matched = (F.col("type") == F.col("kind")) & (F.lower("value") == F.col("seen"))
     return wanted.join(seen, matched).select("value", "type", "logtype", "hits")
 
@@ -298,20 +316,29 @@ def entity_pivots(endpoints: DataFrame | None = None, users: DataFrame | None =
     return merged
 
 
+def _sought(pivots: DataFrame) -> DataFrame:
+    """``(kind, seen)`` of the values that pivots search for."""
+    return pivots.select(F.col("field").alias("kind"), F.lower("value").alias("seen")).where(F.col("seen").isNotNull())
+
+
 def lateral_counts(pivots: DataFrame, logs: Mapping[str, DataFrame], user_column: str = "user") -> DataFrame:
     """``(entity_type, entity_ref, logtype, hits)`` for every entity and log type."""
-    counted = value_counts(logs, {"srcip": "srcip", "user": user_column})
+    counted = value_counts(logs, {"srcip": "srcip", "user": user_column}, _sought(pivots))
     matched = (F.col("field") == F.col("kind")) & (F.lower("value") == F.col("seen"))
     return pivots.join(counted, matched).select("entity_type", "entity_ref", "logtype", "hits")
 
 
 def lateral_rows(
-    pivots: DataFrame, logs: DataFrame, limit: int = 20, name: str = "srcip", column: str = "srcip", time_column: str = "itime"
+    pivots: DataFrame, logs: DataFrame, limit: int | None = None, name: str = "srcip", column: str = "srcip", time_column: str = "itime"
 ) -> DataFrame:
-    """The newest rows per entity, reduced per pivot value before the join."""
-    kept = first_per_group(logs.where(F.col(column).isNotNull()), [column], newest_first(logs, time_column), limit)
-    wanted = pivots.where(F.col("field") == name).select("entity_type", "entity_ref", "value")
-    return wanted.join(kept, F.lower("value") == F.lower(column)).drop("value")
+    """The rows per entity, with ``limit`` the newest ones of each value in any case."""
+    wanted = pivots.where((F.col("field") == name) & F.col("value").isNotNull())
+    wanted = wanted.select("entity_type", "entity_ref", F.lower("value").alias("_seen"))
+    folded = logs.withColumn("_seen", F.lower(column))
+    own = folded.join(wanted.select("_seen").distinct(), "_seen", "left_semi")
+    if limit is not None:
+        own = first_per_group(own, ["_seen"], newest_first(logs, time_column), limit)
+    return wanted.join(own, "_seen").drop("_seen")
 
 
 def pivot_gaps(pivots: DataFrame) -> DataFrame:
@@ -368,7 +395,7 @@ def behavioural_alerts(
 ) -> DataFrame:
     """``(entity_type, entity_ref, detections)`` for entities with behavioural alerts."""
     rows = alerts.where(is_behavioural(alerts))
-    counted = value_counts({"alert": rows}, {"srcip": ip_column, "user": user_column})
+    counted = value_counts({"alert": rows}, {"srcip": ip_column, "user": user_column}, _sought(pivots))
     matched = (F.col("field") == F.col("kind")) & (F.lower("value") == F.col("seen"))
     return pivots.join(counted, matched).select(
         "entity_type", "entity_ref", F.col("hits").alias("detections")

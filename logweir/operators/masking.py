@@ -339,7 +339,7 @@ def substitute_known(tokens: Tokenizer, text: Column, pairs: Column, keep: Colum
     Longest first, whole identifiers, any ASCII case.  A spelling that several
     values share only up to case is burned, unless one of them is spelled so.
     """
-    usable = F.filter(pairs, lambda p: F.length(p["raw"]) >= fv.MIN_SUBSTITUTION_LENGTH)
+    usable = F.filter(pairs, lambda p: p["raw"] != "")
     if keep is not None:
         usable = F.filter(usable, lambda p: ~F.array_contains(keep["exact"], p["raw"]))
 

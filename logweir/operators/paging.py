@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -13,21 +13,20 @@ from logweir.functions.coercion import event_order
 from logweir.plans import fixed_values as fv
 from logweir.plans.errors import PlanError
 
-# Spark keeps only the first n rows per group before the shuffle for n up to this.
-_GROUP_LIMIT = 1000
-
 
 @dataclass(frozen=True)
 class Page:
     df: DataFrame
-    limit: int
+    limit: int | None
     offset: int
     warnings: tuple[str, ...]
 
 
-def clamp(limit: int, most: int) -> tuple[int, list[str]]:
-    kept = max(1, min(limit, most))
-    return kept, [] if kept == limit else [f"limit {limit} was set to {kept} (1 to {most})"]
+def at_least_one(limit: int | None) -> tuple[int | None, list[str]]:
+    """A limit of the caller's, which may be none at all but not below one."""
+    if limit is None or limit >= 1:
+        return limit, []
+    return 1, [f"limit {limit} was set to 1"]
 
 
 def _orderable(df: DataFrame) -> list[str]:
@@ -42,17 +41,59 @@ def newest_first(df: DataFrame, time_column: str = "itime") -> list[Column]:
 
 def page(
     df: DataFrame,
-    limit: int = 100,
+    limit: int | None = 100,
     offset: int = 0,
     time_column: str = "itime",
-    most: int = fv.LOG_PAGE_MAX,
 ) -> Page:
-    """One page, newest first.  Each task keeps ``offset + limit`` rows."""
-    limit, warnings = clamp(limit, most)
+    """One page, newest first.  Each task keeps ``offset + limit`` rows.
+
+    Without a limit every row follows, sorted only if an offset makes the order matter.
+    Deep pages are cheaper through ``page_after``, which skips nothing.
+    """
+    limit, warnings = at_least_one(limit)
     if offset < 0:
         raise PlanError("offset cannot be negative")
-    ordered = df.orderBy(*newest_first(df, time_column))
-    return Page(ordered.offset(offset).limit(limit), limit, offset, tuple(warnings))
+    if limit is None and not offset:
+        return Page(df, limit, offset, tuple(warnings))
+    ordered = df.orderBy(*newest_first(df, time_column)).offset(offset)
+    return Page(ordered if limit is None else ordered.limit(limit), limit, offset, tuple(warnings))
+
+
+def page_after(
+    df: DataFrame, cursor: Mapping[str, object] | None, limit: int = 100, time_column: str = "itime", ties: Sequence[str] = ("logid",)
+) -> DataFrame:
+    """The next page after a cursor: the time and tie columns of the last row seen.
+
+    The cursor is a filter on the time, which reaches the scan, so a page costs the
+    same however deep it lies and is not moved by rows that arrive later.  The ties
+    must tell rows of one time apart; rows without a time come last.
+    """
+    order = [F.col(time_column).desc_nulls_last(), *(F.col(t).asc_nulls_first() for t in ties)]
+    if cursor is not None:
+        df = df.where(_follows(df, cursor, time_column, ties))
+    return df.orderBy(*order).limit(limit)
+
+
+def _follows(df: DataFrame, cursor: Mapping[str, object], time_column: str, ties: Sequence[str]) -> Column:
+    def at(name: str) -> Column:
+        return F.lit(cursor[name]).cast(df.schema[name].dataType)
+
+    later: Column = F.lit(False)
+    for name in reversed(ties):
+        column = F.col(name)
+        same = column.eqNullSafe(at(name))
+        beyond = column.isNotNull() if cursor[name] is None else column > at(name)
+        later = F.coalesce(beyond, F.lit(False)) | (same & later)
+    moment = F.col(time_column)
+    if cursor[time_column] is None:
+        return moment.isNull() & later
+    # The first part is a plain range that the scan can use.
+    return ((moment <= at(time_column)) | moment.isNull()) & ((moment < at(time_column)) | moment.isNull() | later)
+
+
+def cursor_of(row: Row, time_column: str = "itime", ties: Sequence[str] = ("logid",)) -> dict[str, object]:
+    """The cursor behind a row of a page."""
+    return {c: row[c] for c in (time_column, *ties)}
 
 
 def total(df: DataFrame, name: str = "total") -> DataFrame:
@@ -123,15 +164,15 @@ def count_drift(before: DataFrame, after: DataFrame, keys: Sequence[str]) -> Dat
     )
 
 
-def top_k(groups: DataFrame, sort_by: str | None, limit: int, descending: bool = True) -> Page:
-    """The first ``limit`` groups by one measure, ties by the other columns."""
-    limit, warnings = clamp(limit, fv.LOG_PAGE_MAX)
+def top_k(groups: DataFrame, sort_by: str | None, limit: int | None, descending: bool = True) -> Page:
+    """The first ``limit`` groups by one measure, ties by the other columns; all without one."""
+    limit, warnings = at_least_one(limit)
     ties = [F.col(f"`{c}`") for c in _orderable(groups) if c != sort_by]
-    if sort_by is None:
-        return Page(groups.orderBy(*ties).limit(limit), limit, 0, tuple(warnings))
-    lead = F.col(f"`{sort_by}`")
-    lead = lead.desc_nulls_last() if descending else lead.asc_nulls_last()
-    return Page(groups.orderBy(lead, *ties).limit(limit), limit, 0, tuple(warnings))
+    if sort_by is not None:
+        lead = F.col(f"`{sort_by}`")
+        ties = [lead.desc_nulls_last() if descending else lead.asc_nulls_last(), *ties]
+    ordered = groups.orderBy(*ties)
+    return Page(ordered if limit is None else ordered.limit(limit), limit, 0, tuple(warnings))
 
 
 def first_per_group(
@@ -139,22 +180,17 @@ def first_per_group(
 ) -> DataFrame:
     """The first ``n`` rows of each group.
 
-    For small ``n`` Spark itself drops later rows before the shuffle, so a hot key
-    sends at most ``n`` rows per task.  Beyond that a first round per input
-    partition does the same.
+    Spark itself drops later rows before the shuffle while ``n`` is within
+    ``spark.sql.optimizer.windowGroupLimitThreshold``, so a hot key sends at most ``n``
+    rows per task; raise that setting for larger ``n``.
     """
     within = Window.partitionBy(*keys).orderBy(*order)
-    if n > _GROUP_LIMIT:
-        part = df.withColumn("_part", F.spark_partition_id())
-        local = Window.partitionBy(*keys, "_part").orderBy(*order)
-        df = part.withColumn("_local", F.row_number().over(local)).where(F.col("_local") <= n)
-        df = df.drop("_part", "_local")
     return df.withColumn(rank, F.row_number().over(within)).where(F.col(rank) <= n)
 
 
-def first_with_total(df: DataFrame, order: Sequence[Column], limit: int) -> tuple[DataFrame, DataFrame]:
-    """The first ``limit`` rows, and one row with how many matched."""
-    return df.orderBy(*order).limit(limit), total(df, "matched_total")
+def first_with_total(df: DataFrame, order: Sequence[Column], limit: int | None) -> tuple[DataFrame, DataFrame]:
+    """The first ``limit`` rows (all of them without one), and one row with how many matched."""
+    return df if limit is None else df.orderBy(*order).limit(limit), total(df, "matched_total")
 
 
 def by_event_time(df: DataFrame, column: str, *ties: str) -> DataFrame:

@@ -13,17 +13,25 @@ from logweir.operators.stats import severity_label
 from logweir.plans import fixed_values as fv
 
 
-def percentile_ranks(values: DataFrame, column: str, pieces: int = 256) -> DataFrame:
+#: Distinct values that one task sums up.
+RANGE_VALUES = 100_000
+
+
+def percentile_ranks(values: DataFrame, column: str, pieces: int | None = None) -> DataFrame:
     """``(column, population, percentile)`` for each distinct value: the share of the
     population at or below it, in percent to one place; NULL for fewer than two.
 
     Equal values are counted first, so a value shared by a third of the rows is one
     row.  Distinct values are then cut into ranges at approximate quantiles: ranges
-    sum up on their own and only their totals, at most ``pieces`` rows, meet in one
-    task.  The cuts are plain numbers in the plan and need not be exact.
+    sum up on their own and only their totals, one row of each range, meet in one
+    task.  There are as many ranges as hold RANGE_VALUES values each, unless ``pieces``
+    says otherwise.  The cuts are plain numbers in the plan and need not be exact.
     """
     scored = values.where(F.col(column).isNotNull())
     counted = scored.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    if pieces is None:
+        distinct = scored.agg(F.approx_count_distinct(column)).first()[0]
+        pieces = max(1, -(-distinct // RANGE_VALUES))
     shares = [i / pieces for i in range(1, pieces)]
     cuts = sorted(set(counted.approxQuantile(column, shares, 1.0 / (2 * pieces)))) if shares else []
     piece = F.lit(0)

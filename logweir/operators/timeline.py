@@ -100,9 +100,18 @@ def ordered(stream: DataFrame) -> DataFrame:
 
 
 def earliest(stream: DataFrame) -> DataFrame:
-    """Per case: its first event and how many events it has."""
+    """Per case: its first event and how many events it has.
+
+    The least time and the count are merged by hashing; only the events at
+    that time, a few of each case, are compared by their text.
+    """
+    least = stream.groupBy("case_id").agg(F.min("time_epoch").alias("_least"), F.count(F.lit(1)).alias("event_count"))
+    # A case without any known time has no least one: all its events are at it.
+    least = least.withColumnRenamed("case_id", "_case")
+    same = stream["case_id"].eqNullSafe(least["_case"]) & stream["time_epoch"].eqNullSafe(least["_least"])
+    at_least = stream.join(least, same)
     first = F.min(F.struct(*ORDER, "source", "reference", "timestamp", "description")).alias("_first")
-    return stream.groupBy("case_id").agg(first, F.count(F.lit(1)).alias("event_count")).select(
+    return at_least.groupBy("case_id", "event_count").agg(first).select(
         "case_id",
         F.col("_first.timestamp").alias("timestamp"),
         F.col("_first.source").alias("source"),

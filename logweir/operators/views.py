@@ -45,7 +45,7 @@ def _threat(df: DataFrame) -> dict[str, Column]:
     linked = F.col("incid").isNotNull() if "incid" in df.columns else F.lit(False)
     weight = _labelled(F.col("severity"), THREAT_WEIGHTS)
     return {
-        "threattype": F.max(F.col("threattype") if "threattype" in df.columns else F.lit("attack")),
+        "threattype": F.col("threattype") if "threattype" in df.columns else F.lit("attack"),
         "threatlevel": F.max(weight).cast("bigint"),
         "threatweight": F.sum(weight).cast("bigint"),
         "threat_block": blocked,
@@ -88,6 +88,8 @@ class View:
     measures: Callable[[DataFrame], dict[str, Column]]
     rows: Callable[[], Column] | None = None
     required: tuple[str, ...] = field(default=())
+    #: Measures that are the largest text of a group.
+    largest: tuple[str, ...] = field(default=())
 
 
 def _of(name: str, column: str | None = None) -> dict[str, Callable[[], Column]]:
@@ -99,7 +101,7 @@ VIEWS: dict[str, View] = {
     "top-destinations": View("traffic", _of("dstip"), _volume),
     "top-applications": View("traffic", _of("app_group", "appcat"), _volume),
     "top-websites": View("webfilter", _of("catdesc"), _volume),
-    "top-threats": View("attack", _of("threat", "attack"), _threat),
+    "top-threats": View("attack", _of("threat", "attack"), _threat, largest=("threattype",)),
     "top-cloud-applications": View("app-ctrl", _of("app"), _sessions),
     "top-countries": View("traffic", _of("dstcountry"), _volume),
     "policy-hits": View("traffic", _of("policyid"), _hits),
@@ -123,14 +125,21 @@ def view_groups(df: DataFrame, name: str, width: str = "1 hour") -> DataFrame:
     keys = {n: make() for n, make in spec.keys.items()}
     if "bucket" in keys:
         keys["bucket"] = F.window(F.col("itime"), width)["start"]
-    measures = {n: c.alias(n) for n, c in spec.measures(rows).items()}
-    return rows.groupBy(*(c.alias(n) for n, c in keys.items())).agg(*measures.values())
+    measures = spec.measures(rows)
+    texts = {n: measures[n] for n in spec.largest}
+    numbers = [c.alias(n) for n, c in measures.items() if n not in texts]
+    groups = rows.groupBy(*(c.alias(n) for n, c in {**keys, **texts}.items())).agg(*numbers)
+    if not texts:
+        return groups
+    # The text is grouped by first, so that rows are merged by hashing; only the groups meet its maximum.
+    merged = {n: F.max(n) if n in texts or n == "threatlevel" else F.sum(n) for n in measures}
+    return groups.groupBy(*keys).agg(*(c.alias(n) for n, c in merged.items()))
 
 
 def view(
-    df: DataFrame, name: str, sort_by: str | None = None, limit: int = 100, descending: bool = True
+    df: DataFrame, name: str, sort_by: str | None = None, limit: int | None = None, descending: bool = True
 ) -> Page:
-    """The first groups of a view by its own sort column or the caller's."""
+    """The groups of a view by its own sort column or the caller's; the first ones with a ``limit``."""
     groups = view_groups(df, name)
     lead = sort_by or fv.VIEW_SORT.get(name)
     if lead is not None and lead not in groups.columns:

@@ -294,7 +294,7 @@ MASKED_COLUMNS = {
     "headline",
 }
 DEVICE_COLUMNS = (
-    "devname devid sn serialno csf sndetected snclosest detectkey devs dev_name"
+    "devname devid sn serialno csf sndetected snclosest fortigate detectkey devs dev_name"
 ).split()
 # A record with one of these beside ``name`` is a device, and ``name`` is its name.
 DEVICE_SHAPE_COLUMNS = (
@@ -310,7 +310,6 @@ TARGET_TYPES = {
 }
 UNMASKED_VALUES = ["", "N/A", "n/a", "unknown", "none", "-"]
 UNREPRESENTABLE_MARK = "masked-unrepresentable-"
-MIN_SUBSTITUTION_LENGTH = 4
 IPV4_PATTERN = r"\b(?:\d{1,3}\.){3}\d{1,3}\b"
 MAC_PATTERN = r"\b[0-9a-fA-F]{2}(?::[0-9a-fA-F]{2}){5}\b"
 EMAIL_PATTERN = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"

@@ -15,6 +15,8 @@ from logweir.plans.errors import PlanError
 
 _LAYOUTS = {19: "%Y-%m-%d %H:%M:%S", 16: "%Y-%m-%d %H:%M", 10: "%Y-%m-%d"}
 _EPOCH = datetime(1970, 1, 1)
+# The partition column that ``write_logs`` adds.
+DAY = "log_date"
 
 
 @dataclass(frozen=True)
@@ -108,7 +110,15 @@ def newest_log_time(df: DataFrame, column: str = "itime") -> DataFrame:
 
 
 def data_anchor(df: DataFrame, now: datetime, column: str = "itime") -> Anchor:
-    """The data's own clock.  Brings one row to the driver."""
+    """The data's own clock.  Brings one row to the driver.
+
+    Of a table partitioned by day only the newest day that is not in the future is read.
+    """
+    if DAY in df.columns and isinstance(df.schema[DAY].dataType, T.DateType):
+        limit = (now + timedelta(days=fv.ANCHOR_MAX_FUTURE_DAYS)).date()
+        day = df.where(F.col(DAY) <= F.lit(limit)).agg(F.max(DAY)).first()[0]
+        if day is not None:
+            df = df.where(F.col(DAY) == F.lit(day))
     newest = newest_log_time(df, column).first()["newest"]
     if isinstance(newest, int):
         newest = _EPOCH + timedelta(seconds=newest)
@@ -117,6 +127,20 @@ def data_anchor(df: DataFrame, now: datetime, column: str = "itime") -> Anchor:
     return choose_anchor([("newest_log", newest)], now)
 
 
+def shared_anchor(tables: Sequence[DataFrame], now: datetime, column: str = "itime") -> Anchor:
+    """One clock for several tables: the newest plausible row of any of them."""
+    found = [data_anchor(df, now, column) for df in tables]
+    known = [a for a in found if a.source != "clock"]
+    return max(known, key=lambda a: a.moment) if known else Anchor(now, "clock", 0)
+
+
+def anchored_window(text: str, anchor: Anchor, now: datetime) -> TimeWindow:
+    """A custom window as written, or a preset on a clock decided before."""
+    if "|" in text:
+        return custom_window(text)
+    return replace(preset_window(text, anchor.moment, anchor.source), clock_skew_seconds=anchor.clock_skew_seconds)
+
+
 def resolve_window(text: str, df: DataFrame, now: datetime, column: str = "itime") -> TimeWindow:
     """A custom window as written, or a preset on the data's clock."""
     if "|" in text:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logweir.plans import fixed_values as fv
 from logweir.plans.errors import PlanError
+from logweir.plans.timewindow import DAY
 from logweir.plans.timewindow import TimeWindow
 
 
@@ -31,31 +32,42 @@ def read_logs(
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
-    """One log type of a table partitioned by ``logtype`` and, if it has one, ``date``.
+    """One log type of a table partitioned by ``logtype`` and, if it has one, ``log_date``.
 
-    Both conditions are on partition columns, so whole directories are skipped; the
+    A folder without ``logtype`` is one log type's own and must be named for it.  Both conditions are on partition columns, so whole directories are skipped; the
     window on event time then prunes row groups.
     """
     reader = spark.read.format(fmt)
     df = (reader.schema(schema) if schema is not None else reader).load(path)
     if "logtype" in df.columns:
         df = df.where(F.col("logtype") == log_type(name))
+    elif path.rstrip("/").rsplit("/", 1)[-1].lower() not in (log_type(name), f"logtype={log_type(name)}", f"{log_type(name)}.{fmt}"):
+        raise PlanError(f"'{path}' has no logtype column and is not the folder of '{name}'")
     if window is not None:
-        if "date" in df.columns and isinstance(df.schema["date"].dataType, T.DateType):
-            df = df.where(F.col("date").between(F.lit(window.start.date()), F.lit(window.end.date())))
+        if DAY in df.columns and isinstance(df.schema[DAY].dataType, T.DateType):
+            df = df.where(F.col(DAY).between(F.lit(window.start.date()), F.lit(window.end.date())))
         df = window.filter(df, time_column)
     return df
 
 
 def write_logs(df: DataFrame, path: str, time_column: str = "itime", mode: str = "append") -> None:
-    """Write logs by ``logtype`` and ``date``.
+    """Write logs by ``logtype`` and ``log_date``, the day of their event time.
 
-    Rows of a day are brought together for large files; adaptive execution splits a
+    Event times may be timestamps, dates, epoch seconds or epoch text.  Rows of a day are brought together for large files; adaptive execution splits a
     day that holds a third of all rows over many tasks and merges small ones.
     """
-    dated = df.withColumn("date", F.to_date(F.col(time_column)))
-    together = dated.hint("rebalance", F.col("logtype"), F.col("date"))
-    together.write.mode(mode).partitionBy("logtype", "date").parquet(path)
+    moment, kind = F.col(f"`{time_column}`"), df.schema[time_column].dataType
+    if isinstance(kind, T.StringType):
+        seconds = F.when(moment.rlike(r"^\d+$"), moment.try_cast("bigint"))
+        day = F.coalesce(_day_of(seconds), moment.try_cast("date"))
+    else:
+        day = _day_of(moment.cast("bigint")) if isinstance(kind, T.NumericType) else moment.cast("date")
+    together = df.withColumn(DAY, day).hint("rebalance", F.col("logtype"), F.col(DAY))
+    together.write.mode(mode).partitionBy("logtype", DAY).parquet(path)
+
+
+def _day_of(seconds: Column) -> Column:
+    return F.date_add(F.lit("1970-01-01").cast("date"), F.floor(seconds / 86_400).cast("int"))
 
 
 def union_logs(tables: Mapping[str, DataFrame], columns: Sequence[str] | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 Sink = Callable[[DataFrame, int], None]
@@ -29,8 +30,9 @@ def hourly_counts(
     width: str = "1 hour",
     late: str = "2 days",
 ) -> DataFrame:
-    """Rows per window and key.  State holds one counter per open window and key;
-    rows later than ``late`` are dropped and counted by the query's progress.
+    """Rows per window and key.  State holds one counter per open window and key; it is
+    freed when the watermark passes the window's end.  Rows later than ``late`` are
+    dropped and counted (see ``LateRows``).
 
     Watermarks need zoned time, so naive event time is read in the session's zone and
     the window start is given back naive.
@@ -41,7 +43,7 @@ def hourly_counts(
 
 
 def write_once(
-    counts: DataFrame, checkpoint: str, mode: str = "complete", table: str | None = None, path: str | None = None
+    counts: DataFrame, checkpoint: str, mode: str = "append", table: str | None = None, path: str | None = None
 ) -> StreamingQuery:
     """Process everything that has arrived and stop: to memory for tests, else to files."""
     writer = counts.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
@@ -65,15 +67,47 @@ def upsert_counts(counts: DataFrame, checkpoint: str, sink: Sink) -> StreamingQu
     return _each_batch(counts, checkpoint, "update", sink)
 
 
-def replace_counts(counts: DataFrame, checkpoint: str, sink: Sink) -> StreamingQuery:
-    """All windows to ``sink``, which replaces what it holds."""
-    return _each_batch(counts, checkpoint, "complete", sink)
+def upsert_files(counts: DataFrame, checkpoint: str, path: str) -> StreamingQuery:
+    """Changed windows as files of their batch under ``path``; a repeated batch replaces its own."""
 
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows that came after their window had closed."""
-    return sum(
-        operator["numRowsDroppedByWatermark"]
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+    return upsert_counts(counts, checkpoint, keep)
+
+
+def latest_counts(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """The last state of each window and key among the batches of ``upsert_files``.
+
+    A counter only grows, so its largest value is its last.
+    """
+    return spark.read.parquet(path).groupBy("bucket", *keys).agg(F.max("hits").alias("hits"))
+
+
+class LateRows(StreamingQueryListener):
+    """Counts the rows that came after their window had closed, batch by batch.
+
+    A query keeps only its last progress reports; this adds up all of them.  Register
+    it with ``spark.streams.addListener`` before the query starts.
+    """
+
+    def __init__(self) -> None:
+        self.by_query: dict[str, dict[int, int]] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.by_query.setdefault(str(event.id), {})
+
+    def onQueryProgress(self, event) -> None:
+        progress = event.progress
+        late = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
+        # A batch that is run again after a failure is counted once.
+        self.by_query.setdefault(str(progress.id), {})[progress.batchId] = late
+
+    def onQueryIdle(self, event) -> None:
+        return None
+
+    def onQueryTerminated(self, event) -> None:
+        return None
+
+    def total(self, query: StreamingQuery) -> int:
+        return sum(self.by_query.get(str(query.id), {}).values())

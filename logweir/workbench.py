@@ -225,7 +225,7 @@ class Workbench:
         found = entities.entities(df, kind, ids, window, _conditions(filters))
         rows, warnings = found.df, list(found.warnings)
         if limit is not None:
-            page = paging.page(rows, limit, offset, moment or entities.ENTITY_KEYS[kind][0], fv.ENTITY_PAGE_MAX)
+            page = paging.page(rows, limit, offset, moment or entities.ENTITY_KEYS[kind][0])
             rows, warnings = page.df, [*warnings, *page.warnings]
         shown = project(rows, vocabulary(kind), fields)
         return QueryResult(shown.df, {"total": paging.total(found.df)}, (*warnings, *shown.warnings), window)

@@ -31,7 +31,7 @@ def token(prefix, kind, value):
 
 
 def burned(value):
-    return fv.UNREPRESENTABLE_MARK + hashlib.sha256(subkey(KEY) + f"unrepresentable:{value}".encode()).hexdigest()[:10]
+    return fv.UNREPRESENTABLE_MARK + hashlib.sha256(subkey(KEY) + f"unrepresentable:{value}".encode()).hexdigest()[:24]
 
 
 IP1 = token("ip", "ip", "10.0.0.1")

@@ -1,5 +1,7 @@
 """Streams against the same counts in batch, and late rows."""
 
+import time
+
 from conftest import values
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ def test_stream_equals_batch(spark, tmp_path):
     put(spark, tmp_path / "in", "b", rows[20:])
     stream = counts.read_stream(spark, str(tmp_path / "in/*"), StructType.fromDDL(SCHEMA), files_per_batch=1)
     counted = counts.hourly_counts(stream, ["device"])
-    counts.write_once(counted, str(tmp_path / "state"), table="hourly").awaitTermination()
+    counts.write_once(counted, str(tmp_path / "state"), "complete", table="hourly").awaitTermination()
     batch = spark.read.parquet(str(tmp_path / "in/*")).groupBy(F.date_trunc("hour", "itime").cast("timestamp_ntz").alias("bucket"), "device").agg(F.count(F.lit(1)).alias("hits"))
     assert values(spark.table("hourly"), "bucket", "device", "hits") == values(batch, "bucket", "device", "hits")
 
@@ -38,7 +40,24 @@ def test_late_rows_are_counted_and_left_out(spark, tmp_path):
     put(spark, tmp_path / "in", "a", [("2026-01-01 10:00:00", "d"), ("2026-01-01 15:30:00", "d")])
     counts.upsert_counts(stream_of(), str(tmp_path / "state"), keep).awaitTermination()
     put(spark, tmp_path / "in", "b", [("2026-01-01 10:30:00", "d"), ("2026-01-01 15:40:00", "d")])
+    late = counts.LateRows()
+    spark.streams.addListener(late)
     query = counts.upsert_counts(stream_of(), str(tmp_path / "state"), keep)
     query.awaitTermination()
-    assert counts.late_rows(query) == 1
+    # Progress is told to listeners a little later.
+    until = time.monotonic() + 20
+    while not late.total(query) and time.monotonic() < until:
+        time.sleep(0.1)
+    spark.streams.removeListener(late)
+    assert late.total(query) == 1
     assert sorted(seen) == [("2026-01-01 10:00:00", 1), ("2026-01-01 15:00:00", 1), ("2026-01-01 15:00:00", 2)]
+
+
+def test_batches_of_changed_windows_hold_the_last_state(spark, tmp_path):
+    from pyspark.sql.types import StructType
+
+    stream_of = lambda: counts.hourly_counts(counts.read_stream(spark, str(tmp_path / "in/*"), StructType.fromDDL(SCHEMA)), ["device"])
+    for name, minute in (("a", 10), ("b", 20)):
+        put(spark, tmp_path / "in", name, [(f"2026-01-01 10:{minute}:00", "d"), (f"2026-01-01 10:{minute}:30", "e")])
+        counts.upsert_files(stream_of(), str(tmp_path / "state"), str(tmp_path / "out")).awaitTermination()
+    assert [(d, n) for _, d, n in values(counts.latest_counts(spark, str(tmp_path / "out"), ["device"]), "bucket", "device", "hits")] == [("d", 2), ("e", 2)]
