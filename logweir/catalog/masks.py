@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logweir.catalog.registry import query
+from logweir.catalog.streams import run_folder
 from logweir.functions import text
 from logweir.functions.tokens import _HEX, _LETTERS, PREFIXES, TOKEN_LENGTH, Tokenizer, key_id, subkey
 from logweir.operators import masking
@@ -53,6 +54,9 @@ _OCTET = "(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
 _IS_IP = f"regexp_full_match(m, '{_OCTET}(\\.{_OCTET}){{3}}')"
 
 
+_USER = '"user"'
+
+
 def _tokens(t) -> Tokenizer:
     return Tokenizer.of(t.spark, KEY)
 
@@ -301,16 +305,34 @@ def _(t):
 # --- back --------------------------------------------------------------------
 
 
+def _kept_apart(t, words):
+    """The dictionary as a table of its own: built once, and of a known size for the joins with it."""
+    folder = run_folder(t)
+    words.write.parquet(folder)
+    return t.spark.read.schema(words.schema).parquet(folder)
+
+
 @query("l11_unmask", "SELECT sessionid, srcip, dstip, \"user\" FROM traffic", "traffic")
 def _(t):
     k = _tokens(t)
     rows = t.traffic.select("sessionid", "srcip", "dstip", "user")
-    masked, words = masking.mask_table(rows, k), masking.dictionary(rows, k)
+    masked, words = masking.mask_table(rows, k), _kept_apart(t, masking.dictionary(rows, k))
     for name in ("srcip", "dstip", "user"):
         masked = masking.unmask_column(masked, words, name)
     return masked
 
 
+@query(
+    "l1_mask_map",
+    f"SELECT logid, {_token('ip', 'srcip')} AS srcip, {_token('username', _USER)} AS person, level AS level FROM event",
+    "event",
+)
+def _(t):
+    kept = F.create_map(F.lit("srcip"), F.col("srcip"), F.lit("User"), F.col("user"), F.lit("level"), F.col("level"))
+    masked = masking.mask_table(t.event.select("logid", kept.alias("details")), _tokens(t))
+    return masked.select("logid", F.col("details")["srcip"].alias("srcip"), F.col("details")["User"].alias("person"), F.col("details")["level"].alias("level"))
+
+
 @query("l11_unmask_urls", "SELECT page_id, url FROM pages")
 def _(t):
     k = _tokens(t)
@@ -373,6 +395,22 @@ def _(t):
     return masking.leaks(masked, words).agg(F.count(F.lit(1)).alias("leaks"))
 
 
+@query(
+    "l14_leak_planted",
+    "SELECT 'msg' AS column, 'username' AS type, concat('Agent Nr ', epid) AS raw FROM endpoint WHERE epid % 10 = 0 UNION ALL "
+    "SELECT 'details', 'ip', epip FROM endpoint WHERE epid % 7 = 0",
+    "endpoint",
+)
+def _(t):
+    k = _tokens(t)
+    named = t.endpoint.select("epid", "epip", F.concat(F.lit("Agent Nr "), F.col("epid").cast("string")).alias("user"))
+    words = masking.dictionary(named.select("user", F.col("epip").alias("srcip")), k)
+    # A masked table into which known values are put again: names of several words in prose, addresses in a map.
+    said = F.when(F.col("epid") % 10 == 0, F.concat(F.lit("seen: "), F.col("user"), F.lit(", again"))).otherwise("nothing")
+    held = F.create_map(F.lit("note"), F.when(F.col("epid") % 7 == 0, F.concat(F.lit("from "), F.col("epip"))).otherwise("none"))
+    return masking.leaks(named.select(said.alias("msg"), held.alias("details")), words)
+
+
 @query(
     "l14_leak_control",
     "SELECT DISTINCT 'srcip' AS column, 'ip' AS type, srcip AS raw FROM traffic UNION ALL "

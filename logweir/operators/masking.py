@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,11 +28,19 @@ PATTERNS = {"ip": fv.IPV4_PATTERN, "mac": fv.MAC_PATTERN, "email": fv.EMAIL_PATT
 
 @dataclass(frozen=True)
 class Leaf:
-    """A text field anywhere in a record: its name, and its text or texts."""
+    """A text field anywhere in a record: its name, and its text or texts.
+
+    The fields of a map are known by its keys only; their leaf has the map's name, and a
+    type of its own if it holds the values under the keys of one type.
+    """
 
     name: str
     column: Column
     listed: bool
+    kind: str | None = None
+
+    def type_of(self, types: Mapping[str, str]) -> str | None:
+        return self.kind or types.get(self.name.lower())
 
     def texts(self) -> Column:
         """All texts of the field, an empty array where there is none."""
@@ -40,36 +48,72 @@ class Leaf:
         return F.coalesce(F.array_compact(texts), F.array().cast("array<string>"))
 
 
-def leaves(df: DataFrame) -> list[Leaf]:
-    """The text fields of a table, also inside structs and lists of structs."""
+Groups = Mapping[str, Sequence[str]]
+
+
+def leaves(df: DataFrame, keys: Groups | None = None) -> list[Leaf]:
+    """The text fields of a table, also inside structs, lists and maps.
+
+    A map gives all its values, or with ``keys`` (type -> names) those under the keys
+    of each type.
+    """
     found: list[Leaf] = []
     for f in df.schema.fields:
-        found += _leaves(f.name, F.col(f"`{f.name}`"), f.dataType)
+        found += _leaves(f.name, F.col(f"`{f.name}`"), f.dataType, keys)
     return found
 
 
-def _leaves(name: str, column: Column, dtype: T.DataType) -> list[Leaf]:
+def keys_by_type(types: Mapping[str, str]) -> dict[str, list[str]]:
+    """Type -> the field names of it."""
+    return {kind: sorted(n for n, t in types.items() if t == kind) for kind in sorted(set(types.values()))}
+
+
+def _leaves(name: str, column: Column, dtype: T.DataType, keys: Groups | None) -> list[Leaf]:
     if isinstance(dtype, T.StringType):
         return [Leaf(name, column, False)]
     if isinstance(dtype, T.StructType):
-        return [leaf for f in dtype.fields for leaf in _leaves(f.name, column[f.name], f.dataType)]
-    return _listed(name, column, dtype.elementType) if isinstance(dtype, T.ArrayType) else []
+        return [leaf for f in dtype.fields for leaf in _leaves(f.name, column[f.name], f.dataType, keys)]
+    if isinstance(dtype, T.MapType):
+        return _mapped(name, F.map_entries(column), dtype, keys)
+    return _listed(name, column, dtype.elementType, keys) if isinstance(dtype, T.ArrayType) else []
 
 
-def _listed(name: str, column: Column, inner: T.DataType) -> list[Leaf]:
+def _listed(name: str, column: Column, inner: T.DataType, keys: Groups | None) -> list[Leaf]:
     if isinstance(inner, T.StringType):
         return [Leaf(name, column, True)]
     if isinstance(inner, T.ArrayType):
-        return _listed(name, F.flatten(column), inner.elementType)
+        return _listed(name, F.flatten(column), inner.elementType, keys)
+    if isinstance(inner, T.MapType):
+        return _mapped(name, F.flatten(F.transform(column, lambda m: F.map_entries(m))), inner, keys)
     if isinstance(inner, T.StructType):
         return [
             leaf
             for f in inner.fields
-            for leaf in _listed(f.name, _picked(column, f.name), f.dataType)
+            for leaf in _listed(f.name, _picked(column, f.name), f.dataType, keys)
         ]
     return []
 
 
+def _mapped(name: str, entries: Column, dtype: T.MapType, keys: Groups | None) -> list[Leaf]:
+    """The leaves of a map from its entries: values under typed keys, and what lies deeper."""
+    every = _listed(name, _picked(entries, "value"), dtype.valueType, keys)
+    if keys is None or not _is_text(dtype.valueType):
+        return every
+    found = []
+    for kind, names in keys.items():
+        own = F.filter(entries, _has_key(names))
+        found += [replace(leaf, kind=kind) for leaf in _listed(name, _picked(own, "value"), dtype.valueType, keys)]
+    return found
+
+
+def _is_text(dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.StringType) or isinstance(dtype, T.ArrayType) and _is_text(dtype.elementType)
+
+
+def _has_key(names: Sequence[str]) -> Callable[[Column], Column]:
+    return lambda entry: F.lower(entry["key"].cast("string")).isin(list(names))
+
+
 def _picked(column: Column, name: str) -> Column:
     return F.transform(column, lambda item: item[name])
 
@@ -89,7 +133,7 @@ def type_table(df: DataFrame, mask_devices: bool = False, extra: Mapping[str, st
 def column_types(df: DataFrame, mask_devices: bool = False, extra: Mapping[str, str] | None = None) -> dict[str, str]:
     """The fields of this table that carry identifiers, and of which type."""
     known = type_table(df, mask_devices, extra)
-    return {leaf.name: known[leaf.name.lower()] for leaf in leaves(df) if leaf.name.lower() in known}
+    return {x.name: x.type_of(known) for x in leaves(df, {}) if x.type_of(known)}
 
 
 def _is_device(columns: Sequence[str]) -> bool:
@@ -101,11 +145,11 @@ def kept_values(df: DataFrame) -> Column | None:
     in it; None where the table has no such field."""
     parts = []
     names = [*fv.DEVICE_COLUMNS, *(["name"] if _is_device(df.columns) else [])]
-    for leaf in leaves(df):
-        if leaf.name.lower() == "devvds":
+    for leaf in leaves(df, {"device": names, "domains": ["devvds"]}):
+        if leaf.kind == "domains" or leaf.kind is None and leaf.name.lower() == "devvds":
             cut = F.flatten(F.transform(leaf.texts(), lambda v: F.split(v, ",")))
             parts.append(F.transform(cut, lambda p: F.trim(F.regexp_replace(p, r"\[[^\[\]]*\]$", ""))))
-        elif leaf.name.lower() in names:
+        elif leaf.kind == "device" or leaf.kind is None and leaf.name.lower() in names:
             # A list is already split; one text may hold several names.
             cut = leaf.texts() if leaf.listed else F.split(F.coalesce(leaf.column, F.lit("")), ",")
             parts.append(F.transform(cut, lambda p: F.trim(p)))
@@ -222,8 +266,11 @@ def mask_table(
     keep = None if mask_devices else kept_values(df)
     if keep is not None:
         staged, keep = staged.withColumn("_keep", keep), F.col("_keep")
-    sources = [x for x in leaves(df) if known.get(x.name.lower(), "text") != "text"]
-    prose = any(known.get(x.name.lower()) == "text" for x in leaves(df))
+    if any(isinstance(f.dataType, T.VariantType) for f in df.schema.fields):
+        raise PlanError("a variant column cannot be walked; read it as a struct or a map before masking")
+    found = leaves(df, keys_by_type(known))
+    sources = [x for x in found if (x.type_of(known) or "text") != "text"]
+    prose = any(x.type_of(known) == "text" for x in found)
     pairs = None
     if substitute and sources and prose:
         staged = staged.withColumn("_pairs", _record_pairs(tokens, sources, known, keep))
@@ -282,10 +329,23 @@ class _Masker:
                 return targets(self.tokens, column, self.keep)
             if folded == "filter_applied" and isinstance(inner, T.ArrayType):
                 return F.transform(column, self._condition)
-            if isinstance(inner, (T.StringType, T.StructType, T.ArrayType)):
+            if isinstance(inner, (T.StringType, T.StructType, T.ArrayType, T.MapType)):
                 return F.transform(column, lambda item: self.value(name, item, inner))
+        if isinstance(dtype, T.MapType):
+            return F.transform_values(column, lambda key, item: self._under(F.lower(key.cast("string")), item, dtype.valueType, folded))
         return column
 
+    def _under(self, key: Column, item: Column, dtype: T.DataType, holder: str) -> Column:
+        """A map's value, masked as a field of its key's name; keys of no type leave it to the map's own name."""
+        if not _is_text(dtype):
+            return self.value(holder, item, dtype)
+        shown = self.value(holder, item, dtype)
+        for names in keys_by_type({n: t for n, t in self.types.items() if n not in URL_COLUMNS}).values():
+            shown = F.when(key.isin(names), self.value(names[0], item, dtype)).otherwise(shown)
+        for name in URL_COLUMNS:
+            shown = F.when(key == name, self.value(name, item, dtype)).otherwise(shown)
+        return shown
+
     def _text(self, name: str, column: Column) -> Column:
         k, kind = self.tokens, self.types.get(name)
         if name in URL_COLUMNS:
@@ -323,7 +383,7 @@ def _record_pairs(tokens: Tokenizer, sources: Sequence[Leaf], types: Mapping[str
     pairs = []
     for leaf in sources:
         parts = F.flatten(F.transform(leaf.texts(), lambda v: F.split(v, ",")))
-        pairs.append(F.transform(parts, _pair_of(tokens, types[leaf.name.lower()], keep)))
+        pairs.append(F.transform(parts, _pair_of(tokens, leaf.type_of(types), keep)))
     return F.array_distinct(F.filter(F.concat(*pairs), lambda p: p["raw"] != p["token"]))
 
 
@@ -376,16 +436,16 @@ def dictionary(
     run once per distinct value.  This table is the secret: write it to a place of its
     own.
     """
-    types = dict(column_types(df, mask_devices) if types is None else types)
+    types = dict(type_table(df, mask_devices) if types is None else {n.lower(): t for n, t in types.items()})
     keep, staged = None if mask_devices else kept_values(df), df
     if keep is not None:
         staged, keep = df.withColumn("_keep", keep), F.col("_keep")
     values: list[Column] = []
     found: list[Column] = []
-    for leaf in leaves(df):
-        kind = types.get(leaf.name)
-        if leaf.name in URL_COLUMNS and not leaf.listed:
-            values += _url_values(leaf.column, URL_COLUMNS[leaf.name] == "url_full", keep)
+    for leaf in leaves(df, keys_by_type(types)):
+        kind = leaf.type_of(types)
+        if leaf.name.lower() in URL_COLUMNS and not leaf.listed:
+            values += _url_values(leaf.column, URL_COLUMNS[leaf.name.lower()] == "url_full", keep)
         elif kind == "text":
             texts = leaf.texts()
             found += [F.flatten(F.transform(texts, _matched(p, k))) for k, p in PATTERNS.items()]
@@ -526,22 +586,44 @@ def unmask_conditions(conditions: Sequence[Condition], words: DataFrame, vocab:
 _WORD = r"[^\s,;()\[\]{}<>\"'=|/.:!?](?:[^\s,;()\[\]{}<>\"'=|/]*[^\s,;()\[\]{}<>\"'=|/.:!?])?"
 
 
+def _normal(text: Column) -> Column:
+    """The words of a text, one blank between them."""
+    return F.array_join(matches(F.lower(text), _WORD), " ")
+
+
 def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> DataFrame:
     """``(column, type, raw)`` of raw identifiers that a masked table still shows.
 
     Whole values, and inside texts the addresses, MACs and e-mails, are joined by
     equality with the dictionary.  Texts are taken apart word by word only where the
-    table has columns of names, which no pattern finds.  An empty result is a pass.
+    table has columns of names, which no pattern finds; raw values of several words are
+    looked for as runs of as many words.  A map's values count under its name.  An
+    empty result is a pass.
     """
     shown = [leaf for leaf in leaves(masked) if leaf.name not in skip]
     if not shown:
         raise PlanError("the table has no text to check")
     types = column_types(masked)
-    named = bool(set(types.values()) - {"text", *PATTERNS}) or any(x.name in URL_COLUMNS for x in shown)
+    mapped = any(isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType)) for f in masked.schema.fields)
+    named = mapped or bool(set(types.values()) - {"text", *PATTERNS}) or any(x.name in URL_COLUMNS for x in shown)
     patterns = [*PATTERNS.values(), *([_WORD] if named else [])]
+    # How many words raw values have, where it is more than one: a handful of numbers.
+    several = words.select(F.size(matches(F.lower("raw"), _WORD)).alias("n")).where("n > 1")
+    masked = masked.withColumn("_runs", several.agg(F.sort_array(F.collect_set("n"))).scalar()) if named else masked
+
+    def runs(text: Column) -> Column:
+        def of(found: Column) -> Column:
+            return F.flatten(
+                F.transform(
+                    F.filter("_runs", lambda n: n <= F.size(found)),
+                    lambda n: F.transform(F.sequence(F.lit(1), F.size(found) - n + 1), lambda i: F.array_join(F.slice(found, i, n), " ")),
+                )
+            )
+
+        return F.when(F.size("_runs") > 0, let(matches(text, _WORD), of)).otherwise(F.array().cast("array<string>"))
 
     def taken_apart(text: Column) -> Column:
-        return F.concat(F.array(text), *(matches(text, p) for p in patterns))
+        return F.concat(F.array(text), *(matches(text, p) for p in patterns), *([runs(text)] if named else []))
 
     # Short columns are made distinct before they are taken apart; texts are not worth
     # shuffling whole, so only their pieces are.
@@ -549,7 +631,9 @@ def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> Data
     parts: list[DataFrame] = []
     if short:
         pairs = F.array(*(F.struct(F.lit(x.name).alias("column"), F.lower(x.column).alias("whole")) for x in short))
-        distinct = masked.select(F.inline(pairs)).where(F.col("whole").isNotNull()).distinct()
+        # The run lengths are one value for the whole table.
+        kept_runs = ["_runs"] if named else []
+        distinct = masked.select(*kept_runs, F.inline(pairs)).where(F.col("whole").isNotNull()).distinct()
         parts.append(distinct.select("column", F.explode(taken_apart(F.col("whole"))).alias("seen")))
     long = [x for x in shown if x not in short]
     if long:
@@ -561,6 +645,8 @@ def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> Data
         parts.append(masked.select(F.inline(F.concat(*listed))))
     seen = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).distinct()
     raws = words.select("type", "raw", F.lower("raw").alias("seen"))
+    if named:
+        raws = raws.unionByName(words.select("type", "raw", _normal(F.col("raw")).alias("seen")).where(F.col("seen").contains(" "))).distinct()
     return seen.join(raws, "seen").select("column", "type", "raw").distinct()
 
 

@@ -116,8 +116,30 @@ def test_spellings_that_differ_only_by_case_are_burned(spark, k):
     assert got == f"{token('user', 'username', 'Anna')} {token('user', 'username', 'anna')} {burned('ANNA')}"
 
 
-def test_short_values_are_not_substituted(spark, k):
-    assert one(spark, k, "user string, msg string", ("bob", "bob and bobby"))["msg"] == "bob and bobby"
+def test_short_values_are_substituted_as_whole_words(spark, k):
+    row = one(spark, k, "user string, msg string", ("bob", "bob and bobby"))
+    assert row["msg"] == f"{row['user']} and bobby"
+
+
+def test_maps_are_masked_by_their_keys(spark, k):
+    row = one(
+        spark, k, "srcip string, user string, event_details map<string,string>, many array<map<string,array<string>>>, deep map<string,struct<user:string>>",
+        ("10.0.0.1", "anna", {"srcip": "10.0.0.1", "USER": "anna", "level": "high", "msg": "anna from 10.0.0.1"}, [{"srcip": ["10.0.0.1"]}], {"x": ("anna",)}),
+    )
+    told = row["event_details"]
+    assert (told["srcip"], told["USER"], told["level"]) == (row["srcip"], row["user"], "high")
+    assert told["msg"] == f"{row['user']} from {row['srcip']}"
+    assert row["many"][0]["srcip"] == [row["srcip"]] and row["deep"]["x"]["user"] == row["user"]
+
+
+def test_leaks_in_maps_and_of_names_of_several_words(spark, k):
+    df = spark.createDataFrame([("John Smith", {"user": "anna", "srcip": "10.0.0.9"})], "user string, details map<string,string>")
+    words = masking.dictionary(df, k)
+    assert {r["raw"] for r in words.collect()} == {"John Smith", "anna", "10.0.0.9"}
+    shown = spark.createDataFrame([("call john  SMITH, now", {"note": "by anna (10.0.0.9)"})], "msg string, details map<string,string>")
+    found = {(r["column"], r["raw"]) for r in masking.leaks(shown, words).collect()}
+    assert found == {("msg", "John Smith"), ("details", "anna"), ("details", "10.0.0.9")}
+    assert masking.leaks(masking.mask_table(df, k), words).count() == 0
 
 
 def test_values_with_pattern_characters(spark, k):
