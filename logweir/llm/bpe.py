@@ -23,10 +23,12 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logweir.llm.common import in_small_batches
+
 #: Words a worker remembers, bytes of new words in one query, characters of texts at a time: bounds on memory, without effect on results.
-KEPT_WORDS = 300_000
-QUERY_BYTES = 500_000
-QUERY_CHARS = 4_000_000
+KEPT_WORDS = 120_000
+QUERY_BYTES = 250_000
+QUERY_CHARS = 1_000_000
 
 #: Words up to this many bytes contract one pair in a round; longer ones all places of their smallest rank.
 SHORT = 64
@@ -99,7 +101,7 @@ class Coder:
             for cut in range(1, len(token))
             if token[:cut] in ranks and token[cut:] in ranks
         ]
-        self.db = duckdb.connect(config={"threads": "1", "memory_limit": "500MB"})
+        self.db = duckdb.connect(config={"threads": "1", "memory_limit": "100MB"})
         self._table("merges", pair=[p for p, _ in pairs], rank=pa.array([r for _, r in pairs], pa.int32()))
         self._table("vocabulary", id=pa.array(list(ranks.values()), pa.int32()), hex=[t.hex() for t in ranks])
         #: Words of two generations: those of the last one that come again move to the new one, the rest is forgotten.
@@ -211,7 +213,7 @@ def encode(documents: DataFrame, path: str, pattern: str, key: str = "doc_id", t
                     yield pa.RecordBatch.from_arrays([keys.slice(at, len(texts)), *coder.encode(texts)], ["id", "ids", "decoded"])
                     texts, size, at = [], 0, i
 
-    chosen = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    chosen = in_small_batches(documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")))
     return chosen.mapInArrow(run, f"id {chosen.schema['id'].dataType.simpleString()}, ids array<int>, decoded binary")
 
 
@@ -224,5 +226,5 @@ def decode(encoded: DataFrame, path: str, pattern: str, key: str = "id", ids: st
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coder.decode(batch.column(1)), pa.binary())], ["id", "decoded"])
 
-    chosen = encoded.select(F.col(key).alias("id"), F.col(ids).cast("array<int>").alias("ids"))
+    chosen = in_small_batches(encoded).select(F.col(key).alias("id"), F.col(ids).cast("array<int>").alias("ids"))
     return chosen.mapInArrow(run, f"id {chosen.schema['id'].dataType.simpleString()}, decoded binary")

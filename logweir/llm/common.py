@@ -40,6 +40,19 @@ def written(frame: DataFrame, compression: str = "snappy") -> DataFrame:
     return spark.read.schema(frame.schema).parquet(path)
 
 
+#: Rows of an Arrow batch, instead of Spark's 10,000: texts may be long, and a batch is held whole on both sides.
+BATCH_ROWS = 1_000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def in_small_batches(frame: DataFrame) -> DataFrame:
+    """``frame`` as it is, in a session whose Arrow batches are bounded for texts; a setting of the user's stays."""
+    spark = frame.sparkSession
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    return frame
+
+
 def held_out(key: str | Column) -> Column:
     """True where crc32 of the id's text leaves the remainder that is kept for tests; false for null."""
     column = F.col(key) if isinstance(key, str) else key

@@ -18,11 +18,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from logweir.llm.common import held_out
+from logweir.llm.common import held_out, in_small_batches
 
 #: Rows and symbols learned from for each language: the documented bound of the sample.
 SAMPLE_ROWS = 40
-SAMPLE_SYMBOLS = 16_000
+SAMPLE_SYMBOLS = 12_000
 PIECE = 2_048
 UNKNOWN = "und"
 #: Symbols parsed at a time, which bounds memory.
@@ -216,7 +216,7 @@ def identify(documents: DataFrame, models: Parser, key: str = "doc_id", text: st
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), *_decided(shared.value, batch.column(1).to_pylist())], ["id", "lang_pred", "score"])
 
-    chosen = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    chosen = in_small_batches(documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")))
     return chosen.mapInArrow(run, f"id {chosen.schema['id'].dataType.simpleString()}, lang_pred string, score double")
 
 
@@ -229,5 +229,5 @@ def accepted(documents: DataFrame, models: Parser, text: str = "text", label: st
         return _decided(shared.value, texts.to_pylist())[0]
 
     names = documents.columns
-    found = documents.withColumn("_language", language(F.col(text).cast("string"))).where(F.col("_language") != UNKNOWN)
+    found = in_small_batches(documents).withColumn("_language", language(F.col(text).cast("string"))).where(F.col("_language") != UNKNOWN)
     return found.withColumn(label, F.coalesce(F.col(label), F.col("_language"))).select(*names)

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweir.llm.common import in_small_batches
 from logweir.llm.decontam import words_of
 
 #: Words of the shared vocabulary, with the start of a text and all other words.
@@ -85,7 +86,7 @@ def score(documents: DataFrame, marked: DataFrame, key: str = "doc_id", text: st
     target.  A text without words has no tokens and zeros.  Repeated rows are kept and count as often as they stand.
     """
     spark = documents.sparkSession
-    chosen = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    chosen = in_small_batches(documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")))
     names = marked.select(F.col(key).alias("id")).where("id is not null").distinct().withColumn("marked", F.lit(True))
     known = vocabulary(chosen)
     # Marked documents grow with all documents, so they meet in a merge join at every size.

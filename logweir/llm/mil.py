@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweir.llm.common import held_out
+from logweir.llm.common import held_out, in_small_batches
 
 #: Labelled documents of each label that are learned from, and features kept: the documented bounds of the sample.
 SAMPLE_ROWS = 4_000
@@ -174,7 +174,7 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     chosen = marks.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_ROWS).select("id", "toxic")
     texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null")
     # At most twice SAMPLE_ROWS ids.
-    rows = texts.join(F.broadcast(chosen), "id").select("text", "toxic")
+    rows = in_small_batches(texts).join(F.broadcast(chosen), "id").select("text", "toxic")
     total = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
     if not total.get(1) or not total.get(0):
         return Model([])
@@ -217,5 +217,5 @@ def score(documents: DataFrame, model: Model, key: str = "doc_id", text: str = "
                 spans.append(_spans(value or "", bad))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(spans, kind)], ["id", "score", "sentences"])
 
-    chosen = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    chosen = in_small_batches(documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")))
     return chosen.mapInArrow(run, f"id {chosen.schema['id'].dataType.simpleString()}, score double, sentences array<struct<start:int,end:int,probability:double>>")

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from logweir.llm.common import written
+from logweir.llm.common import in_small_batches, written
 from logweir.llm.graph import components
 
 LIMIT = 4
@@ -89,7 +89,7 @@ def fingerprint_of(texts: pa.Array) -> pa.Array:
 
 def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(id, fp) of every row; other columns are not read."""
-    return documents.select(F.col(key).alias("id"), fingerprint_of(F.col(text)).alias("fp"))
+    return in_small_batches(documents).select(F.col(key).alias("id"), fingerprint_of(F.col(text)).alias("fp"))
 
 
 def _keyed(fps: DataFrame) -> DataFrame:

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from logweir.llm.common import in_small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
 #: Documents learned from (the documented bound), the weight of what was not seen, and messages passed at most.
@@ -244,7 +246,7 @@ def train(documents: DataFrame, text: str = "text") -> Field:
 
     What comes to the driver are counts by shape, of which there is a bounded number.
     """
-    rows = documents.select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
+    rows = in_small_batches(documents).select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
     hashes = rows.select(F.xxhash64("text").alias("h")).orderBy("h").limit(SAMPLE_ROWS)
     bound = hashes.agg(F.max("h")).first()[0]
     if bound is None:
@@ -272,7 +274,7 @@ def find(documents: DataFrame, field: Field, key: str = "doc_id", text: str = "t
             ]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, kind)], ["id", "spans"])
 
-    chosen = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    chosen = in_small_batches(documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")))
     return chosen.mapInArrow(
         run, f"id {chosen.schema['id'].dataType.simpleString()}, spans array<struct<kind:string,start:int,end:int,base:boolean,probability:double>>"
     )
@@ -284,9 +286,9 @@ def redact(documents: DataFrame, field: Field, text: str = "text") -> DataFrame:
 
     @F.arrow_udf(StringType())
     def cleaned(texts: pa.Array) -> pa.Array:
-        return pa.array([None if t is None else replaced(t, shared.value.spans(t)) for t in texts.to_pylist()], pa.string())
+        return pa.array([None if t is None else replaced(t, shared.value.spans(t)) for t in (x.as_py() for x in texts)], pa.string())
 
-    return documents.withColumn(text, cleaned(F.col(text)))
+    return in_small_batches(documents).withColumn(text, cleaned(F.col(text)))
 
 
 def replaced(text: str, spans: list[tuple[int, int, int, bool, float]]) -> str:

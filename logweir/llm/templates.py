@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logweir.llm.common import in_small_batches
+
 # The phrases and labels of the base scan.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
@@ -182,7 +184,7 @@ def scan(
                 places.append([dict(zip(("label", "start", "end", "base"), x, strict=True)) for x in found])
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(places, kind)], ["id", "n_words", "matches"])
 
-    chosen = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"))
+    chosen = in_small_batches(documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")))
     return chosen.mapInArrow(
         run, f"id {chosen.schema['id'].dataType.simpleString()}, n_words long, matches array<struct<label:string,start:long,end:long,base:boolean>>"
     )
