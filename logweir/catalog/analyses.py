@@ -55,7 +55,7 @@ def _critical(t: Tables) -> DataFrame:
     *_PAIR_VIEWS,
 )
 def _(t):
-    found = bundles.incidents(t.incident, t.alert, t.attachment)
+    found = bundles.incidents(t.incident, t.alert, t.attachment, keep=t.kept)
     return _items(found, incidents="incid status alert_count correlation_basis", correlated_alerts="incid alertid basis severity")
 
 
@@ -229,7 +229,7 @@ def _(t):
     *_PAIR_VIEWS,
 )
 def _(t):
-    found = bundles.triage_incidents(t.incident, t.incident, t.alert, t.attachment)
+    found = bundles.triage_incidents(t.incident, t.incident, t.alert, t.attachment, keep=t.kept)
     return _items(found, subject="incid severity category", related="incid alertid basis severity")
 
 
@@ -243,7 +243,7 @@ _SUMMARY = dict(
 
 @query("n13_incident_summary", f"{_PAIRS} " + _listed(**_SUMMARY), *_PAIR_VIEWS, "traffic")
 def _(t):
-    found = bundles.incident_summary(t.incident, t.incident, t.alert, t.attachment, t.traffic)
+    found = bundles.incident_summary(t.incident, t.incident, t.alert, t.attachment, t.traffic, keep=t.kept)
     return _items(found, incident="incid alert_count correlation_basis", alerts="incid alertid basis", evidence_logs="alertid sessionid", timeline="case_id source reference")
 
 
@@ -299,7 +299,7 @@ def _(t):
     *_ESTATE_VIEWS,
 )
 def _(t):
-    found = bundles.investigate(t.incident.where(F.col("severity") == "high"), _estate(t), kind="incident")
+    found = bundles.investigate(t.incident.where(F.col("severity") == "high"), _estate(t), kind="incident", keep=t.kept)
     return _items(found, triage__subject="incid severity", triage__related="alertid incid", assets__endpoints="epid epname", **_FOUND_COLUMNS)
 
 
@@ -375,7 +375,7 @@ def _(t):
     "traffic",
 )
 def _(t):
-    found = bundles.investigate_deep(t.incident.where(F.col("severity") == "high"), _estate(t), _YEAR_TEXT, kind="incident")
+    found = bundles.investigate_deep(t.incident.where(F.col("severity") == "high"), _estate(t), _YEAR_TEXT, kind="incident", keep=t.kept)
     return found["root_cause.chain"].select("case_id", "source", "reference")
 
 

@@ -184,22 +184,22 @@ def _volume_sql(key: str, source: str, tail: str = "ORDER BY bandwidth DESC, 1 L
 )
 def _(t):
     rows = YEAR.filter(t.traffic).where(policy_scope([1, 2, 3], "accept"))
-    return views.view(rows, "top-sources").df
+    return views.view(rows, "top-sources", limit=100).df
 
 
 @query("f9_top_destinations", _volume_sql("dstip", "traffic"), "traffic")
 def _(t):
-    return views.view(t.traffic, "top-destinations").df
+    return views.view(t.traffic, "top-destinations", limit=100).df
 
 
 @query("f10_top_applications", _volume_sql("appcat AS app_group", "traffic"), "traffic")
 def _(t):
-    return views.view(t.traffic, "top-applications").df
+    return views.view(t.traffic, "top-applications", limit=100).df
 
 
 @query("f11_top_websites", _volume_sql("catdesc", "webfilter"), "webfilter")
 def _(t):
-    return views.view(t.webfilter, "top-websites").df
+    return views.view(t.webfilter, "top-websites", limit=100).df
 
 
 @query(
@@ -242,7 +242,7 @@ def _(t):
     "traffic",
 )
 def _(t):
-    return views.view_groups(t.traffic, "policy-line")
+    return views.view(t.traffic, "policy-line").df
 
 
 @query(

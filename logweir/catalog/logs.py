@@ -8,7 +8,6 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from logweir.catalog.registry import Tables, query
-from logweir.catalog.streams import run_folder
 from logweir.catalog.views import nested_endpoints
 from logweir.functions import coercion, derived
 from logweir.functions import predicates as P
@@ -49,7 +48,7 @@ def _filtered(name: str, predicate: str, *conditions: Condition) -> None:
     "event",
 )
 def _(t):
-    folder = run_folder(t)
+    folder = t.folder()
     S.write_logs(S.union_logs({"attack": t.attack, "dns": t.dns, "event": t.event}, ["itime", "srcip"]), folder)
     return S.read_logs(t.spark, folder, "anomaly").select("logtype", "itime", "srcip")
 
@@ -128,7 +127,7 @@ def _(t):
 @query("a6_report_export", "SELECT tid, title, state FROM report", "report")
 def _(t):
     rows = t.report.select("tid", "title", "state")
-    folder = run_folder(t)
+    folder = t.folder()
     E.export(rows, folder, "csv")
     return t.spark.read.schema(rows.schema).option("header", True).csv(folder)
 

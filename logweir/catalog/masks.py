@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logweir.catalog.registry import query
-from logweir.catalog.streams import run_folder
 from logweir.functions import text
 from logweir.functions.tokens import _HEX, _LETTERS, PREFIXES, TOKEN_LENGTH, Tokenizer, key_id, subkey
 from logweir.operators import masking
@@ -305,18 +304,11 @@ def _(t):
 # --- back --------------------------------------------------------------------
 
 
-def _kept_apart(t, words):
-    """The dictionary as a table of its own: built once, and of a known size for the joins with it."""
-    folder = run_folder(t)
-    words.write.parquet(folder)
-    return t.spark.read.schema(words.schema).parquet(folder)
-
-
 @query("l11_unmask", "SELECT sessionid, srcip, dstip, \"user\" FROM traffic", "traffic")
 def _(t):
     k = _tokens(t)
     rows = t.traffic.select("sessionid", "srcip", "dstip", "user")
-    masked, words = masking.mask_table(rows, k), _kept_apart(t, masking.dictionary(rows, k))
+    masked, words = masking.mask_table(rows, k), t.kept(masking.dictionary(rows, k))
     for name in ("srcip", "dstip", "user"):
         masked = masking.unmask_column(masked, words, name)
     return masked

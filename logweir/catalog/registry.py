@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +27,23 @@ class Tables:
             raise AttributeError(name)
         return view(self.spark, self.sf_dir, name)
 
+    def folder(self) -> str:
+        """A folder of this run under the shared checkpoint folder.
+
+        A session that names none gets one, which holds for all its runs.
+        """
+        base = self.spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            base = tempfile.mkdtemp(prefix="logweir-")
+            self.spark.conf.set("spark.checkpoint.dir", base)
+        return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"
+
+    def kept(self, df: DataFrame) -> DataFrame:
+        """The rows as a table of their own: built once, and of a known size for joins with it."""
+        folder = self.folder()
+        df.write.parquet(folder)
+        return self.spark.read.schema(df.schema).parquet(folder)
+
     def raw(self, table: str) -> DataFrame:
         return load(self.spark, self.sf_dir, table)
 

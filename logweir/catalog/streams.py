@@ -2,27 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 
 from logweir.catalog.registry import Tables, query
 from logweir.streaming import counts
 
 
-def run_folder(t: Tables) -> str:
-    """A folder of this run under the shared checkpoint folder.
-
-    A session that names none gets one, which holds for all its runs.
-    """
-    base = t.spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = tempfile.mkdtemp(prefix="logweir-")
-        t.spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/stream-{uuid.uuid4().hex}"
-
-
 def _arriving(t: Tables) -> DataFrame:
     schema = t.raw("events").schema
     files = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
@@ -34,7 +19,7 @@ def _arriving(t: Tables) -> DataFrame:
     "SELECT date_trunc('hour', ts) AS bucket, event_type, count(*) AS hits FROM events GROUP BY 1, 2",
 )
 def _(t):
-    folder = run_folder(t)
+    folder = t.folder()
     counted = counts.hourly_counts(_arriving(t), ["event_type"])
     counts.upsert_files(counted, f"{folder}/state", f"{folder}/out").awaitTermination()
     return counts.latest_counts(t.spark, f"{folder}/out", ["event_type"])
@@ -46,7 +31,7 @@ def _(t):
     "HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) - INTERVAL 2 DAY FROM events)",
 )
 def _(t):
-    folder = run_folder(t)
+    folder = t.folder()
     counted = counts.hourly_counts(_arriving(t), ["event_type"], late="2 days")
     counts.write_once(counted, f"{folder}/state", "append", path=f"{folder}/out").awaitTermination()
     return t.spark.read.parquet(f"{folder}/out")

@@ -26,6 +26,14 @@ from logweir.plans.vocabulary import Vocabulary
 from logweir.sources.entities import report_history
 
 
+#: How a frame that several sections read is held: written as a table, persisted, or (the default) planned again.
+Keep = Callable[[DataFrame], DataFrame]
+
+
+def _planned_again(df: DataFrame) -> DataFrame:
+    return df
+
+
 class SubjectMissing(RuntimeError):
     """The subject of an analysis, or all of its sections, could not be planned."""
 
@@ -68,10 +76,12 @@ class Bundle:
         return self.sections[name]
 
 
-def incidents(incidents: DataFrame, alerts: DataFrame, attachments: DataFrame, window: tw.TimeWindow | None = None) -> Bundle:
+def incidents(
+    incidents: DataFrame, alerts: DataFrame, attachments: DataFrame, window: tw.TimeWindow | None = None, keep: Keep = _planned_again
+) -> Bundle:
     """Incidents of a window with the alerts that belong to them."""
     chosen = incidents if window is None else window.filter(incidents, "createtime")
-    pairs = linkage.correlate(chosen, alerts, attachments)
+    pairs = keep(linkage.correlate(chosen, alerts, attachments))
     return (
         Bundle()
         .add("incidents", lambda: linkage.incident_records(chosen, pairs))
@@ -208,7 +218,7 @@ def network_context(
     vpn = tw.anchored_window(vpn_range or tw.floor_window(time_range), anchor, now)
     out = Bundle()
     for name in ("top-sources", "top-destinations", "top-countries"):
-        out.add(name, lambda name=name: views.view(rows, name, limit=limit).df)
+        out.add(name, lambda name=name: views.view(rows, name, "bandwidth", limit).df)
     return out.add(
         "site-to-site-ipsec", lambda: views.view(vpn.filter(events), "site-to-site-ipsec", limit=limit).df
     ).done()
@@ -264,7 +274,12 @@ def triage_alerts(
 
 
 def triage_incidents(
-    subjects: DataFrame, incidents: DataFrame, alerts: DataFrame, attachments: DataFrame, window: tw.TimeWindow | None = None
+    subjects: DataFrame,
+    incidents: DataFrame,
+    alerts: DataFrame,
+    attachments: DataFrame,
+    window: tw.TimeWindow | None = None,
+    keep: Keep = _planned_again,
 ) -> Bundle:
     """Incidents with priority, their alerts and the counts around them."""
     chosen = incidents.join(subjects.select("incid").distinct(), "incid", "left_semi")
@@ -272,7 +287,7 @@ def triage_incidents(
         df if window is None else window.filter(df, moment)
         for df, moment in ((alerts, "alerttime"), (incidents, "createtime"))
     ]
-    pairs = linkage.correlate(chosen, alerts, attachments)
+    pairs = keep(linkage.correlate(chosen, alerts, attachments))
     return (
         Bundle()
         .add("subject", lambda: scoring.triage(chosen, "incident"))
@@ -290,10 +305,11 @@ def incident_summary(
     logs: DataFrame,
     attacks: DataFrame | None = None,
     per_alert: int | None = None,
+    keep: Keep = _planned_again,
 ) -> Bundle:
     """Per incident: alerts, their logs, the threat ranking and one timeline."""
     chosen = incidents.join(subjects.select("incid").distinct(), "incid", "left_semi")
-    pairs = linkage.correlate(chosen, alerts, attachments)
+    pairs = keep(linkage.correlate(chosen, alerts, attachments))
     linked = pairs.join(alerts, "alertid")
     out = (
         Bundle()
@@ -366,6 +382,7 @@ def investigate(
     trigger_logs: str = "traffic",
     kind: str = "alert",
     window: tw.TimeWindow | None = None,
+    keep: Keep = _planned_again,
 ) -> Bundle:
     """Alerts or incidents from triage to reputation, endpoints and users, with a
     headline each.
@@ -383,13 +400,17 @@ def investigate(
         alerts, cases = triage["subject"], triage["related"].select("incid").distinct()
         subject, key = alerts, "alertid"
     elif kind == "incident":
-        triage = triage_incidents(subjects, e.incidents, e.alerts, e.attachments, window)
+        triage = triage_incidents(subjects, e.incidents, e.alerts, e.attachments, window, keep)
         alerts, cases = triage["related"], subjects.select("incid").distinct()
         subject, key = triage["subject"], "incid"
     else:
         raise PlanError(f"an investigation starts from an alert or an incident, not from '{kind}'")
     out.include(triage, "triage")
-    out.include(incident_summary(cases, e.incidents, e.alerts, e.attachments, trigger, attacks) if trigger is not None else Bundle().gap("evidence_logs", "no log table"), "summary")
+    if trigger is None:
+        summary = Bundle().gap("evidence_logs", "no log table")
+    else:
+        summary = incident_summary(cases, e.incidents, e.alerts, e.attachments, trigger, attacks, keep=keep)
+    out.include(summary, "summary")
     try:
         linked = linked_indicators(e.indicators, alerts, cases)
     except PlanError as problem:
@@ -511,6 +532,7 @@ def investigate_deep(
     per_entity: int | None = None,
     kind: str = "alert",
     widest: str | None = None,
+    keep: Keep = _planned_again,
 ) -> Bundle:
     """An investigation, the chain back to the earliest signal, and what the entities
     it touches did elsewhere.
@@ -531,7 +553,7 @@ def investigate_deep(
         pivots, line = _entity_pivots(subjects, e)
         return _impact(out, pivots, logs, per_entity).add("headline", lambda: line).done()
 
-    base = investigate(subjects, e, trigger_logs, kind, window)
+    base = investigate(subjects, e, trigger_logs, kind, window, keep)
     out.include(base, "base")
     judged, related = base["triage.subject"], base["triage.related"]
     if kind == "alert":

@@ -25,15 +25,3 @@ def build_session(app: str = "logweir", master: str | None = None, **conf: str)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
-
-
-def checkpoint_folder(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder the cluster names, or ``fallback`` where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if folder:
-        return folder
-    if fallback is None:
-        raise ValueError("spark.checkpoint.dir is not set; name a shared folder")
-    return fallback

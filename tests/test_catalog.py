@@ -60,6 +60,21 @@ def test_results_hold_without_broadcasts(spark, small, oracle, name):
     assert ok, told
 
 
+@pytest.mark.parametrize("name", ["f12_top_threats", "f9_top_sources", "f16_policy_line", "h8_indicator_sweep", "h9_lateral", "f21_time_buckets"])
+def test_logs_are_not_sorted_to_be_aggregated(spark, small, name):
+    plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    # A text maximum may sort the few groups that a hash aggregation has made, never the rows of a scan.
+    assert plan.count("HashAggregate") >= plan.count("SortAggregate"), name
+    if name != "f12_top_threats":
+        assert "SortAggregate" not in plan
+
+
+def test_sweeps_filter_before_they_shuffle(spark, small):
+    plan = QUERIES["h8_indicator_sweep"](spark, small)._jdf.queryExecution().executedPlan().toString()
+    counted = plan.index("partial_count")
+    assert "LeftSemi" in plan[counted:]
+
+
 def test_windows_reach_the_scan(spark, small):
     plan = QUERIES["f9_top_sources"](spark, small)._jdf.queryExecution().executedPlan().toString()
     pushed = plan.split("PushedFilters: ")[1].split("ReadSchema")[0]
