@@ -23,6 +23,7 @@ def replace_each(text: Column, pattern: Column | str, swap: Callable[[Column], C
     The pieces between matches and the matches themselves are cut by the same
     pattern and joined again, so nothing is matched twice and the text is whole.
     """
+    sign = SIGNS.get(pattern) if isinstance(pattern, str) else None
     pattern = F.lit(pattern) if isinstance(pattern, str) else pattern
 
     def rejoined(whole: Column, found: Column) -> Column:
@@ -33,13 +34,26 @@ def replace_each(text: Column, pattern: Column | str, swap: Callable[[Column], C
         return F.when(F.size(found) > 0, F.array_join(joined, "")).otherwise(whole)
 
     def in_text(whole: Column) -> Column:
-        return let(F.regexp_extract_all(whole, pattern, F.lit(0)), lambda found: rejoined(whole, found))
+        swapped = let(F.regexp_extract_all(whole, pattern, F.lit(0)), lambda found: rejoined(whole, found))
+        return swapped if sign is None else F.when(sign(whole), swapped).otherwise(whole)
 
     return let(text, in_text)
 
 
+#: What a text must hold for a pattern to match at all: a plain search, far cheaper than the pattern.
+SIGNS: dict[str, Callable[[Column], Column]] = {
+    fv.IPV4_PATTERN: lambda t: t.rlike(r"[0-9]\.[0-9]"),
+    fv.MAC_PATTERN: lambda t: t.rlike("[0-9A-Fa-f]{2}[:-]"),
+    fv.EMAIL_PATTERN: lambda t: t.contains("@"),
+}
+
+
 def matches(text: Column, pattern: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    if pattern not in SIGNS:
+        return found
+    none = F.when(text.isNotNull(), F.array().cast("array<string>"))
+    return F.when(SIGNS[pattern](text), found).otherwise(none)
 
 
 def quoted(value: Column) -> Column:
