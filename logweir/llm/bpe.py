@@ -23,11 +23,11 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm.common import in_small_batches
+from logweir.llm.common import in_small_batches, release_memory, worker_state
 
 #: Words a worker remembers, bytes of new words in one query, characters of texts at a time: bounds on memory, without effect on results.
 KEPT_WORDS = 120_000
-QUERY_BYTES = 250_000
+QUERY_BYTES = 150_000
 QUERY_CHARS = 1_000_000
 
 #: Words up to this many bytes contract one pair in a round; longer ones all places of their smallest rank.
@@ -177,15 +177,8 @@ class Coder:
         return [bytes.fromhex(found.get(i, "")) for i in range(len(lists))]
 
 
-_coders: dict[tuple[int, str], Coder] = {}
-
-
 def _coder(content: Broadcast, pattern: str) -> Coder:
-    key = (hash(content.value), pattern)
-    if key not in _coders:
-        _coders.clear()
-        _coders[key] = Coder(content.value, pattern)
-    return _coders[key]
+    return worker_state("bpe", (hash(content.value), pattern), lambda: Coder(content.value, pattern))
 
 
 def _vocabulary(spark: SparkSession, path: str) -> Broadcast:
@@ -212,6 +205,7 @@ def encode(documents: DataFrame, path: str, pattern: str, key: str = "doc_id", t
                 if size >= QUERY_CHARS or i == len(batch):
                     yield pa.RecordBatch.from_arrays([keys.slice(at, len(texts)), *coder.encode(texts)], ["id", "ids", "decoded"])
                     texts, size, at = [], 0, i
+        release_memory()
 
     chosen = in_small_batches(documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")))
     return chosen.mapInArrow(run, f"id {chosen.schema['id'].dataType.simpleString()}, ids array<int>, decoded binary")

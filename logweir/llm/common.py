@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
+from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +49,31 @@ BATCH_ROWS = 1_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
+_held: dict = {}
+
+
+def worker_state(name: str, key: object = None, make: Callable[[], object] = lambda: None) -> object:
+    """The state of operator ``name`` in this Python worker, made once for a ``key``.
+
+    Spark hands a worker on from task to task; the state of another operator is let go, so what the operators of a
+    pipeline hold does not add up.
+    """
+    if _held.get("of") != (name, key):
+        _held.clear()
+        release_memory()
+        _held.update(of=(name, key), state=make())
+    return _held["state"]
+
+
+def release_memory() -> None:
+    """Give unused memory of this worker back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def in_small_batches(frame: DataFrame) -> DataFrame:
     """``frame`` as it is, in a session whose Arrow batches are bounded for texts; a setting of the user's stays."""
     spark = frame.sparkSession

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from logweir.llm.common import held_out, in_small_batches
+from logweir.llm.common import held_out, in_small_batches, worker_state
 
 #: Rows and symbols learned from for each language: the documented bound of the sample.
 SAMPLE_ROWS = 40
@@ -192,6 +192,7 @@ def learn(documents: DataFrame, key: str = "doc_id", text: str = "text", label:
 
 def _decided(models: Parser, texts: list[str | None]) -> tuple[pa.Array, pa.Array]:
     """The language and the score of each text."""
+    worker_state("langid")
     names = np.array([*models.languages, UNKNOWN], object)
     bits = models.entropies(texts)
     known = ~np.isnan(bits).any(axis=1) & bool(models.languages)

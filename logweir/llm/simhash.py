@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from logweir.llm.common import in_small_batches, written
+from logweir.llm.common import in_small_batches, worker_state, written
 from logweir.llm.graph import components
 
 LIMIT = 4
@@ -31,6 +31,8 @@ SHINGLE = 4
 SEED = 42
 #: Shingle hashes whose bits are counted at a time, which bounds the memory of a long text.
 BLOCK = 1 << 15
+#: Fingerprints that one task makes keys of.
+TASK_ROWS = 8_192
 #: Hubs are chosen again while the pairs left are more than this many for each row of the open buckets.
 PAIRS_PER_ROW = 32
 
@@ -83,6 +85,7 @@ def fingerprint(text: bytes | None) -> int:
 @F.arrow_udf(LongType())
 def fingerprint_of(texts: pa.Array) -> pa.Array:
     """The fingerprint of each text as a signed long."""
+    worker_state("simhash")
     found = np.array([fingerprint(x.as_py()) for x in texts.cast(pa.binary())], np.uint64)
     return pa.array(found.view(np.int64))
 
@@ -130,7 +133,8 @@ def links(fps: DataFrame) -> DataFrame:
 
     ``copies`` only steers which member becomes a hub; the result does not depend on it.
     """
-    keyed = _keyed(fps)
+    # A task makes a bounded number of keys, most of them alone, which a partial aggregation would only hold.
+    keyed = _keyed(fps.repartition(fps.count() // TASK_ROWS + 1))
     buckets = written(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
     edges = buckets.where((F.col("n") == 2) & _near("a", "b")).select("a", "b")
     # Both sides grow with the input, so the join is a merge join at every size.

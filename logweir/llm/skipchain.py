@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from logweir.llm.common import in_small_batches
+from logweir.llm.common import in_small_batches, worker_state
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -286,6 +286,7 @@ def redact(documents: DataFrame, field: Field, text: str = "text") -> DataFrame:
 
     @F.arrow_udf(StringType())
     def cleaned(texts: pa.Array) -> pa.Array:
+        worker_state("skipchain")
         return pa.array([None if t is None else replaced(t, shared.value.spans(t)) for t in (x.as_py() for x in texts)], pa.string())
 
     return in_small_batches(documents).withColumn(text, cleaned(F.col(text)))
