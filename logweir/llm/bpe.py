@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from logweir.llm.common import in_small_batches, release_memory, worker_state
 
 #: Words a worker remembers, bytes of new words in one query, characters of texts at a time: bounds on memory, without effect on results.
-KEPT_WORDS = 120_000
-QUERY_BYTES = 150_000
-QUERY_CHARS = 1_000_000
+KEPT_WORDS = 300_000
+QUERY_BYTES = 300_000
+QUERY_CHARS = 2_000_000
 
 #: Words up to this many bytes contract one pair in a round; longer ones all places of their smallest rank.
 SHORT = 64
@@ -91,8 +91,8 @@ def ranks_of(content: bytes) -> dict[bytes, int]:
 class Coder:
     """The vocabulary of one worker in an in-memory database, and the words it has seen."""
 
-    def __init__(self, content: bytes, pattern: str):
-        self.split = regex.compile(pattern).findall
+    def __init__(self, content: bytes, pattern: str, kept_words: int = KEPT_WORDS):
+        self.split, self.kept_words = regex.compile(pattern).findall, kept_words
         ranks = ranks_of(content)
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
         pairs = [
@@ -149,7 +149,7 @@ class Coder:
 
     def encode(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
         """The ids of each text, and the bytes they decode to."""
-        if len(self.known) > KEPT_WORDS:
+        if len(self.known) > self.kept_words:
             self.known, self.older = {}, self.known
         split = [self.split(text) for text in texts]
         known, older, fresh = self.known, self.older, []
@@ -177,8 +177,8 @@ class Coder:
         return [bytes.fromhex(found.get(i, "")) for i in range(len(lists))]
 
 
-def _coder(content: Broadcast, pattern: str) -> Coder:
-    return worker_state("bpe", (hash(content.value), pattern), lambda: Coder(content.value, pattern))
+def _coder(content: Broadcast, pattern: str, kept_words: int = KEPT_WORDS) -> Coder:
+    return worker_state("bpe", (hash(content.value), pattern, kept_words), lambda: Coder(content.value, pattern, kept_words))
 
 
 def _vocabulary(spark: SparkSession, path: str) -> Broadcast:
@@ -186,17 +186,20 @@ def _vocabulary(spark: SparkSession, path: str) -> Broadcast:
         return spark.sparkContext.broadcast(file.read())
 
 
-def encode(documents: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+def encode(
+    documents: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", kept_words: int = KEPT_WORDS
+) -> DataFrame:
     """(id, ids, decoded) of every row: the token ids of the whole text, and the bytes that decoding them gives.
 
     ``path`` is a rank file on the driver (its size is that of a vocabulary, so it is broadcast), ``pattern`` the
-    expression whose matches are encoded separately.  There are no special tokens.  A null or empty text has no ids.
+    expression whose matches are encoded separately.  There are no special tokens.  ``kept_words`` bounds what a worker
+    remembers (about 0.3 kB a word, twice over) and does not change the result.  A null or empty text has no ids.
     Repeated rows are kept; other columns are not read.
     """
     vocabulary = _vocabulary(documents.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _coder(vocabulary, pattern)
+        coder = _coder(vocabulary, pattern, kept_words)
         for batch in batches:
             keys, texts, size, at = batch.column(0), [], 0, 0
             for i, text in enumerate(batch.column(1), 1):

@@ -52,7 +52,7 @@ def test_every_token_encodes_to_itself(coder):
 
 
 def test_forgotten_words_are_learned_again(coder, monkeypatch):
-    monkeypatch.setattr(bpe, "KEPT_WORDS", 3)
+    monkeypatch.setattr(coder, "kept_words", 3)
     first = coder.encode(["one two three four five six"])[0].to_pylist()
     for _ in range(3):
         assert coder.encode(["one two three four five six"])[0].to_pylist() == first
