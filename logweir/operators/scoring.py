@@ -31,7 +31,7 @@ def percentile_ranks(values: DataFrame, column: str, pieces: int | None = None)
     counted = scored.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
     if pieces is None:
         distinct = scored.agg(F.approx_count_distinct(column)).first()[0]
-        pieces = max(1, -(-distinct // RANGE_VALUES))
+        pieces = max(2, -(-distinct // RANGE_VALUES))
     shares = [i / pieces for i in range(1, pieces)]
     cuts = sorted(set(counted.approxQuantile(column, shares, 1.0 / (2 * pieces)))) if shares else []
     piece = F.lit(0)
