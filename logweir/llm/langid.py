@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from logweir.llm.common import held_out, in_small_batches, worker_state
+from logweir.llm.common import held_out, in_small_batches, thinned, worker_state
 
 #: Rows and symbols learned from for each language: the documented bound of the sample.
 SAMPLE_ROWS = 40
@@ -169,11 +169,8 @@ def samples(documents: DataFrame, key: str, text: str, label: str) -> dict[str,
     rows = documents.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(label).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out("id"))
     rows = rows.withColumn("hash", F.xxhash64(F.col("id").cast("string")))
-    by_hash = Window.partitionBy("lang").orderBy("hash")
-    chosen = rows.select("lang", "hash").withColumn("n", F.row_number().over(by_hash)).where(F.col("n") <= SAMPLE_ROWS)
-    hashes = sorted({r["hash"] for r in chosen.select("hash").distinct().collect()})
+    rows = thinned(rows.select("lang", "hash", F.substring("text", 1, 2 * SAMPLE_SYMBOLS).alias("text")), "lang", "hash", SAMPLE_ROWS)
     first = Window.partitionBy("lang").orderBy("hash", "text")
-    rows = rows.where(F.col("hash").isin(hashes)).select("lang", "hash", F.substring("text", 1, 2 * SAMPLE_SYMBOLS).alias("text"))
     rows = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_ROWS).orderBy("lang", "n")
     found: dict[str, list[np.ndarray]] = {}
     for row in rows.collect():

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logweir.llm.common import held_out, in_small_batches
+from logweir.llm.common import held_out, in_small_batches, thinned
 
 #: Labelled documents of each label that are learned from, and features kept: the documented bounds of the sample.
 SAMPLE_ROWS = 4_000
@@ -170,7 +170,8 @@ def train(documents: DataFrame, labels: DataFrame, key: str = "doc_id", text: st
     """
     marks = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("toxic")).where(F.col("id").isNotNull() & F.col("toxic").isin(0, 1) & ~held_out("id"))
     marks = marks.groupBy("id").agg(F.max("toxic").alias("toxic"))
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64(F.col("id").cast("string")), "id")
+    marks = thinned(marks.withColumn("hash", F.xxhash64(F.col("id").cast("string"))), "toxic", "hash", SAMPLE_ROWS)
+    first = Window.partitionBy("toxic").orderBy("hash", "id")
     chosen = marks.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_ROWS).select("id", "toxic")
     texts = documents.select(F.col(key).alias("id"), F.col(text).alias("text")).where("text is not null")
     # At most twice SAMPLE_ROWS ids.

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from logweir.llm.common import in_small_batches, worker_state
+from logweir.llm.common import in_small_batches, thinned, worker_state
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
@@ -247,13 +247,9 @@ def train(documents: DataFrame, text: str = "text") -> Field:
     What comes to the driver are counts by shape, of which there is a bounded number.
     """
     rows = in_small_batches(documents).select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    hashes = rows.select(F.xxhash64("text").alias("h")).orderBy("h").limit(SAMPLE_ROWS)
-    bound = hashes.agg(F.max("h")).first()[0]
-    if bound is None:
-        return Field({})
-    first = Window.partitionBy("h").orderBy("text")
-    sample = rows.withColumn("h", F.xxhash64("text")).where(F.col("h") <= bound)
-    sample = sample.withColumn("n", F.row_number().over(first)).where("n = 1").select("text")
+    rows = thinned(rows.select("text", F.xxhash64("text").alias("hash"), F.lit(1).alias("all")), "all", "hash", SAMPLE_ROWS)
+    copies = Window.partitionBy("hash").orderBy("text")
+    sample = rows.withColumn("n", F.row_number().over(copies)).where("n = 1").orderBy("hash").limit(SAMPLE_ROWS).select("text")
     counts = sample.mapInArrow(_counted, "part string, shape string, a int, b int, n long").groupBy("part", "shape", "a", "b").agg(F.sum("n").alias("n"))
     return Field({(r["part"], r["shape"], r["a"], r["b"]): r["n"] for r in counts.collect()})
 
