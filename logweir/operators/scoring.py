@@ -124,13 +124,11 @@ def band(score: Column) -> Column:
 
 
 def _detection_basis(detections: Column) -> Column:
-    found = F.concat(
-        detections.cast("string"), F.lit(" behavioural/IOC detection(s) in the window -> ANOMALOUS")
-    )
+    said = fv.EVIDENCE
     return (
-        F.when(detections.isNull(), F.lit("behavioural detections unavailable; that flag not applied"))
-        .when(detections > 0, found)
-        .otherwise(F.lit("no behavioural/IOC detections in the window"))
+        F.when(detections.isNull(), F.lit(said["detections unknown"]))
+        .when(detections > 0, F.format_string(said["detections"], detections.cast("string")))
+        .otherwise(F.lit(said["no detections"]))
     )
 
 
@@ -141,28 +139,19 @@ def endpoint_anomaly(df: DataFrame, threshold: float = fv.ANOMALY_PERCENTILE) ->
     hit = percentile >= threshold
     critical, high = (F.coalesce(F.col(c), F.lit(0)) for c in ("critical", "high"))
     serious = (critical > 0) | (high > 0)
-    ranked = F.concat(
-        F.lit("risk_score at "),
-        percentile.cast("string"),
-        F.lit("th percentile of "),
-        F.col("population").cast("string"),
-        F.lit(f" scored endpoints (threshold {threshold}) -> "),
-        F.when(hit, "ANOMALOUS").otherwise("normal"),
-    )
-    unranked = F.concat(
-        F.lit("risk_score percentile unavailable (estate too small to rank, "),
-        F.coalesce(F.col("population"), F.lit(0)).cast("string"),
-        F.lit(" scored endpoint(s)); percentile flag not applied"),
-    )
+    said, population = fv.EVIDENCE, F.coalesce(F.col("population"), F.lit(0)).cast("string")
+    verdict = F.when(hit, said["anomalous"]).otherwise(said["normal"])
+    ranked = F.format_string(said["ranked"], percentile.cast("string"), population, F.lit(str(threshold)), verdict)
+    unranked = F.format_string(said["unranked"], population)
     detail = F.concat_ws(
         ", ",
         F.when(critical > 0, F.concat(critical.cast("string"), F.lit(" critical"))),
         F.when(high > 0, F.concat(high.cast("string"), F.lit(" high"))),
     )
-    carried = F.concat(F.lit("carries serious vulnerabilities ("), detail, F.lit(") -> ANOMALOUS"))
+    carried = F.format_string(said["serious"], detail)
     basis = F.array(
         F.when(percentile.isNull(), unranked).otherwise(ranked),
-        F.when(serious, carried).otherwise(F.lit("no critical/high vuln-stats")),
+        F.when(serious, carried).otherwise(F.lit(said["not serious"])),
         _detection_basis(detections),
     )
     flagged = F.coalesce(hit, F.lit(False)) | serious | F.coalesce(detections > 0, F.lit(False))

@@ -314,6 +314,21 @@ IPV4_PATTERN = r"\b(?:\d{1,3}\.){3}\d{1,3}\b"
 MAC_PATTERN = r"\b[0-9a-fA-F]{2}(?::[0-9a-fA-F]{2}){5}\b"
 EMAIL_PATTERN = r"\b[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}\b"
 
+# --- evidence -----------------------------------------------------------------
+# Fixed output: the sentences that tell why an entity is anomalous.
+
+EVIDENCE = {
+    "anomalous": "ANOMALOUS",
+    "normal": "normal",
+    "ranked": "risk_score at %sth percentile of %s scored endpoints (threshold %s) -> %s",
+    "unranked": "risk_score percentile unavailable (estate too small to rank, %s scored endpoint(s)); percentile flag not applied",
+    "serious": "carries serious vulnerabilities (%s) -> ANOMALOUS",
+    "not serious": "no critical/high vuln-stats",
+    "detections": "%s behavioural/IOC detection(s) in the window -> ANOMALOUS",
+    "no detections": "no behavioural/IOC detections in the window",
+    "detections unknown": "behavioural detections unavailable; that flag not applied",
+}
+
 # --- redaction ---------------------------------------------------------------
 
 SENSITIVE_WORDS = (
