@@ -242,14 +242,16 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(documents: DataFrame, text: str = "text") -> Field:
-    """The field of the SAMPLE_ROWS texts with a digit or an at sign that have the smallest hashes.
+    """The field of the different texts with a digit or an at sign that have the smallest hashes.
+
+    They are SAMPLE_ROWS and half as many again, within the chance of hashes; each task counts its own.
 
     What comes to the driver are counts by shape, of which there is a bounded number.
     """
     rows = in_small_batches(documents).select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
     rows = thinned(rows.select("text", F.xxhash64("text").alias("hash"), F.lit(1).alias("all")), "all", "hash", SAMPLE_ROWS)
     copies = Window.partitionBy("hash").orderBy("text")
-    sample = rows.withColumn("n", F.row_number().over(copies)).where("n = 1").orderBy("hash").limit(SAMPLE_ROWS).select("text")
+    sample = rows.withColumn("n", F.row_number().over(copies)).where("n = 1").select("text")
     counts = sample.mapInArrow(_counted, "part string, shape string, a int, b int, n long").groupBy("part", "shape", "a", "b").agg(F.sum("n").alias("n"))
     return Field({(r["part"], r["shape"], r["a"], r["b"]): r["n"] for r in counts.collect()})
 
