@@ -1,81 +1,132 @@
 """Documents scored by cross-entropy difference between a target and a background n-gram model.
 
-Both models are bigram models over one vocabulary, with the same smoothing; the target model counts the documents
-that are marked, the background model all documents.  The vocabulary, too, comes from counts over all documents.
-Every token's loss under the target model less its loss under the background model is looked up in one table of
-VOCABULARY**2 entries, the only thing that is gathered on the driver and sent to the tasks.
+Both models are bigram models over all words of all documents, with the same smoothing; the target model counts the
+documents that are marked, the background model all documents.  Vocabulary and counts grow with the corpus and are
+never gathered: documents are dealt into blocks of about BLOCK_BYTES by their ids.  A block names each of its words,
+histories and pairs once, with its own counts, to the bucket that the name's hash falls into; a bucket adds up all
+blocks and answers each with the sums of what it named; the block then scores its documents.  A frequent word is one
+entry of every block, however often it stands there.  Nothing but the size of the texts comes to the driver.
+
+Names are 63 bits of hashes: among a billion distinct ones, two share a sum with a probability of about 5 %.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logweir.llm.common import in_small_batches
+from logweir.llm.common import in_small_batches, worker_state
 from logweir.llm.decontam import words_of
 
-#: Words of the shared vocabulary, with the start of a text and all other words.
+#: The least number of places that a unigram model spreads its smoothing over: a start, an unknown word, all words.
 VOCABULARY = 1_024
 START, OTHER = 0, 1
 #: Weight of the unigram model within the bigram model, in tokens of a history.
 PRIOR = 8.0
+#: Bytes of text in a block and for each bucket, which bound the memory of a task; the least number of buckets.
+BLOCK_BYTES = 4_000_000
+BUCKET_BYTES = 32_000_000
+BUCKETS = 64
+#: Words whose hashes a worker remembers.
+REMEMBERED = 300_000
 
 _WORD_BYTE = bytes(b if b >= 128 or 48 <= b < 58 or 97 <= b < 123 else 32 for b in range(256))
+_START_HASH = np.uint64(0x9E3779B97F4A7C15)
+_SENT = "block int, bucket int, n long, keys binary, target binary, background binary"
+_ANSWER = "block int, bucket int, n long, target binary, background binary, words long, target_tokens long, background_tokens long"
 
 
-def _pairs(text: bytes | None, known: dict[bytes, int]) -> np.ndarray:
-    """Each word with the word before it, as one number."""
-    words = (text or b"").lower().translate(_WORD_BYTE).split()
-    get = known.get
-    tokens = np.fromiter((get(w, OTHER) for w in words), np.int64, len(words))
-    before = np.concatenate(([START], tokens[:-1])) if len(tokens) else tokens
-    return before * VOCABULARY + tokens
+class _Hashes(dict):
+    """Word to hash; forgets everything when it is full."""
 
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word, 1)
+        return found
 
-def vocabulary(documents: DataFrame, text: str = "text") -> dict[bytes, int]:
-    """The most frequent words of all documents, ties to the smaller word; a bounded number."""
-    counts = documents.select(F.explode(words_of(F.col(text))).alias("word")).groupBy("word").count()
-    most = counts.orderBy(F.desc("count"), "word").limit(VOCABULARY - 2).collect()
-    return {row["word"].encode(): i for i, row in enumerate(most, 2)}
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
-def counts(documents: DataFrame, known: dict[bytes, int], text: str, mark: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bigram counts of the marked documents and of all, (VOCABULARY, VOCABULARY) each.
+def _named(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The sorted names of a block; the places in them of each token's pair, word and history; each text's tokens.
 
-    Each task adds up its own documents; Spark adds up the tasks' cells.
+    The places are (3, tokens).  Words have odd names, pairs and histories even ones.
     """
-    shared = documents.sparkSession.sparkContext.broadcast(known)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = np.zeros((2, VOCABULARY**2), np.int64)
-        for batch in batches:
-            for value, marked in zip(batch.column(0).cast(pa.binary()), batch.column(1).to_pylist(), strict=True):
-                cells, times = np.unique(_pairs(value.as_py(), shared.value), return_counts=True)
-                own[1, cells] += times
-                if marked:
-                    own[0, cells] += times
-        cells = np.flatnonzero(own[1])
-        for at in range(0, len(cells), 100_000):
-            some = cells[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(own[0, some]), pa.array(own[1, some])], ["cell", "target", "background"])
-
-    rows = documents.select(F.col(text).cast("string").alias("text"), F.coalesce(F.col(mark), F.lit(False)).alias("marked"))
-    found = rows.mapInArrow(count, "cell long, target long, background long").groupBy("cell").agg(F.sum("target").alias("t"), F.sum("background").alias("b"))
-    table = found.toArrow()
-    both = np.zeros((2, VOCABULARY**2), np.int64)
-    both[:, table.column("cell").to_numpy()] = table.column("t").to_numpy(), table.column("b").to_numpy()
-    return both[0].reshape(VOCABULARY, -1), both[1].reshape(VOCABULARY, -1)
+    hashes = worker_state("lmscore", make=_Hashes)
+    parts, lengths = [], []
+    for value in texts.cast(pa.large_binary()):
+        words = (value.as_py() or b"").lower().translate(_WORD_BYTE).split()
+        parts.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
+        lengths.append(len(words))
+    lengths = np.array(lengths, np.int64)
+    word = np.concatenate([np.zeros(0, np.uint64), *parts])
+    before = np.concatenate(([_START_HASH], word[:-1])) if len(word) else word
+    before[(np.cumsum(lengths) - lengths)[lengths > 0]] = _START_HASH
+    once = _mixed(before)
+    even = ~np.uint64(1)
+    names, places = np.unique(np.concatenate((_mixed(once + word) & even, word | np.uint64(1), once & even)), return_inverse=True)
+    return names, places.reshape(3, -1), lengths
+
+
+def _packed(values: np.ndarray) -> bytes:
+    """64-bit numbers by the planes of their bytes, most of which are zeros."""
+    return pa.compress(np.ascontiguousarray(values, "<u8").view(np.uint8).reshape(-1, 8).T.tobytes(), "zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, n: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(data, 8 * n, "zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
+def _rows(schema: str, rows: list[tuple]) -> pa.Table:
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.table({name: pa.array([r[i] for r in rows], kinds[kind]) for i, (name, kind) in enumerate(fields)})
+
+
+def _summed(pieces: pa.Table) -> pa.Table:
+    """A bucket's sums, answered to each block in the order of the names that it sent, with the bucket's totals."""
+    rows = pieces.to_pylist()
+    names, places = np.unique(np.concatenate([np.cumsum(_unpacked(r["keys"], r["n"]), dtype=np.uint64) for r in rows]), return_inverse=True)
+    sums = np.zeros((2, len(names)), np.int64)
+    ends = np.cumsum([r["n"] for r in rows])
+    for row, end in zip(rows, ends, strict=True):
+        # A block sends a name once.
+        at = places[end - row["n"] : end]
+        for own, kind in zip(sums, ("target", "background"), strict=True):
+            own[at] += _unpacked(row[kind], row["n"]).astype(np.int64)
+    words = (names & np.uint64(1)).astype(bool)
+    totals = (int(words.sum()), *(int(x) for x in sums[:, words].sum(axis=1)))
+    found = []
+    for row, end in zip(rows, ends, strict=True):
+        some = sums[:, places[end - row["n"] : end]]
+        found.append((row["block"], row["bucket"], row["n"], _packed(some[0]), _packed(some[1]), *totals))
+    return _rows(_ANSWER, found)
+
+
+def bits(pair: np.ndarray, word: np.ndarray, history: np.ndarray, total: float, places: int) -> np.ndarray:
+    """Bits of a word after a history: bigram counts with the smoothed unigram model as their prior."""
+    return -np.log2((pair + PRIOR * (word + 1.0) / (total + places)) / (history + PRIOR))
+
+
+def vocabulary(documents: DataFrame, text: str = "text") -> dict[bytes, int]:
+    """The words of a small table with their numbers, for a dense form of the models that tests compare with."""
+    counts = documents.select(F.explode(words_of(F.col(text))).alias("word")).groupBy("word").count()
+    return {row["word"].encode(): i for i, row in enumerate(counts.orderBy(F.desc("count"), "word").collect(), 2)}
 
 
 def losses(counted: np.ndarray) -> np.ndarray:
-    """Bits of each word after each word: bigram counts with the smoothed unigram model as their prior."""
-    single = counted.sum(axis=0) + 1.0
-    single /= single.sum()
-    return -np.log2((counted + PRIOR * single) / (counted.sum(axis=1, keepdims=True) + PRIOR)).astype(np.float32)
+    """Bits of each word after each word, from a dense table of bigram counts."""
+    return bits(counted, counted.sum(axis=0), counted.sum(axis=1, keepdims=True), counted.sum(), len(counted)).astype(np.float32)
 
 
 def score(documents: DataFrame, marked: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -83,33 +134,51 @@ def score(documents: DataFrame, marked: DataFrame, key: str = "doc_id", text: st
 
     ``marked`` (column ``key``) names the target's documents; repeated and null names count once and not at all.
     Losses are bits by token, the score is the target's loss less the background's: the lower, the closer to the
-    target.  A text without words has no tokens and zeros.  Repeated rows are kept and count as often as they stand.
+    target.  A text without words has no tokens and zeros.  Repeated rows are kept and count as often as they stand;
+    rows of one id, or of one text without an id, share a block.
     """
-    spark = documents.sparkSession
     chosen = in_small_batches(documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text")))
-    names = marked.select(F.col(key).alias("id")).where("id is not null").distinct().withColumn("marked", F.lit(True))
-    known = vocabulary(chosen)
-    # Marked documents grow with all documents, so they meet in a merge join at every size.
-    target, background = counts(chosen.join(names.hint("merge"), "id", "left"), known, "text", "marked")
-    tables = spark.sparkContext.broadcast((known, losses(target).ravel(), losses(background).ravel()))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, near, far = tables.value
-        for batch in batches:
-            rows = []
-            for value in batch.column(1).cast(pa.binary()):
-                pairs = _pairs(value.as_py(), words)
-                if len(pairs):
-                    a, b = near[pairs], far[pairs]
-                    rows.append((len(pairs), a.mean(dtype=np.float64), b.mean(dtype=np.float64), (a - b).mean(dtype=np.float64)))
-                else:
-                    rows.append((0, 0.0, 0.0, 0.0))
-            n, *bits = zip(*rows, strict=True) if rows else [()] * 4
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), *(pa.array(x, pa.float64()) for x in bits)],
-                ["id", "n_tokens", "target_loss", "background_loss", "score"],
-            )
-
-    return chosen.mapInArrow(
-        run, f"id {chosen.schema['id'].dataType.simpleString()}, n_tokens long, target_loss double, background_loss double, score double"
+    size = chosen.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    blocks, buckets = size // BLOCK_BYTES + 1, max(BUCKETS, size // BUCKET_BYTES + 1)
+    kind = chosen.schema["id"].dataType
+    names = marked.select(F.col(key).try_cast(kind).alias("id")).where("id is not null").distinct()
+    edges = np.array([((i << 64) + buckets - 1) // buckets for i in range(1, buckets)], np.uint64)
+
+    def block_of(frame: DataFrame, by: list) -> DataFrame:
+        return frame.withColumn("block", F.pmod(F.xxhash64(F.coalesce(*by)), F.lit(blocks)).cast("int"))
+
+    texts = block_of(chosen, [F.col("id").cast("string"), F.col("text")]).groupBy("block")
+
+    def count(own: pa.Table, target: pa.Table) -> pa.Table:
+        if not own.num_rows:
+            return _rows(_SENT, [])
+        block = own["block"][0].as_py()
+        found, places, lengths = _named(own["text"])
+        chosen = np.repeat(pc.is_in(own["id"], target["id"].combine_chunks()).to_numpy(), lengths)
+        both = [np.bincount(p.ravel(), minlength=len(found)) for p in (places[:, chosen], places)]
+        # Every bucket gets a piece, also an empty one, as every block needs the totals of all.
+        cuts = [0, *np.searchsorted(found, edges).tolist(), len(found)]
+        rows = []
+        for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            rows.append((block, bucket, b - a, _packed(np.diff(found[a:b], prepend=np.uint64(0))), *(_packed(x[a:b]) for x in both)))
+        return _rows(_SENT, rows)
+
+    def run(own: pa.Table, answers: pa.Table) -> pa.Table:
+        found, places, lengths = _named(own["text"])
+        rows = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
+        if len(rows) != buckets or sum(r["n"] for r in rows) != len(found):
+            raise ValueError("the counts are not those of this block's texts")
+        size = max(VOCABULARY, sum(r["words"] for r in rows) + 2)
+        owner = np.repeat(np.arange(len(lengths)), lengths)
+        each = []
+        for kind in ("target", "background"):
+            sums = np.concatenate([_unpacked(r[kind], r["n"]) for r in rows]).astype(np.float64)
+            lost = bits(*sums[places], sum(r[f"{kind}_tokens"] for r in rows), size)
+            each.append(np.bincount(owner, lost, len(lengths)) / np.maximum(lengths, 1))
+        return pa.table([own["id"], pa.array(lengths), *(pa.array(x) for x in (*each, each[0] - each[1]))], ["id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    sent = texts.cogroup(block_of(names, [F.col("id").cast("string")]).groupBy("block")).applyInArrow(count, _SENT)
+    answers = sent.groupBy("bucket").applyInArrow(_summed, _ANSWER)
+    return texts.cogroup(answers.groupBy("block")).applyInArrow(
+        run, f"id {kind.simpleString()}, n_tokens long, target_loss double, background_loss double, score double"
     )

@@ -1,5 +1,7 @@
 """Language, toxicity and model scores: their algorithms against plain ones, and accuracy on rows held out."""
 
+import collections
+import math
 import random
 import zlib
 
@@ -155,3 +157,31 @@ def test_losses_of_odd_rows_and_empty_tables(spark, odd_documents, no_documents)
     assert lmscore.score(odd_documents, marked).count() == odd_documents.count()
     assert lmscore.score(no_documents, marked).count() == 0
     assert lmscore.score(odd_documents, marked.limit(0)).where("n_tokens = 0 and score = 0").count() == 4
+
+
+def test_rare_words_are_words_of_the_models(spark, monkeypatch):
+    rng = random.Random(9)
+    docs = [(i, " ".join(f"w{rng.randrange(rng.choice([20, 6000]))}" for _ in range(40))) for i in range(300)]
+    docs += [(300, " ".join(f"only{i}" for i in range(30))), (301, " ".join(f"rare{i}" for i in range(30)))]
+    marked = {*range(0, 300, 3), 300}
+    pairs = {i: list(zip([None, *t.split()[:-1]], t.split(), strict=True)) for i, t in docs}
+    size = len({w for p in pairs.values() for _, w in p}) + 2
+    assert size > 2 * lmscore.VOCABULARY
+    bits = []
+    for some in (marked, set(pairs)):
+        pair = collections.Counter(p for i in some for p in pairs[i])
+        word = collections.Counter(w for i in some for _, w in pairs[i])
+        history = collections.Counter(a for i in some for a, _ in pairs[i])
+        total = sum(word.values())
+        loss = lambda a, b: -math.log2((pair[a, b] + lmscore.PRIOR * (word[b] + 1) / (total + size)) / (history[a] + lmscore.PRIOR))  # noqa: B023, E731
+        bits.append({i: sum(loss(*x) for x in p) / len(p) for i, p in pairs.items()})
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    names = spark.createDataFrame([(i,) for i in marked], "doc_id int")
+    for block in (4_000_000, 5_000):
+        monkeypatch.setattr(lmscore, "BLOCK_BYTES", block)
+        found = {r["id"]: r for r in lmscore.score(frame, names).collect()}
+        assert len(found) == len(docs)
+        for i, row in found.items():
+            assert (row["target_loss"], row["background_loss"]) == pytest.approx((bits[0][i], bits[1][i]), abs=1e-9)
+        # Words that stand once score by the document they stand in.
+        assert found[300]["score"] < 0 < found[301]["score"]
