@@ -49,13 +49,15 @@ BATCH_ROWS = 1_000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def thinned(rows: DataFrame, by: str, hashed: str, most: int) -> DataFrame:
+def thinned(rows: DataFrame, by: str, hashed: str, most: int, copies: bool = False) -> DataFrame:
     """Rows of each value of ``by`` with the smallest hashes: somewhat more than ``most``, or all if there are fewer.
 
     A threshold follows from the rows of each value, so a sample is cut in every task and never gathered whole in
-    one.  ``by`` has few values: their counts come to the driver.
+    one.  ``by`` has few values: their counts come to the driver.  With ``copies``, rows of one hash count once, and
+    all of them stay or go.
     """
-    counts = {r[by]: r["count"] for r in rows.groupBy(by).count().collect()}
+    counted = rows.select(by, hashed).distinct() if copies else rows
+    counts = {r[by]: r["count"] for r in counted.groupBy(by).count().collect()}
     share = F.lit(0.0)
     for value, count in sorted(counts.items(), key=repr):
         share = F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(min(1.0, (1.5 * most + 50) / count))).otherwise(share)

@@ -20,9 +20,11 @@ from pyspark.sql.types import StringType
 
 from logweir.llm.common import held_out, in_small_batches, thinned, worker_state
 
-#: Rows and symbols learned from for each language: the documented bound of the sample.
+#: Different texts and symbols learned from for each language: the documented bound of the sample.
 SAMPLE_ROWS = 40
-SAMPLE_SYMBOLS = 12_000
+SAMPLE_SYMBOLS = 24_000
+#: Places of a long text that its share of the symbols comes from.
+PLACES = 3
 PIECE = 2_048
 UNKNOWN = "und"
 #: Symbols parsed at a time, which bounds memory.
@@ -161,24 +163,31 @@ class Parser:
 
 
 def samples(documents: DataFrame, key: str, text: str, label: str) -> dict[str, list[np.ndarray]]:
-    """At most SAMPLE_ROWS texts and SAMPLE_SYMBOLS symbols of every language, from rows that are not held out.
+    """At most SAMPLE_ROWS different texts and SAMPLE_SYMBOLS symbols of every language, from rows that are not held out.
 
-    The rows are those with the smallest hash of their id; held-out rows, null labels and texts without letters
-    are left out.  The result is bounded by the number of languages.
+    The texts are those with the smallest hashes; copies count once.  Each has an equal share of the symbols, a long
+    one from PLACES places from its start to its end.  Held-out rows, null labels and texts without letters are left
+    out.  The result is bounded by the number of languages.
     """
-    rows = documents.select(F.col(key).alias("id"), F.col(text).alias("text"), F.col(label).cast("string").alias("lang"))
+    rows = documents.select(F.col(key).alias("id"), F.col(text).cast("string").alias("text"), F.col(label).cast("string").alias("lang"))
     rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & ~held_out("id"))
-    rows = rows.withColumn("hash", F.xxhash64(F.col("id").cast("string")))
-    rows = thinned(rows.select("lang", "hash", F.substring("text", 1, 2 * SAMPLE_SYMBOLS).alias("text")), "lang", "hash", SAMPLE_ROWS)
-    first = Window.partitionBy("lang").orderBy("hash", "text")
-    rows = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_ROWS).orderBy("lang", "n")
+    rows = thinned(rows.select("lang", F.xxhash64("text").alias("hash"), "text"), "lang", "hash", SAMPLE_ROWS, copies=True)
+    copies = Window.partitionBy("lang", "hash").orderBy("text")
+    rows = rows.withColumn("n", F.row_number().over(copies)).where("n = 1")
+    first = Window.partitionBy("lang").orderBy("hash")
+    rows = rows.withColumn("n", F.row_number().over(first)).where(F.col("n") <= SAMPLE_ROWS)
+    rows = rows.withColumn("share", F.floor(F.lit(SAMPLE_SYMBOLS) / F.count("*").over(Window.partitionBy("lang"))).cast("int"))
+    # Characters become fewer symbols, so twice as many are brought.
+    size, width = F.char_length("text"), F.floor(2 * F.col("share") / PLACES).cast("int")
+    cut = [F.substring(F.col("text"), 1 + F.floor((size - width) * i / (PLACES - 1)).cast("int"), width) for i in range(PLACES)]
+    pieces = F.when(size <= 2 * F.col("share"), F.array("text")).otherwise(F.array(*cut))
     found: dict[str, list[np.ndarray]] = {}
-    for row in rows.collect():
+    for row in rows.select("lang", "n", "share", pieces.alias("pieces")).orderBy("lang", "n").collect():
         texts = found.setdefault(row["lang"], [])
-        left = SAMPLE_SYMBOLS - sum(map(len, texts))
-        symbols = symbols_of(row["text"])[: max(0, left)]
-        if len(symbols):
-            texts.append(symbols)
+        for piece in row["pieces"]:
+            symbols = symbols_of(piece)[: row["share"] // len(row["pieces"])]
+            if len(symbols):
+                texts.append(symbols)
     return {k: v for k, v in found.items() if v}
 
 

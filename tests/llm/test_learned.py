@@ -61,6 +61,18 @@ def test_languages_of_held_out_documents(spark):
     assert rows > 200 and right >= 0.98 * rows
 
 
+def test_long_and_copied_texts_take_their_share_only(spark):
+    own = lambda i: f" {chr(0x4E00 + i)} abc def" * 300
+    docs = [(i, own(i), "x") for i in range(100)] + [(i, own(200), "x") for i in range(100, 400)]
+    docs += [(i, own(201 + i % 3) * 50, "x") for i in range(400, 420)] + [(i, f"{own(300)}{own(301 + i)}{own(500)}", "y") for i in range(20)]
+    found = langid.samples(spark.createDataFrame(docs, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    symbols = {k: collections.Counter(int(c) for t in v for c in t if c > 0x4DFF) for k, v in found.items()}
+    assert all(0.9 * langid.SAMPLE_SYMBOLS < sum(map(len, v)) <= langid.SAMPLE_SYMBOLS for v in found.values())
+    assert len(symbols["x"]) == langid.SAMPLE_ROWS and max(symbols["x"].values()) < 2 * min(symbols["x"].values())
+    # All places of a text are learned from, and fewer texts have larger shares.
+    assert {0x4E00 + 300, 0x4E00 + 500} < set(symbols["y"]) and len(symbols["y"]) > 10
+
+
 def test_odd_texts_have_a_defined_language(odd_documents, no_documents):
     models = langid.learn(odd_documents)
     rows = {r["id"]: r for r in langid.identify(odd_documents, models).collect()}
