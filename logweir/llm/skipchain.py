@@ -2,8 +2,10 @@
 
 The base patterns give spans that always stand.  The field labels the tokens with a digit or an at sign: tokens that
 a base span touches keep its kind, the others are inferred.  Neighbouring tokens share a chain potential; a token and
-the next one with the same or a similar form, however distant, share a skip potential, so that labels agree across a
-document.  Marginals come from loopy sum-product messages.  A span is added where they are sure.
+the next one with the same or a similar form, however distant, share a skip potential, and so do a token without a
+base span and the nearest earlier one of that form with a base span (the first later one if there is none): what a
+base span tells reaches every repeat in one hop, so that labels agree across a document.  Marginals come from loopy
+sum-product messages, passed until they settle.  A span is added where they are sure.
 
 The potentials are trained piecewise, each by the counts of what it joins, on a bounded sample of documents that the
 base patterns label.
@@ -25,10 +27,11 @@ from logweir.llm.common import in_small_batches, thinned, worker_state
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("", *KINDS)
-#: Documents learned from (the documented bound), the weight of what was not seen, and messages passed at most.
+#: Documents learned from (the documented bound), the weight of what was not seen, and rounds of messages at most, far
+#: more than they take to settle but where they never do.
 SAMPLE_ROWS = 4_000
 SMOOTHING = 0.5
-ROUNDS, DAMPING, SETTLED = 30, 0.5, 1e-4
+ROUNDS, DAMPING, SETTLED = 1_000, 0.5, 1e-4
 #: A span is added where the label's marginal reaches this.
 SURE = 0.9
 #: Numbers with this many digits are similar if the last ones of them agree.
@@ -110,11 +113,14 @@ def _forms(token: str) -> list[str]:
 
 
 class Graph:
-    """The tokens of one document: places, shapes, base labels (or -1), chain and skip edges."""
+    """The tokens of one document: places, shapes, base labels (or -1), chain and skip edges.
+
+    ``tied`` are the edges to a token with a base span that are not skip edges, at most one a token and form.
+    """
 
     def __init__(self, text: str, spans: list[tuple[int, int, int]]):
         self.places, self.given, shapes, chain, skip, last = [], [], [], [], [], {}
-        at, before = 0, None
+        at, before, sure, waiting, tied = 0, None, {}, {}, []
         for found in _TOKEN.finditer(text):
             start, end = found.span()
             while start < end and text[start] in _EDGES:
@@ -135,11 +141,19 @@ class Graph:
                 if form in last:
                     skip.append((last[form], n))
                 last[form] = n
+                if kind >= 0:
+                    tied += [(m, n) for m in waiting.pop(form, ())]
+                    sure[form] = n
+                elif form in sure:
+                    tied.append((sure[form], n))
+                else:
+                    waiting.setdefault(form, []).append(n)
             self.places.append((start, end))
             self.given.append(kind)
             shapes.append(_shape(token))
         self.shapes = shapes
         self.chain, self.skip = chain, list(dict.fromkeys(skip))
+        self.tied = sorted(set(tied) - set(skip))
 
 
 class Field:
@@ -174,8 +188,9 @@ class Field:
         own = np.array([self.unary.get(s, self.unknown) for s in graph.shapes])
         for i, kind in enumerate(graph.given):
             if kind >= 0:
-                own[i] = np.where(np.arange(size) == kind, 0.0, -30.0)
-        edges = [(a, b, self.pairs["chain"]) for a, b in graph.chain] + [(a, b, self.pairs["skip"]) for a, b in graph.skip]
+                # Out of reach of any number of edges.
+                own[i] = np.where(np.arange(size) == kind, 0.0, -1e6)
+        edges = [(a, b, self.pairs["chain"]) for a, b in graph.chain] + [(a, b, self.pairs["skip"]) for a, b in graph.skip + graph.tied]
         belief = own
         if edges:
             source = np.array([a for a, _, _ in edges] + [b for _, b, _ in edges])

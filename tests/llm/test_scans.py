@@ -134,6 +134,18 @@ def test_the_field_adds_what_repeats_and_leaves_clean_text_alone(spark):
         assert field.spans(clean) == []
 
 
+def test_every_repeat_in_a_long_text_is_found():
+    # A form that seldom is personal data, and repeats that agree.
+    shape = skipchain._shape("12025550143")
+    field = skipchain.Field({("shape", shape, 0, 0): 40, ("shape", shape, 4, 0): 2, **{("skip", "", k, k): 500 for k in range(5)}})
+    repeats = "or ask 12025550143 today. " * 150
+    for text in (f"call +12025550143 now. {repeats}", f"{repeats}call +12025550143 now."):
+        assert len(skipchain.base_spans(text)) == 1
+        spans = field.spans(text)
+        assert len(spans) == 151 and all(text[a:b].endswith("12025550143") and skipchain.KINDS[k] == "phone" for a, k, b, _, _ in spans)
+    assert field.spans(repeats) == []
+
+
 def test_messages_are_exact_on_a_tree(spark):
     import itertools
 
