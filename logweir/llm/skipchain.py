@@ -264,7 +264,7 @@ def train(documents: DataFrame, text: str = "text") -> Field:
     What comes to the driver are counts by shape, of which there is a bounded number.
     """
     rows = in_small_batches(documents).select(F.col(text).cast("string").alias("text")).where(F.col("text").rlike("[0-9@]"))
-    rows = thinned(rows.select("text", F.xxhash64("text").alias("hash"), F.lit(1).alias("all")), "all", "hash", SAMPLE_ROWS)
+    rows = thinned(rows.select("text", F.xxhash64("text").alias("hash"), F.lit(1).alias("all")), "all", "hash", SAMPLE_ROWS, copies=True)
     copies = Window.partitionBy("hash").orderBy("text")
     sample = rows.withColumn("n", F.row_number().over(copies)).where("n = 1").select("text")
     counts = sample.mapInArrow(_counted, "part string, shape string, a int, b int, n long").groupBy("part", "shape", "a", "b").agg(F.sum("n").alias("n"))

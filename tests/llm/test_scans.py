@@ -146,6 +146,15 @@ def test_every_repeat_in_a_long_text_is_found():
     assert field.spans(repeats) == []
 
 
+def test_copies_do_not_thin_the_texts_learned_from(spark, monkeypatch):
+    monkeypatch.setattr(skipchain, "SAMPLE_ROWS", 100)
+    monkeypatch.setattr(skipchain, "Field", dict)
+    docs = spark.createDataFrame([(f"copy {max(0, i - 3000)}",) for i in range(3300)], "text string")
+    counts = skipchain.train(docs)
+    # One token a text, of some 300.
+    assert 150 <= sum(n for (part, *_), n in counts.items() if part == "shape") <= 250
+
+
 def test_messages_are_exact_on_a_tree(spark):
     import itertools
 
