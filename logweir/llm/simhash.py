@@ -200,17 +200,21 @@ def deduplicate(documents: DataFrame, key: str = "doc_id", text: str = "text") -
     """
     grouped = written(groups(documents, key, text).where(F.col("id").eqNullSafe(F.col("component_id"))))
     heads = written(grouped.groupBy("root").agg(F.min("id").alias("_head"), F.count("*").alias("_rows")))
-    alone = heads.where("_rows = 1 and _head is not null").select("_head")
+    # A head's id tells its row only if no other row has it, in whatever component.
+    repeated = written(documents.groupBy(F.col(key).alias("_head")).count().where("count > 1 and _head is not null").select("_head"))
+    named = heads.where("_rows = 1 and _head is not null")
+    alone = named.join(repeated, "_head", "left_anti").select("_head")
     single = documents.join(alone, documents[key] == alone["_head"], "left_semi")
-    shared = heads.where("_rows > 1 or _head is null").select("root", "_head")
+    shared = heads.where("_rows > 1 or _head is null").unionByName(named.join(repeated, "_head", "left_semi")).select("root", "_head")
     if shared.isEmpty():
         return single
-    # Rows that repeat an id: they are told apart by their fingerprints.
+    # Rows that repeat an id: they are told apart by id and fingerprint.
     names = {name: f"c{i}" for i, name in enumerate(documents.columns)}
     plain = documents.toDF(*names.values())
     marked = plain.join(shared, plain[names[key]].eqNullSafe(shared["_head"]), "left_semi").withColumn(
         "fp", fingerprint_of(F.col(names[text]))
     )
-    places = grouped.join(shared, "root", "left_semi").select("fp", "root").distinct()
-    chosen = marked.join(places, "fp").dropDuplicates(["root"])
+    places = grouped.join(shared, "root", "left_semi").select("fp", "root", F.col("id").alias("_head")).distinct()
+    here = (marked["fp"] == places["fp"]) & marked[names[key]].eqNullSafe(places["_head"])
+    chosen = marked.join(places, here).dropDuplicates(["root"])
     return single.unionByName(chosen.select(*[F.col(b).alias(a) for a, b in names.items()]))

@@ -94,3 +94,10 @@ def test_one_document_of_each_group_stays(spark, odd_documents, no_documents):
     roots = {r["root"] for r in simhash.groups(odd_documents).collect()}
     assert len(texts) == len(roots) and texts.count("the same text twice over here") == 1 and "no id at all here" in texts
     assert simhash.deduplicate(no_documents).count() == 0
+
+
+def test_an_id_in_several_components_keeps_one_row_of_each(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "abc")
+    docs = spark.createDataFrame([(5, a), (5, b), (3, b), (7, a), (7, c), (7, c), (None, b)], "doc_id long, text string")
+    kept = simhash.deduplicate(docs).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(3, b), (5, a), (7, c)]
