@@ -7,13 +7,20 @@ segments differ in at most floor(l * LIMIT / BOXES) bits, for every l.  With 4 b
 budgets make the join key (both segments, one bit of the second left out: 64 keys a fingerprint, about 25 bits
 each); the longer chains are checked before the full distance.
 
-Buckets of a key are never expanded into all pairs.  Members are first tied to one hub each; then only members that
-are not in their bucket's main component meet the others of that bucket, which finds every link between components
-and so loses none.
+A bucket of a key is never expanded into all pairs.  Its members are first tied to one hub; then only members
+outside the bucket's main component (the minor ones) have to meet the others, which finds every link between
+components and so loses none.  Where the minor members of a bucket are more than the keys that the next segment of the
+chain gives (``FANS``), the bucket is split by that segment instead: the cumulative budget of the longer chain says
+how many of its bits may differ, and every choice of so many bits is left out once.  So a member costs at most as many
+rows as the next segment has keys, however large its group is; once all segments are in the key, only ten bits are
+left out of it and a bucket has at most 2^10 different members.
 """
 
 from __future__ import annotations
 
+from itertools import combinations
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -33,8 +40,8 @@ SEED = 42
 BLOCK = 1 << 15
 #: Fingerprints that one task makes keys of.
 TASK_ROWS = 8_192
-#: Hubs are chosen again while the pairs left are more than this many for each row of the open buckets.
-PAIRS_PER_ROW = 32
+#: Tasks at most; beyond, a task makes more keys.
+MOST_TASKS = 50_000
 
 _STARTS = tuple(int(x) for x in np.cumsum((0, *WIDTHS[:-1])))
 
@@ -62,6 +69,24 @@ def _keys() -> list[tuple[int, int]]:
 
 
 KEYS = _keys()
+#: The segment in which the chain of each key starts.
+_FIRST = [i for i in range(BOXES) for _ in range(WIDTHS[(i + 1) % BOXES])]
+
+
+def _budget(length: int) -> int:
+    """Differing bits in a chain of ``length`` segments, at most."""
+    return length * LIMIT // BOXES
+
+
+def submasks(box: int, length: int) -> list[int]:
+    """Masks over the last segment of the chain of ``length`` segments from ``box``, its budget's bits left out."""
+    at = (box + length - 1) % BOXES
+    bits = [1 << b for b in range(_STARTS[at], _STARTS[at] + WIDTHS[at])]
+    return [_box(at) & ~sum(out) for out in combinations(bits, _budget(length))]
+
+
+#: Keys that one more segment gives a member, by the length of the chain in the key; a full chain is not split.
+FANS = {length: comb(max(WIDTHS), _budget(length + 1)) for length in range(2, BOXES)}
 
 
 def fingerprint(text: bytes | None) -> int:
@@ -96,9 +121,10 @@ def fingerprints(documents: DataFrame, key: str = "doc_id", text: str = "text")
 
 
 def _keyed(fps: DataFrame) -> DataFrame:
-    """A row for each fingerprint and key."""
-    keys = F.array(*[F.col("fp").bitwiseAND(F.lit(_signed(mask))).bitwiseOR(F.lit(_signed(mark))) for mask, mark in KEYS])
-    return fps.select("fp", F.explode(keys).alias("key"))
+    """A row for each fingerprint and key, with the segment the key starts at."""
+    keys = [F.col("fp").bitwiseAND(F.lit(_signed(mask))).bitwiseOR(F.lit(_signed(mark))) for mask, mark in KEYS]
+    made = F.array(*[F.struct(k.alias("key"), F.lit(box).cast("byte").alias("box")) for k, box in zip(keys, _FIRST, strict=True)])
+    return fps.select("fp", F.explode(made).alias("k")).select("fp", "k.key", "k.box")
 
 
 def _distance(a: Column | str, b: Column | str, mask: int = (1 << 64) - 1) -> Column:
@@ -121,60 +147,72 @@ def _near(a: str, b: str) -> Column:
     return some & (_distance(a, b) <= LIMIT)
 
 
-def _tied(members: DataFrame, hubs: DataFrame) -> DataFrame:
-    """The links between each bucket's members and its hub, the member with most copies among ``hubs``."""
-    hub = hubs.groupBy("key").agg(F.max_by("fp", "copies").alias("hub"))
+def _tied(members: DataFrame) -> DataFrame:
+    """The links between each bucket's members and its hub, the member with most copies."""
+    hub = members.groupBy("key").agg(F.max_by("fp", "copies").alias("hub"))
     near = (_distance("fp", "hub") <= LIMIT) & (F.col("fp") != F.col("hub"))
     return members.join(hub, "key").where(near).select(F.col("fp").alias("a"), F.col("hub").alias("b"))
 
 
+def _opened(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members of buckets with several components: their own, the bucket's main one, and how many are outside it."""
+    placed = written(members.join(found, members["fp"] == found["node"], "left").select(*members.columns, F.coalesce("root", "fp").alias("comp")))
+    main = (
+        placed.groupBy("key", "comp")
+        .agg(F.count("*").alias("of"))
+        .groupBy("key")
+        .agg(F.max_by("comp", "of").alias("main"), (F.sum("of") - F.max("of")).alias("minors"))
+        .where("minors > 0")
+    )
+    return written(placed.join(main, "key"))
+
+
+def _met(opened: DataFrame) -> DataFrame:
+    """The links between the minor members of each bucket and all its members of other components."""
+    other = opened.select("key", F.col("fp").alias("b"), F.col("comp").alias("other"))
+    minor = opened.where("comp <> main").select("key", F.col("fp").alias("a"), "comp")
+    return minor.join(other, "key").where((F.col("comp") != F.col("other")) & _near("a", "b")).select("a", "b").distinct()
+
+
+def _split(members: DataFrame, length: int) -> DataFrame:
+    """Members by the keys of a chain of ``length`` segments, for those that share such a key."""
+    masks = [(box, _signed(mask)) for box in range(BOXES) for mask in submasks(box, length)]
+    table = members.sparkSession.createDataFrame(masks, "box byte, mask long")
+    # At most a few thousand masks, whatever the input.
+    parts = members.join(F.broadcast(table), "box")
+    finer = parts.select(F.xxhash64("key", "mask", F.col("fp").bitwiseAND(F.col("mask"))).alias("key"), "box", "fp", "copies")
+    finer = written(finer)
+    shared = finer.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    return written(finer.join(shared, "key", "left_semi"))
+
+
+def _joined(found: DataFrame, new: DataFrame) -> DataFrame:
+    return written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)))
+
+
 def links(fps: DataFrame) -> DataFrame:
     """(node, root): the components of distinct fingerprints (columns fp, copies), for those with a link.
 
     ``copies`` only steers which member becomes a hub; the result does not depend on it.
     """
     # A task makes a bounded number of keys, most of them alone, which a partial aggregation would only hold.
-    keyed = _keyed(fps.repartition(fps.count() // TASK_ROWS + 1))
+    keyed = _keyed(fps.repartition(min(fps.count() // TASK_ROWS + 1, MOST_TASKS)))
     buckets = written(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1"))
     edges = buckets.where((F.col("n") == 2) & _near("a", "b")).select("a", "b")
     # Both sides grow with the input, so the join is a merge join at every size.
-    large = keyed.join(buckets.where("n > 2").select("key").hint("merge"), "key")
-    members = written(large.join(fps.select("fp", "copies"), "fp"))
-    found = components(edges.unionByName(_tied(members, members)))
-
-    left = None
-    while True:
-        placed = members.join(found, members["fp"] == found["node"], "left")
-        opened = written(placed.select("key", "fp", "copies", F.coalesce("root", "fp").alias("comp")))
-        mixed = opened.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y")
-        opened = written(opened.join(mixed.select("key"), "key"))
-        main = (
-            opened.groupBy("key", "comp")
-            .agg(F.count("*").alias("of"))
-            .groupBy("key")
-            .agg(F.max_by("comp", "of").alias("main"), F.sum("of").alias("n"))
-        )
-        opened = written(opened.join(main, "key"))
-        minor = opened.where("comp <> main")
-        rows, pairs = opened.agg(F.count("*"), F.sum(F.when(F.col("comp") != F.col("main"), F.col("n")))).first()
-        if not rows:
-            return found
-        again = pairs > PAIRS_PER_ROW * rows and (left is None or pairs < 0.7 * left)
-        if again:
-            new = _tied(opened, minor)
-        else:
-            other = opened.select("key", F.col("fp").alias("b"), F.col("comp").alias("other"))
-            new = (
-                minor.select("key", F.col("fp").alias("a"), "comp")
-                .join(other, "key")
-                .where((F.col("comp") != F.col("other")) & _near("a", "b"))
-                .select("a", "b")
-                .distinct()
-            )
-        found = written(components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(new)))
-        if not again:
-            return found
-        left = pairs
+    large = keyed.join(buckets.where("n > 2").select("key").hint("merge"), "key", "left_semi")
+    members = written(large.join(fps.select("fp", "copies"), "fp").select("key", "box", "fp", "copies"))
+    found = written(components(edges.unionByName(_tied(members))))
+    for length in range(2, BOXES + 1):
+        opened = _opened(members, found)
+        few = opened.where(F.col("minors") <= FANS[length]) if length in FANS else opened
+        found = _joined(found, _met(few))
+        many = opened.where(F.col("minors") > FANS.get(length, 1 << 62)).select("key", "box", "fp", "copies")
+        if many.isEmpty():
+            break
+        members = _split(many, length + 1)
+        found = _joined(found, _tied(members))
+    return found
 
 
 def groups(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:

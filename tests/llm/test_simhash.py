@@ -4,6 +4,7 @@ import numpy as np
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from logweir.llm import simhash
 from logweir.llm.graph import components
@@ -34,6 +35,20 @@ def test_every_pair_in_reach_shares_a_key(fp, flips):
     assert any(fp & mask == other & mask for mask, _ in simhash.KEYS)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.integers(0, 2**64 - 1), st.lists(st.integers(0, 63), max_size=4))
+def test_every_pair_in_reach_shares_a_chain_of_keys(fp, flips):
+    other = fp
+    for bit in flips:
+        other ^= 1 << bit
+    ways = []
+    for (mask, _), box in zip(simhash.KEYS, simhash._FIRST, strict=True):
+        if fp & mask == other & mask:
+            longer = [any(fp & m == other & m for m in simhash.submasks(box, n)) for n in range(3, 6)]
+            ways.append(all(longer))
+    assert any(ways)
+
+
 def brute(fps):
     parent = {f: f for f in fps}
 
@@ -71,6 +86,65 @@ def test_links_of_a_dense_group_and_of_random_ones(spark):
     assert sorted(map(sorted, mine.values())) == sorted(map(sorted, want.values()))
 
 
+def near_copies(rng, count, flips):
+    base = rng.getrandbits(64)
+    fps = {base}
+    while len(fps) < count:
+        fp = base
+        for bit in rng.sample(range(64), rng.randint(1, flips)):
+            fp ^= 1 << bit
+        fps.add(fp)
+    return sorted(fps)
+
+
+def linked(spark, fps):
+    signed = [int(np.uint64(f).astype(np.int64)) for f in fps]
+    found = {r["node"]: r["root"] for r in simhash.links(spark.createDataFrame([(f, 1) for f in signed], "fp long, copies long")).collect()}
+    mine = {}
+    for f, s in zip(fps, signed, strict=True):
+        mine.setdefault(found.get(s, s), set()).add(f)
+    return sorted(map(sorted, mine.values()))
+
+
+def by_numpy(fps):
+    """Components by comparing every fingerprint with all others."""
+    every, root = np.array(fps, np.uint64), np.arange(len(fps))
+    near = [np.flatnonzero(np.bitwise_count(every ^ f) <= 4) for f in every]
+    while True:
+        least = np.array([root[n].min() for n in near])
+        least = least[least]
+        if (least == root).all():
+            break
+        root = least
+    found = {}
+    for f, r in zip(fps, root.tolist(), strict=True):
+        found.setdefault(r, []).append(f)
+    return sorted(found.values())
+
+
+def test_buckets_split_by_every_segment_give_the_same_components(spark, monkeypatch):
+    fps = near_copies(random.Random(3), 150, 9)
+    monkeypatch.setattr(simhash, "FANS", {2: 1, 3: 1, 4: 1})
+    assert linked(spark, fps) == by_numpy(fps)
+
+
+def test_ten_thousand_near_copies_make_rows_in_proportion(spark, monkeypatch):
+    made = []
+    met, split = simhash._met, simhash._split
+
+    def counted(opened):
+        rows = opened.agg(F.count("*"), F.sum(F.when(F.col("comp") != F.col("main"), F.lit(1)).otherwise(0))).first()
+        pairs = opened.groupBy("key").agg((F.count("*") * F.first("minors")).alias("p")).agg(F.sum("p")).first()[0] or 0
+        made.append(pairs / max(1, rows[0]))
+        return met(opened)
+
+    monkeypatch.setattr(simhash, "_met", counted)
+    monkeypatch.setattr(simhash, "_split", lambda members, length: (made.append(-1), split(members, length))[1])
+    fps = near_copies(random.Random(4), 10_000, 8)
+    assert linked(spark, fps) == by_numpy(fps)
+    assert -1 in made and max(made) <= simhash.FANS[2]
+
+
 def test_components_of_a_long_path_a_star_and_loops(spark):
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(200, 260)] + [(5000, 5000), (None, 4)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
