@@ -41,7 +41,16 @@ def written(frame: DataFrame, compression: str = "snappy") -> DataFrame:
     spark = frame.sparkSession
     path = f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
     frame.write.option("compression", compression).parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    found = spark.read.schema(frame.schema).parquet(path)
+    found.written_to = path
+    return found
+
+
+def removed(frame: DataFrame) -> None:
+    """Delete the table of a frame that ``written`` gave, once nothing reads it any more."""
+    spark = frame.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(frame.written_to)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 #: Rows of an Arrow batch, instead of Spark's 10,000: texts may be long, and a batch is held whole on both sides.

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweir.llm import bitslice, bpe, decontam, langid, lmscore, mil, revisit, simhash, skipchain, templates
+from logweir.llm import bitslice, bpe, chat, decontam, infill, kmeans, langid, lmscore, mil, revisit, simhash, skipchain, templates
 from logweir.llm.common import held_out, table
 
 #: From this score on a document counts as toxic.
@@ -206,3 +206,104 @@ SELECT id, canonical, id AS time, source_id, outcome,
        CASE WHEN outcome = 'resolved' THEN sha256(html) END AS body_sha256
 FROM o
 """
+
+
+@query
+def op11_drift_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's cluster and distance after three rounds from 16 centroids."""
+    found, centroids = kmeans.cluster(table(spark, sf_dir, "embeddings"))
+    return kmeans.with_inertia(found, centroids).select(
+        F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"
+    )
+
+
+def _rounds(count: int) -> str:
+    """Assignments a0 to a<count> and centroids c0 to c<count> as common tables."""
+    steps = []
+    for i in range(count + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (SELECT r, vec_id, arg_min(c, key) AS c, min(key)[1] AS distance FROM (
+  SELECT r, vec_id, c, [d, c] AS key FROM (
+    SELECT r, vec_id, c, list_sum(list_transform(list_zip(v.e, c{i}.e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint AS d FROM v, c{i})) GROUP BY r, vec_id)""")
+        if i < count:
+            steps.append(f"""
+s{i} AS (SELECT c, place, sum(x)::hugeint AS s, count(*)::hugeint AS n FROM (SELECT c, unnest(range(1, 65)) AS place, unnest(e) AS x FROM a{i} JOIN v USING (r)) GROUP BY c, place),
+c{i + 1} AS MATERIALIZED (SELECT c, coalesce(m, e) AS e FROM c{i} LEFT JOIN
+  (SELECT c, list(((s - ((s % n) + n) % n) // n)::bigint ORDER BY place) AS m FROM s{i} GROUP BY c) USING (c))""")
+    return ",".join(steps)
+
+
+ORACLES["op11_drift_clustering"] = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) AS e FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h NULLS LAST, e) - 1 AS c, e FROM
+  (SELECT e, sha256('1:' || vec_id) AS h FROM v ORDER BY h NULLS LAST, e LIMIT 16)),{_rounds(kmeans.ROUNDS)}
+SELECT vec_id, c::integer AS cluster, distance, sum(distance) OVER (PARTITION BY c)::bigint AS cluster_inertia,
+       sum(distance) OVER ()::bigint AS inertia, sha256(array_to_string(e, ',')) AS centroid_sha256
+FROM a{kmeans.ROUNDS} JOIN c{kmeans.ROUNDS} USING (c)
+"""
+
+
+@query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's form, the lengths of its pieces, and digests of the output and of the text rebuilt from it."""
+    found = infill.transform(table(spark, sf_dir, "documents"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+ORACLES["op12_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(doc_id::varchar, '')) AS h FROM documents),
+w AS (SELECT *, CASE WHEN t = '' THEN [] ELSE regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') END AS w,
+             list_transform([1, 9, 17, 25], lambda i: ('0x' || substr(h, i, 8))::bigint) AS x FROM d),
+p AS (SELECT *, len(w) AS n, least(x[1] % (len(w) + 1), x[2] % (len(w) + 1)) AS a, greatest(x[1] % (len(w) + 1), x[2] % (len(w) + 1)) AS b FROM w),
+f AS (SELECT *, CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR x[3] % 100 >= 50 THEN 'plain'
+                     WHEN x[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form,
+             array_to_string(w[1:a], '') AS prefix, array_to_string(w[a + 1:b], '') AS middle, array_to_string(w[b + 1:], '') AS suffix FROM p)
+SELECT doc_id, n::bigint AS n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::bigint AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::bigint AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                        ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(t) AS restored_sha256
+FROM f
+"""
+
+#: A conversation whose texts hold the marks of a common template.
+CLASHING = ((-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]"))
+
+
+@query
+def op13_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation folded from its event log, formatted, and read back from the formatted text."""
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    clashing = spark.createDataFrame(list(CLASHING), "conv_id long, turn long, role string, text string")
+    log = chat.logged(told.unionByName(clashing))
+    rendered = chat.render(chat.reconstruct(log)).select("conv_id", "segments", chat.formatted(F.col("segments")).alias("formatted"))
+    read = rendered.select("conv_id", "formatted", chat.turns(F.col("formatted")).alias("turns"), chat.trained(F.col("segments")).alias("loss"))
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+ORACLES["op13_chat_formatting"] = rf"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+e AS (SELECT *, regexp_replace(role, '([<\[])(~*)({chat.CONTROLS})', '\1~\2\3', 'g') AS r, regexp_replace(text, '([<\[])(~*)({chat.CONTROLS})', '\1~\2\3', 'g') AS t FROM c)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::bigint AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum(length(r) + length(t) + length('<|turn|><|text|><|end|>'))::bigint AS formatted_chars
+FROM e GROUP BY conv_id
+"""

@@ -6,9 +6,9 @@ from check_oracle import TABLES, compare
 from logweir.llm.queries import ORACLES, QUERIES
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_thirteen_and_the_pipeline_are_registered():
     names = contract.queries()
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n.startswith("op")) == list(range(1, 14))
     assert "pipeline" in names
 
 
