@@ -20,12 +20,12 @@ KEY, OLD_KEY = b"catalog key", b"older catalog key"
 # --- the same tokens in SQL --------------------------------------------------
 
 
-def _blob(data: bytes) -> str:
+def _bytes(data: bytes) -> str:
     return "'" + "".join(f"\\x{b:02X}" for b in data) + "'::BLOB"
 
 
 def _digest(kind: str, value: str, key: bytes = KEY) -> str:
-    return f"sha256({_blob(subkey(key))} || encode(concat('{kind}:', {value})))"
+    return f"sha256({_bytes(subkey(key))} || encode(concat('{kind}:', {value})))"
 
 
 def _token(kind: str, value: str, key: bytes = KEY) -> str:
@@ -197,6 +197,45 @@ def _(t):
     )
 
 
+def _blob(ip: str, user: str) -> str:
+    """The nested JSON of ``_nested_alerts`` in SQL, around an address and a user."""
+    return (
+        f"concat('{{\"user\":\"', {user}, '\",\"n\":', epid, ',\"nested\":{{\"srcip\":[\"', {ip}, '\",\"N/A\"],\"list\":[{{\"User\":\"', {user}, "
+        f"'\",\"note\":\"seen at ', {ip}, '\",\"score\":1.50}},null,[true,\"', {ip}, '\"]]}}}}')"
+    )
+
+
+def _nested_alerts(t):
+    """Alerts with a JSON text of objects and lists in each other, with numbers and absent values."""
+    ip, user = F.col("epip"), F.col("euname")
+    blob = F.concat(
+        F.lit('{"user":"'), user, F.lit('","n":'), F.col("epid").cast("string"), F.lit(',"nested":{"srcip":["'), ip, F.lit('","N/A"],"list":[{"User":"'), user,
+        F.lit('","note":"seen at '), ip, F.lit('","score":1.50},null,[true,"'), ip, F.lit('"]]}}'),
+    )
+    return t.alert.select("alertid", "epid", blob.alias("grpby"))
+
+
+@query(
+    "l6_json_nested",
+    f"SELECT alertid, grpby, json_extract_string(grpby, '$.user') AS user, json_extract_string(grpby, '$.nested.list[0].note') AS note, "
+    f"json_extract_string(grpby, '$.nested.list[2][1]') AS deep, json_extract(grpby, '$.n')::bigint AS n FROM "
+    f"(SELECT alertid, epid, {_blob(_token('ip', 'epip'), _token('username', 'euname'))} AS grpby FROM alert)",
+    "alert",
+)
+def _(t):
+    # The same JSON as text and as a variant, masked by keys at every depth.
+    rows = _nested_alerts(t).select("alertid", "grpby", F.parse_json("grpby").alias("held"))
+    masked = masking.mask_table(rows, _tokens(t))
+    return masked.select(
+        "alertid",
+        "grpby",
+        F.variant_get("held", "$.user", "string").alias("user"),
+        F.variant_get("held", "$.nested.list[0].note", "string").alias("note"),
+        F.variant_get("held", "$.nested.list[2][1]", "string").alias("deep"),
+        F.variant_get("held", "$.n", "bigint").alias("n"),
+    )
+
+
 @query(
     "l6_target",
     f"SELECT alertid, 'ip' AS name, {_token('ip', 'epip')} AS value FROM alert UNION ALL "
@@ -403,6 +442,22 @@ def _(t):
     return masking.leaks(named.select(said.alias("msg"), held.alias("details")), words)
 
 
+@query(
+    "l14_leak_json",
+    "SELECT DISTINCT 'grpby' AS column, 'ip' AS type, epip AS raw FROM alert WHERE epid % 10 = 0 UNION ALL "
+    "SELECT DISTINCT 'grpby', 'username', euname FROM alert WHERE epid % 10 = 0",
+    "alert",
+)
+def _(t):
+    # Nested JSON of a masked table, into which the JSON of every tenth endpoint is put again unmasked.
+    k = _tokens(t)
+    rows = _nested_alerts(t)
+    words = t.kept(masking.dictionary(rows.select("grpby"), k))
+    masked = masking.mask_table(rows.withColumn("shown", F.col("grpby")), k)
+    planted = masked.withColumn("grpby", F.when(F.col("epid") % 10 == 0, F.col("shown")).otherwise(F.col("grpby")))
+    return masking.leaks(planted.select("grpby"), words)
+
+
 @query(
     "l14_leak_control",
     "SELECT DISTINCT 'srcip' AS column, 'ip' AS type, srcip AS raw FROM traffic UNION ALL "

@@ -134,6 +134,38 @@ class Tokenizer:
             several = several & ~is_kept(kind, value, keep)
         return F.when(several, listed).otherwise(self.element(kind, value, keep))
 
+    def mask_as(self, kind: Column, value: Column, keep: Column | None = None) -> Column:
+        """``mask`` for a type that is known row by row only."""
+
+        def token(made: Column, part: Column) -> Column:
+            normal = F.when(made.isin("username", "url"), part).otherwise(F.lower(part))
+            digest = F.sha2(F.concat(F.col("_key"), F.concat(made, F.lit(":"), normal).cast("binary")), 256)
+            letters = F.translate(F.substring(digest, 1, TOKEN_LENGTH), _HEX, _LETTERS)
+            prefix = F.lit(None).cast("string")
+            for name, short in PREFIXES.items():
+                prefix = F.when(made == name, F.lit(f"{short}-{self.kid}-")).otherwise(prefix)
+            return F.concat(prefix, letters)
+
+        def made_of(part: Column) -> Column:
+            made = F.when(kind.isin(*PREFIXES), kind)
+            for name in ("ip", "mac", "email", "ip_or_host"):
+                made = F.when(kind == name, self.kind_of(name, part)).otherwise(made)
+            return made
+
+        def is_shown(part: Column) -> Column:
+            stays = F.trim(part).isin(fv.UNMASKED_VALUES)
+            if keep is None:
+                return stays
+            return stays | F.when(kind == "username", is_kept("username", part, keep)).otherwise(is_kept("", part, keep))
+
+        def one(part: Column) -> Column:
+            typed = let(made_of(part), lambda made: F.when(made.isNotNull(), token(made, part)).otherwise(self.placeholder(part)))
+            return F.when(is_shown(part), part).otherwise(typed)
+
+        # A kept value stays whole, commas and all; any other value is a list, often of one.
+        whole = F.lit(False) if keep is None else is_shown(value)
+        return F.when(whole, value).otherwise(F.array_join(F.transform(F.split(value, ",", -1), one), ","))
+
     def scrub(self, text: Column) -> Column:
         """Free text with its addresses, MACs and e-mails replaced, in that order."""
         out = replace_each(

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logweir.functions import nested
 from logweir.functions.text import let, matches, quoted, replace_each
 from logweir.functions.tokens import PREFIXES, Tokenizer, is_kept, kept, url_parts
 from logweir.plans import fixed_values as fv
@@ -59,7 +60,48 @@ def leaves(df: DataFrame, keys: Groups | None = None) -> list[Leaf]:
     """
     found: list[Leaf] = []
     for f in df.schema.fields:
-        found += _leaves(f.name, F.col(f"`{f.name}`"), f.dataType, keys)
+        if f"{_WALK}{f.name}" in df.columns:
+            found += _keyed(f.name, F.col(f"`{_WALK}{f.name}`"), keys)
+        elif not f.name.startswith(_WALK):
+            found += _leaves(f.name, F.col(f"`{f.name}`"), f.dataType, keys)
+    return found
+
+
+_WALK = "_walk_"
+
+
+def _is_json(name: str, dtype: T.DataType) -> bool:
+    return isinstance(dtype, T.VariantType) or isinstance(dtype, T.StringType) and name.lower() in JSON_COLUMNS
+
+
+def _json_text(column: Column, dtype: T.DataType) -> Column:
+    return F.to_json(column) if isinstance(dtype, T.VariantType) else column
+
+
+def walked_once(df: DataFrame) -> DataFrame:
+    """``df`` with the string values of each JSON column in a column beside it, for ``leaves`` to read."""
+    found = [f for f in df.schema.fields if _is_json(f.name, f.dataType)]
+    made = {f"{_WALK}{f.name}": nested.values(_json_text(F.col(f"`{f.name}`"), f.dataType)) for f in found}
+    return df.withColumns(made) if made else df
+
+
+def _keyed(name: str, values: Column, keys: Groups | None) -> list[Leaf]:
+    """The leaves of a JSON text from its string values: all of them, or those under the keys of each type.
+
+    URLs have a leaf of their own; what has no type counts as text.
+    """
+
+    def under(names: Sequence[str]) -> Column:
+        return _picked(F.filter(values, lambda v: v["key"].isin(list(names))), "value")
+
+    if keys is None:
+        return [Leaf(name, _picked(values, "value"), True)]
+    typed = {kind: [n for n in names if n not in URL_COLUMNS] for kind, names in keys.items() if kind != "text"}
+    found = [Leaf(name, under(names), True, kind) for kind, names in typed.items()]
+    if "text" in keys:
+        known = [n for names in typed.values() for n in names] + list(URL_COLUMNS)
+        rest = _picked(F.filter(values, lambda v: ~v["key"].isin(known)), "value")
+        found += [Leaf(url, under([url]), True) for url in URL_COLUMNS] + [Leaf(name, rest, True, "text")]
     return found
 
 
@@ -69,6 +111,8 @@ def keys_by_type(types: Mapping[str, str]) -> dict[str, list[str]]:
 
 
 def _leaves(name: str, column: Column, dtype: T.DataType, keys: Groups | None) -> list[Leaf]:
+    if _is_json(name, dtype):
+        return _keyed(name, nested.values(_json_text(column, dtype)), keys)
     if isinstance(dtype, T.StringType):
         return [Leaf(name, column, False)]
     if isinstance(dtype, T.StructType):
@@ -79,6 +123,8 @@ def _leaves(name: str, column: Column, dtype: T.DataType, keys: Groups | None) -
 
 
 def _listed(name: str, column: Column, inner: T.DataType, keys: Groups | None) -> list[Leaf]:
+    if _is_json(name, inner):
+        return _keyed(name, F.flatten(F.transform(column, lambda c: nested.values(_json_text(c, inner)))), keys)
     if isinstance(inner, T.StringType):
         return [Leaf(name, column, True)]
     if isinstance(inner, T.ArrayType):
@@ -201,18 +247,10 @@ def device_domains(tokens: Tokenizer, value: Column) -> Column:
     return F.array_join(F.transform(F.split(value, ",", -1), one), ",")
 
 
-def json_fields(tokens: Tokenizer, text: Column, fields: Sequence[str], types: Mapping[str, str] = COLUMN_TYPES) -> Column:
-    """A flat JSON object with its typed fields masked; other text is scrubbed."""
-    parsed = F.from_json(text, T.MapType(T.StringType(), T.StringType()))
-
-    def one(key: Column, value: Column) -> Column:
-        masked = tokens.scrub(value)
-        for kind in sorted({types[n] for n in fields if n in types} - {"text"}):
-            names = [n for n in fields if types.get(n) == kind]
-            masked = F.when(F.lower(key).isin(names), tokens.mask(kind, value)).otherwise(masked)
-        return masked
-
-    return F.when(parsed.isNotNull(), F.to_json(F.transform_values(parsed, one))).otherwise(tokens.scrub(text))
+def json_fields(tokens: Tokenizer, text: Column, fields: Sequence[str], types: Mapping[str, str] = COLUMN_TYPES, keep: Column | None = None) -> Column:
+    """JSON text with its typed fields masked at any depth; other strings, and other text, are scrubbed."""
+    known = {n: types[n] for n in fields if n in types}
+    return _Masker(tokens, known, keep, None, False).json(text)
 
 
 def indicator_value(tokens: Tokenizer, value: Column, kind: Column, keep: Column | None = None) -> Column:
@@ -238,6 +276,17 @@ def threat_pair(tokens: Tokenizer, threat: Column, escaped: Column) -> tuple[Col
     )
 
 
+def _browsable(escaped: Column) -> Column:
+    return F.coalesce(~F.trim(escaped).isin(fv.UNMASKED_VALUES), F.lit(False))
+
+
+def _chosen(key: Column, table: Mapping[str, str], otherwise: Column | None = None) -> Column:
+    found = F.lit(None).cast("string") if otherwise is None else otherwise
+    for name, value in table.items():
+        found = F.when(key == name, F.lit(value)).otherwise(found)
+    return found
+
+
 def bucket_values(tokens: Tokenizer, dimension: Column, value: Column, types: Mapping[str, str] = COLUMN_TYPES) -> Column:
     """Breakdown values masked by the dimension they belong to."""
     masked = value
@@ -262,13 +311,12 @@ def mask_table(
     replaced where its text mentions them.
     """
     known = type_table(df, mask_devices, extra)
-    staged = tokens.attach(df)
-    keep = None if mask_devices else kept_values(df)
+    walked = walked_once(df)
+    staged = tokens.attach(walked)
+    keep = None if mask_devices else kept_values(walked)
     if keep is not None:
         staged, keep = staged.withColumn("_keep", keep), F.col("_keep")
-    if any(isinstance(f.dataType, T.VariantType) for f in df.schema.fields):
-        raise PlanError("a variant column cannot be walked; read it as a struct or a map before masking")
-    found = leaves(df, keys_by_type(known))
+    found = leaves(walked, keys_by_type(known))
     sources = [x for x in found if (x.type_of(known) or "text") != "text"]
     prose = any(x.type_of(known) == "text" for x in found)
     pairs = None
@@ -318,6 +366,8 @@ class _Masker:
 
     def value(self, name: str, column: Column, dtype: T.DataType) -> Column:
         folded = name.lower()
+        if isinstance(dtype, T.VariantType):
+            return F.parse_json(self.json(F.to_json(column)))
         if isinstance(dtype, T.StringType):
             return self._text(folded, column)
         if isinstance(dtype, T.StructType):
@@ -329,7 +379,7 @@ class _Masker:
                 return targets(self.tokens, column, self.keep)
             if folded == "filter_applied" and isinstance(inner, T.ArrayType):
                 return F.transform(column, self._condition)
-            if isinstance(inner, (T.StringType, T.StructType, T.ArrayType, T.MapType)):
+            if isinstance(inner, (T.StringType, T.StructType, T.ArrayType, T.MapType, T.VariantType)):
                 return F.transform(column, lambda item: self.value(name, item, inner))
         if isinstance(dtype, T.MapType):
             return F.transform_values(column, lambda key, item: self._under(F.lower(key.cast("string")), item, dtype.valueType, folded))
@@ -342,7 +392,7 @@ class _Masker:
         shown = self.value(holder, item, dtype)
         for names in keys_by_type({n: t for n, t in self.types.items() if n not in URL_COLUMNS}).values():
             shown = F.when(key.isin(names), self.value(names[0], item, dtype)).otherwise(shown)
-        for name in URL_COLUMNS:
+        for name in (*URL_COLUMNS, *JSON_COLUMNS):
             shown = F.when(key == name, self.value(name, item, dtype)).otherwise(shown)
         return shown
 
@@ -353,13 +403,65 @@ class _Masker:
         if name in PREFIXED_COLUMNS:
             return prefixed(k, column, self.keep)
         if name in JSON_COLUMNS:
-            return json_fields(k, column, list(self.types), self.types)
+            return self.json(column)
         if name == "devvds" and self.mask_devices:
             return device_domains(k, column)
         if kind == "text":
             return self._prose(column)
         return column if kind is None else k.mask(kind, column, self.keep)
 
+    def json(self, text: Column) -> Column:
+        """JSON text masked by its keys at any depth; other text is scrubbed.
+
+        What begins as JSON and is none (cut off, say) is masked by its keys and scrubbed as well.  JSON inside a
+        string of a JSON column's name is burned.
+        """
+        whole = nested.rebuilt(text, self._swap)
+        safe = let(whole, lambda w: F.when(F.try_parse_json(text).isNotNull(), w).otherwise(self._prose(w)))
+        return F.when(nested.shaped(text), safe).otherwise(self._prose(text))
+
+    def _swap(self, key: Column, owner: Column, value: Column, sibling: Callable[[str], Column]) -> Column:
+        """A JSON string masked as its key, or what stands beside it, says."""
+        k, keep, said_by = self.tokens, self.keep, self._kind_of_key
+        field = F.lower(F.substring_index(value, ":", 1))
+        head = F.substring(value, F.lit(1), F.length(field) + 1)
+        led = key.isin(list(PREFIXED_COLUMNS)) & value.contains(":") & (F.length(value) > F.length(field) + 1) & said_by(field).isNotNull()
+        user = any_of(F.coalesce(value == sibling(n), F.lit(False)) for n in ("reporter", "lastuser"))
+        beside = F.lower(F.trim(sibling("type")))
+        kind = (
+            F.when((key == "value") & (owner == "target"), F.coalesce(_chosen(F.lower(sibling("name")), fv.TARGET_TYPES), F.lit("burned")))
+            .when((key == "value") & beside.isin("ip", "domain"), beside)
+            .when((key == "value") & (beside == "url"), F.lit("url_full"))
+            .when((key == "incident_reporter") & user, F.lit("username"))
+            .when((key == "threat") & _browsable(sibling("obf_url")), F.lit("domain"))
+            .when((key == "obf_url") & sibling("threat").isNotNull() & _browsable(value), F.lit("escaped"))
+            .when(key.isin(list(JSON_COLUMNS)) & nested.shaped(value), F.lit("burned"))
+            .when(led, said_by(field))
+            .otherwise(_chosen(key, URL_COLUMNS, said_by(key)))
+        )
+
+        def shown(kind: Column) -> Column:
+            core = F.when(led, F.substring(value, F.length(head) + 1, F.length(value))).otherwise(value)
+            core = F.when(kind == "escaped", F.replace(value, F.lit("[dot]"), F.lit("."))).otherwise(core)
+            typed = k.mask_as(F.when(kind == "escaped", F.lit("domain")).otherwise(kind), core, keep)
+            typed = F.when(kind == "escaped", F.replace(typed, F.lit("."), F.lit("[dot]"))).when(led, F.concat(head, typed)).otherwise(typed)
+            stays = F.trim(value).isin(fv.UNMASKED_VALUES)
+            if keep is not None:
+                stays = stays | F.coalesce(F.array_contains(keep["exact"], value), F.lit(False))
+            typed = F.when(kind == "burned", F.when(stays, value).otherwise(k.placeholder(value))).otherwise(typed)
+            typed = F.when(kind == "url_full", k.url_full(value, keep)).when(kind == "url_host", k.url_host(value, keep)).otherwise(typed)
+            return F.when(kind.isNull(), self._prose(value)).otherwise(typed)
+
+        masked = let(kind, shown)
+        return F.when(key == "devvds", device_domains(k, value)).otherwise(masked) if self.mask_devices else masked
+
+    def _kind_of_key(self, key: Column) -> Column:
+        """The type of a field of this name; null where it has none or holds prose."""
+        kind = F.lit(None).cast("string")
+        for name, names in keys_by_type({n: t for n, t in self.types.items() if t != "text" and n not in URL_COLUMNS}).items():
+            kind = F.when(key.isin(names), F.lit(name)).otherwise(kind)
+        return kind
+
     def _prose(self, column: Column) -> Column:
         scrubbed = self.tokens.scrub(column)
         if self.pairs is None:
@@ -437,6 +539,7 @@ def dictionary(
     own.
     """
     types = dict(type_table(df, mask_devices) if types is None else {n.lower(): t for n, t in types.items()})
+    df = walked_once(df)
     keep, staged = None if mask_devices else kept_values(df), df
     if keep is not None:
         staged, keep = df.withColumn("_keep", keep), F.col("_keep")
@@ -444,8 +547,11 @@ def dictionary(
     found: list[Column] = []
     for leaf in leaves(df, keys_by_type(types)):
         kind = leaf.type_of(types)
+        full = URL_COLUMNS.get(leaf.name.lower()) == "url_full"
         if leaf.name.lower() in URL_COLUMNS and not leaf.listed:
-            values += _url_values(leaf.column, URL_COLUMNS[leaf.name.lower()] == "url_full", keep)
+            values += _url_values(leaf.column, full, keep)
+        elif leaf.name.lower() in URL_COLUMNS and leaf.kind is None:
+            found.append(F.flatten(F.transform(leaf.texts(), _urls_of(full, keep))))
         elif kind == "text":
             texts = leaf.texts()
             found += [F.flatten(F.transform(texts, _matched(p, k))) for k, p in PATTERNS.items()]
@@ -516,6 +622,10 @@ def _url_values(url: Column, full: bool, keep: Column | None) -> list[Column]:
     return values
 
 
+def _urls_of(full: bool, keep: Column | None) -> Callable[[Column], Column]:
+    return lambda url: F.array(*_url_values(url, full, keep))
+
+
 def collisions(words: DataFrame) -> DataFrame:
     """Tokens that stand for more than one value; must be empty before use."""
     return words.groupBy("token").agg(F.count_distinct("type", "raw").alias("meanings")).where(F.col("meanings") > 1)
@@ -600,11 +710,18 @@ def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> Data
     looked for as runs of as many words.  A map's values count under its name.  An
     empty result is a pass.
     """
+    masked = walked_once(masked)
     shown = [leaf for leaf in leaves(masked) if leaf.name not in skip]
     if not shown:
         raise PlanError("the table has no text to check")
+    # Besides its strings, a JSON text is looked through as it stands.
+    shown += [
+        Leaf(f.name, F.array(_json_text(F.col(f"`{f.name}`"), f.dataType)), True)
+        for f in masked.schema.fields
+        if f"{_WALK}{f.name}" in masked.columns and f.name not in skip
+    ]
     types = column_types(masked)
-    mapped = any(isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType)) for f in masked.schema.fields)
+    mapped = any(f.name.startswith(_WALK) for f in masked.schema.fields) or any(isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType)) for f in masked.schema.fields)
     named = mapped or bool(set(types.values()) - {"text", *PATTERNS}) or any(x.name in URL_COLUMNS for x in shown)
     patterns = [*PATTERNS.values(), *([_WORD] if named else [])]
     # How many words raw values have, where it is more than one: a handful of numbers.
