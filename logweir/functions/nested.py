@@ -117,18 +117,22 @@ def walked(text: Column) -> Column:
     return F.when(text.isNotNull(), let(F.regexp_extract_all(text, F.lit(_PART), F.lit(0)), sized))
 
 
-def values(text: Column) -> Column:
-    """``array<struct<key, value>>`` of a text's string values; a text of another shape is one value without a key."""
+def values(text: Column, parts: Column | None = None) -> Column:
+    """``array<struct<key, value>>`` of a text's string values; a text of another shape is one value without a key.
+
+    ``parts`` may be given where the text has been walked already.
+    """
 
     def read(parts: Column) -> Column:
         strings = F.filter(parts, lambda p: p["key"].isNotNull())
         return F.transform(strings, lambda p: F.struct(p["key"].alias("key"), content(p["part"]).alias("value")))
 
     whole = F.array(F.struct(F.lit("").alias("key"), text.alias("value")))
-    return F.when(text.isNotNull(), F.when(shaped(text), let(walked(text), read)).otherwise(whole))
+    found = let(walked(text), read) if parts is None else read(parts)
+    return F.when(text.isNotNull(), F.when(shaped(text), found).otherwise(whole))
 
 
-def rebuilt(text: Column, swap: Swap) -> Column:
+def rebuilt(text: Column, swap: Swap, parts: Column | None = None) -> Column:
     """``text`` with every string value replaced by ``swap(key, owner, value, sibling)``.
 
     ``sibling(name)`` is the text under another key of the same object, wherever it stands there.
@@ -148,4 +152,4 @@ def rebuilt(text: Column, swap: Swap) -> Column:
 
         return F.array_join(F.transform(parts, one), "")
 
-    return let(walked(text), joined)
+    return let(walked(text), joined) if parts is None else joined(parts)

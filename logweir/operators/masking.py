@@ -61,7 +61,8 @@ def leaves(df: DataFrame, keys: Groups | None = None) -> list[Leaf]:
     found: list[Leaf] = []
     for f in df.schema.fields:
         if f"{_WALK}{f.name}" in df.columns:
-            found += _keyed(f.name, F.col(f"`{_WALK}{f.name}`"), keys)
+            text, parts = _json_text(F.col(f"`{f.name}`"), f.dataType), F.col(f"`{_WALK}{f.name}`")
+            found += _keyed(f.name, nested.values(text, parts), keys)
         elif not f.name.startswith(_WALK):
             found += _leaves(f.name, F.col(f"`{f.name}`"), f.dataType, keys)
     return found
@@ -79,9 +80,13 @@ def _json_text(column: Column, dtype: T.DataType) -> Column:
 
 
 def walked_once(df: DataFrame) -> DataFrame:
-    """``df`` with the string values of each JSON column in a column beside it, for ``leaves`` to read."""
-    found = [f for f in df.schema.fields if _is_json(f.name, f.dataType)]
-    made = {f"{_WALK}{f.name}": nested.values(_json_text(F.col(f"`{f.name}`"), f.dataType)) for f in found}
+    """``df`` with the parts of each JSON column in a column beside it, which ``leaves`` and the masker read."""
+
+    def parts(f: T.StructField) -> Column:
+        text = _json_text(F.col(f"`{f.name}`"), f.dataType)
+        return F.when(nested.shaped(text), nested.walked(text))
+
+    made = {f"{_WALK}{f.name}": parts(f) for f in df.schema.fields if _is_json(f.name, f.dataType)}
     return df.withColumns(made) if made else df
 
 
@@ -326,6 +331,10 @@ def mask_table(
     record = _Masker(tokens, known, keep, pairs, mask_devices)
     columns = {f.name: F.col(f"`{f.name}`") for f in df.schema.fields}
     masked = record.fields(columns, {f.name: f.dataType for f in df.schema.fields})
+    for f in df.schema.fields:
+        if f"{_WALK}{f.name}" in walked.columns:
+            text = record.json(_json_text(columns[f.name], f.dataType), F.col(f"`{_WALK}{f.name}`"))
+            masked[f.name] = F.parse_json(text) if isinstance(f.dataType, T.VariantType) else text
     # Inside a lambda Spark prefers a sibling alias over an input column of the same
     # name, so the masked columns get their names only afterwards.
     out = staged.select(*(masked[c].alias(f"_masked_{i}") for i, c in enumerate(df.columns)))
@@ -410,13 +419,13 @@ class _Masker:
             return self._prose(column)
         return column if kind is None else k.mask(kind, column, self.keep)
 
-    def json(self, text: Column) -> Column:
+    def json(self, text: Column, parts: Column | None = None) -> Column:
         """JSON text masked by its keys at any depth; other text is scrubbed.
 
         What begins as JSON and is none (cut off, say) is masked by its keys and scrubbed as well.  JSON inside a
         string of a JSON column's name is burned.
         """
-        whole = nested.rebuilt(text, self._swap)
+        whole = nested.rebuilt(text, self._swap, parts)
         safe = let(whole, lambda w: F.when(F.try_parse_json(text).isNotNull(), w).otherwise(self._prose(w)))
         return F.when(nested.shaped(text), safe).otherwise(self._prose(text))
 
