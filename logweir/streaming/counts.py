@@ -7,7 +7,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.listener import StreamingQueryListener
 from pyspark.sql.streaming.query import StreamingQuery
 
 Sink = Callable[[DataFrame, int], None]
@@ -32,7 +31,7 @@ def hourly_counts(
 ) -> DataFrame:
     """Rows per window and key.  State holds one counter per open window and key; it is
     freed when the watermark passes the window's end.  Rows later than ``late`` are
-    dropped and counted (see ``LateRows``).
+    dropped; ``rollup.Rollup`` counts them.
 
     Watermarks need zoned time, so naive event time is read in the session's zone and
     the window start is given back naive.
@@ -82,32 +81,3 @@ def latest_counts(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFr
     A counter only grows, so its largest value is its last.
     """
     return spark.read.parquet(path).groupBy("bucket", *keys).agg(F.max("hits").alias("hits"))
-
-
-class LateRows(StreamingQueryListener):
-    """Counts the rows that came after their window had closed, batch by batch.
-
-    A query keeps only its last progress reports; this adds up all of them.  Register
-    it with ``spark.streams.addListener`` before the query starts.
-    """
-
-    def __init__(self) -> None:
-        self.by_query: dict[str, dict[int, int]] = {}
-
-    def onQueryStarted(self, event) -> None:
-        self.by_query.setdefault(str(event.id), {})
-
-    def onQueryProgress(self, event) -> None:
-        progress = event.progress
-        late = sum(o.numRowsDroppedByWatermark for o in progress.stateOperators)
-        # A batch that is run again after a failure is counted once.
-        self.by_query.setdefault(str(progress.id), {})[progress.batchId] = late
-
-    def onQueryIdle(self, event) -> None:
-        return None
-
-    def onQueryTerminated(self, event) -> None:
-        return None
-
-    def total(self, query: StreamingQuery) -> int:
-        return sum(self.by_query.get(str(query.id), {}).values())
