@@ -8,6 +8,7 @@ from logweir.catalog.registry import query
 from logweir.catalog.views import nested_endpoints, nested_vulnerabilities
 from logweir.operators import linkage, paging
 from logweir.plans import fixed_values as fv
+from logweir.sources import logs
 
 SNAPSHOT = "alertid string, severity string, timestamp string"
 _SWEPT = ("traffic", "attack", "appctrl", "dns")
@@ -132,6 +133,19 @@ def _(t):
     return linkage.sweep(t.indicator, _swept(t))
 
 
+_FEW = "(SELECT value, type FROM indicator QUALIFY row_number() OVER (PARTITION BY type ORDER BY value) <= 4)"
+
+
+@query("h8_sweep_layout", _SWEEP.replace("SELECT DISTINCT value, type FROM indicator", f"SELECT DISTINCT value, type FROM {_FEW}") + " SELECT * FROM matches", "indicator", *_SWEPT)
+def _(t):
+    # Logs written by address within a day, then swept for the first few indicators of each type.
+    folder, pivots = t.folder(), ["srcip", "hostname"]
+    for name, df in _swept(t).items():
+        logs.write_logs(df.withColumn("logtype", F.lit(name)), f"{folder}/{name}", cluster="srcip", pivots=pivots)
+    few = linkage.first_per_group(t.indicator, ["type"], [F.col("value")], 4)
+    return linkage.sweep(few, {n: logs.read_logs(t.spark, f"{folder}/{n}", n, keys=True) for n in _swept(t)})
+
+
 @query(
     "h8_sweep_totals",
     f"{_SWEEP} SELECT value, type, cast(sum(hits) AS BIGINT) AS total_matches FROM matches GROUP BY ALL",

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,8 @@ from logweir.functions.predicates import is_behavioural
 from logweir.operators.paging import first_per_group, newest_first
 from logweir.operators.stats import severity_histogram
 from logweir.plans import fixed_values as fv
+from logweir.plans.conditions import any_of
+from logweir.sources.logs import key_of
 
 ATTACHED = "incident.attachments.alertevent"
 
@@ -217,16 +220,20 @@ def value_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, str], wa
 
     Only values in ``wanted`` (kind, seen) are counted: the others, nearly unique in
     logs, go before the shuffle, by a broadcast that Spark chooses by size or by its
-    run-time bloom filter.
+    run-time bloom filter.  Where logs have folded keys (``write_logs`` with pivots) and
+    at most ``PUSHED`` values are wanted, these are also a filter of the scan, which
+    skips files, row groups and pages.
     """
+    asked = _asked(wanted) if any(key_of(c) in df.columns for df in tables.values() for c in columns.values()) else None
     merged: DataFrame | None = None
     for name, df in tables.items():
         present = {k: c for k, c in columns.items() if c in df.columns}
         if not present:
             continue
-        pairs = F.array(
-            *(F.struct(F.lit(k).alias("kind"), F.lower(F.col(f"`{c}`")).alias("seen")) for k, c in present.items())
-        )
+        folded = {k: F.col(f"`{key_of(c)}`") if key_of(c) in df.columns else F.lower(F.col(f"`{c}`")) for k, c in present.items()}
+        if asked is not None and all(key_of(c) in df.columns for c in present.values()):
+            df = df.where(any_of(folded[k].isin(asked[k][i : i + 10]) for k in present for i in range(0, len(asked[k]), 10)))
+        pairs = F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("seen")) for k, v in folded.items()))
         part = df.select(F.lit(name).alias("logtype"), F.inline(pairs)).where(F.col("seen").isNotNull())
         merged = part if merged is None else merged.unionByName(part)
     if merged is None:
@@ -235,37 +242,64 @@ def value_counts(tables: Mapping[str, DataFrame], columns: Mapping[str, str], wa
     return own.groupBy("logtype", "kind", "seen").agg(F.count(F.lit(1)).alias("hits"))
 
 
+#: Wanted values that become a filter of the scan, at most; more are left to the join.
+PUSHED = 1_000
+
+
+def _asked(wanted: DataFrame) -> dict[str, list[str]] | None:
+    """Kind -> wanted values, if there are few enough to bring to the driver."""
+    rows = wanted.distinct().limit(PUSHED + 1).collect()
+    if len(rows) > PUSHED:
+        return None
+    found: dict[str, list[str]] = defaultdict(list)
+    for r in rows:
+        found[r["kind"]].append(r["seen"])
+    return found
+
+
+#: Letters of a gram by which checksums are looked through.
+GRAM = 8
+_GRAMS = "array<struct<size:int,at:int,gram:string>>"
+
+
+def _grams(text: Column, size: Column) -> Column:
+    """The grams of a text that start at multiples of their size, each with its place."""
+
+    def cut(k: Column) -> Column:
+        return F.struct(size.alias("size"), (k * size).alias("at"), F.substring(text, k * size + 1, size).alias("gram"))
+
+    every = F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / size).cast("int") - 1), cut)
+    return F.when(F.length(text) >= size, every).otherwise(F.array().cast(_GRAMS))
+
+
 def _checksum_counts(tables: Mapping[str, DataFrame], hashes: DataFrame) -> DataFrame:
     """Rows per wanted hash (column ``seen``) that stands anywhere inside a checksum.
 
-    A hexadecimal hash can only stand inside a hexadecimal run, so a checksum gives its
-    runs of the lengths asked for, and substrings only where a run is longer.  Hashes
-    with other characters are looked for at every place.  The lengths are a handful of
-    numbers, read from the indicators by a subquery.
+    Wherever a hash stands, one of the grams that begin at every ``GRAM``-th place of the checksum lies inside it, at
+    one of ``GRAM`` phases.  So a checksum gives an eighth of its letters as rows and a hash eight; what meets is
+    verified.  Hashes too short to hold a whole gram at every phase use smaller ones, whose size is a subquery over the
+    indicators.  Each row counts once for a hash: where the hash stands first.
     """
-    plain = F.col("seen").rlike("^[0-9a-f]+$")
-    sizes = hashes.agg(
-        F.collect_set(F.when(plain, F.length("seen"))).alias("hex"), F.collect_set(F.when(~plain, F.length("seen"))).alias("other")
-    )
-
-    def pieces(text: Column, lengths: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                F.filter(lengths, lambda n: (n > 0) & (n <= F.length(text))),
-                lambda n: F.transform(F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, n)),
-            )
-        )
-
     column, merged = fv.INDICATOR_FIELDS["Hash"], None
     for name, df in tables.items():
         part = df.select(F.lit(name).alias("logtype"), F.lower(F.col(f"`{column}`")).alias("sum")).where(F.col("sum").isNotNull())
         merged = part if merged is None else merged.unionByName(part)
-    sized = merged.withColumn("_sizes", sizes.select(F.struct("hex", "other")).scalar())
-    runs = F.split("sum", "[^0-9a-f]+")
-    found = F.concat(F.flatten(F.transform(runs, lambda r: pieces(r, F.col("_sizes.hex")))), pieces(F.col("sum"), F.col("_sizes.other")))
-    seen = sized.select("logtype", F.lit("Hash").alias("kind"), F.explode(F.array_distinct(found)).alias("seen"))
-    own = seen.join(hashes.distinct(), "seen", "left_semi")
-    return own.groupBy("logtype", "kind", "seen").agg(F.count(F.lit(1)).alias("hits"))
+    long = F.length("seen") >= 2 * GRAM - 1
+    half = F.floor((F.length("seen") + 1) / 2).cast("int")
+    short = hashes.where((F.length("seen") > 0) & ~long).agg(F.min(half).alias("n"))
+    sized = merged.withColumn("_short", short.scalar())
+    smaller = F.coalesce(F.when(F.col("_short").isNotNull(), _grams(F.col("sum"), F.col("_short"))), F.array().cast(_GRAMS))
+    seen = sized.select("logtype", "sum", F.inline(F.concat(_grams(F.col("sum"), F.lit(GRAM)), smaller)))
+    wanted = hashes.where(F.length("seen") > 0).distinct().withColumn("_size", F.when(long, F.lit(GRAM)).otherwise(short.scalar()))
+
+    def phase(o: Column) -> Column:
+        return F.struct(F.col("_size").alias("size"), o.alias("phase"), F.substring(F.col("seen"), o + 1, F.col("_size")).alias("gram"))
+
+    wanted = wanted.select("seen", F.inline(F.transform(F.sequence(F.lit(0), F.col("_size") - 1), phase)))
+    # A place of zero means that the hash is not there.
+    first = F.position(F.col("seen"), F.col("sum"))
+    found = seen.join(wanted, ["size", "gram"]).where((first > 0) & (first == F.col("at") - F.col("phase") + 1))
+    return found.groupBy("logtype", F.lit("Hash").alias("kind"), "seen").agg(F.count(F.lit(1)).alias("hits"))
 
 
 def sweep(indicators: DataFrame, logs: Mapping[str, DataFrame]) -> DataFrame:

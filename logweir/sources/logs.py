@@ -31,9 +31,12 @@ def read_logs(
     time_column: str = "itime",
     fmt: str = "parquet",
     schema: T.StructType | str | None = None,
+    keys: bool = False,
 ) -> DataFrame:
     """One log type of a table partitioned by ``logtype`` and, if it has one, ``log_date``.
 
+    With ``keys`` the folded pivots of ``write_logs`` are kept, for sweeps.
+
     A folder without ``logtype`` is one log type's own and must be named for it.  Both conditions are on partition columns, so whole directories are skipped; the
     window on event time then prunes row groups.
     """
@@ -47,14 +50,33 @@ def read_logs(
         if DAY in df.columns and isinstance(df.schema[DAY].dataType, T.DateType):
             df = df.where(F.col(DAY).between(F.lit(window.start.date()), F.lit(window.end.date())))
         df = window.filter(df, time_column)
-    return df
+    return df if keys else df.drop(*(c for c in df.columns if c.startswith(key_of(""))))
+
 
+def key_of(column: str) -> str:
+    """The column that holds a pivot's values in lower case."""
+    return f"_key_{column}"
 
-def write_logs(df: DataFrame, path: str, time_column: str = "itime", mode: str = "append") -> None:
+
+def write_logs(
+    df: DataFrame,
+    path: str,
+    time_column: str = "itime",
+    mode: str = "append",
+    cluster: str | None = None,
+    pivots: Sequence[str] = (),
+    distinct_values: int = 100_000,
+) -> None:
     """Write logs by ``logtype`` and ``log_date``, the day of their event time.
 
     Event times may be timestamps, dates, epoch seconds or epoch text.  Rows of a day are brought together for large files; adaptive execution splits a
     day that holds a third of all rows over many tasks and merges small ones.
+
+    ``pivots`` that the logs have are kept in lower case as well, each under a bloom filter
+    for about ``distinct_values`` in a row group, so that lookups compare them as they
+    stand and skip row groups.  With ``cluster``, one of them, a day's rows are ranged by
+    its values, and rows of one value by time: a value with a third of all rows still
+    goes to many tasks.
     """
     moment, kind = F.col(f"`{time_column}`"), df.schema[time_column].dataType
     if isinstance(kind, T.StringType):
@@ -62,8 +84,20 @@ def write_logs(df: DataFrame, path: str, time_column: str = "itime", mode: str =
         day = F.coalesce(_day_of(seconds), moment.try_cast("date"))
     else:
         day = _day_of(moment.cast("bigint")) if isinstance(kind, T.NumericType) else moment.cast("date")
-    together = df.withColumn(DAY, day).hint("rebalance", F.col("logtype"), F.col(DAY))
-    together.write.mode(mode).partitionBy("logtype", DAY).parquet(path)
+    keyed = [c for c in pivots if c in df.columns]
+    dated = df.withColumn(DAY, day).withColumns({key_of(c): F.lower(F.col(f"`{c}`").cast("string")) for c in keyed})
+    if cluster is None:
+        together = dated.hint("rebalance", F.col("logtype"), F.col(DAY))
+    elif cluster not in keyed:
+        raise PlanError(f"'{cluster}' is not a pivot of these logs")
+    else:
+        order = [F.col("logtype"), F.col(DAY), F.col(f"`{key_of(cluster)}`"), moment]
+        together = dated.repartitionByRange(*order).sortWithinPartitions(*order)
+    writer = together.write.mode(mode).partitionBy("logtype", DAY)
+    for c in keyed:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key_of(c)}", "true")
+        writer = writer.option(f"parquet.bloom.filter.expected.ndv#{key_of(c)}", str(distinct_values))
+    writer.parquet(path)
 
 
 def _day_of(seconds: Column) -> Column:

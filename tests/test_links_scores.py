@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from logweir.operators import bundles, linkage, paging, scoring, timeline
 from logweir.plans import fixed_values as fv
+from logweir.sources import logs
 
 SNAPSHOT = "alertid string, severity string, name string, timestamp string"
 
@@ -105,6 +106,73 @@ def test_users_match_endpoints_by_id_or_name(spark):
     assert values(linkage.user_endpoints(users, endpoints)) == [(1, 10), (1, 11), (2, 12)]
 
 
+def made_by(df, node):
+    """Rows that the scans or generators of a plan gave, after it has run."""
+    df.collect()
+    total, left = 0, [df._jdf.queryExecution().executedPlan()]
+    while left:
+        plan = left.pop()
+        name = plan.nodeName()
+        if name == "AdaptiveSparkPlan":
+            left.append(plan.executedPlan())
+        elif "QueryStage" in name:
+            left.append(plan.plan())
+        if name.startswith(node):
+            total += plan.metrics().apply("numOutputRows").value()
+        left += [plan.children().apply(i) for i in range(plan.children().size())]
+    return total
+
+
+def test_hashes_of_any_length_are_found_once_a_row(spark):
+    rng = random.Random(8)
+    sums = ["".join(rng.choices("ab", k=rng.randint(0, 60))) for _ in range(300)] + ["x" * 64, "", None, "ABAB" * 9]
+    wanted = {"".join(rng.choices("ab", k=n)) for n in (1, 2, 3, 5, 8, 14, 15, 16, 23)} | {"x" * 15, "x" * 64, "x" * 65, "", "md5:ü", "aB" * 8}
+    indicators = spark.createDataFrame([(w, "Hash") for w in sorted(wanted)], "value string, type string")
+    logs = {"attack": spark.createDataFrame([(s,) for s in sums], "checksum string")}
+    found = {(r["value"], r["hits"]) for r in linkage.sweep(indicators, logs).collect()}
+    want = {(w, sum(w.lower() in s.lower() for s in sums if s is not None)) for w in wanted if w}
+    assert found == {(w, n) for w, n in want if n}
+
+
+def test_a_checksum_gives_an_eighth_of_its_letters_as_rows(spark):
+    rng = random.Random(9)
+    sums = ["".join(rng.choices("0123456789abcdefxyz:", k=64)) for _ in range(500)]
+    indicators = spark.createDataFrame([(sums[7][3:43], "Hash"), (sums[9][:20], "Hash")], "value string, type string")
+    found = linkage._checksum_counts({"attack": spark.createDataFrame([(s,) for s in sums], "checksum string")}, indicators.select(F.lower("value").alias("seen")))
+    assert made_by(found, "Generate") <= 500 * 64 / linkage.GRAM + 2 * linkage.GRAM
+    assert found.count() == 2
+
+
+def test_ten_indicators_read_few_rows_of_a_written_table(spark, tmp_path):
+    rows = spark.range(400_000).select(
+        F.concat(F.lit("10."), (F.col("id") % 200).cast("string"), F.lit(".0."), (F.hash("id") % 100 + 100).cast("string")).alias("srcip"),
+        F.concat(F.lit("User"), (F.col("id") % 9_973).cast("string")).alias("user"),
+        F.lit("2026-01-01 00:00:00").cast("timestamp_ntz").alias("itime"),
+        F.lit("traffic").alias("logtype"),
+    )
+    small = {"parquet.block.size": str(1 << 18), "parquet.page.row.count.limit": "1000"}
+    for name, value in small.items():
+        spark.sparkContext._jsc.hadoopConfiguration().set(name, value)
+    try:
+        logs.write_logs(rows, str(tmp_path / "traffic"), cluster="srcip", pivots=["srcip", "user"])
+    finally:
+        for name in small:
+            spark.sparkContext._jsc.hadoopConfiguration().unset(name)
+    table = logs.read_logs(spark, str(tmp_path / "traffic"), "traffic", keys=True)
+    asked = [r["srcip"] for r in rows.select("srcip").distinct().orderBy(F.hash("srcip")).limit(10).collect()]
+    wanted = spark.createDataFrame([("IP", a) for a in asked], "kind string, seen string")
+    counted = linkage.value_counts({"traffic": table}, {"IP": "srcip"}, wanted)
+    want = {(r["srcip"], r["count"]) for r in rows.where(F.col("srcip").isin(asked)).groupBy("srcip").count().collect()}
+    assert {(r["seen"], r["hits"]) for r in counted.collect()} == want
+    assert made_by(counted, "Scan") < 400_000 / 10
+    plain = logs.read_logs(spark, str(tmp_path / "traffic"), "traffic")
+    assert plain.columns == ["srcip", "user", "itime", "logtype", "log_date"] and plain.count() == 400_000
+    # Folded spellings meet, and a table without keys gives the same.
+    users = spark.createDataFrame([("user", "user7"), ("user", "user9972")], "kind string, seen string")
+    told = [sorted(tuple(r) for r in linkage.value_counts({"traffic": df}, {"user": "user"}, users).collect()) for df in (table, plain)]
+    assert told[0] == told[1] and len(told[0]) == 2
+
+
 def test_sweep_finds_hashes_inside_checksums(spark):
     digest = "d41d8cd98f00b204e9800998ecf8427e"
     indicators = spark.createDataFrame([("10.0.0.1", "IP"), ("WEB", "Domain"), (digest.upper(), "Hash"), ("ort", "Hash"), ("x", "asn")], "value string, type string")
