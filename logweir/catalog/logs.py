@@ -12,7 +12,7 @@ from logweir.catalog.views import nested_endpoints
 from logweir.functions import coercion, derived
 from logweir.functions import predicates as P
 from logweir.functions.net import in_network
-from logweir.operators import paging, stats
+from logweir.operators import paging, snapshot, stats
 from logweir.plans import timewindow as tw
 from logweir.plans.conditions import Condition, compile_conditions
 from logweir.plans.vocabulary import project, vocabulary
@@ -467,6 +467,43 @@ def _(t):
     return paging.count_drift(early, df, ["devname"])
 
 
+def _grown(t: Tables):
+    """Events as a table, the reference of a snapshot of it, and rows with old times that arrive later."""
+    folder = t.folder()
+    event = t.event.select("itime", "logid", "devname", "user", F.lit("event").alias("logtype"))
+    S.write_logs(event, f"{folder}/event")
+    asked = [Condition("action", "ne", "nothing")]
+    read = lambda: compile_conditions(asked, vocabulary("event"), event).filter(S.read_logs(t.spark, f"{folder}/event", "event"))
+    page, reference = snapshot.first_page(read(), folder, 25)
+    last = page.collect()[-1]
+    late = event.where(F.col("devname") == last["devname"]).withColumn("logid", F.concat(F.lit("late-"), "logid"))
+    S.write_logs(late, f"{folder}/event")
+    return read(), snapshot.cursor(last, reference), reference
+
+
+@query(
+    "e3_snapshot_page",
+    "SELECT itime, logid, devname, \"user\" FROM event ORDER BY itime DESC, logid LIMIT 25 OFFSET 25",
+    "event",
+)
+def _(t):
+    # The second page, read after rows with the same times have arrived.
+    df, cursor, _ = _grown(t)
+    return snapshot.next_page(df, cursor, 25).select("itime", "logid", "devname", "user")
+
+
+@query(
+    "e3_snapshot_drift",
+    "WITH l AS (SELECT devname FROM event ORDER BY itime DESC, logid LIMIT 1 OFFSET 24), "
+    "n AS (SELECT count(*) AS total, count(*) FILTER (devname = (SELECT devname FROM l)) AS more FROM event) "
+    "SELECT total, total + more AS page_total, more AS total_delta, more AS new_rows, 0::bigint AS lost_files, 'drifted' AS stability, true AS complete FROM n",
+    "event",
+)
+def _(t):
+    df, _, reference = _grown(t)
+    return snapshot.drift(df, reference).select("total", "page_total", "total_delta", "new_rows", "lost_files", "stability", "complete")
+
+
 @query("e4_count", "SELECT count(*) AS total FROM traffic WHERE lower(service) = 'dns'", "traffic")
 def _(t):
     df = t.traffic

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from logweir.functions import coercion, derived
 from logweir.functions import predicates as P
 from logweir.functions.net import in_network
-from logweir.operators import breakdown, paging, stats
+from logweir.operators import breakdown, paging, snapshot, stats
 from logweir.plans import timewindow as tw
 from logweir.plans.conditions import OPS, Condition, compile_conditions
 from logweir.plans.errors import PlanError
@@ -384,3 +384,38 @@ def test_logs_are_written_from_epochs_and_keep_their_own_date(spark, tmp_path):
         S.read_logs(spark, bare, "traffic")
     logs.drop("logtype").write.parquet(str(tmp_path / "traffic"))
     assert S.read_logs(spark, str(tmp_path / "traffic"), "traffic").count() == 2
+
+
+def test_pages_of_a_snapshot_stay_while_rows_arrive_and_files_go(spark, tmp_path):
+    def put(first, count, day):
+        rows = spark.range(first, first + count).select(F.concat(F.lit("id"), F.col("id").cast("string")).alias("logid"), (F.col("id") % 50).cast("int").alias("s"))
+        rows.withColumn("itime", F.expr(f"timestamp_ntz'2026-01-{day:02d} 00:00:00' + make_dt_interval(0, 0, 0, s)")).withColumn("logtype", F.lit("dns")).repartition(2).write.mode("append").parquet(str(tmp_path / "dns"))
+
+    put(0, 200, 5)
+    put(200, 100, 6)
+    read = lambda: S.read_logs(spark, str(tmp_path / "dns"), "dns").where("s <> 7")
+    want = [tuple(r) for r in read().orderBy(F.desc("itime"), "logid").collect()]
+    page, reference = snapshot.first_page(read(), str(tmp_path / "store"), 70)
+    got, rows = [], page.collect()
+    while rows:
+        got += [tuple(r) for r in rows]
+        put(1000 + len(got), 60, 6)  # among the times of pages still to come
+        rows = snapshot.next_page(read(), snapshot.cursor(rows[-1], reference), 70).collect()
+    assert got == want
+    told = snapshot.drift(read(), reference).first()
+    assert (told["total"], told["lost_rows"], told["stability"], told["complete"]) == (len(want), 0, "drifted", True)
+    assert told["page_total"] == read().count() and told["new_rows"] == told["total_delta"] > 0
+    assert snapshot.total(spark, reference).first()[0] == len(want)
+    # A file of the manifest is gone: said, not hidden.
+    gone = sorted((tmp_path / "dns").glob("part-*.parquet"), key=lambda p: p.stat().st_mtime)[0]
+    gone.unlink()
+    told = snapshot.drift(read(), reference).first()
+    assert not told["complete"] and told["lost_files"] == 1 and told["lost_rows"] > 0
+
+
+def test_a_snapshot_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "itime timestamp_ntz, logid string, file_path string, _here int, _there string, rows int")
+    empty.write.parquet(str(tmp_path / "t"))
+    page, reference = snapshot.first_page(spark.read.parquet(str(tmp_path / "t")), str(tmp_path / "store"), 5)
+    assert page.count() == 0 and snapshot.total(spark, reference).first()[0] == 0
+    assert snapshot.drift(spark.read.parquet(str(tmp_path / "t")), reference).first()["stability"] == "stable"
