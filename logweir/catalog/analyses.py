@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -198,10 +199,6 @@ def _(t):
 _RELATED = """WITH crit AS (SELECT * FROM alert WHERE severity IN ('critical', 'low')), related AS (
     SELECT alertid, incids AS incid FROM crit WHERE incids IS NOT NULL UNION SELECT attachsrcid, incid FROM attachment WHERE attachtype = 'alertevent'
     AND attachsrcid IN (SELECT alertid FROM crit WHERE incids IS NULL))"""
-_CONTEXT = (
-    "SELECT count(*) FROM (SELECT DISTINCT 'a', date_trunc('month', alerttime), severity FROM alert UNION ALL "
-    "SELECT DISTINCT 'i', date_trunc('month', createtime), severity FROM incident)"
-)
 
 
 def _subjects(t: Tables) -> DataFrame:
@@ -405,3 +402,104 @@ def _(t):
 )
 def _(t):
     return bundles.investigate_deep(_critical(t), _estate(t), _YEAR_TEXT)["headline"]
+
+
+# --- sections of bundles that the queries above leave out --------------------
+
+_THREATS = (
+    "attack, n FROM (SELECT attack, count(*) AS n FROM attack GROUP BY 1 ORDER BY sum(CASE severity WHEN 'critical' THEN 50 "
+    "WHEN 'high' THEN 30 WHEN 'medium' THEN 10 WHEN 'low' THEN 5 ELSE 0 END) DESC, 1 LIMIT {})"
+)
+_BUCKETS = (
+    "source, bucket, severity, n FROM (SELECT 'alert' AS source, date_trunc('month', alerttime) AS bucket, severity, count(*) AS n FROM alert {a} GROUP BY ALL "
+    "UNION ALL SELECT 'incident', date_trunc('month', createtime), severity, count(*) FROM incident {i} GROUP BY ALL)"
+)
+
+
+def _within(moment: str) -> str:
+    return f"WHERE {moment} >= TIMESTAMP '1996-01-01' AND {moment} < TIMESTAMP '1997-01-01'"
+
+
+def _counted(section: DataFrame) -> DataFrame:
+    return section.withColumn("n", F.col("threat_block") + F.col("threat_pass"))
+
+
+@query(
+    "n6_alert_rule_rows",
+    _listed(
+        handlers="handler_class, name, id FROM (SELECT CASE WHEN is_basic THEN 'basic' ELSE 'correlation' END AS handler_class, name, id FROM handler "
+        "WHERE contains(lower(name), 'bolt') ORDER BY 1, 2, 3 LIMIT 5)",
+        matched_total="count(*) FROM handler WHERE contains(lower(name), 'bolt')",
+    ),
+    "handler",
+)
+def _(t):
+    ruled = t.handler.withColumn("rule", F.when(F.col("rules") > 0, F.sequence(F.lit(1), F.col("rules").cast("int"))))
+    basic, other = (ruled.where(w).select("name", "id", "rule") for w in ("is_basic", "NOT is_basic"))
+    return _items(bundles.alert_rules(basic, other, "BOLT", 5), handlers="handler_class name id", matched_total="matched_total")
+
+
+@query(
+    "n7_sources",
+    f"{_ENRICHED}, told AS (SELECT e.* FROM enrichment e SEMI JOIN wanted w ON e.lookup = w.value AND e.type = w.kind) SELECT lookup, "
+    "CASE WHEN ordinal % 2 = 0 THEN 'VT' ELSE 'unknown' END AS source, CASE WHEN ordinal % 2 = 0 THEN "
+    "concat(ordinal % 7 + 1, '/', ordinal % 7 + 61, ' engines flagged') ELSE concat('c', ordinal % 4) END AS verdict, "
+    "CASE WHEN ordinal % 2 = 1 THEN 'high' END AS confidence, CASE WHEN ordinal % 2 = 1 THEN 'm' END AS malware, "
+    "CASE WHEN ordinal % 2 = 0 THEN 'https://www.virustotal.com/x' END AS link FROM told",
+    "indicator",
+    "enrichment",
+)
+def _(t):
+    return bundles.threat_intel(t.indicator, t.enrichment)["sources"].select("lookup", "source", "verdict", "confidence", "malware", "link")
+
+
+@query("n12_context", _listed(context_stats=_BUCKETS.format(a=_within("alerttime"), i=_within("createtime"))), "alert", "incident")
+def _(t):
+    found = bundles.triage_alerts(_subjects(t), t.alert, t.incident, t.attachment, window=YEAR)
+    return _items(found, context_stats="source bucket severity hits")
+
+
+@query("n12_context_incidents", _listed(context_stats=_BUCKETS.format(a="", i="")), "alert", "incident")
+def _(t):
+    return _items(bundles.triage_incidents(t.incident, t.incident, t.alert, t.attachment), context_stats="source bucket severity hits")
+
+
+@query("n13_landscape", _listed(threat_landscape=_THREATS.format(3)), "attack")
+def _(t):
+    found = bundles.incident_summary(t.incident, t.incident, t.alert, t.attachment, t.traffic, t.attack, threats=3)
+    found.sections["threat_landscape"] = _counted(found["threat_landscape"])
+    return _items(found, threat_landscape="threat n")
+
+
+@query(
+    "n15_hunt_users",
+    "WITH d AS (SELECT euname, count(*) AS n FROM alert WHERE contains(lower(alerttype), 'botnet') AND alerttime >= TIMESTAMP '1996-01-01' "
+    "AND alerttime < TIMESTAMP '1997-01-01' GROUP BY 1) "
+    + _listed(
+        users="euid, coalesce(u.importance = 'high', false) OR coalesce(d.n, 0) > 0, coalesce(d.n, 0) FROM enduser u LEFT JOIN d USING (euname)",
+        user_stats="count(*), count(*) FILTER (first_seen >= TIMESTAMP '1996-01-01' AND first_seen < TIMESTAMP '1997-01-01') FROM enduser",
+        endpoint_stats="count(*), count(*) FILTER (first_seen >= TIMESTAMP '1996-01-01' AND first_seen < TIMESTAMP '1997-01-01'), "
+        "count(*) FILTER (euid IS NOT NULL OR euname <> ''), count(*) FILTER (NOT (euid IS NOT NULL OR euname <> '')) FROM endpoint",
+    ),
+    "alert",
+    "enduser",
+    "endpoint",
+)
+def _(t):
+    found = bundles.hunt_entities(t.alert, nested_endpoints(t.endpoint), t.enduser, window=YEAR)
+    return _items(found, users="euid anomalous detections", user_stats="total_count new_count", endpoint_stats="total new identified unidentified")
+
+
+@query(
+    "n16_named_users",
+    f"""WITH held AS (SELECT *, CASE WHEN epid % 2 = 0 THEN epid END AS uid FROM alert WHERE severity = 'critical'), {_SEEN},
+      pivots AS (SELECT 'enduser' AS entity_type, cast(euid AS VARCHAR) AS entity_ref, 'user' AS field, euname AS value FROM enduser
+        WHERE lower(euname) IN (SELECT lower(euname) FROM held) OR euid IN (SELECT uid FROM held)) {_IMPACT}""",
+    *_DEEP_VIEWS,
+)
+def _(t):
+    # Every other alert carries a user's id; all name a user, and both are followed.
+    known = t.alert.withColumn("euid", F.when(F.col("epid") % 2 == 0, F.col("epid")))
+    estate = replace(_estate(t), alerts=known)
+    found = bundles.investigate_deep(known.where(F.col("severity") == "critical"), estate, _YEAR_TEXT)
+    return found["impact.counts"].where("entity_type = 'enduser'")

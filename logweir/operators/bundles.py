@@ -148,7 +148,9 @@ def alert_rules(basic: DataFrame, correlation: DataFrame, name: str | None = Non
     )
 
 
-def threat_intel(indicators: DataFrame, stored: DataFrame, attacks: DataFrame | None = None, ordinal: str = "ordinal") -> Bundle:
+def threat_intel(
+    indicators: DataFrame, stored: DataFrame, attacks: DataFrame | None = None, ordinal: str = "ordinal", threats: int | None = 10
+) -> Bundle:
     """Reputation of indicators, per source where it is told, and the threat ranking."""
     wanted, skipped = linkage.canonical_indicators(indicators, ordinal)
     enriched = linkage.enrich(wanted, stored)
@@ -162,7 +164,7 @@ def threat_intel(indicators: DataFrame, stored: DataFrame, attacks: DataFrame |
     )
     if attacks is None:
         return out.gap("threat_landscape", "not asked for").done("indicators")
-    return out.add("threat_landscape", lambda: views.view(attacks, "top-threats", limit=10).df).done("indicators")
+    return out.add("threat_landscape", lambda: views.view(attacks, "top-threats", limit=threats).df).done("indicators")
 
 
 def identity_profile(
@@ -306,6 +308,7 @@ def incident_summary(
     attacks: DataFrame | None = None,
     per_alert: int | None = None,
     keep: Keep = _planned_again,
+    threats: int | None = 10,
 ) -> Bundle:
     """Per incident: alerts, their logs, the threat ranking and one timeline."""
     chosen = incidents.join(subjects.select("incid").distinct(), "incid", "left_semi")
@@ -325,7 +328,7 @@ def incident_summary(
     )
     if attacks is None:
         return out.gap("threat_landscape", "not asked for").done("incident")
-    return out.add("threat_landscape", lambda: views.view(attacks, "top-threats", limit=10).df).done("incident")
+    return out.add("threat_landscape", lambda: views.view(attacks, "top-threats", limit=threats).df).done("incident")
 
 
 @dataclass(frozen=True)
@@ -577,10 +580,11 @@ def investigate_deep(
     touched = None if epids is None else e.endpoints.join(epids, "epid", "left_semi")
     users = None if euids is None else e.users.join(euids, "euid", "left_semi")
     names, ips = (_values_of(carriers, c) for c in ("euname", "epip"))
-    if users is None and names is not None:
-        # Alerts that name their user instead of carrying an id.
+    if names is not None:
+        # Alerts that name their user, whether or not others carry an id.
         named = names.select(F.lower("euname").alias("_user")).distinct()
-        users = e.users.withColumn("_user", F.lower("euname")).join(named, "_user", "left_semi")
+        called = e.users.withColumn("_user", F.lower("euname")).join(named, "_user", "left_semi").drop("_user")
+        users = called if users is None else users.unionByName(called.join(euids, "euid", "left_anti"))
     ips = None if ips is None else ips.withColumnRenamed("epip", "ip")
     if touched is None and users is None and ips is None:
         out.gap("impact", "the subject names no endpoint, user or address")
