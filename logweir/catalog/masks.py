@@ -70,8 +70,20 @@ def _tokens(t) -> Tokenizer:
     "traffic",
 )
 def _(t):
+    k = _tokens(t)
     rows = t.traffic.select("itime", "sessionid", "srcip", "dstip", "user", "devname", "service", "sentbyte")
-    return masking.mask_table(rows, _tokens(t))
+    few = ["srcip", "dstip", "user"]
+    return masking.mask_table(rows, k, values=t.kept(masking.masked_values(rows, k, few)), few=few)
+
+
+@query(
+    "l1_mask_project",
+    f"SELECT itime, sessionid, {_token('ip', 'srcip')} AS srcip, {_token('username', chr(34) + 'user' + chr(34))} AS user, devname FROM traffic",
+    "traffic",
+)
+def _(t):
+    # The form for columns with many values: one projection, no join.
+    return masking.mask_table(t.traffic.select("itime", "sessionid", "srcip", "user", "devname"), _tokens(t))
 
 
 @query(
@@ -346,11 +358,9 @@ def _(t):
 @query("l11_unmask", "SELECT sessionid, srcip, dstip, \"user\" FROM traffic", "traffic")
 def _(t):
     k = _tokens(t)
-    rows = t.traffic.select("sessionid", "srcip", "dstip", "user")
-    masked, words = masking.mask_table(rows, k), t.kept(masking.dictionary(rows, k))
-    for name in ("srcip", "dstip", "user"):
-        masked = masking.unmask_column(masked, words, name)
-    return masked
+    rows, few = t.traffic.select("sessionid", "srcip", "dstip", "user"), ["srcip", "dstip", "user"]
+    masked = masking.mask_table(rows, k, values=t.kept(masking.masked_values(rows, k, few)), few=few)
+    return masking.unmask_columns(masked, t.kept(masking.dictionary(rows, k)), few)
 
 
 @query(

@@ -303,17 +303,36 @@ def bucket_values(tokens: Tokenizer, dimension: Column, value: Column, types: Ma
     return masked
 
 
+def masked_values(df: DataFrame, tokens: Tokenizer, columns: Sequence[str], types: Mapping[str, str] | None = None) -> DataFrame:
+    """``(key, raw, masked)`` of the distinct values of typed columns, for ``mask_table`` to join.
+
+    Each value is hashed once however many rows show it.  Worth it for columns with few values; write the result as a
+    table, so that its size is known.
+    """
+    known = type_table(df) if types is None else types
+    pairs = F.array(*(F.struct(F.lit(known[c.lower()]).alias("kind"), F.col(f"`{c}`").alias("raw")) for c in columns))
+    distinct = tokens.attach(df.select(F.inline(pairs)).where(F.col("raw").isNotNull()).distinct())
+    return distinct.select(_value_key(F.col("kind"), F.col("raw")).alias("key"), "raw", tokens.mask_as(F.col("kind"), F.col("raw")).alias("masked"))
+
+
+def _value_key(kind: Column, raw: Column) -> Column:
+    return F.concat(kind, F.lit(":"), raw)
+
+
 def mask_table(
     df: DataFrame,
     tokens: Tokenizer,
     mask_devices: bool = False,
     extra: Mapping[str, str] | None = None,
     substitute: bool = True,
+    values: DataFrame | None = None,
+    few: Sequence[str] = (),
 ) -> DataFrame:
     """Every identifier masked, at any depth, and prose rewritten with the same tokens.
 
     One projection.  With ``substitute``, values masked in a record's own fields are
-    replaced where its text mentions them.
+    replaced where its text mentions them.  The columns named in ``few`` take their tokens
+    from ``values`` (see ``masked_values``), which all of them join by one key.
     """
     known = type_table(df, mask_devices, extra)
     walked = walked_once(df)
@@ -335,6 +354,15 @@ def mask_table(
         if f"{_WALK}{f.name}" in walked.columns:
             text = record.json(_json_text(columns[f.name], f.dataType), F.col(f"`{_WALK}{f.name}`"))
             masked[f.name] = F.parse_json(text) if isinstance(f.dataType, T.VariantType) else text
+    for i, name in enumerate(few if values is not None else ()):
+        kind, raw = known[name.lower()], columns[name]
+        looked = values.select(F.col("key").alias(f"_key_{i}"), F.col("masked").alias(f"_found_{i}"))
+        staged = staged.join(looked, _value_key(F.lit(kind), raw) == F.col(f"_key_{i}"), "left")
+        found = F.coalesce(F.col(f"_found_{i}"), tokens.mask(kind, raw, keep))
+        if keep is not None:
+            # Only a list may hold kept values beside others.
+            found = F.when(is_kept(kind, raw, keep), raw).when(raw.contains(","), tokens.mask(kind, raw, keep)).otherwise(found)
+        masked[name] = found
     # Inside a lambda Spark prefers a sibling alias over an input column of the same
     # name, so the masked columns get their names only afterwards.
     out = staged.select(*(masked[c].alias(f"_masked_{i}") for i, c in enumerate(df.columns)))
@@ -647,6 +675,17 @@ def unmask_column(df: DataFrame, words: DataFrame, column: str) -> DataFrame:
     return joined.withColumn(column, F.coalesce("_raw", column)).select(*df.columns)
 
 
+def unmask_columns(df: DataFrame, words: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Several masked columns turned back by one dictionary.
+
+    All join it by the same key, so it is broadcast or exchanged once.  Write it as a table first, so that its size is
+    known.
+    """
+    for column in columns:
+        df = unmask_column(df, words, column)
+    return df
+
+
 def unmask_text(df: DataFrame, words: DataFrame, column: str, kid: str) -> DataFrame:
     """A column with tokens anywhere inside it (lists, URLs, prose) turned back.
 

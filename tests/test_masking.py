@@ -322,3 +322,14 @@ def test_pairs_inside_a_table(spark, k):
     assert tuple(got) == (dom, "domain", dom, dom)
     bucket = one(spark, k, "dimension string, value string, hits long", ("srcip", "10.0.0.1", 3))
     assert tuple(bucket) == ("srcip", IP1, 3)
+
+
+def test_values_masked_once_equal_the_projection(spark, k):
+    rows = [("10.0.0.1", "Ann", "fw1"), ("10.0.0.1,10.0.0.2", "fw1", "fw1"), ("N/A", None, "fw2"), (None, "a,Ann", None), ("bad", "fw1,Ann", "fw1"), ("10.0.0.1", "Ann", "fw1")]
+    df = spark.createDataFrame(rows, "srcip string, user string, devname string").withColumn("msg", F.lit("Ann from 10.0.0.1"))
+    few = ["srcip", "user"]
+    made = masking.masked_values(df, k, few)
+    assert made.count() == made.select("key").distinct().count() == 8
+    assert values(masking.mask_table(df, k, values=made, few=few)) == values(masking.mask_table(df, k))
+    plan = masking.mask_table(df, k, values=made, few=few)
+    assert values(masking.unmask_columns(plan, masking.dictionary(df, k), few)).count(("10.0.0.1", "Ann", "fw1", masking.mask_table(df, k).first()["msg"])) == 2
