@@ -70,20 +70,20 @@ def _tokens(t) -> Tokenizer:
     "traffic",
 )
 def _(t):
-    k = _tokens(t)
     rows = t.traffic.select("itime", "sessionid", "srcip", "dstip", "user", "devname", "service", "sentbyte")
-    few = ["srcip", "dstip", "user"]
-    return masking.mask_table(rows, k, values=t.kept(masking.masked_values(rows, k, few)), few=few)
+    return masking.mask_table(rows, _tokens(t))
 
 
 @query(
-    "l1_mask_project",
+    "l1_mask_values",
     f"SELECT itime, sessionid, {_token('ip', 'srcip')} AS srcip, {_token('username', chr(34) + 'user' + chr(34))} AS user, devname FROM traffic",
     "traffic",
 )
 def _(t):
-    # The form for columns with many values: one projection, no join.
-    return masking.mask_table(t.traffic.select("itime", "sessionid", "srcip", "user", "devname"), _tokens(t))
+    # The form for columns with few values: each value is hashed once, and rows look it up.
+    k, few = _tokens(t), ["srcip", "user"]
+    rows = t.traffic.select("itime", "sessionid", "srcip", "user", "devname")
+    return masking.mask_table(rows, k, values=t.kept(masking.masked_values(rows, k, few)), few=few)
 
 
 @query(

@@ -207,6 +207,18 @@ def kept_values(df: DataFrame) -> Column | None:
     return kept(F.filter(F.concat(*parts), lambda v: v != "")) if parts else None
 
 
+def _devices_told(df: DataFrame, value: Column) -> Column | None:
+    """Whether a value may be one that its record keeps: a cheap search in the device texts, before they are taken apart.
+
+    None where devices are not told by plain text columns alone.
+    """
+    names = [*fv.DEVICE_COLUMNS, "devvds", *(["name"] if _is_device(df.columns) else [])]
+    if any(isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType, T.VariantType)) or f.name.startswith(_WALK) for f in df.schema.fields):
+        return None
+    told = [F.col(f"`{f.name}`") for f in df.schema.fields if isinstance(f.dataType, T.StringType) and f.name.lower() in names]
+    return F.lower(F.concat_ws(",", *told)).contains(F.lower(value)) | value.contains(",")
+
+
 def prefixed(tokens: Tokenizer, value: Column, keep: Column | None = None, types: Mapping[str, str] = COLUMN_TYPES) -> Column:
     """``field:value`` with the value masked by its field's type."""
     name = F.lower(F.substring_index(value, ":", 1))
@@ -315,6 +327,12 @@ def masked_values(df: DataFrame, tokens: Tokenizer, columns: Sequence[str], type
     return distinct.select(_value_key(F.col("kind"), F.col("raw")).alias("key"), "raw", tokens.mask_as(F.col("kind"), F.col("raw")).alias("masked"))
 
 
+def _plainly_typed(name: str, known: Mapping[str, str]) -> bool:
+    """Whether a column is masked by its type alone, not by its shape or a sibling."""
+    shaped = name in URL_COLUMNS or name in PREFIXED_COLUMNS or name in JSON_COLUMNS or name in ("value", "threat", "obf_url", "incident_reporter", "devvds")
+    return known.get(name, "text") != "text" and not shaped
+
+
 def _value_key(kind: Column, raw: Column) -> Column:
     return F.concat(kind, F.lit(":"), raw)
 
@@ -347,10 +365,14 @@ def mask_table(
     if substitute and sources and prose:
         staged = staged.withColumn("_pairs", _record_pairs(tokens, sources, known, keep))
         pairs = F.col("_pairs")
-    record = _Masker(tokens, known, keep, pairs, mask_devices)
+    told = None if keep is None else walked
+    record = _Masker(tokens, known, keep, pairs, mask_devices, told)
     columns = {f.name: F.col(f"`{f.name}`") for f in df.schema.fields}
     masked = record.fields(columns, {f.name: f.dataType for f in df.schema.fields})
     for f in df.schema.fields:
+        name = f.name.lower()
+        if isinstance(f.dataType, T.StringType) and _plainly_typed(name, known):
+            masked[f.name] = record.typed(known[name], columns[f.name])
         if f"{_WALK}{f.name}" in walked.columns:
             text = record.json(_json_text(columns[f.name], f.dataType), F.col(f"`{_WALK}{f.name}`"))
             masked[f.name] = F.parse_json(text) if isinstance(f.dataType, T.VariantType) else text
@@ -358,11 +380,7 @@ def mask_table(
         kind, raw = known[name.lower()], columns[name]
         looked = values.select(F.col("key").alias(f"_key_{i}"), F.col("masked").alias(f"_found_{i}"))
         staged = staged.join(looked, _value_key(F.lit(kind), raw) == F.col(f"_key_{i}"), "left")
-        found = F.coalesce(F.col(f"_found_{i}"), tokens.mask(kind, raw, keep))
-        if keep is not None:
-            # Only a list may hold kept values beside others.
-            found = F.when(is_kept(kind, raw, keep), raw).when(raw.contains(","), tokens.mask(kind, raw, keep)).otherwise(found)
-        masked[name] = found
+        masked[name] = record.typed(kind, raw, F.coalesce(F.col(f"_found_{i}"), tokens.mask(kind, raw)))
     # Inside a lambda Spark prefers a sibling alias over an input column of the same
     # name, so the masked columns get their names only afterwards.
     out = staged.select(*(masked[c].alias(f"_masked_{i}") for i, c in enumerate(df.columns)))
@@ -378,6 +396,22 @@ class _Masker:
     keep: Column | None
     pairs: Column | None
     mask_devices: bool
+    # The table itself, where records keep device names.
+    table: DataFrame | None = None
+
+    def typed(self, kind: str, column: Column, plain: Column | None = None) -> Column:
+        """A typed value masked; ``plain`` is what it becomes where its record keeps nothing.
+
+        The kept values of a record are only gathered where its device texts hold the value.
+        """
+        k = self.tokens
+        plain = k.mask(kind, column) if plain is None else plain
+        told = None if self.table is None else _devices_told(self.table, column)
+        if self.keep is None:
+            return plain
+        if told is None:
+            return F.when(is_kept(kind, column, self.keep) | column.contains(","), k.mask(kind, column, self.keep)).otherwise(plain)
+        return F.when(told, k.mask(kind, column, kept_values(self.table))).otherwise(plain)
 
     def fields(self, columns: Mapping[str, Column], kinds: Mapping[str, T.DataType]) -> dict[str, Column]:
         """The fields of one struct; those that a sibling types come first."""
