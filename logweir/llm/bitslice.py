@@ -29,6 +29,10 @@ BLOCK_QUERIES = 1_024
 #: Components of larger size are not sliced: their products are summed as whole numbers of any size.
 LARGE = 1 << 30
 LONGEST = (1 << 63) - 1
+#: From this size on, sums of products leave 64-bit arithmetic; half a long, as both signs may add up.
+EXACT = 2.0**61
+#: Tasks of a search at most.
+MOST_TASKS = 100_000
 
 _INDEX = "rows long, ids binary, lows binary, widths binary, slices binary, wide binary"
 
@@ -125,6 +129,10 @@ class Block:
         if self.wide is not None or large:
             return self._top_wide(query, k, allowed)
         magnitude = np.abs(query)
+        # What sums and constants can reach; beyond 62 bits they are made of Python's integers.
+        reach = magnitude.astype(np.float64) * np.maximum(np.abs(self.lows.astype(np.float64)), np.abs(self.highs.astype(np.float64)))
+        if reach.sum() >= EXACT:
+            return self._top_wide(query, k, allowed)
         constant = int((query * np.where(query < 0, self.highs, self.lows)).sum()) if len(query) else 0
         offset = np.where(query < 0, len(self.attribute), 0)
         levels: list[np.ndarray] = []
@@ -165,7 +173,7 @@ class Block:
             values = np.tile(self.lows, (len(places), 1)).astype(object)
             for i, (a, b) in enumerate(zip(self.attribute, self.bit, strict=True)):
                 values[:, a] += bits[i].astype(object) << int(b)
-        scores = [int(s) for s in values @ query.astype(object)]
+        scores = [max(-LONGEST - 1, min(LONGEST, int(s))) for s in values @ query.astype(object)]
         order = sorted(range(len(places)), key=lambda i: (-scores[i], self.ids[places[i]]))[:k]
         return places[order], [scores[i] for i in order]
 
@@ -230,8 +238,10 @@ def search(
     numbers = parts.select("length", "part").join(blocks.select("length", "block"), "length")
     pairs = sizes.agg(F.sum(F.col("blocks") * F.col("parts"))).first()[0] or 1
     meet = ["length", "block", "part"]
-    left = blocks.join(numbers, ["length", "block"]).repartition(pairs, *meet)
-    right = parts.join(numbers, ["length", "part"]).repartition(pairs, *meet)
+    # A task takes one pair of blocks, or several where there are very many.
+    tasks = min(pairs, MOST_TASKS)
+    left = blocks.join(numbers, ["length", "block"]).repartition(tasks, *meet)
+    right = parts.join(numbers, ["length", "part"]).repartition(tasks, *meet)
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -50,3 +50,28 @@ def test_floats_and_empty_tables(spark):
 def test_a_repeated_query_is_answered_as_often(spark):
     rows = [(5, [0.5]), (5, [0.5]), (1, [0.25]), (2, [0.75])]
     assert run(spark, rows, 5) == sorted([(5, 1, 2, 1536), (5, 2, 1, 512)] * 2)
+
+
+def held(rows, k):
+    """Brute force with scores held at the ends of a long."""
+    good = [(i, [math.floor(64 * float(x)) for x in v]) for i, v in rows]
+    out = []
+    for q, values in (g for g in good if g[0] % 5 == 0):
+        scores = sorted((-max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(values, v, strict=True)))), i) for i, v in good if i != q)
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(scores[:k], 1)]
+    return sorted(out)
+
+
+def test_sums_beyond_a_long_are_held_at_its_ends(spark):
+    near = float(2**29 - 1) / 64
+    rows = [(0, [near] * 64), (1, [near] * 64), (2, [near] * 63 + [-near]), (3, [-near] * 64), (5, [-near] * 64), (6, [1.0] * 64), (7, [near] * 30 + [0.0] * 34)]
+    assert run(spark, rows, 20) == held(rows, 20)
+    assert max(r[3] for r in held(rows, 20)) == 2**63 - 1
+
+
+def test_several_pairs_of_blocks_may_share_a_task(spark, monkeypatch):
+    rng = random.Random(12)
+    rows = [(i, [rng.gauss(0, 0.3) for _ in range(5)]) for i in range(200)]
+    for name, value in (("BLOCK_ROWS", 30), ("BLOCK_QUERIES", 10), ("MOST_TASKS", 3)):
+        monkeypatch.setattr(bitslice, name, value)
+    assert run(spark, rows, 6) == brute(rows, 6)
