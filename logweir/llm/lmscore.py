@@ -5,7 +5,8 @@ documents that are marked, the background model all documents.  Vocabulary and c
 never gathered: documents are dealt into blocks of about BLOCK_BYTES by their ids.  A block names each of its words,
 histories and pairs once, with its own counts, to the bucket that the name's hash falls into; a bucket adds up all
 blocks and answers each with the sums of what it named; the block then scores its documents.  A frequent word is one
-entry of every block, however often it stands there.  Nothing but the size of the texts comes to the driver.
+entry of every block, however often it stands there; a block sends nothing where it names nothing, so there are no more
+pieces than names.  The totals of all buckets are added up beside, as one row.  Nothing but the size of the texts comes to the driver.
 
 Names are 63 bits of hashes: among a billion distinct ones, two share a sum with a probability of about 5 %.
 """
@@ -37,7 +38,8 @@ REMEMBERED = 300_000
 _WORD_BYTE = bytes(b if b >= 128 or 48 <= b < 58 or 97 <= b < 123 else 32 for b in range(256))
 _START_HASH = np.uint64(0x9E3779B97F4A7C15)
 _SENT = "block int, bucket int, n long, keys binary, target binary, background binary"
-_ANSWER = "block int, bucket int, n long, target binary, background binary, words long, target_tokens long, background_tokens long"
+_ANSWER = "block int, bucket int, n long, target binary, background binary"
+_TOTALS = "words long, target_tokens long, background_tokens long"
 
 
 class _Hashes(dict):
@@ -94,7 +96,7 @@ def _rows(schema: str, rows: list[tuple]) -> pa.Table:
 
 
 def _summed(pieces: pa.Table) -> pa.Table:
-    """A bucket's sums, answered to each block in the order of the names that it sent, with the bucket's totals."""
+    """A bucket's sums, answered to each block in the order of the names that it sent."""
     rows = pieces.to_pylist()
     names, places = np.unique(np.concatenate([np.cumsum(_unpacked(r["keys"], r["n"]), dtype=np.uint64) for r in rows]), return_inverse=True)
     sums = np.zeros((2, len(names)), np.int64)
@@ -104,15 +106,25 @@ def _summed(pieces: pa.Table) -> pa.Table:
         at = places[end - row["n"] : end]
         for own, kind in zip(sums, ("target", "background"), strict=True):
             own[at] += _unpacked(row[kind], row["n"]).astype(np.int64)
-    words = (names & np.uint64(1)).astype(bool)
-    totals = (int(words.sum()), *(int(x) for x in sums[:, words].sum(axis=1)))
     found = []
     for row, end in zip(rows, ends, strict=True):
         some = sums[:, places[end - row["n"] : end]]
-        found.append((row["block"], row["bucket"], row["n"], _packed(some[0]), _packed(some[1]), *totals))
+        found.append((row["block"], row["bucket"], row["n"], _packed(some[0]), _packed(some[1])))
     return _rows(_ANSWER, found)
 
 
+def _totalled(pieces: pa.Table) -> pa.Table:
+    """A bucket's distinct words and tokens."""
+    names, tokens = [], [0, 0]
+    for row in pieces.to_pylist():
+        own = np.cumsum(_unpacked(row["keys"], row["n"]), dtype=np.uint64)
+        words = (own & np.uint64(1)).astype(bool)
+        names.append(own[words])
+        for i, kind in enumerate(("target", "background")):
+            tokens[i] += int(_unpacked(row[kind], row["n"])[words].sum())
+    return _rows(_TOTALS, [(len(np.unique(np.concatenate(names))), *tokens)])
+
+
 def bits(pair: np.ndarray, word: np.ndarray, history: np.ndarray, total: float, places: int) -> np.ndarray:
     """Bits of a word after a history: bigram counts with the smoothed unigram model as their prior."""
     return -np.log2((pair + PRIOR * (word + 1.0) / (total + places)) / (history + PRIOR))
@@ -156,29 +168,36 @@ def score(documents: DataFrame, marked: DataFrame, key: str = "doc_id", text: st
         found, places, lengths = _named(own["text"])
         chosen = np.repeat(pc.is_in(own["id"], target["id"].combine_chunks()).to_numpy(), lengths)
         both = [np.bincount(p.ravel(), minlength=len(found)) for p in (places[:, chosen], places)]
-        # Every bucket gets a piece, also an empty one, as every block needs the totals of all.
         cuts = [0, *np.searchsorted(found, edges).tolist(), len(found)]
         rows = []
         for bucket, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
+            if a == b:
+                continue
             rows.append((block, bucket, b - a, _packed(np.diff(found[a:b], prepend=np.uint64(0))), *(_packed(x[a:b]) for x in both)))
         return _rows(_SENT, rows)
 
     def run(own: pa.Table, answers: pa.Table) -> pa.Table:
         found, places, lengths = _named(own["text"])
         rows = sorted(answers.to_pylist(), key=lambda r: r["bucket"])
-        if len(rows) != buckets or sum(r["n"] for r in rows) != len(found):
+        if sum(r["n"] for r in rows) != len(found):
             raise ValueError("the counts are not those of this block's texts")
-        size = max(VOCABULARY, sum(r["words"] for r in rows) + 2)
+        # A block without words has no answers and needs no totals.
+        totals = rows[0]["totals"] if rows else {"words": 0, "target_tokens": 0, "background_tokens": 0}
+        size = max(VOCABULARY, totals["words"] + 2)
         owner = np.repeat(np.arange(len(lengths)), lengths)
         each = []
         for kind in ("target", "background"):
-            sums = np.concatenate([_unpacked(r[kind], r["n"]) for r in rows]).astype(np.float64)
-            lost = bits(*sums[places], sum(r[f"{kind}_tokens"] for r in rows), size)
+            sums = np.concatenate([np.zeros(0), *(_unpacked(r[kind], r["n"]) for r in rows)])
+            lost = bits(*sums[places], totals[f"{kind}_tokens"], size)
             each.append(np.bincount(owner, lost, len(lengths)) / np.maximum(lengths, 1))
         return pa.table([own["id"], pa.array(lengths), *(pa.array(x) for x in (*each, each[0] - each[1]))], ["id", "n_tokens", "target_loss", "background_loss", "score"])
 
     sent = texts.cogroup(block_of(names, [F.col("id").cast("string")]).groupBy("block")).applyInArrow(count, _SENT)
-    answers = sent.groupBy("bucket").applyInArrow(_summed, _ANSWER)
+    bucketed = sent.groupBy("bucket")
+    # Both read the same exchange; the totals are one row.
+    sums = [F.coalesce(F.sum(c.split()[0]), F.lit(0)).alias(c.split()[0]) for c in _TOTALS.split(", ")]
+    totals = bucketed.applyInArrow(_totalled, _TOTALS).agg(*sums).select(F.struct("*"))
+    answers = bucketed.applyInArrow(_summed, _ANSWER).withColumn("totals", totals.scalar())
     return texts.cogroup(answers.groupBy("block")).applyInArrow(
         run, f"id {kind.simpleString()}, n_tokens long, target_loss double, background_loss double, score double"
     )
