@@ -53,11 +53,20 @@ def _kept(frame: DataFrame, short: list[int]) -> DataFrame:
     return frame.withColumn("kept", F.array_distinct(F.flatten(F.array(*kept))) if short else kept[0])
 
 
+def _each(frame: DataFrame, array: Column | str, name: str) -> DataFrame:
+    """A row for each element.
+
+    Of a plain explode Spark infers a filter on the array's size and moves it below the projections that make it, which
+    writes the whole expression into its own lambdas; an outer one leaves them as they are.
+    """
+    return frame.withColumn(name, F.explode_outer(array)).where(F.col(name).isNotNull())
+
+
 def _spans(benchmark: DataFrame, key: str, text: str) -> DataFrame:
     """(item, length, span) of every distinct span of every item; span is its words, space-joined."""
     words = benchmark.select(F.col(key).cast("string").alias("item"), words_of(F.col(text)).alias("words")).where(F.size("words") > 0)
     length = F.least(F.size("words"), F.lit(WINDOW))
-    starts = words.withColumn("length", length).withColumn("at", F.explode(F.sequence(F.lit(1), F.size("words") - length + 1)))
+    starts = _each(words.withColumn("length", length), F.sequence(F.lit(1), F.size("words") - F.col("length") + 1), "at")
     return starts.select("item", "length", F.array_join(F.slice("words", F.col("at"), F.col("length")), " ").alias("span")).distinct()
 
 
@@ -78,8 +87,7 @@ def _candidates(hit: DataFrame, short: list[int]) -> DataFrame:
 
     every = F.concat(*[around(length) for length in [*short, WINDOW]])
     return (
-        hit.withColumn("hashes", _hashes(F.col("words")))
-        .withColumn("place", F.explode(every))
+        _each(hit.withColumn("hashes", _hashes(F.col("words"))), every, "place")
         .select("row", "place.at", "place.length", F.array_join(F.slice("words", F.col("place.at") + 1, F.col("place.length")), " ").alias("span"))
     )
 
@@ -105,8 +113,8 @@ def matches(documents: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
         "none",
     )
     items = benchmark.select(words_of(F.col(item_text)).alias("words")).where(F.size("words") > 0)
-    wanted = written(_kept(items, short).select(F.explode("kept").alias("hash")).distinct(), "none")
-    common = written(base.select("row", F.explode("kept").alias("hash")).distinct().join(wanted, "hash").groupBy("row").agg(F.collect_set("hash").alias("common")))
+    wanted = written(_each(_kept(items, short), "kept", "hash").select("hash").distinct(), "none")
+    common = written(_each(base, "kept", "hash").select("row", "hash").distinct().join(wanted, "hash").groupBy("row").agg(F.collect_set("hash").alias("common")))
 
     again = docs.withColumn("row", row).join(common, "row")
     found = written(

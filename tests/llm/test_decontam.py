@@ -74,3 +74,10 @@ def test_odd_rows_and_empty_tables(spark, odd_documents, no_documents):
     assert decontam.matches(no_documents, bench).count() == 0
     assert decontam.clean(odd_documents, bench.limit(0)).count() == odd_documents.count()
     assert decontam.matches(odd_documents, bench.limit(0)).where(F.col("n_hit") > 0).count() == 0
+
+
+def test_no_filter_makes_hashes_anew_for_every_element(spark):
+    frame = spark.createDataFrame([("one two three four five six seven " * 4,)], "text string").select(decontam.words_of(F.col("text")).alias("words"))
+    for made in (decontam._each(decontam._kept(frame, [3]), "kept", "hash"), decontam._spans(spark.createDataFrame([(1, "a b c " * 9)], "item_id int, text string"), "item_id", "text")):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert not any("lambda" in line for line in plan.splitlines() if line.strip(" +-:").startswith("Filter") and "xxhash64" in line)
