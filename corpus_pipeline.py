@@ -15,7 +15,7 @@ from logweir.llm.common import table, written
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Fewer than the default: the stages before leave executors with less free memory.
-KEPT_WORDS = 100_000
+KEPT_WORDS = 80_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

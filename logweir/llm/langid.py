@@ -235,6 +235,8 @@ def accepted(documents: DataFrame, models: Parser, text: str = "text", label: st
     def language(texts: pa.Array) -> pa.Array:
         return _decided(shared.value, texts.to_pylist())[0]
 
-    names = documents.columns
-    found = in_small_batches(documents).withColumn("_language", language(F.col(text).cast("string"))).where(F.col("_language") != UNKNOWN)
-    return found.withColumn(label, F.coalesce(F.col(label), F.col("_language"))).select(*names)
+    names, own = documents.columns, "_language"
+    while own in names:
+        own += "_"
+    found = in_small_batches(documents).withColumn(own, language(F.col(text).cast("string"))).where(F.col(own) != UNKNOWN)
+    return found.withColumn(label, F.coalesce(F.col(label), F.col(own))).select(*names)

@@ -3,6 +3,7 @@
 import collections
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -197,3 +198,59 @@ def test_rare_words_are_words_of_the_models(spark, monkeypatch):
             assert (row["target_loss"], row["background_loss"]) == pytest.approx((bits[0][i], bits[1][i]), abs=1e-9)
         # Words that stand once score by the document they stand in.
         assert found[300]["score"] < 0 < found[301]["score"]
+
+
+def plain_loss(theta, documents, leak):
+    """The weighted likelihood of the noisy-or, sentence by sentence."""
+    toxic = sum(label for _, label in documents)
+    total = mil.PENALTY / 2 * sum(w * w for w in theta[:-1])
+    for rows, label in documents:
+        clean = 1 - leak
+        for row in rows:
+            clean *= 1 - 1 / (1 + math.exp(-(theta[-1] + sum(theta[i] for i in row))))
+        total += -0.5 / toxic * math.log(1 - clean) if label else -0.5 / (len(documents) - toxic) * math.log(clean)
+    return total
+
+
+def test_the_fit_follows_the_gradient_of_the_plain_loss(monkeypatch):
+    rng = random.Random(5)
+    documents = [([sorted(rng.sample(range(4), rng.randint(1, 3))) for _ in range(rng.randint(1, 4))], float(rng.random() < 0.4)) for _ in range(40)] + [([], 0.0), ([], 1.0)]
+    rounds = 8
+    monkeypatch.setattr(mil, "ROUNDS", rounds)
+    model = mil.Model(["a", "b", "c", "d"])
+    model.fit(documents)
+    theta, first, second = [0.0] * 4 + [-4.0], [0.0] * 5, [0.0] * 5
+    held = [d for d in documents if d[0]]
+    for step in range(1, rounds + 1):
+        gradient = []
+        for i in range(5):
+            up, down = ([*theta[:i], theta[i] + d, *theta[i + 1 :]] for d in (1e-5, -1e-5))
+            gradient.append((plain_loss(up, held, model.leak) - plain_loss(down, held, model.leak)) / 2e-5)
+        for i, g in enumerate(gradient):
+            first[i], second[i] = 0.9 * first[i] + 0.1 * g, 0.999 * second[i] + 0.001 * g * g
+            theta[i] -= mil.RATE * (first[i] / (1 - 0.9**step)) / (math.sqrt(second[i] / (1 - 0.999**step)) + 1e-10)
+    assert np.allclose([*model.weights, model.bias], theta, atol=1e-4)
+    assert model.leak == 1.5 / 52
+
+
+def test_scores_are_the_noisy_or_of_plain_sentences():
+    rng = random.Random(6)
+    model = mil.Model([" bad ", "ugly ", " so", " dé"])
+    model.weights, model.bias, model.leak = np.array([3.0, 2.0, 1.0, -1.0]), -2.0, 0.01
+    for _ in range(200):
+        text = "".join(rng.choice(["bad", "Bad", "ugly", "fugly", "sorry", "so", "nice", " ", " ", ". ", "!", "\n", "dét"]) for _ in range(rng.randint(0, 30)))
+        clean = 0.99
+        for sentence in re.split(r"(?<=[.!?\n])", text):
+            # A sentence's sign ends its line, so features never reach over it.
+            found = mil.features_of(sentence) & {" bad ", "ugly ", " so", " dé"}
+            words = mil._line(sentence)[0].split()
+            weights = [w for f, w in zip(model.features, model.weights, strict=True) if f in found or any(f in f" {word} " for word in words)]
+            if weights:
+                clean *= 1 - 1 / (1 + math.exp(-(model.bias + sum(weights))))
+        assert math.isclose(model.score(text)[0], 1 - clean, rel_tol=1e-9), text
+
+
+def test_a_column_of_the_helpers_name_stays(spark):
+    docs = spark.createDataFrame([(1, "eins zwei drei und noch mehr", None, "x"), (2, "123", "de", "y")], "doc_id long, text string, lang string, _language string")
+    kept = langid.accepted(docs, langid.learn(spark.createDataFrame([(i, f"{text} {i}", lang) for i in range(20) for text, lang in (("eins zwei drei vier", "de"), ("one two three four", "en"))], "doc_id long, text string, lang string")))
+    assert [(r["doc_id"], r["_language"]) for r in kept.collect()] == [(1, "x")]
