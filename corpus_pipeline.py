@@ -15,7 +15,7 @@ from logweir.llm.common import table, written
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 #: Fewer than the default: the stages before leave executors with less free memory.
-KEPT_WORDS = 80_000
+KEPT_WORDS, QUERY_CHARS = 30_000, 400_000
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,7 +41,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and the text that they decode to."""
-    coded = bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, kept_words=KEPT_WORDS)
+    coded = bpe.encode(docs, public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN, kept_words=KEPT_WORDS, query_chars=QUERY_CHARS)
     return coded.select(F.col("id").alias("doc_id"), F.size("ids").cast("long").alias("n_tokens"), "ids", F.col("decoded").cast("string").alias("text"))
 
 

@@ -187,13 +187,19 @@ def _vocabulary(spark: SparkSession, path: str) -> Broadcast:
 
 
 def encode(
-    documents: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", kept_words: int = KEPT_WORDS
+    documents: DataFrame,
+    path: str,
+    pattern: str,
+    key: str = "doc_id",
+    text: str = "text",
+    kept_words: int = KEPT_WORDS,
+    query_chars: int = QUERY_CHARS,
 ) -> DataFrame:
     """(id, ids, decoded) of every row: the token ids of the whole text, and the bytes that decoding them gives.
 
     ``path`` is a rank file on the driver (its size is that of a vocabulary, so it is broadcast), ``pattern`` the
     expression whose matches are encoded separately.  There are no special tokens.  ``kept_words`` bounds what a worker
-    remembers (about 0.3 kB a word, twice over) and does not change the result.  A null or empty text has no ids.
+    remembers (about 0.3 kB a word, twice over), ``query_chars`` how much text is split at a time; neither changes the result.  A null or empty text has no ids.
     Repeated rows are kept; other columns are not read.
     """
     vocabulary = _vocabulary(documents.sparkSession, path)
@@ -205,7 +211,7 @@ def encode(
             for i, text in enumerate(batch.column(1), 1):
                 texts.append(text.as_py() or "")
                 size += len(texts[-1])
-                if size >= QUERY_CHARS or i == len(batch):
+                if size >= query_chars or i == len(batch):
                     yield pa.RecordBatch.from_arrays([keys.slice(at, len(texts)), *coder.encode(texts)], ["id", "ids", "decoded"])
                     texts, size, at = [], 0, i
         release_memory()
