@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -9,6 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from logweir.catalog.views import load, oracle, view
+from logweir.plans.errors import PlanError
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,10 +32,13 @@ class Tables:
     def folder(self) -> str:
         """A folder of this run under the shared checkpoint folder.
 
-        A session that names none gets one, which holds for all its runs.
+        A local session that names none gets one, which holds for all its runs.  On a cluster a folder of one machine
+        would lose rows, so it must be named there.
         """
         base = self.spark.conf.get("spark.checkpoint.dir", None)
         if not base:
+            if not re.match(r"local(\[|$)", self.spark.sparkContext.master):
+                raise PlanError("set spark.checkpoint.dir to a folder that all executors share")
             base = tempfile.mkdtemp(prefix="logweir-")
             self.spark.conf.set("spark.checkpoint.dir", base)
         return f"{base.rstrip('/')}/run-{uuid.uuid4().hex}"

@@ -86,3 +86,18 @@ def test_top_n_is_cut_before_the_shuffle(spark, small):
     for name in ("e6_topn", "f5_breakdowns", "f7_bounded_sample", "h5_alert_logs"):
         plan = QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
         assert "Partial" in plan and "WindowGroupLimit" in plan, name
+
+
+def test_a_cluster_must_name_its_shared_folder():
+    from types import SimpleNamespace
+
+    from logweir.catalog.registry import Tables
+    from logweir.plans.errors import PlanError
+
+    def session(master, named=None):
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master), conf=SimpleNamespace(get=lambda *_: named, set=lambda *_: None))
+
+    with pytest.raises(PlanError):
+        Tables(session("spark://host:7077"), "").folder()
+    assert Tables(session("spark://host:7077", "file:///shared/"), "").folder().startswith("file:///shared/run-")
+    assert Tables(session("local[2]"), "").folder()
