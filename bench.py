@@ -19,7 +19,7 @@ HEADLINE = (
     "f21_time_buckets f22_incident_stats h3_linkage_fallback h5_alert_logs h6_endpoint_vulns h7_user_endpoints h8_indicator_sweep "
     "h9_lateral i1_percentile j1_risk j2_endpoint_anomaly k1_timeline k2_root_cause l1_mask_table l4_scrub_text l11_unmask "
     "l12_redact l14_leak_check m1_stream_counts "
-    "e3_snapshot_page h8_sweep_layout l1_mask_values m1_rollup m2_late_rows n13_incident_summary n14_investigate n16_investigate_deep"
+    "e3_snapshot_page l1_mask_values m1_rollup m2_late_rows n13_incident_summary n14_investigate n16_investigate_deep"
 ).split()
 
 
