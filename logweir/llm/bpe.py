@@ -3,10 +3,16 @@
 Spark deals out the documents.  In a task every new word (a match of the splitting pattern) becomes rows of byte
 tokens.  A recursive query joins neighbouring tokens with the merge table and contracts each word's smallest-rank
 pair, leftmost first and without overlap, until no word has a pair left; an ordered aggregation gathers a word's
-ids and the bytes they decode to.  A task's words are kept for its later batches up to a bound, then forgotten.
+ids.  A task's words are kept for its later batches up to a bound, then forgotten.  The bytes of a document come
+from another ordered aggregation, over all its ids joined with the vocabulary.
 
-Contracting all non-overlapping places of the smallest rank at once equals one at a time for vocabularies in which
-every token encodes to itself, as those trained by merging do (a test checks this for the file used).
+A long word is contracted in pieces whose seams are mended.  Tokens are a word's encoding exactly if each two
+neighbours are the encoding of their own bytes: a merge across a boundary would happen in those two alone as well.
+So the tokens around a seam are encoded anew, more of them until the outermost ones come out unchanged; from there
+on all neighbours are old ones.  Pieces are joined by twos, so the work grows with the word's length.
+
+Contracting all non-overlapping places of the smallest rank at once, as wide seams do, equals one at a time for
+vocabularies in which every token encodes to itself, as those trained by merging do (a test checks the file used).
 """
 
 from __future__ import annotations
@@ -18,6 +24,7 @@ from itertools import chain
 import duckdb
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
@@ -25,13 +32,16 @@ from pyspark.sql import functions as F
 
 from logweir.llm.common import in_small_batches, release_memory, worker_state
 
-#: Words a worker remembers, bytes of new words in one query, characters of texts at a time: bounds on memory, without effect on results.
+#: Words a worker remembers, bytes of new words and ids in one query, characters of texts at a time: bounds on memory, without effect on results.
 KEPT_WORDS = 300_000
 QUERY_BYTES = 300_000
+QUERY_TOKENS = 150_000
 QUERY_CHARS = 2_000_000
 
-#: Words up to this many bytes contract one pair in a round; longer ones all places of their smallest rank.
+#: Stretches up to this many bytes contract one pair in a round; longer ones all places of their smallest rank.
 SHORT = 64
+#: Words over SHORT bytes are cut into pieces of so many; a seam takes so many tokens of either side at first.
+PIECE_BYTES, SEAM_TOKENS = 32, 4
 
 _SHORT = """
 WITH RECURSIVE state(word, toks) AS (
@@ -76,10 +86,9 @@ WITH RECURSIVE state(word, pos, tok, live) AS (
 SELECT word, list(tok ORDER BY pos) AS ids FROM state WHERE NOT live GROUP BY word ORDER BY word
 """
 
+# A byte is the character of its number, so an aggregated text is a sequence of bytes.
 _DECODE = """
-SELECT doc, string_agg(v.hex, '' ORDER BY nth) AS hex
-FROM (SELECT doc, unnest(ids) AS id, generate_subscripts(ids, 1) AS nth FROM given) t JOIN vocabulary v ON v.id = t.id
-GROUP BY doc
+SELECT array_to_string(list(v.plain ORDER BY nth), '') AS plain FROM given t JOIN vocabulary v ON v.id = t.id
 """
 
 
@@ -103,10 +112,12 @@ class Coder:
         ]
         self.db = duckdb.connect(config={"threads": "1", "memory_limit": "100MB"})
         self._table("merges", pair=[p for p, _ in pairs], rank=pa.array([r for _, r in pairs], pa.int32()))
-        self._table("vocabulary", id=pa.array(list(ranks.values()), pa.int32()), hex=[t.hex() for t in ranks])
+        self._table("vocabulary", id=pa.array(list(ranks.values()), pa.int32()), plain=[t.decode("latin-1") for t in ranks])
+        self.lengths = np.zeros(max(ranks.values()) + 1, np.int32)
+        self.lengths[list(ranks.values())] = [len(t) for t in ranks]
         #: Words of two generations: those of the last one that come again move to the new one, the rest is forgotten.
-        self.known: dict[str, tuple[bytes, bytes]] = {}
-        self.older: dict[str, tuple[bytes, bytes]] = {}
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _table(self, name: str, **columns) -> None:
         given = pa.table(columns)
@@ -114,8 +125,8 @@ class Coder:
         self.db.execute(f"CREATE TABLE {name} AS SELECT * FROM given_table")
         self.db.unregister("given_table")
 
-    def _contract(self, raw: list[bytes], query: str) -> tuple[pa.Array, list[bytes]]:
-        """The ids of each word, and the bytes they decode to."""
+    def _contract(self, raw: list[bytes], query: str) -> pa.Array:
+        """The ids of each stretch of bytes, in one query."""
         lengths = np.array([len(x) for x in raw])
         size, starts = int(lengths.sum()), np.cumsum(lengths) - lengths
         rows = pa.table(
@@ -128,53 +139,94 @@ class Coder:
         self.db.register("start", rows)
         lists = self.db.sql(query).to_arrow_table().column("ids").combine_chunks()
         self.db.unregister("start")
-        return lists, self.decode(lists)
+        return lists
 
-    def learn(self, words: list[str]) -> None:
-        """Encode words not known, a bounded number of bytes at a time."""
-        raw = sorted(((w.encode(), w) for w in words), key=lambda x: len(x[0]))
+    def _contracted(self, raw: list[bytes]) -> list[np.ndarray]:
+        """The ids of each stretch of bytes, a bounded number of bytes a query."""
+        found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(raw)
+        order = sorted((i for i in range(len(raw)) if raw[i]), key=lambda i: len(raw[i]))
         at = 0
-        while at < len(raw):
+        while at < len(order):
             end, size = at, 0
-            short = len(raw[at][0]) <= SHORT
-            while end < len(raw) and (end == at or size < QUERY_BYTES and (len(raw[end][0]) <= SHORT) == short):
-                size += len(raw[end][0])
+            short = len(raw[order[at]]) <= SHORT
+            while end < len(order) and (end == at or size < QUERY_BYTES and (len(raw[order[end]]) <= SHORT) == short):
+                size += len(raw[order[end]])
                 end += 1
-            lists, decoded = self._contract([x for x, _ in raw[at:end]], _SHORT if short else _LONG)
-            ids = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4").tobytes()
-            cuts = (np.asarray(lists.offsets) * 4).tolist()
-            for (_, word), first, last, plain in zip(raw[at:end], cuts, cuts[1:], decoded, strict=False):
-                self.known[word] = ids[first:last], plain
+            lists = self._contract([raw[i] for i in order[at:end]], _SHORT if short else _LONG)
+            ids, cuts = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4"), np.asarray(lists.offsets).tolist()
+            for i, first, last in zip(order[at:end], cuts, cuts[1:], strict=False):
+                found[i] = ids[first:last]
             at = end
+        return found
+
+    def _joined(self, pairs: list[tuple[bytes, np.ndarray, bytes, np.ndarray]]) -> list[tuple[bytes, np.ndarray]]:
+        """The bytes and the ids of each two neighbouring stretches as one, from those of both."""
+        out: list[tuple[bytes, np.ndarray]] = [(b"", np.zeros(0, np.int32))] * len(pairs)
+        todo = dict.fromkeys(range(len(pairs)), SEAM_TOKENS)
+        while todo:
+            seams = []
+            for i, n in todo.items():
+                left, a, right, b = pairs[i]
+                before, after = int(self.lengths[a[-n:]].sum()), int(self.lengths[b[:n]].sum())
+                seams.append(left[len(left) - before :] + right[:after])
+            wider = {}
+            for (i, n), seam in zip(todo.items(), self._contracted(seams), strict=True):
+                left, a, right, b = pairs[i]
+                if (n >= len(a) or seam[0] == a[-n]) and (n >= len(b) or seam[-1] == b[n - 1]):
+                    out[i] = left + right, np.concatenate([a[: max(0, len(a) - n)], seam, b[n:]])
+                else:
+                    wider[i] = 2 * n
+            todo = wider
+        return out
+
+    def _whole(self, raw: list[bytes]) -> list[np.ndarray]:
+        """The ids of long words: pieces are contracted, then neighbours joined until a word is one stretch."""
+        cut = [[x[i : i + PIECE_BYTES] for i in range(0, len(x), PIECE_BYTES)] for x in raw]
+        ids = iter(self._contracted(list(chain.from_iterable(cut))))
+        parts = [[(x, next(ids)) for x in pieces] for pieces in cut]
+        while any(len(p) > 1 for p in parts):
+            joined = iter(self._joined([(*p[i], *p[i + 1]) for p in parts for i in range(0, len(p) - 1, 2)]))
+            parts = [[next(joined) if i + 1 < len(p) else p[i] for i in range(0, len(p), 2)] for p in parts]
+        return [p[0][1] for p in parts]
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words not known."""
+        for fits, found in ((lambda x: len(x) <= SHORT, self._contracted), (lambda x: len(x) > SHORT, self._whole)):
+            chosen = [(w, x) for w, x in ((w, w.encode()) for w in words) if fits(x)]
+            for (word, _), ids in zip(chosen, found([x for _, x in chosen]), strict=True):
+                self.known[word] = ids.tobytes()
 
     def encode(self, texts: list[str]) -> tuple[pa.Array, pa.Array]:
         """The ids of each text, and the bytes they decode to."""
         if len(self.known) > self.kept_words:
             self.known, self.older = {}, self.known
         split = [self.split(text) for text in texts]
-        known, older, fresh = self.known, self.older, []
-        for word in dict.fromkeys(chain.from_iterable(split)):
-            if word not in known:
-                if word in older:
-                    known[word] = older[word]
-                else:
-                    fresh.append(word)
-        self.learn(fresh)
-        lists, lengths, decoded = [], [0], []
+        known, older = self.known, self.older
+        fresh = set(chain.from_iterable(split)).difference(known)
+        again = fresh.intersection(older)
+        known.update((word, older[word]) for word in again)
+        self.learn(list(fresh - again))
+        lists, lengths = [], [0]
         for words in split:
-            found = list(map(known.__getitem__, words))
-            lists.append(b"".join([x[0] for x in found]))
-            lengths.append(len(lists[-1]) // 4)
-            decoded.append(b"".join([x[1] for x in found]))
-        offsets = pa.array(np.cumsum(lengths).astype(np.int32))
-        return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(lists), "<i4"))), pa.array(decoded, pa.binary())
+            lists.append(b"".join(map(known.__getitem__, words)))
+            lengths.append(lengths[-1] + len(lists[-1]) // 4)
+        coded = pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(np.frombuffer(b"".join(lists), "<i4")))
+        return coded, pa.array(self.decode(coded), pa.binary())
 
     def decode(self, lists: pa.Array) -> list[bytes]:
-        """The bytes of each list of ids, straight from the vocabulary."""
-        self.db.register("given", pa.table({"doc": np.arange(len(lists), dtype=np.int32), "ids": lists}))
-        found = dict(self.db.sql(_DECODE).fetchall())
-        self.db.unregister("given")
-        return [bytes.fromhex(found.get(i, "")) for i in range(len(lists))]
+        """The bytes of each list of ids: those of all lists in their order, so many ids a query, cut by length."""
+        sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        ids = pc.fill_null(lists.flatten(), -1).to_numpy(zero_copy_only=False)
+        known = (ids >= 0) & (ids < len(self.lengths))
+        ends = np.concatenate([[0], np.cumsum(np.where(known, self.lengths[np.where(known, ids, 0)], 0))])[np.cumsum(sizes)].tolist()
+        parts = []
+        for at in range(0, len(ids), QUERY_TOKENS):
+            chosen = ids[at : at + QUERY_TOKENS]
+            self.db.register("given", pa.table({"id": chosen, "nth": np.arange(len(chosen), dtype=np.int32)}))
+            parts.append(self.db.sql(_DECODE).fetchall()[0][0] or "")
+            self.db.unregister("given")
+        whole = "".join(parts).encode("latin-1")
+        return [whole[at:end] for at, end in zip([0, *ends], ends, strict=False)]
 
 
 def _coder(content: Broadcast, pattern: str, kept_words: int = KEPT_WORDS) -> Coder:

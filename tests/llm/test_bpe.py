@@ -1,4 +1,5 @@
 import random
+import time
 
 import public_tokenizers
 import pytest
@@ -41,14 +42,28 @@ def test_ids_equal_the_library_and_decode_back(coder, library):
 
 def test_every_token_encodes_to_itself(coder):
     # What contracting all places of the smallest rank at once rests on.
-    rows = coder.db.sql("SELECT id, hex FROM vocabulary").fetchall()
-    raw = [bytes.fromhex(h) for _, h in rows]
-    lists, _ = coder._contract(raw, bpe._SHORT)
-    short = [i for i, x in enumerate(raw) if len(x) <= bpe.SHORT]
-    own = lists.to_pylist()
-    assert all(own[i] == [rows[i][0]] for i in short)
-    long, _ = coder._contract(raw, bpe._LONG)
-    assert long.to_pylist() == [[r[0]] for r in rows]
+    rows = coder.db.sql("SELECT id, plain FROM vocabulary").fetchall()
+    raw = [plain.encode("latin-1") for _, plain in rows]
+    own = coder._contract(raw, bpe._SHORT).to_pylist()
+    assert all(own[i] == [rows[i][0]] for i in range(len(raw)) if len(raw[i]) <= bpe.SHORT)
+    assert coder._contract(raw, bpe._LONG).to_pylist() == [[r[0]] for r in rows]
+
+
+def test_long_words_equal_the_library(coder, library):
+    rng = random.Random(5)
+    given = ["".join(rng.choice(alphabet) for _ in range(n)) for alphabet in ("ab", "aab", "etaoin", "abcdefghijklmnopqrstuvwxyz", "日本語的é", "=-") for n in (65, 96, 97, 1000, 5000)]
+    given += ["b" + "a" * n for n in (64, 999, 5000)] + ["ab" * 3000, "abc" * 999, "x" + "ing" * 700, " " * 3001, "\n" * 777, "é" * 501]
+    ids, decoded = coder.encode(given)
+    assert ids.to_pylist() == [library.encode_ordinary(t) for t in given]
+    assert decoded.to_pylist() == [t.encode() for t in given]
+
+
+def test_a_word_of_100_000_letters_takes_seconds(coder, library):
+    word = "".join(random.Random(6).choices("abcdefghijklmnopqrstuvwxyz", k=100_000))
+    start = time.monotonic()
+    ids, decoded = coder.encode([word])
+    assert time.monotonic() - start < 60
+    assert ids.to_pylist() == [library.encode_ordinary(word)] and decoded.to_pylist() == [word.encode()]
 
 
 def test_forgotten_words_are_learned_again(coder, monkeypatch):
