@@ -164,22 +164,38 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def captures(pages: DataFrame) -> DataFrame:
-    """``pages`` seen as captures of the section each page was reached from, in order of page_id.
+    """``pages`` seen as captures under their whole urls: up to two full responses, a revisit and a later response each.
 
-    Every third is a not-modified revisit.  A section's validators follow from its name; now and then they change or
-    are missing.
+    A revisit spells its url in another way: with www. and in capitals, with tracking and a fragment, with parameters in
+    another order, or with a port and a final slash.  Validators follow from the url; now and then they change or are missing.
     """
-    section = F.regexp_extract("url", r"^(https?://[^/]+/[a-z]+)", 1)
-    stamp = F.md5(F.concat(F.regexp_extract("url", r"/([a-z]+)/", 1), (F.floor(F.col("page_id") / 500) % 2).cast("string")))
-    return pages.select(
-        F.col("page_id").alias("id"),
-        section.alias("url"),
-        F.col("page_id").alias("time"),
-        F.when(F.col("page_id") % 3 == 2, 304).otherwise(200).alias("status"),
-        F.when(F.col("page_id") % 4 != 0, F.substring(stamp, 1, 8)).alias("etag"),
-        F.when(F.col("page_id") % 5 != 0, F.substring(stamp, 9, 8)).alias("last_modified"),
-        F.create_map(F.lit("Content-Length"), F.length("html").cast("string"), F.lit("Date"), F.col("page_id").cast("string"), F.lit("ETag"), F.coalesce(F.substring(stamp, 1, 8), F.lit(""))).alias("headers"),
-        F.col("html").alias("body"),
+    page = F.col("page_id")
+    split = pages.select(
+        page, "url", "html", F.explode(F.sequence(F.lit(0), F.lit(3))).alias("kind"), F.regexp_replace("url", "#.*$", "").alias("base"), F.md5("url").alias("stamp")
+    ).where(
+        F.when(F.col("kind") == 0, page % 13 != 12).when(F.col("kind") == 1, page % 6 == 1).when(F.col("kind") == 2, page % 3 != 0).otherwise(page % 2 == 0)
+    )
+    revisit_, ident = F.col("kind") == 2, page * 4 + F.col("kind")
+    more = F.when(F.contains("base", F.lit("?")), "&").otherwise("?")
+    spelled = (
+        F.when(page % 5 == 1, F.concat(F.lit("HTTP://WWW."), F.upper(F.regexp_extract("base", r"://(?:www\.)?([^/?]*)", 1)), F.regexp_extract("base", r"://[^/?]*(.*)$", 1)))
+        .when(page % 5 == 2, F.concat("base", more, F.lit("utm_medium=mail#bottom")))
+        .when(page % 5 == 3, F.concat("base", more, F.lit("a=1&b=2")))
+        .when(page % 5 == 4, F.concat(F.regexp_replace("base", "^(https?://[^/?]+)", "$1:80"), F.when(more == "?", "/").otherwise("&")))
+        .otherwise(F.col("url"))
+    )
+    stored = F.when(page % 5 == 3, F.concat("base", more, F.lit("b=2&a=1"))).otherwise(F.col("url"))
+    tag = F.substring("stamp", 1, 8)
+    body = F.when(F.col("kind") == 0, F.col("html")).when(~revisit_, F.concat(F.lit("changed "), ident.cast("string")))
+    return split.select(
+        ident.alias("id"),
+        F.when(revisit_, spelled).otherwise(stored).alias("url"),
+        ident.alias("time"),
+        F.when(revisit_, 304).otherwise(200).alias("status"),
+        F.when(revisit_ & (page % 11 == 0), F.substring("stamp", 17, 8)).when(page % 4 != 0, tag).alias("etag"),
+        F.when(page % 7 != 0, F.substring("stamp", 9, 8)).alias("last_modified"),
+        F.create_map(F.lit("Content-Length"), F.coalesce(F.length(body), F.lit(0)).cast("string"), F.lit("Date"), ident.cast("string"), F.lit("ETag"), F.coalesce(tag, F.lit(""))).alias("headers"),
+        body.alias("body"),
     )
 
 
@@ -191,19 +207,31 @@ def op3_revisit_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("id", "canonical", "time", "source_id", "outcome", F.array_join(entries, ";").alias("headers"), F.sha2("body", 256).alias("body_sha256"))
 
 
-ORACLES["op3_revisit_resolution"] = """
-WITH c AS (SELECT page_id AS id, regexp_extract(url, '^(https?://[^/]+/[a-z]+)', 1) AS url, page_id % 3 = 2 AS revisit, html,
-                  md5(regexp_extract(url, '/([a-z]+)/', 1) || (floor(page_id / 500)::bigint % 2)::varchar) AS stamp FROM pages),
-r AS (SELECT *, regexp_replace(lower(regexp_extract(url, '://([^/]*)', 1)), '^www[0-9]*[.]', '') || regexp_extract(url, '://[^/]*(.*)$', 1) AS canonical,
-             CASE WHEN id % 4 <> 0 THEN substr(stamp, 1, 8) END AS etag, CASE WHEN id % 5 <> 0 THEN substr(stamp, 9, 8) END AS modified FROM c),
-m AS (SELECT v.id, v.canonical, v.etag, v.modified, v.stamp, max(f.id) AS source FROM r v LEFT JOIN r f ON v.canonical = f.canonical AND NOT f.revisit AND f.id < v.id
-      WHERE v.revisit GROUP BY ALL),
-o AS (SELECT m.id, m.canonical, m.stamp, f.id AS source_id, f.html,
-             CASE WHEN f.id IS NULL THEN 'unmatched' WHEN coalesce(m.etag = f.etag, true) AND coalesce(m.modified = f.modified, true) THEN 'resolved' ELSE 'mismatch' END AS outcome
-      FROM m LEFT JOIN r f ON f.id = m.source)
+ORACLES["op3_revisit_resolution"] = r"""
+WITH p AS (SELECT page_id AS p, url, html, unnest(range(0, 4)) AS kind, regexp_replace(url, '#.*$', '') AS base, md5(url) AS stamp FROM pages),
+c AS (SELECT p, 4 * p + kind AS id, kind = 2 AS revisit, stamp, CASE kind WHEN 0 THEN html WHEN 2 THEN NULL ELSE 'changed ' || (4 * p + kind) END AS body,
+             CASE WHEN contains(base, '?') THEN '&' ELSE '?' END AS more, base, url
+      FROM p WHERE CASE kind WHEN 0 THEN p % 13 <> 12 WHEN 1 THEN p % 6 = 1 WHEN 2 THEN p % 3 <> 0 ELSE p % 2 = 0 END),
+s AS (SELECT *, CASE WHEN revisit AND p % 5 = 1 THEN 'HTTP://WWW.' || upper(regexp_extract(base, '://(?:www\.)?([^/?]*)', 1)) || regexp_extract(base, '://[^/?]*(.*)$', 1)
+                     WHEN revisit AND p % 5 = 2 THEN base || more || 'utm_medium=mail#bottom'
+                     WHEN p % 5 = 3 THEN base || more || CASE WHEN revisit THEN 'a=1&b=2' ELSE 'b=2&a=1' END
+                     WHEN revisit AND p % 5 = 4 THEN regexp_replace(base, '^(https?://[^/?]+)', '\1:80') || CASE WHEN more = '?' THEN '/' ELSE '&' END
+                     ELSE url END AS asked,
+             CASE WHEN revisit AND p % 11 = 0 THEN substr(stamp, 17, 8) WHEN p % 4 <> 0 THEN substr(stamp, 1, 8) END AS etag,
+             CASE WHEN p % 7 <> 0 THEN substr(stamp, 9, 8) END AS modified FROM c),
+b AS (SELECT *, regexp_replace(regexp_replace(trim(asked), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM s),
+q AS (SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(bare, '\?(.*)$', 1), '&'),
+                    lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|gclid|fbclid|ref)='))), '&') AS asking FROM b),
+r AS (SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www\d*\.', ''), ':(80|443)$', '')
+                || regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') || CASE WHEN asking <> '' THEN '?' || asking ELSE '' END AS canonical FROM q),
+m AS (SELECT v.id, max(f.id) AS source FROM r v LEFT JOIN r f ON v.canonical = f.canonical AND NOT f.revisit AND f.id < v.id WHERE v.revisit GROUP BY v.id),
+o AS (SELECT v.id, v.canonical, v.stamp, f.id AS source_id, f.body,
+             CASE WHEN v.canonical IS NULL THEN 'unusable' WHEN f.id IS NULL THEN 'unmatched'
+                  WHEN coalesce(v.etag = f.etag, true) AND coalesce(v.modified = f.modified, true) THEN 'resolved' ELSE 'mismatch' END AS outcome
+      FROM m JOIN r v ON v.id = m.id LEFT JOIN r f ON f.id = m.source)
 SELECT id, canonical, id AS time, source_id, outcome,
-       CASE WHEN outcome = 'resolved' THEN 'content-length=' || length(html) || ';date=' || id || ';etag=' || substr(stamp, 1, 8) END AS headers,
-       CASE WHEN outcome = 'resolved' THEN sha256(html) END AS body_sha256
+       CASE WHEN outcome = 'resolved' THEN 'content-length=' || length(body) || ';date=' || id || ';etag=' || substr(stamp, 1, 8) END AS headers,
+       CASE WHEN outcome = 'resolved' THEN sha256(body) END AS body_sha256
 FROM o
 """
 

@@ -4,9 +4,9 @@ Records have a url, a time, a status, validators (etag, last_modified) and heade
 as of its time to the latest earlier full response (status 200) of the same canonical url.  If a validator that both
 have differs, the revisit is not resolved; otherwise its permitted headers replace those of the response.
 
-A url may hold most of the records, so no url is gathered in one place: its records are cut into pieces of
-time, each piece is searched by itself, and where a piece has no earlier response the latest one of the
-pieces before it counts.  Only validators and places travel with the search; bodies and headers are joined after it.
+A url may hold most of the records, so no url is gathered in one place: records in order of url and time are cut
+into pieces of about as many rows each, however unevenly their times lie; each piece is searched by itself, and where
+a piece has no earlier response the latest one of the url's pieces before it counts.  Only validators and places travel with the search; bodies and headers are joined after it.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from logweir.llm.common import ascii_lower, written
 
 FULL, NOT_MODIFIED = 200, 304
-#: Time is cut into a piece for so many records, so a url's records of one piece are about as many at most.
-PIECE_ROWS = 250_000
+#: Records of a piece, but for one time that more records of a url have.
+PIECE_ROWS = 1_000_000
 
 # Headers that a not-modified response must not change, since they describe the stored body.
 KEPT_HEADERS = ("content-encoding", "content-length", "content-range", "content-type", "transfer-encoding")
@@ -47,11 +47,17 @@ def _agree(a: str, b: str) -> Column:
 
 
 def _pieces(records: DataFrame) -> DataFrame:
-    """``records`` with the piece of time of each: as many equal pieces as records make PIECE_ROWS."""
-    low, high, rows = records.agg(F.min("time"), F.max("time"), F.count("*")).first()
-    pieces = max(1, -(-rows // PIECE_ROWS))
-    width = ((high or 0) - (low or 0)) // pieces + 1
-    return records.withColumn("piece", F.floor((F.col("time") - F.lit(low or 0)) / F.lit(width)))
+    """``records`` in order of url and time, with the piece of each; rows of one url and time share a piece.
+
+    Pieces are partitions of a range exchange, which Spark cuts by sampled quantiles: write the rows before using them.
+    """
+    return records.repartitionByRange(max(1, -(-records.count() // PIECE_ROWS)), "canonical", "time").withColumn("piece", F.spark_partition_id())
+
+
+def _one(rows: DataFrame, key: str, *order: Column) -> DataFrame:
+    """The first row of each key."""
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("_nth", nth).where("_nth = 1").drop("_nth")
 
 
 def as_of(records: DataFrame) -> DataFrame:
@@ -109,12 +115,13 @@ def resolve(records: DataFrame) -> DataFrame:
     """``as_of`` with the headers and the body of a resolved revisit.
 
     ``records`` has id, url, time, status, etag, last_modified, headers (map) and body; other columns are not read.
-    Ids name records: of rows that repeat one, any one gives the headers and the body.
+    Ids name records: of rows that repeat one, the one with the smallest body, then headers, gives both; null is smallest.
     """
     found = written(as_of(records))
     full = records.where(F.col("status") == FULL).select(F.col("id").alias("source_id"), F.col("headers").alias("stored"), "body")
     fresh = records.where(F.col("status") == NOT_MODIFIED).select("id", F.col("headers").alias("fresh"))
-    wanted = found.where("outcome = 'resolved'").select("id", "source_id").distinct().join(fresh.dropDuplicates(["id"]), "id")
-    bodies = wanted.join(full.dropDuplicates(["source_id"]), "source_id")
+    entries = {name: F.array_sort(F.map_entries(name)) for name in ("fresh", "stored")}
+    wanted = found.where("outcome = 'resolved'").select("id", "source_id").distinct().join(_one(fresh, "id", entries["fresh"]), "id")
+    bodies = wanted.join(_one(full, "source_id", F.col("body"), entries["stored"]), "source_id")
     bodies = bodies.select(F.col("id").alias("_id"), merged_headers(F.col("stored"), F.col("fresh")).alias("headers"), "body")
     return found.join(bodies, (found["id"] == bodies["_id"]) & (found["outcome"] == "resolved"), "left").drop("_id")

@@ -21,7 +21,7 @@ from logweir.llm.common import in_small_batches
 # The phrases and labels of the base scan.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Label -> templates of the method.
+#: Label -> templates of notices, as they stand in a file that is under a licence.
 TEMPLATES = {
     "apache-2.0": (
         "licensed under {the} apache license {version} 2 0",
@@ -49,6 +49,63 @@ TEMPLATES = {
     "unlicense": ("this is free and unencumbered software released into the public domain",),
 }
 
+# Whole licence texts, word by word, with what their users may leave out or put in.
+WHOLE = {
+    "bsd-2-text": (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "{1} redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "{2} redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution "
+        "this software is provided by <holder:1-8> as is and any express or implied warranties including but not limited to "
+        "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <holder:1-8> be liable "
+        "for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods "
+        "or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract "
+        "strict liability or tort including negligence or otherwise arising in any way out of the use of this software "
+        "even if advised of the possibility of such damage",
+    ),
+    "bsd-3-text": (
+        "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met "
+        "{1} redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer "
+        "{2} redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer "
+        "in the documentation and or other materials provided with the distribution "
+        "{3} neither the name of <holder:1-8> nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission "
+        "this software is provided by <holder:1-8> as is and any express or implied warranties including but not limited to "
+        "the implied warranties of merchantability and fitness for a particular purpose are disclaimed in no event shall <holder:1-8> be liable "
+        "for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods "
+        "or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract "
+        "strict liability or tort including negligence or otherwise arising in any way out of the use of this software "
+        "even if advised of the possibility of such damage",
+    ),
+    "isc-text": (
+        "permission to use copy modify and {or} distribute this software for any purpose with or without fee is hereby granted "
+        "provided that the above copyright notice and this permission notice appear in all copies "
+        "the software is provided as is and <author:1-8> disclaims all warranties with regard to this software including all implied warranties "
+        "of merchantability and fitness in no event shall <author:1-8> be liable for any special direct indirect or consequential damages "
+        "or any damages whatsoever resulting from loss of use data or profits whether in an action of contract negligence or other tortious action "
+        "arising out of or in connection with the use or performance of this software",
+    ),
+    "mit-text": (
+        "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software "
+        "to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense "
+        "and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions "
+        "the above copyright notice and this permission notice {including the next paragraph} shall be included in all copies "
+        "or substantial portions of the software the software is provided as is without warranty of any kind express or implied "
+        "including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement "
+        "in no event shall <holder:1-8> be liable for any claim damages or other liability whether in an action of contract tort or otherwise "
+        "arising from out of or in connection with the software or the use or other dealings in the software",
+    ),
+    "zlib-text": (
+        "this software is provided as is without any express or implied warranty in no event will <holder:1-8> be held liable for any damages "
+        "arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications "
+        "and to alter it and redistribute it freely subject to the following restrictions "
+        "{1} the origin of this software must not be misrepresented you must not claim that you wrote the original software "
+        "if you use this software in a product an acknowledgment in the product documentation would be appreciated but is not required "
+        "{2} altered source versions must be plainly marked as such and must not be misrepresented as being the original software "
+        "{3} this notice may not be removed or altered from any source distribution",
+    ),
+}
+
 _WORD_BYTE = bytes(b if b >= 128 or 48 <= b < 58 or 97 <= b < 123 else 32 for b in range(256))
 _PART = re.compile(r"\{|\}|<(\w+):(\d+)-(\d+)>|([^\s{}<>]+)")
 ANY = None
@@ -169,10 +226,10 @@ def scan(
 ) -> DataFrame:
     """(id, n_words, matches) of every row; matches is an array of (label, start, end, base) over word places.
 
-    ``templates`` gives the markup of each label, ``base`` plain phrases and their labels; both are few by nature.
+    ``templates`` gives the markup of each label (notices and whole licences if none), ``base`` plain phrases and their labels; both are few by nature.
     Null texts have no words.  Places may overlap and all count.  Repeated rows are kept; other columns aren't read.
     """
-    scanner = Scanner(TEMPLATES if templates is None else templates, BASE if base is None else base)
+    scanner = Scanner(TEMPLATES | WHOLE if templates is None else templates, BASE if base is None else base)
     kind = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -57,3 +57,21 @@ def test_null_headers_repeated_rows_and_empty_tables(spark):
     assert sorted(((r["id"], r["source_id"], r["outcome"], r["headers"]) for r in found.collect()), key=repr) == sorted([(2, 1, "resolved", {}), (2, 1, "resolved", {}), (None, 1, "resolved", None), (3, None, "unusable", None)], key=repr)
     assert revisit.resolve(records(spark, rows).limit(0)).count() == 0
     assert revisit.resolve(records(spark, rows).where(F.col("status") == 304)).where("outcome = 'resolved'").count() == 0
+
+
+def test_a_burst_of_times_is_cut_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(revisit, "PIECE_ROWS", 100)
+    rows = [(0, "hot.org", 0, 200, None, None, None, "b")]
+    rows += [(i, "hot.org", 1_700_000_000 + i // 2, 200 if i % 50 == 0 else 304, None, None, None, "b" if i % 50 == 0 else None) for i in range(1, 2000)]
+    rows += [(5000 + i, f"u{i}.org", 1_700_000_000 + i, 200, None, None, None, "b") for i in range(500)]
+    slim = records(spark, rows).select(revisit.canonical(F.col("url")).alias("canonical"), "time")
+    sizes = [r["count"] for r in revisit._pieces(slim).groupBy("piece").count().collect()]
+    assert len(sizes) >= 20 and max(sizes) <= 250
+    found = revisit.resolve(records(spark, rows)).collect()
+    assert sorted(((r["id"], r["source_id"], r["outcome"]) for r in found), key=repr) == brute(rows)
+
+
+def test_of_repeated_ids_the_smallest_body_counts(spark):
+    rows = [(1, "a.org", 1, 200, None, None, {"Server": s}, b) for s, b in (("x", "b2"), ("z", "b1"), ("y", "b1"))] + [(2, "a.org", 2, 304, None, None, {"Date": d}, None) for d in "21"]
+    found = revisit.resolve(records(spark, rows)).collect()
+    assert [(r["body"], r["headers"]) for r in found] == [("b1", {"server": "y", "date": "1"})] * 2

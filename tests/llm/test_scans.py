@@ -58,6 +58,27 @@ def test_a_changed_mandatory_word_is_not_accepted():
     assert scanner.scan(b"Released under the MIT license.")[1] and not scanner.scan(b"Released under a MIT license.")[1]
 
 
+def spoken(template, holder, options):
+    text = re.sub(r"<\w+:\d+-\d+>", holder, template)
+    return re.sub(r"\{([^{}]*)\}", r"\1" if options else "", text).split()
+
+
+@pytest.mark.parametrize("label", sorted(templates.WHOLE))
+def test_whole_licences_need_every_mandatory_word(label):
+    scanner = templates.Scanner(templates.WHOLE, {})
+    (template,) = templates.WHOLE[label]
+    for holder, options in (("X", True), ("The Regents of Some University", False), ("A B C D E F G H", True)):
+        words = spoken(template, holder, options)
+        text = ", ".join(["Copyright 2020 someone."] + [w.upper() if i % 3 else w for i, w in enumerate(words)] + ["The end"])
+        count, found = scanner.scan(text.encode())
+        assert count == len(words) + 5 and found == [(label, 3, 3 + len(words), False)]
+    assert scanner.scan(" ".join(spoken(template, "nine words are more than a holder ever has", True)).encode())[1] == []
+    words = spoken(template, "Holder", False)
+    for at, word in enumerate(words):
+        changed = " ".join([*words[:at], "changed", *words[at + 1 :]])
+        assert bool(scanner.scan(changed.encode())[1]) == (word == "Holder"), word
+
+
 @pytest.mark.parametrize("markup", ["{a", "a}", "<x:1-2> a", "{a}", ""])
 def test_unusable_markup_is_refused(markup):
     with pytest.raises(ValueError):
