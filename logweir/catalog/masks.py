@@ -218,13 +218,23 @@ def _blob(ip: str, user: str) -> str:
 
 
 def _nested_alerts(t):
-    """Alerts with a JSON text of objects and lists in each other, with numbers and absent values."""
+    """Alerts with a JSON text of objects and lists in each other, with numbers and absent values.
+
+    A walk costs far more than moving its row, so rows are dealt out: a file read in one piece would leave all of them to
+    one task.
+    """
     ip, user = F.col("epip"), F.col("euname")
     blob = F.concat(
         F.lit('{"user":"'), user, F.lit('","n":'), F.col("epid").cast("string"), F.lit(',"nested":{"srcip":["'), ip, F.lit('","N/A"],"list":[{"User":"'), user,
         F.lit('","note":"seen at '), ip, F.lit('","score":1.50},null,[true,"'), ip, F.lit('"]]}}'),
     )
-    return t.alert.select("alertid", "epid", blob.alias("grpby"))
+    dealt = t.alert.select("alertid", "epid", "epip", "euname").repartition(_walkers(t))
+    return dealt.select("alertid", "epid", blob.alias("grpby"))
+
+
+def _walkers(t) -> int:
+    """In how many tasks JSON is walked: a few for each core.  Each task reads the long expressions anew, so not many more."""
+    return 4 * t.spark.sparkContext.defaultParallelism
 
 
 @query(

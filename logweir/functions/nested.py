@@ -1,7 +1,7 @@
 """JSON text of any shape, walked without a schema: its string values with their keys, and the text rebuilt.
 
-A text is cut into strings, signs and what stands between them; a fold over these parts keeps the open objects and
-lists, so that each string value knows its key.  Only strings are ever replaced: numbers, spacing, the order of keys
+A text is cut behind each string and each opening bracket; a fold over these parts keeps the open objects and lists,
+so that each string value knows its key.  Only strings are ever replaced: numbers, spacing, the order of keys
 and repeated keys stay as they are, and a text that is no JSON comes back whole.
 """
 
@@ -14,13 +14,14 @@ from pyspark.sql import functions as F
 
 from logweir.functions.text import let
 
-_PART = r'(?s)"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{}\[\]:,]|[^"{}\[\]:,]++|"'
+#: A string or an opening bracket with all signs and other text before it; what comes after the last of them.
+_PART = r'(?s)[^"{\[]*+(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{\["])|[^"{\[]++'
 #: Parts folded at a time, at least.  A fold copies what it has gathered at every step, so parts are gathered in chunks
 #: and chunks in larger ones, each near the cube root of the number of parts.
 CHUNK = 32
 
 _FRAME = "struct<box:int,owner:string,key:string,listed:boolean>"
-_WALKED = "struct<part:string,key:string,owner:string,box:int>"
+_WALKED = "struct<part:string,value:string,key:string,owner:string,box:int>"
 
 Swap = Callable[[Column, Column, Column, Callable[[str], Column]], Column]
 
@@ -43,40 +44,76 @@ def said(value: Column) -> Column:
     return F.substring(listed, F.lit(2), F.length(listed) - 2)
 
 
+def _read(part: Column) -> Column:
+    """A part as the fold needs it: the string it ends in or the bracket it opens, and the signs before them.
+
+    ``closes`` counts the brackets closed there; ``sign`` is the last comma or colon, ``late`` the brackets closed after it.
+    """
+
+    def cut(quote: Column) -> Column:
+        before = F.when(quote > 0, F.substring(part, F.lit(1), quote - 1)).otherwise(part)
+        signs = F.when(before.isin("", ":", ","), before).otherwise(F.regexp_replace(before, r"[^\]},:]++", ""))
+        return let(signs, lambda signs: told(quote, signs))
+
+    def told(quote: Column, signs: Column) -> Column:
+        late = F.when(signs.isin("", ":", ","), F.lit(0)).otherwise(F.length(F.regexp_extract(signs, r"[\]}]*$", 0)))
+        return F.struct(
+            part.alias("part"),
+            # A lone quotation mark is no string.
+            F.when((quote > 0) & (F.length(part) > quote), F.substring(part, quote, F.length(part))).alias("string"),
+            F.when((quote == 0) & part.rlike(r"[{\[]$"), F.right(part, F.lit(1))).otherwise("").alias("opens"),
+            F.length(F.translate(signs, ",:", "")).alias("closes"),
+            F.substring(signs, F.length(signs) - late, F.lit(1)).alias("sign"),
+            late.alias("late"),
+        )
+
+    return let(F.instr(part, F.lit('"')), cut)
+
+
 def _step(state: Column, part: Column) -> Column:
-    """The fold: open frames, whether a string here is a value, and the part with its place."""
-    stack, top = state["stack"], F.try_element_at(state["stack"], F.lit(-1))
-    rest = F.slice(stack, F.lit(1), F.greatest(F.size(stack) - 1, F.lit(0)))
+    """The fold: open frames, whether a string here is a value, and the part with its place.
+
+    Nothing here is named by ``let``, which copies whatever it holds, and so all that was gathered.
+    """
+    open_before, closes = F.size(state["stack"]), part["closes"]
+    stack = F.when(closes == 0, state["stack"]).otherwise(F.slice(state["stack"], F.lit(1), F.greatest(open_before - closes, F.lit(0))))
+    top = F.get(state["stack"], open_before - closes - 1)
     inside = F.coalesce(top["key"], F.lit(""))
     listed = F.coalesce(top["listed"], F.lit(True))
-    string = (F.length(part) > 1) & part.startswith('"')
-    named = string & ~state["value"] & ~listed
+    # What a comma says depends on what is open there.
+    comma = F.coalesce(F.get(state["stack"], open_before - closes + part["late"] - 1)["listed"], F.lit(True))
+    value = F.when(part["sign"] == ":", F.lit(True)).when(part["sign"] == ",", comma).otherwise(state["value"])
+    string = part["string"].isNotNull()
+    shown = string & (value | listed)
 
     def frame(box: Column, owner: Column, key: Column, is_list: Column) -> Column:
         return F.array(F.struct(box.alias("box"), owner.alias("owner"), key.alias("key"), is_list.alias("listed")))
 
+    renamed = frame(top["box"], top["owner"], F.lower(content(part["string"])), F.lit(False))
     opened = (
-        F.when(part == "{", F.concat(stack, frame(state["at"], inside, F.lit(""), F.lit(False))))
+        F.when(part["opens"] == "{", F.concat(stack, frame(state["at"], inside, F.lit(""), F.lit(False))))
         # A list's strings are values of the list's key; a list in a list has none.
-        .when(part == "[", F.concat(stack, frame(state["at"], inside, F.when(listed, F.lit("")).otherwise(inside), F.lit(True))))
-        .when(part.isin("}", "]"), rest)
-        .when(named, F.concat(rest, frame(top["box"], top["owner"], F.lower(content(part)), F.lit(False))))
+        .when(part["opens"] == "[", F.concat(stack, frame(state["at"], inside, F.when(listed, F.lit("")).otherwise(inside), F.lit(True))))
+        .when(string & ~shown, F.concat(F.slice(stack, F.lit(1), F.size(stack) - 1), renamed))
         .otherwise(stack)
     )
-    value = F.when(part == "{", F.lit(False)).when(part.isin("[", ":"), F.lit(True)).when(part == ",", listed).otherwise(state["value"])
     place = F.struct(
-        part.alias("part"),
-        F.when(string & ~named, inside).alias("key"),
+        part["part"].alias("part"),
+        F.when(shown, part["string"]).alias("value"),
+        F.when(shown, inside).alias("key"),
         F.coalesce(top["owner"], F.lit("")).alias("owner"),
         F.coalesce(top["box"], F.lit(-1)).alias("box"),
     )
     return F.struct(
-        (state["at"] + 1).alias("at"), value.alias("value"), opened.alias("stack"), F.concat(state["out"], F.array(place)).alias("out")
+        (state["at"] + 1).alias("at"),
+        F.when(part["opens"] == "", value).otherwise(part["opens"] == "[").alias("value"),
+        opened.alias("stack"),
+        F.concat(state["out"], F.array(place)).alias("out"),
     )
 
 
 def walked(text: Column) -> Column:
-    """All parts of a text in order; ``key`` is null but for string values.
+    """All parts of a text in order; ``key`` and ``value`` are null but for those that end in a string value.
 
     ``key`` is the key a value stands under, itself or its list, in lower case; ``owner`` is the key of the object it
     stands in, and ``box`` tells that object from others.
@@ -114,7 +151,7 @@ def walked(text: Column) -> Column:
     def sized(parts: Column) -> Column:
         return let(F.greatest(F.lit(CHUNK), F.ceil(F.cbrt(F.size(parts))).cast("int")), lambda width: folded(parts, width))
 
-    return F.when(text.isNotNull(), let(F.regexp_extract_all(text, F.lit(_PART), F.lit(0)), sized))
+    return F.when(text.isNotNull(), let(F.transform(F.regexp_extract_all(text, F.lit(_PART), F.lit(0)), _read), sized))
 
 
 def values(text: Column, parts: Column | None = None) -> Column:
@@ -125,7 +162,7 @@ def values(text: Column, parts: Column | None = None) -> Column:
 
     def read(parts: Column) -> Column:
         strings = F.filter(parts, lambda p: p["key"].isNotNull())
-        return F.transform(strings, lambda p: F.struct(p["key"].alias("key"), content(p["part"]).alias("value")))
+        return F.transform(strings, lambda p: F.struct(p["key"].alias("key"), content(p["value"]).alias("value")))
 
     whole = F.array(F.struct(F.lit("").alias("key"), text.alias("value")))
     found = let(walked(text), read) if parts is None else read(parts)
@@ -142,13 +179,14 @@ def rebuilt(text: Column, swap: Swap, parts: Column | None = None) -> Column:
         def one(part: Column) -> Column:
             def sibling(name: str) -> Column:
                 same = F.filter(parts, lambda q: (q["box"] == part["box"]) & (q["key"] == name))
-                return content(F.get(same, F.lit(0))["part"])
+                return content(F.get(same, F.lit(0))["value"])
 
             def swapped(value: Column) -> Column:
                 made = swap(part["key"], part["owner"], value, sibling)
-                return let(made, lambda m: F.when(m.eqNullSafe(value), part["part"]).otherwise(said(m)))
+                before = F.substring(part["part"], F.lit(1), F.length(part["part"]) - F.length(part["value"]))
+                return let(made, lambda m: F.when(m.eqNullSafe(value), part["part"]).otherwise(F.concat(before, said(m))))
 
-            return F.when(part["key"].isNull(), part["part"]).otherwise(let(content(part["part"]), swapped))
+            return F.when(part["key"].isNull(), part["part"]).otherwise(let(content(part["value"]), swapped))
 
         return F.array_join(F.transform(parts, one), "")
 

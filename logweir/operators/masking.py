@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
@@ -61,14 +61,14 @@ def leaves(df: DataFrame, keys: Groups | None = None) -> list[Leaf]:
     found: list[Leaf] = []
     for f in df.schema.fields:
         if f"{_WALK}{f.name}" in df.columns:
-            text, parts = _json_text(F.col(f"`{f.name}`"), f.dataType), F.col(f"`{_WALK}{f.name}`")
-            found += _keyed(f.name, nested.values(text, parts), keys)
+            found += _keyed(f.name, F.col(f"`{_SAID}{f.name}`"), keys)
         elif not f.name.startswith(_WALK):
             found += _leaves(f.name, F.col(f"`{f.name}`"), f.dataType, keys)
     return found
 
 
 _WALK = "_walk_"
+_SAID = "_walk_said_"
 
 
 def _is_json(name: str, dtype: T.DataType) -> bool:
@@ -80,14 +80,16 @@ def _json_text(column: Column, dtype: T.DataType) -> Column:
 
 
 def walked_once(df: DataFrame) -> DataFrame:
-    """``df`` with the parts of each JSON column in a column beside it, which ``leaves`` and the masker read."""
+    """``df`` with the parts of each JSON column, and its string values, in columns beside it for ``leaves`` and the masker."""
 
-    def parts(f: T.StructField) -> Column:
-        text = _json_text(F.col(f"`{f.name}`"), f.dataType)
-        return F.when(nested.shaped(text), nested.walked(text))
+    def text(f: T.StructField) -> Column:
+        return _json_text(F.col(f"`{f.name}`"), f.dataType)
 
-    made = {f"{_WALK}{f.name}": parts(f) for f in df.schema.fields if _is_json(f.name, f.dataType)}
-    return df.withColumns(made) if made else df
+    held = [f for f in df.schema.fields if _is_json(f.name, f.dataType)]
+    if not held:
+        return df
+    walked = df.withColumns({f"{_WALK}{f.name}": F.when(nested.shaped(text(f)), nested.walked(text(f))) for f in held})
+    return walked.withColumns({f"{_SAID}{f.name}": nested.values(text(f), F.col(f"`{_WALK}{f.name}`")) for f in held})
 
 
 def _keyed(name: str, values: Column, keys: Groups | None) -> list[Leaf]:
@@ -368,7 +370,8 @@ def mask_table(
     told = None if keep is None else walked
     record = _Masker(tokens, known, keep, pairs, mask_devices, told)
     columns = {f.name: F.col(f"`{f.name}`") for f in df.schema.fields}
-    masked = record.fields(columns, {f.name: f.dataType for f in df.schema.fields})
+    kinds = {f.name: f.dataType for f in df.schema.fields}
+    masked = record.fields(columns, kinds, {n for n in columns if f"{_WALK}{n}" in walked.columns})
     for f in df.schema.fields:
         name = f.name.lower()
         if isinstance(f.dataType, T.StringType) and _plainly_typed(name, known):
@@ -413,11 +416,13 @@ class _Masker:
             return F.when(is_kept(kind, column, self.keep) | column.contains(","), k.mask(kind, column, self.keep)).otherwise(plain)
         return F.when(told, k.mask(kind, column, kept_values(self.table))).otherwise(plain)
 
-    def fields(self, columns: Mapping[str, Column], kinds: Mapping[str, T.DataType]) -> dict[str, Column]:
-        """The fields of one struct; those that a sibling types come first."""
+    def fields(self, columns: Mapping[str, Column], kinds: Mapping[str, T.DataType], walked: Collection[str] = ()) -> dict[str, Column]:
+        """The fields of one struct; those that a sibling types come first, those in ``walked`` are left out."""
         paired = self._paired(columns)
         return {
-            name: paired[name] if name in paired else self.value(name, columns[name], kinds[name]) for name in columns
+            name: paired[name] if name in paired else self.value(name, columns[name], kinds[name])
+            for name in columns
+            if name not in walked
         }
 
     def _paired(self, columns: Mapping[str, Column]) -> dict[str, Column]:

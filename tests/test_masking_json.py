@@ -9,6 +9,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 from test_masking import IP1, KEY, burned, token
 
+from logweir.catalog import masks
+from logweir.catalog.registry import Tables
 from logweir.functions import nested
 from logweir.functions.tokens import Tokenizer
 from logweir.operators import masking
@@ -151,3 +153,22 @@ def test_plans_hold_no_python(spark, k):
     rows = spark.createDataFrame([('{"user": "anna"}',)], "grpby string")
     plan = masking.mask_table(rows, k)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Exchange" not in plan
+
+
+def test_a_walk_takes_few_steps_and_keeps_the_keys(spark):
+    # One part for each string or opening bracket, and one for the rest; signs of broken texts count in their order.
+    cases = [
+        ('{"a": [1, "x"], "b": "y"} ', 7, [("a", "x"), ("b", "y")]),
+        ('{"a": {"b": ["x", {"C": "y"}], }, "z": ["w"]}', 13, [("b", "x"), ("c", "y"), ("z", "w")]),
+        ('{"a": [[1], "x" "y"]] "z", "k": 1}}, "v"', 9, [("a", "x"), ("a", "y"), ("", "z"), ("", "k"), ("", "v")]),
+    ]
+    rows = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "i int, t string")
+    got = rows.select(nested.walked(F.col("t")).alias("w"), nested.values(F.col("t")).alias("v")).orderBy("i").collect()
+    for (text, parts, said), row in zip(cases, got, strict=True):
+        assert "".join(p["part"] for p in row["w"]) == text
+        assert len(row["w"]) == parts and [tuple(v) for v in row["v"]] == said
+
+
+def test_json_of_the_catalogue_is_dealt_out(spark, small):
+    plan = masks._nested_alerts(Tables(spark, small))._jdf.queryExecution().toString()
+    assert "RoundRobinPartitioning" in plan
