@@ -279,7 +279,7 @@ _ESTATE_VIEWS = (*_PAIR_VIEWS, "traffic", "enrichment", "endpoint")
     *_ESTATE_VIEWS,
 )
 def _(t):
-    found = bundles.investigate(_critical(t), _estate(t))
+    found = bundles.investigate(_critical(t), _estate(t), keep=t.kept)
     return _items(found, headline="alertid headline", triage__related="alertid incid", assets__endpoints="epid epname", **_FOUND_COLUMNS)
 
 

@@ -346,10 +346,14 @@ class Estate:
     logs: Mapping[str, DataFrame]
 
 
-def linked_indicators(indicators: DataFrame, alerts: DataFrame, incidents: DataFrame) -> DataFrame:
-    """The indicators that name one of these alerts or incidents; PlanError if none can."""
+def linked_indicators(indicators: DataFrame, alerts: DataFrame, incidents: DataFrame, keep: Keep = _planned_again) -> DataFrame:
+    """The indicators that name one of these alerts or incidents; PlanError if none can.
+
+    With ``keep`` the ids of the owners are held first, so that a task which meets them with the indicators
+    does not sort the rows they come from as well.
+    """
     parts = [
-        indicators.join(owners.select(F.col(key).cast("string").alias(key)).distinct(), key, "left_semi")
+        indicators.join(keep(owners.select(F.col(key).cast("string").alias(key)).distinct()), key, "left_semi")
         for key, owners in (("alertid", alerts), ("incid", incidents))
         if key in indicators.columns
     ]
@@ -400,7 +404,7 @@ def investigate(
     trigger, attacks = logs.get(trigger_logs), logs.get("attack")
     if kind == "alert":
         triage = triage_alerts(subjects, e.alerts, e.incidents, e.attachments, trigger, window)
-        alerts, cases = triage["subject"], triage["related"].select("incid").distinct()
+        alerts, cases = triage["subject"], keep(triage["related"].select("incid").distinct())
         subject, key = alerts, "alertid"
     elif kind == "incident":
         triage = triage_incidents(subjects, e.incidents, e.alerts, e.attachments, window, keep)
@@ -415,7 +419,7 @@ def investigate(
         summary = incident_summary(cases, e.incidents, e.alerts, e.attachments, trigger, attacks, keep=keep)
     out.include(summary, "summary")
     try:
-        linked = linked_indicators(e.indicators, alerts, cases)
+        linked = linked_indicators(e.indicators, alerts, cases, keep)
     except PlanError as problem:
         out.gap("threat_intel", str(problem))
     else:

@@ -143,6 +143,37 @@ def test_a_checksum_gives_an_eighth_of_its_letters_as_rows(spark):
     assert found.count() == 2
 
 
+def test_an_investigation_meets_indicators_with_the_ids_it_holds(spark, tmp_path):
+    alerts = spark.createDataFrame(
+        [("a1", "critical", 1, "10.0.0.1"), ("a2", "low", 2, "10.0.0.2"), ("a3", "critical", 3, None), ("a1", "critical", 1, "10.0.0.1"), (None, "critical", 4, "10.0.0.4")],
+        "alertid string, severity string, epid long, epip string",
+    )
+    incidents = spark.createDataFrame([("I1", "high"), ("I2", "low"), (None, "low")], "incid string, severity string")
+    attachments = spark.createDataFrame([("I1", "alertevent", "a1"), ("I2", "alertevent", "a2"), (None, "alertevent", "a3")], "incid string, attachtype string, attachsrcid string")
+    indicators = alerts.select("alertid", F.col("epip").alias("value"), F.lit("IP").alias("type"), F.col("epid").alias("ordinal"))
+    stored = spark.createDataFrame([("10.0.0.1", "10.0.0.1", "IP", "bad", "9", "done", 1, None)], "lookup string, value string, type string, reputation string, confidence string, status string, ordinal long, detail string")
+    traffic = spark.createDataFrame([("a1", 1), ("a2", 2), ("a2", 3), (None, 4)], "alertid string, sessionid long")
+    endpoints = alerts.select("epid", F.lit("host").alias("epname"), "epip")
+    estate = bundles.Estate(alerts, incidents, attachments, endpoints, endpoints.select(F.col("epid").alias("euid")), endpoints, indicators, stored, {"traffic": traffic})
+    held = []
+
+    def keep(df):
+        folder = str(tmp_path / str(len(held)))
+        held.append(df.columns)
+        df.write.parquet(folder)
+        return spark.read.schema(df.schema).parquet(folder)
+
+    subjects = alerts.where("severity = 'critical'")
+    found, again = bundles.investigate(subjects, estate, keep=keep), bundles.investigate(subjects, estate)
+    assert ["alertid"] in held and ["incid"] in held
+    # What the held ids came from is not planned again beside the indicators or the incidents.
+    for name in ("threat_intel.indicators", "summary.evidence_logs", "summary.incident"):
+        assert "critical" not in found[name]._jdf.queryExecution().optimizedPlan().toString()
+        assert values(found[name]) == values(again[name])
+    assert values(found["threat_intel.indicators"], "value", "reputation") == [("10.0.0.1", "bad")]
+    assert values(found["summary.evidence_logs"], "sessionid") == [(1,)]
+
+
 def test_ten_indicators_read_few_rows_of_a_written_table(spark, tmp_path):
     rows = spark.range(400_000).select(
         F.concat(F.lit("10."), (F.col("id") % 200).cast("string"), F.lit(".0."), (F.hash("id") % 100 + 100).cast("string")).alias("srcip"),
