@@ -174,6 +174,32 @@ def test_an_investigation_meets_indicators_with_the_ids_it_holds(spark, tmp_path
     assert values(found["summary.evidence_logs"], "sessionid") == [(1,)]
 
 
+def test_logs_are_read_once_to_be_written_by_value(spark, tmp_path, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def told(i):
+        read.add(1)
+        return f"row {i}"
+
+    monkeypatch.setattr(logs, "SLICE", 500)
+    hot = F.when(F.col("id") % 3 == 0, F.lit("Hot")).otherwise(F.concat(F.lit("a"), F.lpad((F.col("id") * 7 % 1000).cast("string"), 4, "0")))
+    day = F.when(F.col("id") < 3000, F.timestamp_seconds(F.col("id"))).when(F.col("id") < 3100, F.lit("1970-01-03").cast("timestamp"))
+    rows = spark.range(4000).select(hot.alias("srcip"), day.alias("itime"), F.lit("traffic").alias("logtype"), told("id").alias("msg"))
+    logs.write_logs(rows, str(tmp_path / "traffic"), cluster="srcip", pivots=["srcip"])
+    assert read.value == 4000
+    table = logs.read_logs(spark, str(tmp_path / "traffic"), "traffic")
+    assert values(table, "srcip", "itime", "msg") == values(rows, "srcip", "itime", "msg")
+    # Each row is in one range of its day: six for the first day, one for the second, two for rows without a time.
+    dated = rows.drop("msg").withColumns({"log_date": F.col("itime").cast("date"), "_key_srcip": F.lower("srcip")})
+    ranged = logs._sliced(dated, "_key_srcip", "itime").groupBy("log_date", "_slice").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("_key_srcip", "itime")).alias("low"), F.max(F.struct("_key_srcip", "itime")).alias("high"))
+    found = ranged.orderBy("log_date", "_slice").collect()
+    assert sum(r["n"] for r in found) == 4000 and len({r["log_date"] for r in found}) == 3
+    first = [r for r in found if str(r["log_date"]) == "1970-01-01"]
+    assert len(first) == min(6, int(spark.conf.get("spark.sql.shuffle.partitions"))) and max(r["n"] for r in first) < 2000
+    assert all(tuple(a["high"]) < tuple(b["low"]) for a, b in zip(first, first[1:]))
+
+
 def test_ten_indicators_read_few_rows_of_a_written_table(spark, tmp_path):
     rows = spark.range(400_000).select(
         F.concat(F.lit("10."), (F.col("id") % 200).cast("string"), F.lit(".0."), (F.hash("id") % 100 + 100).cast("string")).alias("srcip"),
