@@ -3,6 +3,9 @@
 A text is cut behind each string and each opening bracket; a fold over these parts keeps the open objects and lists,
 so that each string value knows its key.  Only strings are ever replaced: numbers, spacing, the order of keys
 and repeated keys stay as they are, and a text that is no JSON comes back whole.
+
+Most sound JSON needs no fold: its strings stand right behind their keys, alone or in a list of plain values, so that
+patterns over the whole text find each with its key (``plain_parts``).
 """
 
 from __future__ import annotations
@@ -16,6 +19,15 @@ from logweir.functions.text import let
 
 #: A string or an opening bracket with all signs and other text before it; what comes after the last of them.
 _PART = r'(?s)[^"{\[]*+(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|[{\["])|[^"{\[]++'
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+#: A list of plain values with a string among them.
+_LIST = rf'\[[^"\[\]{{}}]*+{_STRING}[^"\[\]{{}}]*+(?:{_STRING}[^"\[\]{{}}]*+)*+\]'
+#: In sound JSON: all before a string or such a list, the key of it, and itself; what comes after the last of them.
+_KEYED = rf'(?s)(?=.)(?:[^"\[]++|(?!{_LIST})\[|{_STRING}\s*+:\s*+(?!"|{_LIST}))*+(?:(?:({_STRING})\s*+:\s*+)?+({_STRING}|{_LIST}))?+'
+_ITEM = rf'(?s)[^"]*+{_STRING}|[^"]++'
+#: Keys whose values are judged by what stands beside them.
+BESIDE = ("value", "incident_reporter", "threat", "obf_url")
+_BESIDE = rf'(?i)"(?:{"|".join(BESIDE)})"\s*:|\\u[^"]*"\s*:'
 #: Parts folded at a time, at least.  A fold copies what it has gathered at every step, so parts are gathered in chunks
 #: and chunks in larger ones, each near the cube root of the number of parts.
 CHUNK = 32
@@ -41,7 +53,8 @@ def content(part: Column) -> Column:
 def said(value: Column) -> Column:
     """A text as a JSON string."""
     listed = F.to_json(F.array(value))
-    return F.substring(listed, F.lit(2), F.length(listed) - 2)
+    escaped = F.substring(listed, F.lit(2), F.length(listed) - 2)
+    return F.when(value.rlike(r'[\x00-\x1f"\\]'), escaped).otherwise(F.concat(F.lit('"'), value, F.lit('"')))
 
 
 def _read(part: Column) -> Column:
@@ -154,6 +167,55 @@ def walked(text: Column) -> Column:
     return F.when(text.isNotNull(), let(F.transform(F.regexp_extract_all(text, F.lit(_PART), F.lit(0)), _read), sized))
 
 
+def sound(text: Column) -> Column:
+    """Whether a text is one JSON object or list and nothing else.
+
+    A parser stops behind the first value, so the text is put into a list and into an object: what comes after the value
+    may suit one of them, not both.
+    """
+    inside = (F.concat(F.lit("["), text, F.lit("]")), F.concat(F.lit('{"":'), text, F.lit("}")))
+    return shaped(text) & F.try_parse_json(inside[0]).isNotNull() & F.try_parse_json(inside[1]).isNotNull()
+
+
+def plain_parts(text: Column) -> Column:
+    """The parts of sound JSON as ``walked`` gives them, without a fold; objects are not told from each other.
+
+    Null where a string stands in a list beside objects or lists, or where a value is judged by its siblings.
+    """
+
+    def place(part: Column, value: Column, key: Column) -> Column:
+        owner, box = F.lit(""), F.lit(-1)
+        return F.struct(part.alias("part"), value.alias("value"), key.alias("key"), owner.alias("owner"), box.alias("box"))
+
+    def read(cut: Column) -> Column:
+        def one(part: Column, at: Column) -> Column:
+            none, name, last = F.lit(None).cast("string"), F.get(cut["names"], at), F.get(cut["lasts"], at)
+
+            def items(key: Column) -> Column:
+                split = F.regexp_extract_all(last, F.lit(_ITEM), F.lit(0))
+                head = F.array(place(F.substring(part, F.lit(1), F.length(part) - F.length(last)), none, none))
+                return F.concat(head, F.transform(split, lambda item: item_of(item, F.instr(item, F.lit('"')), key)))
+
+            def item_of(item: Column, quote: Column, key: Column) -> Column:
+                value = F.when(quote > 0, F.substring(item, quote, F.length(item)))
+                return place(item, value, F.when(quote > 0, key))
+
+            listed = last.startswith("[")
+            named = F.when(listed, let(F.lower(content(name)), items)).otherwise(F.array(place(part, last, F.lower(content(name)))))
+            # One null makes all of them null.
+            return F.when(last == "", F.array(place(part, none, none))).when(listed | (name != ""), named)
+
+        return F.flatten(F.transform(cut["parts"], one))
+
+    cut = (F.regexp_extract_all(text, F.lit(_KEYED), F.lit(group)).alias(name) for group, name in enumerate(("parts", "names", "lasts")))
+    return F.when(~text.rlike(_BESIDE), let(F.struct(*cut), read))
+
+
+def parts_of(text: Column, is_sound: Column) -> Column:
+    """The parts of any text; ``is_sound`` tells whether it is ``sound``."""
+    return F.coalesce(F.when(is_sound, plain_parts(text)), walked(text))
+
+
 def values(text: Column, parts: Column | None = None) -> Column:
     """``array<struct<key, value>>`` of a text's string values; a text of another shape is one value without a key.
 
@@ -165,10 +227,23 @@ def values(text: Column, parts: Column | None = None) -> Column:
         return F.transform(strings, lambda p: F.struct(p["key"].alias("key"), content(p["value"]).alias("value")))
 
     whole = F.array(F.struct(F.lit("").alias("key"), text.alias("value")))
-    found = let(walked(text), read) if parts is None else read(parts)
+    found = let(parts_of(text, sound(text)), read) if parts is None else read(parts)
     return F.when(text.isNotNull(), F.when(shaped(text), found).otherwise(whole))
 
 
+def strings(text: Column, is_sound: Column) -> Column:
+    """``values`` whose keys are not asked for: all are empty."""
+
+    def keyless(value: Column) -> Column:
+        return F.struct(F.lit("").alias("key"), value.alias("value"))
+
+    # Of sound JSON, all strings but those before a colon.
+    every = F.regexp_extract_all(text, F.lit(rf"(?s){_STRING}\s*+:|({_STRING})"), F.lit(1))
+    plain = F.transform(F.filter(every, lambda s: s != ""), lambda s: keyless(content(s)))
+    other = F.transform(values(text, F.when(shaped(text), walked(text))), lambda v: keyless(v["value"]))
+    return F.when(is_sound, plain).otherwise(other)
+
+
 def rebuilt(text: Column, swap: Swap, parts: Column | None = None) -> Column:
     """``text`` with every string value replaced by ``swap(key, owner, value, sibling)``.
 
@@ -190,4 +265,4 @@ def rebuilt(text: Column, swap: Swap, parts: Column | None = None) -> Column:
 
         return F.array_join(F.transform(parts, one), "")
 
-    return let(walked(text), joined) if parts is None else joined(parts)
+    return let(parts_of(text, sound(text)), joined) if parts is None else joined(parts)

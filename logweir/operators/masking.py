@@ -58,17 +58,24 @@ def leaves(df: DataFrame, keys: Groups | None = None) -> list[Leaf]:
     A map gives all its values, or with ``keys`` (type -> names) those under the keys
     of each type.
     """
-    found: list[Leaf] = []
-    for f in df.schema.fields:
-        if f"{_WALK}{f.name}" in df.columns:
-            found += _keyed(f.name, F.col(f"`{_SAID}{f.name}`"), keys)
-        elif not f.name.startswith(_WALK):
-            found += _leaves(f.name, F.col(f"`{f.name}`"), f.dataType, keys)
-    return found
+    return [leaf for f in df.schema.fields for leaf in _field_leaves(df, f, keys)]
+
+
+def _field_leaves(df: DataFrame, field: T.StructField, keys: Groups | None) -> list[Leaf]:
+    if f"{_WALK}{field.name}" in df.columns:
+        return _keyed(field.name, F.col(f"`{_SAID}{field.name}`"), keys)
+    return [] if field.name.startswith(_WALK) else _leaves(field.name, F.col(f"`{field.name}`"), field.dataType, keys)
+
+
+def _is_by_key(df: DataFrame, field: T.StructField, leaf: Leaf) -> bool:
+    """Whether ``_typed_by_key`` gives the values of this leaf already."""
+    return f"{_WALK}{field.name}" in df.columns and leaf.kind not in (None, "text")
 
 
 _WALK = "_walk_"
 _SAID = "_walk_said_"
+_SOUND = "_walk_:sound:"
+_TEXT = "_walk_:text:"
 
 
 def _is_json(name: str, dtype: T.DataType) -> bool:
@@ -79,17 +86,41 @@ def _json_text(column: Column, dtype: T.DataType) -> Column:
     return F.to_json(column) if isinstance(dtype, T.VariantType) else column
 
 
-def walked_once(df: DataFrame) -> DataFrame:
-    """``df`` with the parts of each JSON column, and its string values, in columns beside it for ``leaves`` and the masker."""
-
-    def text(f: T.StructField) -> Column:
-        return _json_text(F.col(f"`{f.name}`"), f.dataType)
+def walked_once(df: DataFrame, keyed: bool = True) -> DataFrame:
+    """``df`` with the parts of each JSON column, and its string values, in columns beside it for ``leaves`` and the masker.
 
+    Without ``keyed`` only string values are told, and none has a key.
+    """
     held = [f for f in df.schema.fields if _is_json(f.name, f.dataType)]
     if not held:
         return df
-    walked = df.withColumns({f"{_WALK}{f.name}": F.when(nested.shaped(text(f)), nested.walked(text(f))) for f in held})
-    return walked.withColumns({f"{_SAID}{f.name}": nested.values(text(f), F.col(f"`{_WALK}{f.name}`")) for f in held})
+    df = df.withColumns({f"{_TEXT}{f.name}": F.to_json(F.col(f"`{f.name}`")) for f in held if isinstance(f.dataType, T.VariantType)})
+    df = df.withColumns({f"{_SOUND}{f.name}": nested.sound(_held_text(f)) for f in held})
+    sound = {f.name: F.col(f"`{_SOUND}{f.name}`") for f in held}
+    if not keyed:
+        df = df.withColumns({f"{_WALK}{f.name}": sound[f.name] for f in held})
+        return df.withColumns({f"{_SAID}{f.name}": nested.strings(_held_text(f), sound[f.name]) for f in held})
+    walked = df.withColumns({f"{_WALK}{f.name}": F.when(nested.shaped(_held_text(f)), nested.parts_of(_held_text(f), sound[f.name])) for f in held})
+    return walked.withColumns({f"{_SAID}{f.name}": nested.values(_held_text(f), F.col(f"`{_WALK}{f.name}`")) for f in held})
+
+
+def _held_text(field: T.StructField) -> Column:
+    """The text of a JSON column of a table that ``walked_once`` gave."""
+    return F.col(f"`{_TEXT}{field.name}`") if isinstance(field.dataType, T.VariantType) else F.col(f"`{field.name}`")
+
+
+def _kind_of_key(key: Column, types: Mapping[str, str]) -> Column:
+    """The type of a field of this name; null where it has none or holds prose."""
+    kind = F.lit(None).cast("string")
+    for name, names in keys_by_type({n: t for n, t in types.items() if t != "text" and n not in URL_COLUMNS}).items():
+        kind = F.when(key.isin(names), F.lit(name)).otherwise(kind)
+    return kind
+
+
+def _typed_by_key(df: DataFrame, name: str, types: Mapping[str, str]) -> Column:
+    """``array<struct<kind, value>>`` of the string values of a walked column under keys of a type: its typed leaves in one."""
+    said = F.transform(F.col(f"`{_SAID}{name}`"), lambda v: F.struct(_kind_of_key(v["key"], types).alias("kind"), v["value"].alias("value")))
+    return F.coalesce(F.filter(said, lambda v: v["kind"].isNotNull()), F.array().cast("array<struct<kind:string,value:string>>"))
 
 
 def _keyed(name: str, values: Column, keys: Groups | None) -> list[Leaf]:
@@ -365,7 +396,7 @@ def mask_table(
     prose = any(x.type_of(known) == "text" for x in found)
     pairs = None
     if substitute and sources and prose:
-        staged = staged.withColumn("_pairs", _record_pairs(tokens, sources, known, keep))
+        staged = staged.withColumn("_pairs", _record_raws(walked, known, keep))
         pairs = F.col("_pairs")
     told = None if keep is None else walked
     record = _Masker(tokens, known, keep, pairs, mask_devices, told)
@@ -377,7 +408,7 @@ def mask_table(
         if isinstance(f.dataType, T.StringType) and _plainly_typed(name, known):
             masked[f.name] = record.typed(known[name], columns[f.name])
         if f"{_WALK}{f.name}" in walked.columns:
-            text = record.json(_json_text(columns[f.name], f.dataType), F.col(f"`{_WALK}{f.name}`"))
+            text = record.json(_held_text(f), F.col(f"`{_WALK}{f.name}`"), F.col(f"`{_SOUND}{f.name}`"))
             masked[f.name] = F.parse_json(text) if isinstance(f.dataType, T.VariantType) else text
     for i, name in enumerate(few if values is not None else ()):
         kind, raw = known[name.lower()], columns[name]
@@ -486,37 +517,44 @@ class _Masker:
             return self._prose(column)
         return column if kind is None else k.mask(kind, column, self.keep)
 
-    def json(self, text: Column, parts: Column | None = None) -> Column:
+    def json(self, text: Column, parts: Column | None = None, sound: Column | None = None) -> Column:
         """JSON text masked by its keys at any depth; other text is scrubbed.
 
         What begins as JSON and is none (cut off, say) is masked by its keys and scrubbed as well.  JSON inside a
         string of a JSON column's name is burned.
         """
-        whole = nested.rebuilt(text, self._swap, parts)
-        safe = let(whole, lambda w: F.when(F.try_parse_json(text).isNotNull(), w).otherwise(self._prose(w)))
-        return F.when(nested.shaped(text), safe).otherwise(self._prose(text))
+        whole = F.when(nested.shaped(text), nested.rebuilt(text, self._swap, parts)).otherwise(text)
+        parsed = nested.shaped(text) & F.try_parse_json(text).isNotNull()
+        parsed = parsed if sound is None else F.coalesce(sound, F.lit(False)) | parsed
+        return let(whole, lambda w: F.when(parsed, w).otherwise(self._prose(w)))
 
     def _swap(self, key: Column, owner: Column, value: Column, sibling: Callable[[str], Column]) -> Column:
         """A JSON string masked as its key, or what stands beside it, says."""
-        k, keep, said_by = self.tokens, self.keep, self._kind_of_key
+        k, keep = self.tokens, self.keep
         field = F.lower(F.substring_index(value, ":", 1))
         head = F.substring(value, F.lit(1), F.length(field) + 1)
-        led = key.isin(list(PREFIXED_COLUMNS)) & value.contains(":") & (F.length(value) > F.length(field) + 1) & said_by(field).isNotNull()
+        led_by = F.when(key.isin(list(PREFIXED_COLUMNS)) & value.contains(":") & (F.length(value) > F.length(field) + 1), _kind_of_key(field, self.types))
         user = any_of(F.coalesce(value == sibling(n), F.lit(False)) for n in ("reporter", "lastuser"))
-        beside = F.lower(F.trim(sibling("type")))
-        kind = (
-            F.when((key == "value") & (owner == "target"), F.coalesce(_chosen(F.lower(sibling("name")), fv.TARGET_TYPES), F.lit("burned")))
-            .when((key == "value") & beside.isin("ip", "domain"), beside)
-            .when((key == "value") & (beside == "url"), F.lit("url_full"))
-            .when((key == "incident_reporter") & user, F.lit("username"))
-            .when((key == "threat") & _browsable(sibling("obf_url")), F.lit("domain"))
-            .when((key == "obf_url") & sibling("threat").isNotNull() & _browsable(value), F.lit("escaped"))
-            .when(key.isin(list(JSON_COLUMNS)) & nested.shaped(value), F.lit("burned"))
-            .when(led, said_by(field))
-            .otherwise(_chosen(key, URL_COLUMNS, said_by(key)))
-        )
 
-        def shown(kind: Column) -> Column:
+        def beside_it(beside: Column, led: Column) -> Column:
+            return (
+                F.when((key == "value") & (owner == "target"), F.coalesce(_chosen(F.lower(sibling("name")), fv.TARGET_TYPES), F.lit("burned")))
+                .when((key == "value") & beside.isin("ip", "domain"), beside)
+                .when((key == "value") & (beside == "url"), F.lit("url_full"))
+                .when((key == "incident_reporter") & user, F.lit("username"))
+                .when((key == "threat") & _browsable(sibling("obf_url")), F.lit("domain"))
+                .when((key == "obf_url") & sibling("threat").isNotNull() & _browsable(value), F.lit("escaped"))
+                .when(key.isin(list(JSON_COLUMNS)) & nested.shaped(value), F.lit("burned"))
+                .otherwise(led)
+            )
+
+        def by_kind(led: Column) -> Column:
+            # Few keys need a look around; the types of others are known by their names.
+            around = let(F.lower(F.trim(sibling("type"))), lambda beside: beside_it(beside, led))
+            told = F.when(key.isin([*nested.BESIDE, *JSON_COLUMNS, *PREFIXED_COLUMNS]), around)
+            return let(F.coalesce(told, _chosen(key, URL_COLUMNS, _kind_of_key(key, self.types))), lambda kind: shown(kind, led.isNotNull()))
+
+        def shown(kind: Column, led: Column) -> Column:
             core = F.when(led, F.substring(value, F.length(head) + 1, F.length(value))).otherwise(value)
             core = F.when(kind == "escaped", F.replace(value, F.lit("[dot]"), F.lit("."))).otherwise(core)
             typed = k.mask_as(F.when(kind == "escaped", F.lit("domain")).otherwise(kind), core, keep)
@@ -528,21 +566,14 @@ class _Masker:
             typed = F.when(kind == "url_full", k.url_full(value, keep)).when(kind == "url_host", k.url_host(value, keep)).otherwise(typed)
             return F.when(kind.isNull(), self._prose(value)).otherwise(typed)
 
-        masked = let(kind, shown)
+        masked = let(led_by, by_kind)
         return F.when(key == "devvds", device_domains(k, value)).otherwise(masked) if self.mask_devices else masked
 
-    def _kind_of_key(self, key: Column) -> Column:
-        """The type of a field of this name; null where it has none or holds prose."""
-        kind = F.lit(None).cast("string")
-        for name, names in keys_by_type({n: t for n, t in self.types.items() if t != "text" and n not in URL_COLUMNS}).items():
-            kind = F.when(key.isin(names), F.lit(name)).otherwise(kind)
-        return kind
-
     def _prose(self, column: Column) -> Column:
         scrubbed = self.tokens.scrub(column)
         if self.pairs is None:
             return scrubbed
-        return let(scrubbed, lambda t: substitute_known(self.tokens, t, self.pairs, self.keep))
+        return let(scrubbed, lambda t: substitute_known(self.tokens, t, self.pairs))
 
     def _condition(self, entry: Column) -> Column:
         """An echoed ``[field, op, value]``: the value by its field's type, else as text."""
@@ -556,53 +587,70 @@ class _Masker:
         return F.when(F.size(entry) == 3, whole).otherwise(F.transform(entry, self._prose))
 
 
-def _record_pairs(tokens: Tokenizer, sources: Sequence[Leaf], types: Mapping[str, str], keep: Column | None) -> Column:
-    """``array<struct<raw, token>>`` of the values a record masks in its fields."""
-    pairs = []
-    for leaf in sources:
-        parts = F.flatten(F.transform(leaf.texts(), lambda v: F.split(v, ",")))
-        pairs.append(F.transform(parts, _pair_of(tokens, leaf.type_of(types), keep)))
-    return F.array_distinct(F.filter(F.concat(*pairs), lambda p: p["raw"] != p["token"]))
+def _record_raws(df: DataFrame, types: Mapping[str, str], keep: Column | None) -> Column:
+    """``array<struct<at, kind, raw, low>>`` of the values a record masks in its fields, ``low`` in lower case.
 
+    ``at`` numbers the fields.  Tokens are made for those that a text mentions only.
+    """
+    keys = keys_by_type(types)
+    found: list[Column] = []
+    for f in df.schema.fields:
+        if f"{_WALK}{f.name}" in df.columns:
+            found.append(_typed_by_key(df, f.name, types))
+        own = [x for x in _field_leaves(df, f, keys) if (x.type_of(types) or "text") != "text"]
+        found += [_of_kind(x.texts(), x.type_of(types)) for x in own if not _is_by_key(df, f, x)]
+    return F.filter(F.concat(*(F.flatten(F.transform(values, _raws_at(at))) for at, values in enumerate(found))), _is_masked(keep))
 
-def _pair_of(tokens: Tokenizer, kind: str, keep: Column | None) -> Callable[[Column], Column]:
-    return lambda v: F.struct(
-        F.trim(v).alias("raw"), tokens.element(kind, F.trim(v), keep).alias("token")
-    )
 
+def _of_kind(texts: Column, kind: str) -> Column:
+    return F.transform(texts, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+
+def _raws_at(at: int) -> Callable[[Column], Column]:
+    def raw(of: Column) -> Callable[[Column], Column]:
+        return lambda v: F.struct(F.lit(at).alias("at"), of["kind"].alias("kind"), F.trim(v).alias("raw"), F.lower(F.trim(v)).alias("low"))
+
+    return lambda of: F.transform(F.split(of["value"], ","), raw(of))
+
+
+def _is_masked(keep: Column | None) -> Callable[[Column], Column]:
+    def masked(p: Column) -> Column:
+        stays = p["raw"].isin(fv.UNMASKED_VALUES)
+        if keep is not None:
+            stays = stays | F.when(p["kind"] == "username", is_kept("username", p["raw"], keep)).otherwise(is_kept("", p["raw"], keep))
+        return ~stays
+
+    return masked
 
-def substitute_known(tokens: Tokenizer, text: Column, pairs: Column, keep: Column | None = None) -> Column:
-    """``text`` with a record's own masked values replaced wherever it mentions them.
+
+def substitute_known(tokens: Tokenizer, text: Column, known: Column) -> Column:
+    """``text`` with a record's own masked values (see ``_record_raws``) replaced wherever it mentions them.
 
     Longest first, whole identifiers, any ASCII case.  A spelling that several
     values share only up to case is burned, unless one of them is spelled so.
     """
-    usable = F.filter(pairs, lambda p: p["raw"] != "")
-    if keep is not None:
-        usable = F.filter(usable, lambda p: ~F.array_contains(keep["exact"], p["raw"]))
 
-    def pattern(known: Column) -> Column:
+    def mentioned(low: Column) -> Column:
+        # A plain search before the pattern is built.  Outside ASCII lower case may depend on what follows.
+        return F.exists(known, lambda p: low.contains(p["low"])) | (F.length(text) != F.octet_length(text))
+
+    def pattern() -> Column:
         sized = F.transform(known, lambda p: F.struct(F.length(p["raw"]).alias("n"), p["raw"].alias("raw")))
         longest = F.reverse(F.array_sort(F.array_distinct(sized)))
         either = F.array_join(F.transform(longest, lambda r: quoted(r["raw"])), "|")
         return F.concat(F.lit(r"(?<![A-Za-z0-9._-])(?i:"), either, F.lit(r")(?![A-Za-z0-9._-])"))
 
-    def token_of(found: Column, known: Column) -> Column:
-        exact = F.filter(known, lambda p: p["raw"] == found)
-        same = F.filter(known, lambda p: F.lower(p["raw"]) == F.lower(found))
-        folded = F.array_distinct(F.transform(same, lambda p: p["token"]))
-        token = F.coalesce(
-            F.get(exact, F.lit(0))["token"], F.when(F.size(folded) == 1, F.get(folded, F.lit(0)))
-        )
+    def token_of(found: Column) -> Column:
+        # The first field's type holds where several have a value spelled so.
+        exact = F.array_min(F.filter(known, lambda p: p["raw"] == found))
+        same = F.filter(known, lambda p: p["low"] == F.lower(found))
+        meant = let(exact, lambda first: F.when(first.isNotNull(), F.array(first)).otherwise(same))
+        made = F.array_distinct(F.transform(meant, lambda p: tokens.mask_as(p["kind"], p["raw"])))
+        token = let(made, lambda t: F.when(F.size(t) == 1, F.get(t, F.lit(0))))
         return F.when(found.isNotNull(), F.coalesce(token, tokens.placeholder(found)))
 
-    def rewritten(known: Column) -> Column:
-        by_pattern = let(
-            pattern(known), lambda p: replace_each(text, p, lambda found: token_of(found, known))
-        )
-        return F.when(F.size(known) > 0, by_pattern).otherwise(text)
-
-    return let(usable, rewritten)
+    by_pattern = let(pattern(), lambda p: replace_each(text, p, token_of))
+    return F.when((F.size(known) > 0) & let(F.lower(text), mentioned), by_pattern).otherwise(text)
 
 
 def dictionary(
@@ -621,7 +669,9 @@ def dictionary(
         staged, keep = df.withColumn("_keep", keep), F.col("_keep")
     values: list[Column] = []
     found: list[Column] = []
-    for leaf in leaves(df, keys_by_type(types)):
+    keys = keys_by_type(types)
+    found += [F.transform(_typed_by_key(df, f.name, types), _value_by_key(keep)) for f in df.schema.fields if f"{_WALK}{f.name}" in df.columns]
+    for leaf in (x for f in df.schema.fields for x in _field_leaves(df, f, keys) if not _is_by_key(df, f, x)):
         kind = leaf.type_of(types)
         full = URL_COLUMNS.get(leaf.name.lower()) == "url_full"
         if leaf.name.lower() in URL_COLUMNS and not leaf.listed:
@@ -677,6 +727,19 @@ def _value_of(kind: str, keep: Column | None) -> Callable[[Column], Column]:
     return lambda v: _value(kind, v, keep)
 
 
+def _value_by_key(keep: Column | None) -> Callable[[Column], Column]:
+    """``_value`` for a type that is known value by value only."""
+
+    def one(v: Column) -> Column:
+        if keep is None:
+            return F.struct(v["kind"].alias("kind"), v["value"].alias("value"), F.lit(None).cast(_KEEP).alias("keep"))
+        stays = F.when(v["kind"] == "username", is_kept("username", v["value"], keep)).otherwise(is_kept("", v["value"], keep))
+        listed = v["value"].contains(",") & (v["kind"] != "url")
+        return F.struct(v["kind"].alias("kind"), F.when(~stays, v["value"]).alias("value"), F.when(listed, keep).alias("keep"))
+
+    return one
+
+
 def _matched(pattern: str, kind: str) -> Callable[[Column], Column]:
     return lambda text: F.transform(matches(text, pattern), _found_as(kind))
 

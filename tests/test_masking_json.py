@@ -172,3 +172,36 @@ def test_a_walk_takes_few_steps_and_keeps_the_keys(spark):
 def test_json_of_the_catalogue_is_dealt_out(spark, small):
     plan = masks._nested_alerts(Tables(spark, small))._jdf.queryExecution().toString()
     assert "RoundRobinPartitioning" in plan
+
+
+def test_patterns_tell_sound_json_as_the_walk_does(spark):
+    rng = random.Random(8)
+    shapes = [s for s in (shape(rng, 4) for _ in range(300)) if isinstance(s, (dict, list))]
+    texts = [json.dumps(s, ensure_ascii=rng.random() < 0.5, separators=rng.choice([(",", ":"), (", ", " : ")])) for s in shapes]
+    texts += ['{"a]": ["x", 1, "y"], "B": {"c": "z", "d": [[true, "q"], []]}}', "[]", "{}", ' ["x"] ']
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = rows.select("t", nested.sound(F.col("t")).alias("s"), nested.plain_parts(F.col("t")).alias("p"), nested.walked(F.col("t")).alias("w")).collect()
+    told = [r for r in got if r["p"] is not None]
+    assert len(told) > 50 and all(r["s"] for r in got)
+    for r in told:
+        assert "".join(p["part"] for p in r["p"]) == r["t"]
+        assert [(p["key"], p["value"]) for p in r["p"] if p["key"] is not None] == [(p["key"], p["value"]) for p in r["w"] if p["key"] is not None], r["t"]
+
+
+def test_patterns_leave_the_rest_to_the_walk(spark, k):
+    # A string in a list beside an object, values judged by their siblings, and text behind the value.
+    apart = ['{"a": ["x", {"b": "y"}]}', '{"value": "a", "type": "ip"}', '{"Val\\u0075e": "a"}']
+    behind = ['{"a": "b"} "x": "y" }', '{"a": "b"}, {}', '{"a": "b"}, "c": "d"', '["a"] ]', '{"a": "b"', '"a"', "", '{"a": "b", "a": "c"}']
+    rows = spark.createDataFrame([(t,) for t in apart + behind], "t string")
+    got = rows.select(nested.plain_parts(F.col("t")).isNull().alias("p"), nested.sound(F.col("t")).alias("s")).collect()
+    assert all(r["p"] for r in got[: len(apart)]) and all(r["s"] for r in got[: len(apart)])
+    assert not any(r["s"] for r in got[len(apart) :])
+
+
+def test_known_values_get_their_tokens_only_where_a_text_mentions_them(spark, k):
+    rows = spark.createDataFrame([("anna", "ANNA,Web", "x", "anna, Anna and WEB; Ünal anna"), ("-", None, "y", "- anna")], "user string, hostname string, id string, msg string")
+    raws = masking._record_raws(rows, masking.type_table(rows), None)
+    assert "sha2" not in str(raws)
+    first, second = masking.mask_table(rows, k).orderBy("id").collect()
+    assert first["msg"] == f"{token('user', 'username', 'anna')}, {burned('Anna')} and {token('host', 'hostname', 'web')}; Ünal {token('user', 'username', 'anna')}"
+    assert second["msg"] == "- anna"
