@@ -860,23 +860,21 @@ def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> Data
     looked for as runs of as many words.  A map's values count under its name.  An
     empty result is a pass.
     """
-    masked = walked_once(masked)
-    shown = [leaf for leaf in leaves(masked) if leaf.name not in skip]
-    if not shown:
+    masked = walked_once(masked, keyed=False)
+    held = [f for f in masked.schema.fields if f"{_WALK}{f.name}" in masked.columns and f.name not in skip]
+    shown = [leaf for f in masked.schema.fields if f not in held for leaf in _field_leaves(masked, f, None) if leaf.name not in skip]
+    if not shown and not held:
         raise PlanError("the table has no text to check")
-    # Besides its strings, a JSON text is looked through as it stands.
-    shown += [
-        Leaf(f.name, F.array(_json_text(F.col(f"`{f.name}`"), f.dataType)), True)
-        for f in masked.schema.fields
-        if f"{_WALK}{f.name}" in masked.columns and f.name not in skip
-    ]
     types = column_types(masked)
     mapped = any(f.name.startswith(_WALK) for f in masked.schema.fields) or any(isinstance(f.dataType, (T.MapType, T.ArrayType, T.StructType)) for f in masked.schema.fields)
     named = mapped or bool(set(types.values()) - {"text", *PATTERNS}) or any(x.name in URL_COLUMNS for x in shown)
     patterns = [*PATTERNS.values(), *([_WORD] if named else [])]
-    # How many words raw values have, where it is more than one: a handful of numbers.
-    several = words.select(F.size(matches(F.lower("raw"), _WORD)).alias("n")).where("n > 1")
-    masked = masked.withColumn("_runs", several.agg(F.sort_array(F.collect_set("n"))).scalar()) if named else masked
+    # How many words raw values have, where it is more than one: a handful of numbers.  And their greatest length: what
+    # is longer equals none of them.
+    counted = words.select(F.size(matches(F.lower("raw"), _WORD)).alias("n"), F.length(F.lower("raw")).alias("long"))
+    sizes = counted.agg(F.struct(F.sort_array(F.collect_set(F.when(F.col("n") > 1, F.col("n")))).alias("runs"), F.max("long").alias("longest")).alias("sizes"))
+    if named:
+        masked = masked.withColumn("_sizes", sizes.scalar()).withColumns({"_runs": F.col("_sizes.runs"), "_longest": F.col("_sizes.longest")})
 
     def runs(text: Column) -> Column:
         def of(found: Column) -> Column:
@@ -892,30 +890,34 @@ def leaks(masked: DataFrame, words: DataFrame, skip: Sequence[str] = ()) -> Data
     def taken_apart(text: Column) -> Column:
         return F.concat(F.array(text), *(matches(text, p) for p in patterns), *([runs(text)] if named else []))
 
+    def in_json(field: T.StructField) -> Column:
+        """The text as it stands, and its strings; without escapes, all their pieces are pieces of the text."""
+        text, values = _held_text(field), _picked(F.col(f"`{_SAID}{field.name}`"), "value")
+        bare = F.col(f"`{_SOUND}{field.name}`") & ~text.contains("\\")
+        strings = F.when(bare, F.transform(values, lambda v: F.lower(v))).otherwise(F.flatten(F.transform(values, lambda v: taken_apart(F.lower(v)))))
+        return F.when(text.isNotNull(), F.concat(taken_apart(F.lower(text)), strings))
+
+    def told(found: DataFrame) -> DataFrame:
+        return (found.where(F.length("seen") <= F.col("_longest")) if named else found).select("column", "seen")
+
+    kept_sizes = ["_runs", "_longest"] if named else []
     # Short columns are made distinct before they are taken apart; texts are not worth
     # shuffling whole, so only their pieces are.
     short = [x for x in shown if not x.listed and types.get(x.name, "text") != "text"]
     parts: list[DataFrame] = []
     if short:
         pairs = F.array(*(F.struct(F.lit(x.name).alias("column"), F.lower(x.column).alias("whole")) for x in short))
-        # The run lengths are one value for the whole table.
-        kept_runs = ["_runs"] if named else []
-        distinct = masked.select(*kept_runs, F.inline(pairs)).where(F.col("whole").isNotNull()).distinct()
-        parts.append(distinct.select("column", F.explode(taken_apart(F.col("whole"))).alias("seen")))
-    long = [x for x in shown if x not in short]
-    if long:
-        empty = F.array().cast("array<struct<column:string,seen:string>>")
-        listed = []
-        for leaf in long:
-            pieces = F.flatten(F.transform(leaf.texts(), lambda v: taken_apart(F.lower(v))))
-            listed.append(F.coalesce(F.transform(pieces, _seen_in(leaf.name)), empty))
-        parts.append(masked.select(F.inline(F.concat(*listed))))
+        # The sizes are one value for the whole table.
+        distinct = masked.select(*kept_sizes, F.inline(pairs)).where(F.col("whole").isNotNull()).distinct()
+        parts.append(told(distinct.select(*kept_sizes, "column", F.explode(taken_apart(F.col("whole"))).alias("seen"))))
+    pieces = [(x.name, F.flatten(F.transform(x.texts(), lambda v: taken_apart(F.lower(v))))) for x in shown if x not in short]
+    pieces += [(f.name, in_json(f)) for f in held]
+    if pieces:
+        empty = F.array().cast("array<string>")
+        listed = F.array(*(F.struct(F.lit(name).alias("column"), F.array_distinct(F.coalesce(p, empty)).alias("pieces")) for name, p in pieces))
+        parts.append(told(masked.select(*kept_sizes, F.inline(listed)).select(*kept_sizes, "column", F.explode("pieces").alias("seen"))))
     seen = (parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])).distinct()
     raws = words.select("type", "raw", F.lower("raw").alias("seen"))
     if named:
         raws = raws.unionByName(words.select("type", "raw", _normal(F.col("raw")).alias("seen")).where(F.col("seen").contains(" "))).distinct()
     return seen.join(raws, "seen").select("column", "type", "raw").distinct()
-
-
-def _seen_in(name: str) -> Callable[[Column], Column]:
-    return lambda word: F.struct(F.lit(name).alias("column"), word.alias("seen"))

@@ -205,3 +205,12 @@ def test_known_values_get_their_tokens_only_where_a_text_mentions_them(spark, k)
     first, second = masking.mask_table(rows, k).orderBy("id").collect()
     assert first["msg"] == f"{token('user', 'username', 'anna')}, {burned('Anna')} and {token('host', 'hostname', 'web')}; Ünal {token('user', 'username', 'anna')}"
     assert second["msg"] == "- anna"
+
+
+def test_leaks_of_json_shuffle_no_piece_longer_than_any_raw_value(spark, k):
+    words = spark.createDataFrame([("username", "anna"), ("username", 'j"x y'), ("ip", "10.0.0.1")], "type string, raw string")
+    texts = ['{"user": "anna", "n": 1}', '{"note": "at 10.0.0.1 J\\"X Y", "m": ["q"]}', '{"anna": "masked"', "no json"]
+    found = masking.leaks(spark.createDataFrame([(t,) for t in texts], "grpby string"), words)
+    assert {tuple(r) for r in found.collect()} == {("grpby", "username", "anna"), ("grpby", "username", 'j"x y'), ("grpby", "ip", "10.0.0.1")}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "length(seen" in plan
